@@ -96,35 +96,37 @@ def rows_path(out, name):
     return f"{out.rstrip('/')}/rows/{name}"
 
 
-def publish(spark, domain_rows, user_rows, bounds, out, n=20):
-    """Write the three reports: each as Parquet rows, then as one JSON document.
+def publish(spark, domain_rows, user_rows, bounds, out, n=20, names=tuple(REPORT_SCHEMAS)):
+    """Write the three reports, or some: each as Parquet rows, then as one JSON document.
 
     The rows are complete whatever their number. A document is built from the written rows once
     their count shows that it is small; a larger report fails loudly and keeps its rows.
     """
-    reports = {
-        HOURLY_REPORT: (hourly_domain_stats(domain_rows, bounds), hourly_document),
+    makers = {
+        HOURLY_REPORT: (lambda: hourly_domain_stats(domain_rows, bounds), hourly_document),
         BOT_REPORT: (
-            bot_domain_stats(domain_rows, bounds),
+            lambda: bot_domain_stats(domain_rows, bounds),
             lambda rows: bot_document(rows, bounds),
         ),
         TOP_USERS_REPORT: (
-            top_user_titles(user_rows, bounds, n),
+            lambda: top_user_titles(user_rows, bounds, n),
             lambda rows: top_users_document(rows, bounds),
         ),
     }
     written = {}
-    for name, (rows, _) in reports.items():
+    for name in names:
+        rows = makers[name][0]()
         rows.write.mode("overwrite").parquet(rows_path(out, name))
         written[name] = spark.read.schema(rows.schema).parquet(rows_path(out, name))
 
     too_large = []
-    for name, (_, document) in reports.items():
-        entries = written[name].count()
+    for name, rows in written.items():
+        entries = rows.count()
         if entries > MAX_DOCUMENT_ENTRIES:
             too_large.append(f"{name}: {entries} entries, all in {rows_path(out, name)}")
             continue
-        text = document(written[name]).select(F.to_json("document", {"pretty": "true"}))
+        document = makers[name][1]
+        text = document(rows).select(F.to_json("document", {"pretty": "true"}))
         text.write.mode("overwrite").text(report_path(out, name))
     if too_large:
         raise DocumentTooLarge("; ".join(too_large))

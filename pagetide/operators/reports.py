@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagetide.functions.seconds import seconds_in, seconds_mask
 from pagetide.functions.timing import hour_of, in_window
-from pagetide.operators.views import SPECS, build
+from pagetide.operators.views import SPECS, build, without_values
 
 KEYED = "keyed"
 EVENT = "event"
@@ -58,10 +58,11 @@ def bot_domain_stats(rows, bounds=None, grain=KEYED):
     )
 
 
-def _user_rows(rows, grain):
+def _user_rows(rows, grain, titles=True):
+    spec = SPECS["user_stat"] if titles else without_values("user_stat", "page_title")
     if grain == KEYED:
-        return build(rows, "user_stat")
-    return rows.dropna(subset=["time", "user_id"]).select(*SPECS["user_stat"].columns)
+        return build(rows, spec)
+    return rows.dropna(subset=list(spec.key)).select(*spec.columns)
 
 
 def top_users(rows, bounds=None, n=20, grain=KEYED):
@@ -70,7 +71,7 @@ def top_users(rows, bounds=None, n=20, grain=KEYED):
     if not 0 < n <= MAX_TOP_USERS:
         raise ValueError(f"n must be between 1 and {MAX_TOP_USERS}")
     return (
-        _user_rows(in_window(rows, bounds), grain)
+        _user_rows(in_window(rows, bounds), grain, titles=False)
         .groupBy("user_id", "username")
         .agg(F.count(F.lit(1)).alias("pages_created"))
         .orderBy(F.desc("pages_created"), "user_id", "username")

@@ -87,6 +87,15 @@ def spec_of(view):
     return view if isinstance(view, ViewSpec) else SPECS[view]
 
 
+def without_values(view, *names):
+    """The same view with fewer shown columns; the row that wins a key stays the same.
+
+    Columns that only break ties after the others may be left out from the end.
+    """
+    spec = spec_of(view)
+    return replace(spec, columns=tuple(name for name in spec.columns if name not in names))
+
+
 def with_day(rows):
     return rows if "day" in rows.columns else rows.withColumn("day", F.to_date("time"))
 
@@ -94,17 +103,27 @@ def with_day(rows):
 def _has_key(spec):
     present = F.lit(True)
     for name in spec.key:
-        present = present & F.col(name).isNotNull()
+        present = present & F.col("time" if name == "day" else name).isNotNull()
     return present
 
 
+def missing_from(views=None):
+    """Names of the views that cannot keep an event because part of their key is null."""
+    specs = [spec_of(view) for view in views or SPECS]
+    return F.array_compact(
+        F.array(*[F.when(~_has_key(spec), F.lit(spec.name)) for spec in specs])
+    )
+
+
 def project(events, view):
     """Rows of one view before merging. Rows that lack part of the key cannot be kept."""
     spec = spec_of(view)
-    rows = with_day(events) if "day" in spec.key else events
+    rows = events.filter(_has_key(spec))
+    if "day" in spec.key:
+        rows = with_day(rows)
     if "seq" in spec.ordering and "seq" not in rows.columns:
         rows = rows.withColumn("seq", F.lit(0).cast("bigint"))
-    return rows.filter(_has_key(spec)).select(*spec.stored)
+    return rows.select(*spec.stored)
 
 
 def merge(rows, view):
@@ -128,15 +147,3 @@ def latest(rows, view):
 
 def build(events, view):
     return latest(project(events, view), view)
-
-
-def unkeyed(events, views=None):
-    """Events some views cannot keep, with the names of those views in `missing_from`."""
-    specs = [spec_of(view) for view in views or SPECS]
-    rows = with_day(events)
-    names = F.array(*[F.when(~_has_key(spec), F.lit(spec.name)) for spec in specs])
-    return (
-        rows.withColumn("missing_from", F.array_compact(names))
-        .filter(F.size("missing_from") > 0)
-        .drop("day")
-    )

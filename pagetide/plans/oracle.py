@@ -108,7 +108,7 @@ SELECT problem, count(*) AS messages FROM (
   SELECT CASE event_type
            WHEN 'error' THEN 'bad_json'
            WHEN 'signup' THEN 'bad_time'
-           WHEN 'purchase' THEN 'user_stat,pages_by_user,page_creations_by_time'
+           WHEN 'purchase' THEN 'no_key: user_stat, pages_by_user, page_creations_by_time'
          END AS problem
   FROM events
 ) p WHERE problem IS NOT NULL GROUP BY problem""",

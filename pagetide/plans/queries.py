@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pagetide.functions.timing import Bounds, as_utc, report_bounds
 from pagetide.operators import documents, lookups, reports, viewlog, views
-from pagetide.operators.normalize import accepted, from_wire, parse_envelope, rejected, to_wire
+from pagetide.operators.normalize import accepted, from_wire, parse_envelope, to_wire
+from pagetide.operators.quarantine import quarantined
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, TOP_USERS_REPORT
 from pagetide.session import scratch_folder, utc
 from pagetide.sources.event_table import (
@@ -17,7 +18,6 @@ from pagetide.sources.event_table import (
     as_frames,
     as_page_creates,
     page_creates,
-    read_events,
     stream_events,
 )
 from pagetide.sources.frames import sse_frames
@@ -73,29 +73,20 @@ def wire_round_trip(spark, folder):
 
 @query
 def quarantine_counts(spark, folder):
-    """Damaged copies of the events: cut text, fractional times, and envelopes without a user."""
-    events = read_events(spark, folder)
-    kind = F.col("event_type")
-    cut = as_envelopes(as_page_creates(events.filter(kind == "error"))).withColumn(
-        "value", F.expr("substr(value, 1, length(value) - 1)")
-    )
-    fractional = as_envelopes(
-        as_page_creates(events.filter(kind == "signup")), "yyyy-MM-dd'T'HH:mm:ss.SSSX"
-    )
-    no_user = as_envelopes(
-        as_page_creates(events.filter(kind == "purchase")).withColumn(
-            "user_id", F.lit(None).cast("bigint")
-        )
-    )
-    whole = as_envelopes(as_page_creates(events.filter(kind.isin("click", "view"))))
-    decoded = parse_envelope(cut.union(fractional).union(no_user).union(whole))
-    unkept = views.unkeyed(accepted(decoded)).select(
-        F.array_join("missing_from", ",").alias("problem")
+    """Damaged copies of the events: cut text, fractional times, and events without a user."""
+    from_domain = F.col("domain").startswith
+    in_text = F.col("value").contains
+    events = page_creates(spark, folder)
+    nobody = F.when(~from_domain("purchase."), F.col("user_id"))
+    text = F.col("value")
+    damaged = (
+        F.when(in_text('"error.'), F.expr("substr(value, 1, length(value) - 1)"))
+        .when(in_text('"signup.'), F.replace(text, F.lit('Z"'), F.lit('.500Z"')))
+        .otherwise(text)
     )
+    messages = as_envelopes(events.withColumn("user_id", nobody)).withColumn("value", damaged)
     return (
-        rejected(decoded)
-        .select("problem")
-        .union(unkept)
+        quarantined(parse_envelope(messages))
         .groupBy("problem")
         .agg(F.count(F.lit(1)).alias("messages"))
     )
@@ -291,22 +282,16 @@ def _stored(spark, folder, *names):
     return root
 
 
-def _published(spark, folder, name):
-    root = _stored(spark, folder, "domain_page_stats", "user_stat")
+def _published(spark, folder, view, name):
     out = scratch_folder(spark, "reports")
-    documents.publish(
-        spark,
-        viewlog.scan(spark, root, "domain_page_stats", WINDOW),
-        viewlog.scan(spark, root, "user_stat", WINDOW),
-        WINDOW,
-        out,
-    )
+    rows = viewlog.scan(spark, _stored(spark, folder, view), view, WINDOW)
+    documents.publish(spark, rows, rows, WINDOW, out, names=[name])
     return documents.read_report(spark, out, name)
 
 
 @query
 def hourly_report_document(spark, folder):
-    buckets = _published(spark, folder, HOURLY_REPORT)
+    buckets = _published(spark, folder, "domain_page_stats", HOURLY_REPORT)
     return buckets.select(
         "time_start", "time_end", F.explode("statistics").alias("entry")
     ).select("time_start", "time_end", F.explode("entry").alias("domain", "pages_created"))
@@ -314,13 +299,13 @@ def hourly_report_document(spark, folder):
 
 @query
 def bot_report_document(spark, folder):
-    document = _published(spark, folder, BOT_REPORT)
+    document = _published(spark, folder, "domain_page_stats", BOT_REPORT)
     return document.select("time_start", "time_end", F.inline("statistics"))
 
 
 @query
 def top_users_document(spark, folder):
-    entries = _published(spark, folder, TOP_USERS_REPORT)
+    entries = _published(spark, folder, "user_stat", TOP_USERS_REPORT)
     return entries.withColumn("page_titles", F.array_join("page_titles", "|"))
 
 

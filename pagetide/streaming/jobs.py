@@ -4,9 +4,9 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from pagetide.functions.seconds import seconds_in, seconds_mask
-from pagetide.operators.normalize import accepted, from_wire, parse_envelope, rejected
+from pagetide.operators.normalize import accepted, from_wire, parse_envelope
+from pagetide.operators.quarantine import quarantined
 from pagetide.operators.viewlog import write_batch
-from pagetide.operators.views import SPECS, unkeyed
 from pagetide.schemas import PAGE_CREATE
 
 # Topic names.
@@ -64,31 +64,23 @@ def view_writer(root, run, quarantine=None, views=None):
     def write(decoded, batch_id):
         decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            events = accepted(decoded)
-            write_batch(events, root, run, batch_id, views)
+            write_batch(accepted(decoded), root, run, batch_id, views)
             if quarantine:
-                _write_quarantine(decoded, events, quarantine, run, batch_id, views or SPECS)
+                _write_quarantine(quarantined(decoded, views), quarantine, run, batch_id)
         finally:
             decoded.unpersist()
 
     return write
 
 
-def _write_quarantine(decoded, events, quarantine, run, batch_id, views):
-    unkept = unkeyed(events, views).select(
-        F.to_json(F.struct(*PAGE_CREATE)).alias("value"),
-        "seq",
-        F.concat(F.lit("no_key: "), F.array_join("missing_from", ", ")).alias("problem"),
-    )
+def _write_quarantine(rows, path, run, batch_id):
     (
-        rejected(decoded)
-        .unionByName(unkept)
-        .withColumn("run", F.lit(run))
+        rows.withColumn("run", F.lit(run))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run", "batch_id")
-        .parquet(quarantine)
+        .parquet(path)
     )
 
 
