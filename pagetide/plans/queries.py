@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagetide.functions.timing import Bounds, as_utc, report_bounds
 from pagetide.operators import documents, lookups, reports, viewlog, views
 from pagetide.operators.normalize import accepted, from_wire, parse_envelope, to_wire
-from pagetide.operators.quarantine import quarantined
+from pagetide.operators.quarantine import marked, quarantined
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, TOP_USERS_REPORT
 from pagetide.session import scratch_folder, utc
 from pagetide.sources.event_table import (
@@ -86,7 +86,7 @@ def quarantine_counts(spark, folder):
     )
     messages = as_envelopes(events.withColumn("user_id", nobody)).withColumn("value", damaged)
     return (
-        quarantined(parse_envelope(messages))
+        quarantined(marked(parse_envelope(messages)))
         .groupBy("problem")
         .agg(F.count(F.lit(1)).alias("messages"))
     )

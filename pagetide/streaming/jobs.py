@@ -4,9 +4,10 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from pagetide.functions.seconds import seconds_in, seconds_mask
-from pagetide.operators.normalize import accepted, from_wire, parse_envelope
-from pagetide.operators.quarantine import quarantined
+from pagetide.operators.normalize import from_wire, parse_envelope
+from pagetide.operators.quarantine import marked, quarantined, usable
 from pagetide.operators.viewlog import write_batch
+from pagetide.operators.views import SPECS
 from pagetide.schemas import PAGE_CREATE
 
 # Topic names.
@@ -58,17 +59,22 @@ def view_writer(root, run, quarantine=None, views=None):
     """The per-batch function that upserts a batch of events into every view.
 
     Errors are not caught: a batch that fails is retried by Spark, and rewriting the views it had
-    already reached replaces the same folders.
+    already reached replaces the same folders. The batch is cached when it is read more than once.
     """
+    names = tuple(views or SPECS)
 
     def write(decoded, batch_id):
-        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = marked(decoded, names)
+        reread = len(names) > 1 or quarantine
+        if reread:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(accepted(decoded), root, run, batch_id, views)
+            write_batch(usable(batch), root, run, batch_id, names)
             if quarantine:
-                _write_quarantine(quarantined(decoded, views), quarantine, run, batch_id)
+                _write_quarantine(quarantined(batch), quarantine, run, batch_id)
         finally:
-            decoded.unpersist()
+            if reread:
+                batch.unpersist()
 
     return write
 

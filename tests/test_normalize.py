@@ -1,0 +1,117 @@
+import json
+
+import pytest
+
+from helpers import at, envelope, event, events_frame, messages_frame, tuples
+from pyspark.sql import functions as F
+
+from pagetide.operators.normalize import (
+    BAD_JSON,
+    BAD_TIME,
+    NO_MESSAGE,
+    accepted,
+    from_wire,
+    parse_envelope,
+    rejected,
+    to_wire,
+)
+from pagetide.operators.quarantine import marked, quarantined, usable
+from pagetide.streaming.jobs import normalized_messages
+
+
+def test_flattens_and_keeps_wide_ids(spark):
+    row = accepted(parse_envelope(messages_frame(spark, [envelope()]))).select(
+        F.col("time").cast("string").alias("time"), "domain", "created_by_bot", "user_id",
+        "username", "page_title", "page_id", "seq",
+    ).first()
+    assert tuple(row) == (
+        "2024-01-01 00:00:07", "a.org", True, 5, "five", "T", 3_000_000_000, 0,
+    )
+
+
+def test_binary_values(spark):
+    messages = messages_frame(spark, [envelope()]).withColumn("value", F.col("value").cast("binary"))
+    assert accepted(parse_envelope(messages)).count() == 1
+
+
+@pytest.mark.parametrize(
+    "text, problem",
+    [
+        (None, NO_MESSAGE),
+        ("", BAD_JSON),
+        ("not json", BAD_JSON),
+        ("[1,2]", BAD_JSON),
+        ('{"page_id": 1.5}', BAD_JSON),
+        ('{"page_id": "x"}', BAD_JSON),
+        (envelope()[:-1], BAD_JSON),
+        ("{}", BAD_TIME),
+        (envelope("2024-01-01T00:00:00.123Z"), BAD_TIME),
+        (envelope("2024-01-01T02:00:00+02:00"), BAD_TIME),
+        (envelope("2024-13-01T02:00:00Z"), BAD_TIME),
+    ],
+)
+def test_bad_messages_are_kept_aside(spark, text, problem):
+    decoded = parse_envelope(messages_frame(spark, [text, envelope()]))
+    assert accepted(decoded).count() == 1
+    assert tuples(rejected(decoded), "value", "problem") == [(text, problem)]
+
+
+def test_more_time_formats_are_an_option(spark):
+    messages = messages_frame(
+        spark, [envelope("2024-01-01T02:00:00.9+02:00"), envelope("2024-01-01T00:00:00Z")]
+    )
+    formats = ("yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss.SXXX")
+    times = accepted(parse_envelope(messages, formats)).select(F.col("time").cast("string"))
+    assert tuples(times) == [("2024-01-01 00:00:00",)] * 2
+
+
+def test_wire_leaves_out_nulls_and_round_trips(spark):
+    rows = events_frame(spark, [event("2024-01-01 00:00:01", user_id=None, username=None)])
+    wire = to_wire(rows)
+    assert json.loads(wire.first().value) == {
+        "time": "2024-01-01T00:00:01.000Z", "domain": "a.org", "created_by_bot": False,
+        "page_title": "T", "page_id": 1,
+    }
+    assert tuples(accepted(from_wire(wire))) == tuples(rows)
+
+
+def test_empty_and_fractional_wire_messages(spark):
+    texts = ["{}", '{"time":"2024-01-01T00:00:01.500Z"}', "x"]
+    decoded = from_wire(messages_frame(spark, texts))
+    assert accepted(decoded).count() == 0
+    assert tuples(rejected(decoded), "seq", "problem") == [
+        (0, BAD_TIME), (1, BAD_TIME), (2, BAD_JSON),
+    ]
+
+
+def test_json_is_parsed_once(spark):
+    plan = accepted(parse_envelope(messages_frame(spark, [envelope()])))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1
+
+
+def test_marked_batch(spark):
+    nobody = envelope(performer={"user_is_bot": False})
+    batch = marked(parse_envelope(messages_frame(spark, [envelope(), nobody, "x"])))
+    assert [row.seq for row in usable(batch).orderBy("seq").collect()] == [0, 1]
+    assert set(tuples(quarantined(batch), "value", "problem")) == {
+        (nobody, "no_key: user_stat, pages_by_user, page_creations_by_time"),
+        ("x", BAD_JSON),
+    }
+    assert batch.filter("text is null").count() == 1
+
+
+def test_outgoing_messages_carry_their_topic(spark):
+    out = normalized_messages(messages_frame(spark, [envelope(), "x", None]))
+    rows = [(row.topic, json.loads(row.value)) for row in out.collect()]
+    assert rows[0][0] == "processed" and rows[0][1]["page_id"] == 3_000_000_000
+    assert rows[1:] == [
+        ("rejected", {"problem": BAD_JSON, "value": "x"}),
+        ("rejected", {"problem": NO_MESSAGE}),
+    ]
+
+
+def test_day_and_hour_do_not_follow_the_driver_zone(spark):
+    rows = events_frame(spark, [event("2024-01-01 23:59:59")])
+    assert rows.select(F.to_date("time").cast("string")).first()[0] == "2024-01-01"
+    assert rows.filter(F.col("time") == F.lit(at("2024-01-01 23:59:59"))).count() == 1
