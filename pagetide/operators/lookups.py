@@ -19,6 +19,17 @@ def _key_frame(rows, keys, name):
     return rows.sparkSession.createDataFrame([(key,) for key in set(keys)], f"{name} {kind}")
 
 
+def _thinned(keys, name):
+    """Keys with few repeats, for a semi join, which ignores repeats.
+
+    Leaving up to 16 copies of a key keeps the final aggregate off the join input. With it there,
+    Spark could not split the other side where one key has most of the rows.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(16))
+    named = keys.select(F.col(keys.columns[0]).alias(name)).dropna()
+    return named.withColumn("part", part).distinct().drop("part")
+
+
 def _narrowed(rows, keys, name):
     """Rows cut down by a filter that reaches the scan, where the keys are a short list."""
     if isinstance(keys, DataFrame) or len(keys) > MAX_LITERAL_KEYS:
@@ -32,10 +43,12 @@ def domains(view):
 
 def pages_by_user(view, users):
     """Pages of the users, by page id within a user. Unknown users have no rows."""
-    if not isinstance(users, DataFrame) and len(users) <= MAX_LITERAL_KEYS:
-        found = _narrowed(view, users, "user_id")
-    else:
+    if isinstance(users, DataFrame):
+        found = view.join(_thinned(users, "user_id"), "user_id", "left_semi")
+    elif len(users) > MAX_LITERAL_KEYS:
         found = view.join(_key_frame(view, users, "user_id"), "user_id", "left_semi")
+    else:
+        found = _narrowed(view, users, "user_id")
     return found.orderBy("user_id", "page_id")
 
 

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "tests",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
