@@ -18,6 +18,9 @@ from pagetide.schemas import (
 # One document is one JSON value and so one row. Larger reports stay available as rows.
 MAX_DOCUMENT_ENTRIES = 1_000_000
 
+# At the keyed grain a user has at most one title per second, so the window bounds a user's list.
+MAX_TITLE_SECONDS = 7 * 24 * 3600
+
 
 class DocumentTooLarge(ValueError):
     pass
@@ -64,7 +67,9 @@ def bot_document(stats, bounds):
 
 
 def top_user_entries(titles, bounds):
-    """One row per top user with the sorted list of titles."""
+    """One row per top user with the sorted list of titles, from keyed rows of a short window."""
+    if bounds.seconds > MAX_TITLE_SECONDS:
+        raise ValueError("window too long for title lists; use top_user_titles, one row per title")
     return (
         titles.groupBy("user_id", "username", "pages_created")
         .agg(F.array_sort(F.collect_list("page_title")).alias("page_titles"))

@@ -180,3 +180,10 @@ def test_missing_and_broken_reports(spark, tmp_path):
     Path(documents.report_path(str(tmp_path), HOURLY_REPORT)).write_text('[{"time_start": ')
     with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
         documents.read_report(spark, str(tmp_path), HOURLY_REPORT).collect()
+
+
+def test_title_lists_need_a_short_window(spark):
+    frame = events_frame(spark, [event("2024-01-16 05:00:00")])
+    long = report_bounds("2024-01-16 12:30:00", hours=24 * 30)
+    with pytest.raises(ValueError, match="one row per title"):
+        documents.top_user_entries(reports.top_user_titles(frame, long), long)
