@@ -5,6 +5,9 @@ names one checkpoint: batch numbers restart with a new checkpoint, and a new run
 from replacing older batches.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from pagetide.functions.timing import in_window
@@ -36,21 +39,36 @@ def _save(rows, root, spec):
     )
 
 
+def _write_view(events, root, run, batch_id, view):
+    spec = spec_of(view)
+    rows = merge(project(events, spec), spec)
+    if spec.keyed_by_time:
+        # Few files per day, and a day with most of the rows is spread over several tasks.
+        rows = with_day(rows).hint("rebalance", "day")
+    _save(
+        rows.withColumn("run", F.lit(run)).withColumn(
+            "batch_id", F.lit(batch_id).cast("bigint")
+        ),
+        root,
+        spec,
+    )
+
+
 def write_batch(events, root, run, batch_id, views=None):
-    """Merge one batch into each view. Writing the same batch again changes nothing."""
-    for view in views or SPECS:
-        spec = spec_of(view)
-        rows = merge(project(events, spec), spec)
-        if spec.keyed_by_time:
-            # Few files per day, and a day with most of the rows is spread over several tasks.
-            rows = with_day(rows).hint("rebalance", "day")
-        _save(
-            rows.withColumn("run", F.lit(run)).withColumn(
-                "batch_id", F.lit(batch_id).cast("bigint")
-            ),
-            root,
-            spec,
-        )
+    """Merge one batch into each view. Writing the same batch again changes nothing.
+
+    The first view is written alone, so that a cached batch is complete before the other views are
+    written side by side. Small views would otherwise keep a large cluster waiting one by one.
+    """
+    first, *others = views or SPECS
+    _write_view(events, root, run, batch_id, first)
+    if not others:
+        return
+    with ThreadPoolExecutor(len(others)) as pool:
+        write = inheritable_thread_target(events.sparkSession)(_write_view)
+        started = [pool.submit(write, events, root, run, batch_id, view) for view in others]
+    for job in started:
+        job.result()
 
 
 def scan(spark, root, view, bounds=None):
