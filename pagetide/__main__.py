@@ -51,6 +51,7 @@ def _arguments():
     normalize = stream("normalize")
     normalize.add_argument("--frames", action="store_true", help="input holds event frames")
     normalize.add_argument("--out", help="folder for message files, instead of a topic")
+    normalize.add_argument("--rejects", default=jobs.REJECTED_TOPIC, help="topic of bad messages")
     views = stream("views")
     views.add_argument("--root", required=True)
     views.add_argument("--run", required=True, help="a new name for every new checkpoint")
@@ -100,9 +101,12 @@ def normalize(spark, args):
         messages = sse_frames(spark, args.input, streaming=True)
     else:
         messages = _messages(spark, args, jobs.INPUT_TOPIC)
-    if args.out:
-        return jobs.start_normalize_to_files(messages, args.out, args.checkpoint, _trigger(args))
-    return jobs.start_normalize_to_kafka(messages, args.servers, args.checkpoint, _trigger(args))
+    start, target = (
+        (jobs.start_normalize_to_files, args.out)
+        if args.out
+        else (jobs.start_normalize_to_kafka, args.servers)
+    )
+    return start(messages, target, args.checkpoint, _trigger(args), rejects=args.rejects)
 
 
 def views(spark, args):

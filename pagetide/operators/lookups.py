@@ -16,7 +16,8 @@ def _key_frame(rows, keys, name):
     if isinstance(keys, DataFrame):
         return keys.select(F.col(keys.columns[0]).alias(name)).dropna().distinct()
     kind = rows.schema[name].dataType.simpleString()
-    return rows.sparkSession.createDataFrame([(key,) for key in set(keys)], f"{name} {kind}")
+    values = [(key,) for key in set(keys) if key is not None]
+    return rows.sparkSession.createDataFrame(values, f"{name} {kind}")
 
 
 def _thinned(keys, name):
@@ -34,7 +35,7 @@ def _narrowed(rows, keys, name):
     """Rows cut down by a filter that reaches the scan, where the keys are a short list."""
     if isinstance(keys, DataFrame) or len(keys) > MAX_LITERAL_KEYS:
         return rows
-    return rows.filter(F.col(name).isin(list(keys)))
+    return rows.filter(F.col(name).isin([key for key in set(keys) if key is not None]))
 
 
 def domains(view):

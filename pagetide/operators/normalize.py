@@ -29,13 +29,14 @@ def _decode(messages, schema, flatten, clean_time):
         F.array(parsed),
         lambda doc: F.struct(
             *flatten(doc),
+            text.isNull().alias("absent"),
             (doc.isNull() | doc[_CORRUPT].isNotNull()).alias("unreadable"),
         ),
     )
     seq = F.col("seq") if "seq" in messages.columns else F.lit(0).cast("bigint").alias("seq")
     event = F.col("event")
     problem = (
-        F.when(F.col("text").isNull(), NO_MESSAGE)
+        F.when(event["absent"], NO_MESSAGE)
         .when(event["unreadable"], BAD_JSON)
         .when(~clean_time(event["time"]), BAD_TIME)
     )

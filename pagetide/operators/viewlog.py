@@ -87,10 +87,15 @@ def scan(spark, root, view, bounds=None):
     return rows
 
 
-def read(spark, root, view, bounds=None):
-    """Current rows of a view, one per key."""
+def read(spark, root, view, bounds=None, unique=False):
+    """Current rows of a view, one per key.
+
+    `unique` says that the folder is a compacted copy to which nothing was added since. Its rows
+    need no merging, so reading it shuffles nothing.
+    """
     spec = spec_of(view)
-    return merge(scan(spark, root, spec, bounds), spec).select(*spec.columns)
+    rows = scan(spark, root, spec, bounds)
+    return (rows if unique else merge(rows, spec)).select(*spec.columns)
 
 
 def compact(spark, root, new_root, views=None):

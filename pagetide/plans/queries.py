@@ -317,7 +317,7 @@ def compacted_page_details(spark, folder):
     root = _stored(spark, folder, name)
     compacted = scratch_folder(spark, "compacted")
     viewlog.compact(spark, root, compacted, [name])
-    return _as_text(viewlog.read(spark, compacted, name), "time")
+    return _as_text(viewlog.read(spark, compacted, name, unique=True), "time")
 
 
 # Streaming

@@ -48,7 +48,7 @@ def test_domain_page_count(spark):
 
 def test_page_details(spark):
     view = build(frame(spark), "page_details_by_page_id")
-    for pages in ([4, 99], keys(spark, [4, 99], "bigint")):
+    for pages in ([4, 99, None], keys(spark, [4, 99, None], "bigint")):
         rows = lookups.page_details(view, pages).orderBy("page_id").collect()
         assert [row.domain for row in rows] == ["b.org", None]
         assert [row.page_id for row in rows] == [4, 99]
