@@ -28,10 +28,18 @@ def local_session(cores="*", app="pagetide", **conf):
 
 
 def scratch_folder(spark, label):
-    """A new folder below `spark.checkpoint.dir`, which every executor can reach."""
+    """A new folder below `spark.checkpoint.dir`, which every executor can reach.
+
+    What is written there is a copy of table data, so it is removed when the session's JVM ends.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="pagetide-")
-    return f"{base.rstrip('/')}/pagetide-{label}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/pagetide-{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{own}/data"
