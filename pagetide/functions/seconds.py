@@ -1,8 +1,8 @@
 """Distinct whole seconds as a 60-bit mask per minute.
 
-Counting distinct (time, domain, bot) rows the plain way shuffles every distinct second. Event
-times are whole seconds, so the seconds seen in one minute fit in one long: rows are first folded
-to one long per minute on the map side, in a hash aggregate, and only those are shuffled.
+Plain distinct (time, domain, bot) rows shuffle every second that a map task saw. Event times are
+whole seconds, so the seconds of one minute fit in one long: rows are first folded to one long per
+minute on the map side, in a hash aggregate, and only those are shuffled.
 """
 
 from pyspark.sql import functions as F
@@ -19,3 +19,20 @@ def seconds_mask(time):
 
 def seconds_in(mask):
     return F.bit_count(mask).cast("bigint")
+
+
+def distinct_seconds(rows, time, others):
+    """Distinct (time, others) rows, with one shuffled row per minute instead of per second."""
+    minutes = rows.groupBy(F.date_trunc("minute", time).alias("minute"), *others).agg(
+        seconds_mask(F.col(time)).alias("seconds")
+    )
+    second = F.col("second")
+    seen = F.call_function("shiftright", F.col("seconds"), second).bitwiseAND(F.lit(1)) == 1
+    start = F.unix_timestamp("minute").alias("start")
+    return (
+        minutes.select(
+            start, *others, "seconds", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("second")
+        )
+        .filter(seen)
+        .select(F.timestamp_seconds(F.col("start") + second).alias(time), *others)
+    )

@@ -1,9 +1,14 @@
-"""The seven keyed views: a key, the shown columns, and the rule that the latest row wins."""
+"""The seven keyed views: a key, the shown columns, and the rule that the latest row wins.
+
+Times are whole seconds, as the normaliser makes them.
+"""
 
 from dataclasses import dataclass, replace
 
 from pyspark.sql import functions as F
 
+from pagetide.functions.seconds import distinct_seconds
+
 ORDER = ("time", "seq")
 
 
@@ -129,11 +134,14 @@ def project(events, view):
 def merge(rows, view):
     """One row per key, hidden ordering columns kept.
 
-    Both forms aggregate before the shuffle, so however many rows share a key, each map task sends
-    at most one of them.
+    Every form aggregates before the shuffle, so however many rows share a key, each map task
+    sends at most one of them.
     """
     spec = spec_of(view)
     if not spec.values:
+        if "time" in spec.key:
+            others = [name for name in spec.key if name != "time"]
+            return distinct_seconds(rows, "time", others).select(*spec.key)
         return rows.select(*spec.key).distinct()
     ranked = [*spec.ordering, *[name for name in spec.values if name not in spec.ordering]]
     newest = F.max(F.struct(*ranked)).alias("newest")
