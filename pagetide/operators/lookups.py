@@ -42,15 +42,21 @@ def domains(view):
     return view.select("domain").distinct()
 
 
-def pages_by_user(view, users):
-    """Pages of the users, by page id within a user. Unknown users have no rows."""
+def pages_by_user(view, users, ordered=None):
+    """Pages of the users. Unknown users have no rows.
+
+    The answer to a list is ordered by user and page id. The answer to a DataFrame may be as large
+    as the view and is not sorted unless asked for.
+    """
+    if ordered is None:
+        ordered = not isinstance(users, DataFrame)
     if isinstance(users, DataFrame):
         found = view.join(_thinned(users, "user_id"), "user_id", "left_semi")
     elif len(users) > MAX_LITERAL_KEYS:
         found = view.join(_key_frame(view, users, "user_id"), "user_id", "left_semi")
     else:
         found = _narrowed(view, users, "user_id")
-    return found.orderBy("user_id", "page_id")
+    return found.orderBy("user_id", "page_id") if ordered else found
 
 
 def domain_page_count(view, names):

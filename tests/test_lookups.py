@@ -30,10 +30,18 @@ def test_domains(spark):
 def test_pages_by_user(spark):
     view = build(frame(spark), "pages_by_user")
     for users in ([1, 77], keys(spark, [1, 1, None, 77], "bigint")):
-        found = [tuple(row) for row in lookups.pages_by_user(view, users).collect()]
+        found = [tuple(row) for row in lookups.pages_by_user(view, users, True).collect()]
         assert found == [(1, 1, "A"), (1, 2, "B"), (1, 3, "C"), (1, 5, "T")]
 
 
+def test_only_answers_to_lists_are_sorted(spark):
+    view = build(frame(spark), "pages_by_user")
+    sort = "rangepartitioning"
+    for users, sorted_by_default in (([1], True), (keys(spark, [1], "bigint"), False)):
+        plan = lookups.pages_by_user(view, users)._jdf.queryExecution().executedPlan().toString()
+        assert (sort in plan) == sorted_by_default
+
+
 def test_many_literal_keys(spark, monkeypatch):
     monkeypatch.setattr(lookups, "MAX_LITERAL_KEYS", 1)
     view = build(frame(spark), "pages_by_user")
