@@ -1,6 +1,7 @@
 """What the plans must keep doing for large data."""
 
 import re
+from contextlib import contextmanager
 
 import pytest
 from helpers import event, events_frame
@@ -15,6 +16,18 @@ FOLDER = "/root/testdata/sf0.001"
 WRITING = re.compile(r"^(sse_|streamed_|hourly_stream|compacted_)|_document$")
 
 
+@contextmanager
+def configured(spark, settings):
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -99,25 +112,37 @@ def test_a_hot_user_is_split_in_a_large_key_join(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    old = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        pages = spark.range(60_000).repartition(8).select(
-            F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id")).cast("bigint").alias("user_id"),
-            F.col("id").alias("page_id"),
-            F.concat(F.lit("T"), "id").alias("page_title"),
-            F.timestamp_seconds(F.col("id")).alias("time"),
-            F.col("id").alias("seq"),
-        )
+    pages = spark.range(60_000).repartition(8).select(
+        F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id")).cast("bigint").alias("user_id"),
+        F.col("id").alias("page_id"),
+        F.concat(F.lit("T"), "id").alias("page_title"),
+        F.timestamp_seconds(F.col("id")).alias("time"),
+        F.col("id").alias("seq"),
+    )
+    with configured(spark, settings):
         found = lookups.pages_by_user(
             build(pages, "pages_by_user"), spark.range(0, 60_000, 2).union(spark.range(7, 8))
         )
         assert len(found.collect()) == 40_000 + 10_000
-        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in old.items():
-            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+        assert "skew=true" in plan_of(found)
+
+
+def test_a_busy_day_is_written_by_several_tasks(spark, tmp_path):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    busy = spark.range(80_000).repartition(8).select(
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).alias("time"),
+        (F.col("id") % 9).alias("user_id"),
+        F.lit("one").alias("username"),
+        F.concat(F.lit("T"), "id").alias("page_title"),
+        F.col("id").alias("seq"),
+    )
+    with configured(spark, settings):
+        viewlog.write_batch(busy, str(tmp_path), "r", 0, ["user_stat"])
+    assert len(list(tmp_path.glob("user_stat/day=2024-01-01/run=r/batch_id=0/part-*"))) > 1
+    assert viewlog.read(spark, str(tmp_path), "user_stat").count() == 80_000
 
 
 def test_stored_lookups_reach_the_scan(spark, tmp_path):
