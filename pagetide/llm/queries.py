@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pagetide.llm import (
     bpe,
     exact_dedup,
+    near_dedup,
     packing,
     pseudonyms,
     quality_rules,
@@ -42,6 +43,10 @@ def op5_exact_dedup(spark, folder):
     return exact_dedup.dedup(*exact_dedup.halves(documents(utc(spark), folder)))
 
 
+def op6_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(documents(utc(spark), folder))
+
+
 def op8_pseudonyms(spark, folder):
     rows = pseudonyms.pseudonymised(documents(utc(spark), folder))
     return rows.select(
@@ -65,6 +70,7 @@ QUERIES = {
         op3_shard_documents,
         op4_byte_bpe,
         op5_exact_dedup,
+        op6_near_dedup,
         op8_pseudonyms,
         op10_quality_rules,
     )

@@ -1,9 +1,31 @@
 """Reading documents and keeping intermediate tables, shared by the operators of this package."""
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+import pagetide
 from pagetide.session import scratch_folder
 
+_shipped = set()
+
+
+def ship(spark):
+    """Hand this package to the Python workers, once per application, as `--py-files` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(pagetide.__file__).parent
+    if top.is_dir():
+        path = Path(tempfile.mkdtemp(prefix="pagetide-")) / "pagetide.zip"
+        with zipfile.ZipFile(path, "w") as package:
+            for file in sorted(top.rglob("*.py")):
+                package.write(file, file.relative_to(top.parent))
+        context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
 
 def documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -11,6 +33,7 @@ def documents(spark, folder):
 
 def texts(docs):
     """`doc_id` and `text` alone; a null text is empty. Other columns, whatever their names, go."""
+    ship(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
