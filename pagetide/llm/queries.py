@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 from pagetide.llm import (
     bpe,
     exact_dedup,
+    lm_score,
     near_dedup,
     packing,
     pseudonyms,
     quality_rules,
     sharding,
     token_files,
+    transcripts,
 )
 from pagetide.llm.tables import documents
 from pagetide.session import scratch_folder, utc
@@ -47,6 +49,11 @@ def op6_near_dedup(spark, folder):
     return near_dedup.near_duplicates(documents(utc(spark), folder))
 
 
+def op7_cross_entropy(spark, folder):
+    rows = documents(utc(spark), folder)
+    return lm_score.cross_entropy_difference(rows, _table(spark, folder, "labels"))
+
+
 def op8_pseudonyms(spark, folder):
     rows = pseudonyms.pseudonymised(documents(utc(spark), folder))
     return rows.select(
@@ -57,6 +64,10 @@ def op8_pseudonyms(spark, folder):
     )
 
 
+def op9_chat_turns(spark, folder):
+    return transcripts.chat_turns(_table(utc(spark), folder, "conversations"))
+
+
 def op10_quality_rules(spark, folder):
     rows = quality_rules.judged(documents(utc(spark), folder), _table(spark, folder, "labels"))
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "rejected_by", "kept")
@@ -71,7 +82,9 @@ QUERIES = {
         op4_byte_bpe,
         op5_exact_dedup,
         op6_near_dedup,
+        op7_cross_entropy,
         op8_pseudonyms,
+        op9_chat_turns,
         op10_quality_rules,
     )
 }
