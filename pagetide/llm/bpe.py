@@ -20,9 +20,9 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 
 from pagetide.llm.tables import texts
+from pagetide.llm.words import split
 
 SIDE_BY_SIDE = 32
 KEPT_WORDS = 400_000
@@ -163,9 +163,8 @@ def merge_short(words, ranks, size):
 
 
 class Encoder:
-    def __init__(self, path, pattern=public_tokenizers.PATTERN):
+    def __init__(self, path):
         self.ranks = Ranks(path)
-        self._find = regex.compile(pattern).findall
         self._known = {}
 
     def _learn(self, words):
@@ -186,7 +185,7 @@ class Encoder:
         """A list of ids per text."""
         if len(self._known) > KEPT_WORDS:
             self._known = {}
-        words = [self._find(text) for text in texts]
+        words = [split(text) for text in texts]
         self._learn(set().union(*words) - self._known.keys())
         known = self._known.__getitem__
         return [list(chain.from_iterable(map(known, found))) for found in words]

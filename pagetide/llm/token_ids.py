@@ -4,24 +4,35 @@ import json
 from array import array
 from functools import lru_cache
 
-import public_tokenizers
-import regex
+from pagetide.llm.words import split
 
 END_ID = 0
 KEPT_WORDS = 1_000_000
 
 
+def _byte_characters():
+    """Byte-level vocabularies write visible bytes as themselves and others from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in visible]
+    return {byte: 0x100 + number for number, byte in enumerate(others)}
+
+
+_WRITTEN = _byte_characters()
+
+
 class _Encoded(dict):
     """Serialised ids by word; a word not seen before is encoded, and old ones go when full."""
 
-    def __init__(self, encode):
+    def __init__(self, model):
         super().__init__()
-        self.encode = encode
+        self.merge = model.tokenize
 
     def __missing__(self, word):
         if len(self) >= KEPT_WORDS:
             self.clear()
-        ids = array("I", self.encode(word, add_special_tokens=False).ids).tobytes()
+        plain = word if word.isascii() else word.encode().decode("latin-1")
+        tokens = self.merge(plain.translate(_WRITTEN))
+        ids = array("I", [token.id for token in tokens]).tobytes()
         self[word] = ids
         return ids
 
@@ -30,7 +41,8 @@ class TextEncoder:
     """Ids as little-endian unsigned 32-bit integers.
 
     A byte-level vocabulary never merges across the matches of its split pattern, so each distinct
-    match is encoded once and remembered. Other tokenizers encode each text as a whole.
+    match goes through the tokenizer's model once and is remembered. Other tokenizers encode each
+    text as a whole.
     """
 
     def __init__(self, path):
@@ -39,28 +51,25 @@ class TextEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            split = json.load(file)["pre_tokenizer"] or {}
+            before = json.load(file)["pre_tokenizer"] or {}
         by_word = (
-            split.get("type") == "ByteLevel"
-            and split.get("use_regex")
-            and not split.get("add_prefix_space")
+            before.get("type") == "ByteLevel"
+            and before.get("use_regex")
+            and not before.get("add_prefix_space")
             and tokenizer.normalizer is None
         )
         self.vocabulary = tokenizer.get_vocab_size()
-        self._words = _Encoded(tokenizer.encode)
-        self._split = regex.compile(public_tokenizers.PATTERN).findall if by_word else None
+        self._whole = None if by_word else tokenizer.encode
+        self._words = _Encoded(tokenizer.model)
 
     def __call__(self, text):
-        if self._split is None:
-            return self._words.encode(text, add_special_tokens=False).ids
-        return b"".join(map(self._words.__getitem__, self._split(text)))
+        if self._whole:
+            return array("I", self._whole(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self._words.__getitem__, split(text)))
 
     def document(self, text):
         """Ids of the text, then the id that ends a document."""
-        ids = self(text)
-        if self._split is None:
-            ids = array("I", ids).tobytes()
-        return ids + END_ID.to_bytes(4, "little")
+        return self(text) + END_ID.to_bytes(4, "little")
 
 
 @lru_cache(maxsize=1)
