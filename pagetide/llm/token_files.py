@@ -76,7 +76,10 @@ def train_dictionary(docs, path, sample=SAMPLE_DOCUMENTS, size=DICTIONARY_BYTES)
     `SAMPLE_BYTES` reach the driver.
     """
     short = docs.filter(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = short.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
+    ids = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    wanted = [row.doc_id for row in ids.collect() if row.doc_id is not None]
+    # Texts are fetched by id: sorting them would send each task's first ones to the driver.
+    rows = short.filter(F.col("doc_id").isin(wanted)).limit(sample)
     narrow = _id_bytes(path)
     ids = [_serialised(encoder(path).document(row.text), narrow) for row in rows.collect()]
     try:
