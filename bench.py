@@ -7,6 +7,7 @@ queries, BENCH_RUNS how often each runs; the best time counts.
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pagetide.plans.queries import QUERIES
@@ -26,7 +27,10 @@ def seconds(spark, name):
 def main():
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else list(QUERIES)
-    spark = local_session(CPUS, "bench", spark__driver__memory="8g")
+    scratch = tempfile.mkdtemp(prefix="pagetide-bench-")
+    spark = local_session(
+        CPUS, "bench", spark__driver__memory="8g", spark__checkpoint__dir=scratch
+    )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{FOLDER}/events.parquet").count()
     times = {}

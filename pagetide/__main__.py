@@ -5,23 +5,26 @@ Commands
   views      normalised messages to the seven keyed views, as a stream
   hourly     normalised messages to counts of closed hours, as a stream
   reports    the three report documents for the window that belongs to --as-of
-  compact    a copy of the views with one row per key
+  compact    merge the batches of the views to one row per key, beside a running stream
   lookup     one of the lookups, written as JSON lines
 
-Streams run until stopped, or with --once until the input is used up.
+Streams run until stopped, or with --once until the input is used up. Each batch reads a limited
+part of the input. Unreadable messages go where --quarantine says, or nowhere with --drop-bad.
 """
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from pagetide.functions.timing import report_bounds
+from pagetide.functions.timing import Bounds, as_utc, report_bounds
 from pagetide.operators import documents, lookups, viewlog
 from pagetide.operators.normalize import accepted, from_wire
+from pagetide.operators.reports import EVENT, KEYED
+from pagetide.operators.views import EVENT_LOG
 from pagetide.session import utc
 from pagetide.sources.frames import sse_frames
-from pagetide.sources.messages import TOLERANT, file_messages, kafka_raw
+from pagetide.sources.messages import PATIENT, file_messages, kafka_raw
 from pagetide.streaming import jobs
 
 # Lookup name -> the view it reads and the function that answers it.
@@ -30,6 +33,14 @@ BY_KEY = {
     "domain-page-count": ("domain_page_counts", str, lookups.domain_page_count),
     "page-details": ("page_details_by_page_id", int, lookups.page_details),
 }
+# Lookup name -> the store it reads and the function that answers it, by first and last day.
+BY_DAYS = {
+    "active-days": ("page_creations_by_time", lookups.user_active_days_range),
+    "pages-created": (EVENT_LOG, lookups.user_pages_created_range),
+}
+# How much one batch of a stream reads, unless told otherwise.
+MOST_MESSAGES = 20_000_000
+MOST_BYTES = 16 * 2**30
 
 
 def _arguments():
@@ -40,14 +51,27 @@ def _arguments():
         command = commands.add_parser(name)
         command.add_argument("--servers", help="broker addresses; reads and writes topics")
         command.add_argument("--topic")
-        command.add_argument("--starting", default="latest")
+        command.add_argument("--starting", help="where a topic is read from; the latest messages")
+        command.add_argument(
+            "--allow-data-loss", action="store_true", help="skip messages that a topic lost"
+        )
         command.add_argument("--min-partitions", type=int)
         command.add_argument("--input", help="folder of message files, instead of a topic")
         command.add_argument("--checkpoint", required=True)
         command.add_argument("--once", action="store_true")
         command.add_argument("--interval", help="time between batches, such as '1 second'")
+        command.add_argument("--max-offsets", type=int, default=MOST_MESSAGES, help="per batch")
+        command.add_argument("--max-files", type=int, help="per batch")
+        command.add_argument(
+            "--max-bytes", type=int, default=MOST_BYTES, help="per batch, unless --max-files"
+        )
         return command
 
+    def bad_messages(command):
+        kept = command.add_mutually_exclusive_group(required=True)
+        kept.add_argument("--quarantine", help="folder for messages with a problem")
+        kept.add_argument("--drop-bad", action="store_true", help="do without them")
+
     normalize = stream("normalize")
     normalize.add_argument("--frames", action="store_true", help="input holds event frames")
     normalize.add_argument("--out", help="folder for message files, instead of a topic")
@@ -55,22 +79,24 @@ def _arguments():
     views = stream("views")
     views.add_argument("--root", required=True)
     views.add_argument("--run", required=True, help="a new name for every new checkpoint")
-    views.add_argument("--quarantine")
+    bad_messages(views)
     hourly = stream("hourly")
     hourly.add_argument("--out", required=True)
     hourly.add_argument("--delay", default="1 hour")
+    bad_messages(hourly)
 
     reports = commands.add_parser("reports")
     reports.add_argument("--root", required=True)
     reports.add_argument("--out", required=True)
     reports.add_argument("--as-of", help="UTC time; now if left out")
     reports.add_argument("--hours", type=int, default=7)
+    reports.add_argument("--grain", choices=[KEYED, EVENT], default=KEYED)
     compact = commands.add_parser("compact")
     compact.add_argument("--root", required=True)
-    compact.add_argument("--new-root", required=True)
     lookup = commands.add_parser("lookup")
-    lookup.add_argument("name", choices=["domains", "active-days", *BY_KEY])
-    lookup.add_argument("keys", nargs="*", help="keys, or first and last day for active-days")
+    lookup.add_argument("name", choices=["domains", *BY_DAYS, *BY_KEY])
+    lookup.add_argument("keys", nargs="*", help="keys, or first and last day")
+    lookup.add_argument("--keys-file", help="text file or folder with a key per line, of any size")
     lookup.add_argument("--root", required=True)
     lookup.add_argument("--out", required=True)
     return parser
@@ -82,23 +108,33 @@ def _trigger(args):
     return {"processingTime": args.interval} if args.interval else None
 
 
+def _file_limits(args):
+    """Spark takes one of the two limits on files."""
+    if args.max_files:
+        return {"maxFilesPerTrigger": str(args.max_files)}
+    return {"maxBytesPerTrigger": str(args.max_bytes)}
+
+
 def _messages(spark, args, topic, options=None):
     if args.input:
-        return file_messages(spark, args.input, streaming=True)
+        return file_messages(spark, args.input, streaming=True, **_file_limits(args))
+    settings = {**(options or {}), "maxOffsetsPerTrigger": str(args.max_offsets)}
+    if args.allow_data_loss:
+        settings["failOnDataLoss"] = "false"
     return kafka_raw(
-        spark, args.servers, args.topic or topic, args.starting, args.min_partitions, options
+        spark, args.servers, args.topic or topic, args.starting, args.min_partitions, settings
     )
 
 
 def _normalized(spark, args):
     if args.input:
-        return jobs.normalized_files(spark, args.input)
-    return _messages(spark, args, jobs.PROCESSED_TOPIC, TOLERANT)
+        return jobs.normalized_files(spark, args.input, **_file_limits(args))
+    return _messages(spark, args, jobs.PROCESSED_TOPIC, PATIENT)
 
 
 def normalize(spark, args):
     if args.frames:
-        messages = sse_frames(spark, args.input, streaming=True)
+        messages = sse_frames(spark, args.input, streaming=True, **_file_limits(args))
     else:
         messages = _messages(spark, args, jobs.INPUT_TOPIC)
     start, target = (
@@ -110,41 +146,48 @@ def normalize(spark, args):
 
 
 def views(spark, args):
+    quarantine = jobs.DROP if args.drop_bad else args.quarantine
     return jobs.start_views(
-        _normalized(spark, args), args.root, args.run, args.checkpoint, _trigger(args),
-        args.quarantine,
+        _normalized(spark, args), args.root, args.run, args.checkpoint, quarantine, _trigger(args)
     )
 
 
 def hourly(spark, args):
-    events = accepted(from_wire(_normalized(spark, args)))
-    return jobs.start_hourly(events, args.out, args.checkpoint, args.delay, _trigger(args))
+    messages, trigger = _normalized(spark, args), _trigger(args)
+    if not args.drop_bad:
+        jobs.start_rejects(messages, args.quarantine, f"{args.checkpoint}-rejects", trigger)
+    events = accepted(from_wire(messages))
+    return jobs.start_hourly(events, args.out, args.checkpoint, args.delay, trigger)
 
 
 def reports(spark, args):
     bounds = report_bounds(args.as_of or datetime.now(timezone.utc), args.hours)
-    documents.publish(
-        spark,
-        viewlog.scan(spark, args.root, "domain_page_stats", bounds),
-        viewlog.scan(spark, args.root, "user_stat", bounds),
-        bounds,
-        args.out,
-    )
+    # Events are counted in the log; the keyed counts do not need it.
+    stores = [EVENT_LOG] * 2 if args.grain == EVENT else ["domain_page_stats", "user_stat"]
+    rows = [viewlog.scan(spark, args.root, store, bounds) for store in stores]
+    documents.publish(spark, *rows, bounds, args.out, grain=args.grain)
 
 
 def compact(spark, args):
-    viewlog.compact(spark, args.root, args.new_root)
+    viewlog.compact(spark, args.root)
 
 
 def lookup(spark, args):
     if args.name == "domains":
         rows = lookups.domains(viewlog.read(spark, args.root, "distinct_domains"))
-    elif args.name == "active-days":
-        view = viewlog.read(spark, args.root, "page_creations_by_time")
-        rows = lookups.user_active_days_range(view, *args.keys)
+    elif args.name in BY_DAYS:
+        view, answer = BY_DAYS[args.name]
+        first, last = args.keys
+        bounds = Bounds(as_utc(first), as_utc(last) + timedelta(days=1))
+        rows = answer(viewlog.read(spark, args.root, view, bounds), first, last)
     else:
         view, kind, answer = BY_KEY[args.name]
-        rows = answer(viewlog.read(spark, args.root, view), [kind(key) for key in args.keys])
+        if args.keys_file:
+            named = "bigint" if kind is int else "string"
+            keys = spark.read.text(args.keys_file).select(F.trim("value").try_cast(named))
+        else:
+            keys = [kind(key) for key in args.keys]
+        rows = answer(viewlog.read(spark, args.root, view), keys)
     rows.write.mode("overwrite").json(args.out)
 
 
@@ -164,6 +207,9 @@ def main(argv=None):
     query = COMMANDS[args.command](spark, args)
     if query is not None:
         query.awaitTermination()
+        # With --once a second stream, of rejects, may still have work.
+        for other in spark.streams.active:
+            other.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -1,146 +1,226 @@
-"""Report documents: nested JSON built from report rows, published to and read from a folder."""
+"""Published reports: rows in Parquet, and the same report as one JSON document in text lines.
+
+A document may be of any size. It is built as lines, an entry each, that are sorted globally and
+written as text: the part files, read in their order, are one JSON value. No report is gathered in
+one row or one task.
+"""
+
+import uuid
 
 from pyspark.sql import functions as F
 
 from pagetide.functions.timing import hour_end, hour_label
 from pagetide.operators.reports import (
+    KEYED,
     bot_domain_stats,
     hourly_domain_stats,
     top_user_titles,
 )
-from pagetide.schemas import (
-    BOT_REPORT,
-    HOURLY_REPORT,
-    REPORT_SCHEMAS,
-    TOP_USERS_REPORT,
-)
+from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, REPORT_ROWS, TOP_USERS_REPORT
+from pagetide.session import replace_folder
 
-# One document is one JSON value and so one row. Larger reports stay available as rows.
-MAX_DOCUMENT_ENTRIES = 1_000_000
+# The order of lines: parts of the document, then groups, then what a group holds.
+_ORDER = ("section", "group_key", "piece", "entry_key", "entry_number")
 
-# At the keyed grain a user has at most one title per second, so the window bounds a user's list.
-MAX_TITLE_SECONDS = 7 * 24 * 3600
 
+def _json(value):
+    """JSON of one value, taken out of a list of one."""
+    listed = F.to_json(F.array(value))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
-class DocumentTooLarge(ValueError):
-    pass
 
+def _field(name, value):
+    return F.concat(F.lit(f'"{name}":'), value)
 
-def _labels(bounds):
-    return [
-        hour_label(F.lit(bounds.start)).alias("time_start"),
-        hour_label(F.lit(bounds.end)).alias("time_end"),
-    ]
 
+def _comma(is_first):
+    return F.when(is_first, "").otherwise(",")
 
-def _sorted_list(*columns):
-    return F.array_sort(F.collect_list(F.struct(*columns)))
 
+def _line(text, section, group=None, piece=0, key=None, number=None):
+    """A line with its place in the document."""
+    return [
+        F.lit(section).alias("section"),
+        (group if group is not None else F.lit("")).alias("group_key"),
+        F.lit(piece).alias("piece"),
+        (key if key is not None else F.lit("")).alias("entry_key"),
+        (number if number is not None else F.lit(0)).cast("bigint").alias("entry_number"),
+        text.alias("value"),
+    ]
 
-def _bucket(hour, entries):
-    """A labelled hour whose domains are a list of one-entry maps."""
-    maps = F.transform(
-        entries, lambda entry: F.create_map(entry["domain"], entry["pages_created"])
-    )
-    return F.struct(
-        hour_label(hour).alias("time_start"),
-        hour_label(hour_end(hour)).alias("time_end"),
-        maps.alias("statistics"),
+
+def _ends(spark, opening, closing):
+    return spark.range(1).select(*_line(F.lit(opening), 0)).union(
+        spark.range(1).select(*_line(F.lit(closing), 2))
     )
 
 
-def hourly_document(stats):
-    """All hours that have pages, in order, as one array; empty when there are none."""
-    hours = stats.groupBy("hour").agg(_sorted_list("domain", "pages_created").alias("entries"))
-    return hours.agg(_sorted_list("hour", "entries").alias("hours")).select(
-        F.transform("hours", lambda item: _bucket(item["hour"], item["entries"])).alias(
-            "document"
+def _span(bounds):
+    """Labels of the window, on the driver, as the two JSON fields of a report."""
+    start, end = (moment.strftime("%H:%M") for moment in bounds)
+    return f'"time_start":"{start}","time_end":"{end}"'
+
+
+def hourly_lines(rows):
+    """An array of labelled hours, each with a list of one-entry maps from domain to count."""
+    spark, hour = rows.sparkSession, F.col("hour").cast("string")
+    earliest = rows.agg(F.min("hour").alias("hour")).first().hour
+    firsts = rows.groupBy("hour").agg(F.min("domain").alias("domain"))
+    heads = firsts.select(
+        *_line(
+            F.concat(
+                _comma(F.col("hour") == F.lit(earliest)),
+                F.lit("{"),
+                _field("time_start", _json(hour_label(F.col("hour")))),
+                F.lit(","),
+                _field("time_end", _json(hour_label(hour_end(F.col("hour"))))),
+                F.lit(',"statistics":['),
+            ),
+            1,
+            hour,
+        )
+    )
+    tails = firsts.select(*_line(F.lit("]}"), 1, hour, 2))
+    marked = rows.join(firsts.withColumn("is_first", F.lit(True)), ["hour", "domain"], "left")
+    entries = marked.select(
+        *_line(
+            F.concat(
+                _comma(F.col("is_first").isNotNull()),
+                F.to_json(F.create_map("domain", "pages_created")),
+            ),
+            1,
+            hour,
+            1,
+            F.col("domain"),
         )
     )
+    return _ends(spark, "[", "]").union(heads).union(entries).union(tails)
 
 
-def bot_document(stats, bounds):
+def bot_lines(rows, bounds):
     """One object, also when no bot created anything."""
-    return stats.agg(_sorted_list("domain", "created_by_bots").alias("statistics")).select(
-        F.struct(*_labels(bounds), "statistics").alias("document")
+    first = rows.agg(F.min("domain").alias("domain")).first().domain
+    entries = rows.select(
+        *_line(
+            F.concat(
+                _comma(F.col("domain") == F.lit(first)),
+                F.to_json(F.struct("domain", "created_by_bots")),
+            ),
+            1,
+            key=F.col("domain"),
+        )
     )
-
-
-def top_user_entries(titles, bounds):
-    """One row per top user with the sorted list of titles, from keyed rows of a short window."""
-    if bounds.seconds > MAX_TITLE_SECONDS:
-        raise ValueError("window too long for title lists; use top_user_titles, one row per title")
-    return (
-        titles.groupBy("user_id", "username", "pages_created")
-        .agg(F.array_sort(F.collect_list("page_title")).alias("page_titles"))
-        .select(
-            "user_id", "username", *_labels(bounds), "page_titles", "pages_created"
+    return _ends(
+        rows.sparkSession, "{" + _span(bounds) + ',"statistics":[', "]}"
+    ).union(entries)
+
+
+def top_user_lines(rows, bounds):
+    """An array of users, most active first, each with its sorted titles, one line per title."""
+    place = F.lpad(F.col("rank").cast("string"), 20, "0")
+    users = rows.groupBy("rank", "user_id", "username", "pages_created").agg(
+        F.min(
+            F.when(F.col("page_title").isNotNull(), F.struct("page_title", "entry"))
+        )["entry"].alias("first_entry")
+    )
+    name = F.when(F.col("username").isNull(), "").otherwise(
+        F.concat(_field("username", _json(F.col("username"))), F.lit(","))
+    )
+    heads = users.select(
+        *_line(
+            F.concat(
+                _comma(F.col("rank") == 1),
+                F.lit("{"),
+                _field("user_id", F.col("user_id").cast("string")),
+                F.lit(","),
+                name,
+                F.lit(_span(bounds) + ',"page_titles":['),
+            ),
+            1,
+            place,
         )
     )
-
-
-def top_users_document(titles, bounds):
-    """All top users, most active first, as one array."""
-    entry = F.struct(
-        "user_id", "username", "time_start", "time_end", "page_titles", "pages_created"
+    tails = users.select(
+        *_line(
+            F.concat(F.lit("],"), _field("pages_created", F.col("pages_created").cast("string")), F.lit("}")),
+            1,
+            place,
+            2,
+        )
     )
-    rank = F.struct((-F.col("pages_created")).alias("rank"), "user_id", "username")
-    return top_user_entries(titles, bounds).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(rank.alias("rank"), entry.alias("entry")))),
-            lambda item: item["entry"],
-        ).alias("document")
+    firsts = users.select("rank", F.col("first_entry").alias("entry"), F.lit(True).alias("is_first"))
+    titles = rows.filter("page_title is not null").join(firsts, ["rank", "entry"], "left")
+    entries = titles.select(
+        *_line(
+            F.concat(_comma(F.col("is_first").isNotNull()), _json(F.col("page_title"))),
+            1,
+            place,
+            1,
+            F.col("page_title"),
+            F.col("entry"),
+        )
     )
+    return _ends(rows.sparkSession, "[", "]").union(heads).union(entries).union(tails)
 
 
 def report_path(out, name):
-    return f"{out.rstrip('/')}/{name}.json"
+    return f"{out.rstrip('/')}/{name}/document"
 
 
 def rows_path(out, name):
-    return f"{out.rstrip('/')}/rows/{name}"
+    return f"{out.rstrip('/')}/{name}/rows"
+
+
+def _rows(name, domain_rows, user_rows, bounds, n, grain):
+    if name == HOURLY_REPORT:
+        return hourly_domain_stats(domain_rows, bounds, grain)
+    if name == BOT_REPORT:
+        return bot_domain_stats(domain_rows, bounds, grain)
+    # A number per row tells equal titles of a user apart once the rows are written.
+    titles = top_user_titles(user_rows, bounds, n, grain)
+    return titles.withColumn("entry", F.monotonically_increasing_id())
 
 
-def publish(spark, domain_rows, user_rows, bounds, out, n=20, names=tuple(REPORT_SCHEMAS)):
-    """Write the three reports, or some: each as Parquet rows, then as one JSON document.
+def _lines(name, rows, bounds):
+    if name == HOURLY_REPORT:
+        return hourly_lines(rows)
+    return bot_lines(rows, bounds) if name == BOT_REPORT else top_user_lines(rows, bounds)
 
-    The rows are complete whatever their number. A document is built from the written rows once
-    their count shows that it is small; a larger report fails loudly and keeps its rows.
+
+def publish(
+    spark, domain_rows, user_rows, bounds, out, n=20, names=tuple(REPORT_ROWS), grain=KEYED
+):
+    """Write the three reports, or some: each as Parquet rows and as a JSON document.
+
+    A report is written beside the one before it and takes its place when it is complete.
     """
-    makers = {
-        HOURLY_REPORT: (lambda: hourly_domain_stats(domain_rows, bounds), hourly_document),
-        BOT_REPORT: (
-            lambda: bot_domain_stats(domain_rows, bounds),
-            lambda rows: bot_document(rows, bounds),
-        ),
-        TOP_USERS_REPORT: (
-            lambda: top_user_titles(user_rows, bounds, n),
-            lambda rows: top_users_document(rows, bounds),
-        ),
-    }
-    written = {}
     for name in names:
-        rows = makers[name][0]()
-        rows.write.mode("overwrite").parquet(rows_path(out, name))
-        written[name] = spark.read.schema(rows.schema).parquet(rows_path(out, name))
-
-    too_large = []
-    for name, rows in written.items():
-        entries = rows.count()
-        if entries > MAX_DOCUMENT_ENTRIES:
-            too_large.append(f"{name}: {entries} entries, all in {rows_path(out, name)}")
-            continue
-        document = makers[name][1]
-        text = document(rows).select(F.to_json("document", {"pretty": "true"}))
-        text.write.mode("overwrite").text(report_path(out, name))
-    if too_large:
-        raise DocumentTooLarge("; ".join(too_large))
+        new = f"{out.rstrip('/')}/.{name}-{uuid.uuid4().hex}"
+        rows = _rows(name, domain_rows, user_rows, bounds, n, grain)
+        rows.write.parquet(f"{new}/rows")
+        written = spark.read.schema(rows.schema).parquet(f"{new}/rows")
+        # A global sort: the text of the part files, in order, is the document.
+        _lines(name, written, bounds).orderBy(*_ORDER).select("value").write.text(f"{new}/document")
+        span = [(moment.strftime("%H:%M"),) for moment in bounds]
+        spark.createDataFrame(
+            [(span[0][0], span[1][0])], "time_start string, time_end string"
+        ).write.json(f"{new}/window")
+        replace_folder(spark, new, f"{out.rstrip('/')}/{name}")
 
 
 def read_report(spark, out, name):
-    """Rows of a published document. A missing report or broken JSON is an error."""
-    return (
-        spark.read.schema(REPORT_SCHEMAS[name])
-        .options(multiLine=True, mode="FAILFAST")
-        .json(report_path(out, name))
+    """Rows of a published report, with its labels. A missing or broken report is an error."""
+    rows = spark.read.schema(REPORT_ROWS[name]).parquet(rows_path(out, name))
+    if name == HOURLY_REPORT:
+        return rows.select(
+            hour_label(F.col("hour")).alias("time_start"),
+            hour_label(hour_end(F.col("hour"))).alias("time_end"),
+            "domain",
+            "pages_created",
+        )
+    window = spark.read.schema("time_start string, time_end string").json(
+        f"{out.rstrip('/')}/{name}/window", mode="FAILFAST"
+    ).first()
+    return rows.withColumns(
+        {"time_start": F.lit(window.time_start), "time_end": F.lit(window.time_end)}
     )

@@ -1,7 +1,7 @@
-"""Lookups by key. Keys are a short list or a DataFrame of any size.
+"""Lookups by key. A list of keys is a filter, a DataFrame of keys is a join.
 
-No side is broadcast by hint: a literal list becomes a filter that reaches the scan, and for a
-DataFrame of keys Spark picks the join from its size.
+No side is broadcast by hint: the filter of a list reaches the scan, and for a DataFrame of keys,
+which may be of any size, Spark picks the join.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from pagetide.functions.timing import as_day
 from pagetide.operators.views import with_day
 
-MAX_LITERAL_KEYS = 1_000
-
 
 def _key_frame(rows, keys, name):
     if isinstance(keys, DataFrame):
@@ -32,8 +30,8 @@ def _thinned(keys, name):
 
 
 def _narrowed(rows, keys, name):
-    """Rows cut down by a filter that reaches the scan, where the keys are a short list."""
-    if isinstance(keys, DataFrame) or len(keys) > MAX_LITERAL_KEYS:
+    """Rows cut down by a filter that reaches the scan, where the keys are a list."""
+    if isinstance(keys, DataFrame):
         return rows
     return rows.filter(F.col(name).isin([key for key in set(keys) if key is not None]))
 
@@ -52,8 +50,6 @@ def pages_by_user(view, users, ordered=None):
         ordered = not isinstance(users, DataFrame)
     if isinstance(users, DataFrame):
         found = view.join(_thinned(users, "user_id"), "user_id", "left_semi")
-    elif len(users) > MAX_LITERAL_KEYS:
-        found = view.join(_key_frame(view, users, "user_id"), "user_id", "left_semi")
     else:
         found = _narrowed(view, users, "user_id")
     return found.orderBy("user_id", "page_id") if ordered else found

@@ -18,36 +18,51 @@ _CORRUPT = "_corrupt"
 def _decode(messages, schema, flatten, clean_time):
     """Columns of the messages, plus the flat fields, `seq` and `problem`.
 
+    A message is parsed as the only field of an object around it. A parser stops after the first
+    value of a text; so wrapped, text after that value is an error and not lost. The length of an
+    array around the message finds what closes the object early and goes on with another field.
+
     The JSON is parsed inside a generator. As plain projections the parse would be copied into the
     filter on `problem` and so run twice per message.
     """
     text = F.col("value").cast("string")
     parsed = F.from_json(
-        text, f"{schema}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
+        F.concat(F.lit('{"message":'), text, F.lit("}")),
+        f"message struct<{schema}>, {_CORRUPT} string",
+        {"columnNameOfCorruptRecord": _CORRUPT},
     )
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    seq = F.col("seq") if "seq" in messages.columns else F.lit(0).cast("bigint")
     fields = F.transform(
         F.array(parsed),
-        lambda doc: F.struct(
-            *flatten(doc),
+        lambda whole: F.struct(
+            *flatten(whole["message"]),
+            _seq(whole["message"], schema, seq).alias("seq"),
             text.isNull().alias("absent"),
-            (doc.isNull() | doc[_CORRUPT].isNotNull()).alias("unreadable"),
+            (
+                whole["message"].isNull() | whole[_CORRUPT].isNotNull() | ~F.coalesce(alone, F.lit(False))
+            ).alias("unreadable"),
         ),
     )
-    seq = F.col("seq") if "seq" in messages.columns else F.lit(0).cast("bigint").alias("seq")
     event = F.col("event")
     problem = (
         F.when(event["absent"], NO_MESSAGE)
         .when(event["unreadable"], BAD_JSON)
         .when(~clean_time(event["time"]), BAD_TIME)
     )
-    return messages.select(text.alias("text"), seq, F.explode(fields).alias("event")).select(
+    return messages.select(text.alias("text"), F.explode(fields).alias("event")).select(
         *[event[name].alias(name) for name in PAGE_CREATE],
-        "seq",
+        event["seq"].alias("seq"),
         "text",
         problem.alias("problem"),
     )
 
 
+def _seq(document, schema, arrival):
+    """The order that the first hop wrote into the message, else the message's own."""
+    return F.coalesce(document["seq"], arrival) if "seq bigint" in schema else arrival
+
+
 def parse_envelope(messages, time_formats=(FEED_TIME_FORMAT,)):
     """Parse raw messages (`value`, optional `seq`) and flatten them to page-create fields."""
 
@@ -74,7 +89,7 @@ def from_wire(messages):
     def flatten(doc):
         return [doc[name].alias(name) for name in PAGE_CREATE]
 
-    return _decode(messages, PAGE_CREATE_DDL, flatten, whole_second)
+    return _decode(messages, f"{PAGE_CREATE_DDL}, seq bigint", flatten, whole_second)
 
 
 def accepted(decoded):
@@ -88,5 +103,13 @@ def rejected(decoded):
 
 
 def to_wire(events):
-    """One JSON text per event in `value`; null fields are left out."""
-    return events.select(F.to_json(F.struct(*PAGE_CREATE)).alias("value"))
+    """One JSON text per event in `value`; null fields are left out.
+
+    `seq` goes along, so that rows of one second keep their order over the second hop.
+    """
+    return events.select(wire_text(events).alias("value"))
+
+
+def wire_text(events):
+    extra = ["seq"] if "seq" in events.columns else []
+    return F.to_json(F.struct(*PAGE_CREATE, *extra))

@@ -6,22 +6,22 @@ the same second by the same kind of user are one row, and so are one user's page
 and on merged ones.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from pagetide.functions.seconds import seconds_in, seconds_mask
 from pagetide.functions.timing import hour_of, in_window
 from pagetide.operators.views import SPECS, build, without_values
+from pagetide.schemas import PAGE_CREATE
 
 KEYED = "keyed"
 EVENT = "event"
 
-# A top-users list is broadcast to fetch its titles, so its length is bounded.
-MAX_TOP_USERS = 10_000
-
-
-def _check_grain(grain):
+def _check_grain(grain, rows):
+    """Events are told apart by all their columns; rows of a view have been merged already."""
     if grain not in (KEYED, EVENT):
         raise ValueError(f"grain is {KEYED!r} or {EVENT!r}, not {grain!r}")
+    if grain == EVENT and not set(PAGE_CREATE) <= set(rows.columns):
+        raise ValueError("rows of a view do not hold every event; read the event log")
 
 
 def _domain_rows(rows, bounds):
@@ -30,7 +30,7 @@ def _domain_rows(rows, bounds):
 
 def hourly_domain_stats(rows, bounds=None, grain=KEYED):
     """Pages created per hour and domain. Hours without pages have no rows."""
-    _check_grain(grain)
+    _check_grain(grain, rows)
     rows = _domain_rows(rows, bounds)
     if grain == EVENT:
         return rows.groupBy(hour_of(F.col("time")).alias("hour"), "domain").agg(
@@ -46,7 +46,7 @@ def hourly_domain_stats(rows, bounds=None, grain=KEYED):
 
 def bot_domain_stats(rows, bounds=None, grain=KEYED):
     """Pages created by bots per domain."""
-    _check_grain(grain)
+    _check_grain(grain, rows)
     rows = _domain_rows(rows, bounds).filter("created_by_bot")
     if grain == EVENT:
         return rows.groupBy("domain").agg(F.count(F.lit(1)).alias("created_by_bots"))
@@ -58,41 +58,90 @@ def bot_domain_stats(rows, bounds=None, grain=KEYED):
     )
 
 
-def _user_rows(rows, grain, titles=True):
-    spec = SPECS["user_stat"] if titles else without_values("user_stat", "page_title")
+def _user_rows(rows, grain):
+    spec = SPECS["user_stat"]
     if grain == KEYED:
         return build(rows, spec)
     return rows.dropna(subset=list(spec.key)).select(*spec.columns)
 
 
-def top_users(rows, bounds=None, n=20, grain=KEYED):
-    """The `n` most active (user_id, username) pairs; ties go to the lower id, then name."""
-    _check_grain(grain)
-    if not 0 < n <= MAX_TOP_USERS:
-        raise ValueError(f"n must be between 1 and {MAX_TOP_USERS}")
+def user_counts(rows):
+    """Rows of the user view per (user_id, username), counted in hash aggregates.
+
+    Seconds are folded to a mask per user, name and minute. Where no second of a minute has two
+    names, the masks are the counts. The other minutes, of users renamed on the spot, are merged
+    row by row to find the name that wins each second.
+    """
+    rows = rows.dropna(subset=["time", "user_id"]).withColumn(
+        "minute", F.date_trunc("minute", "time")
+    )
+    minutes = rows.groupBy("user_id", "username", "minute").agg(
+        seconds_mask(F.col("time")).alias("seconds")
+    )
+    several = (
+        minutes.groupBy("user_id", "minute")
+        .agg(
+            F.sum(seconds_in(F.col("seconds"))).alias("named"),
+            seconds_in(F.bit_or("seconds")).alias("seen"),
+        )
+        .filter("named > seen")
+        .select("user_id", "minute")
+    )
+    both = ["user_id", "minute"]
+    plain = minutes.join(several, both, "left_anti").select(
+        "user_id", "username", seconds_in(F.col("seconds")).alias("pages")
+    )
+    spec = without_values("user_stat", "page_title")
+    contested = build(rows.join(several, both, "left_semi"), spec).select(
+        "user_id", "username", F.lit(1).cast("bigint").alias("pages")
+    )
     return (
-        _user_rows(in_window(rows, bounds), grain, titles=False)
+        plain.union(contested)
         .groupBy("user_id", "username")
-        .agg(F.count(F.lit(1)).alias("pages_created"))
-        .orderBy(F.desc("pages_created"), "user_id", "username")
-        .limit(n)
+        .agg(F.sum("pages").alias("pages_created"))
+    )
+
+
+def top_users(rows, bounds=None, n=20, grain=KEYED):
+    """The `n` most active (user_id, username) pairs and their rank.
+
+    Ties go to the lower id, then name.
+    """
+    _check_grain(grain, rows)
+    if n <= 0:
+        raise ValueError("n must be positive")
+    rows = in_window(rows, bounds)
+    if grain == KEYED:
+        counts = user_counts(rows)
+    else:
+        counts = rows.dropna(subset=["time", "user_id"]).groupBy("user_id", "username").agg(
+            F.count(F.lit(1)).alias("pages_created")
+        )
+    order = [F.desc("pages_created"), "user_id", "username"]
+    top = counts.orderBy(*order).limit(n)
+    return top.select(
+        F.row_number().over(Window.orderBy(*order)).alias("rank"),
+        "user_id",
+        "username",
+        "pages_created",
     )
 
 
 def top_user_titles(rows, bounds=None, n=20, grain=KEYED):
     """The report in long form: one row per top user and page title, of any length.
 
-    Users are counted without titles first. Only rows of the winners, at most `n` and so safe to
-    broadcast, are then merged with their titles.
+    Users are counted without titles first. Only rows of the winners are then merged with their
+    titles; Spark sizes the joins.
     """
     top = top_users(rows, bounds, n, grain)
     ids = top.select("user_id").distinct()
-    kept = in_window(rows, bounds).join(F.broadcast(ids), "user_id", "left_semi")
-    titles = _user_rows(kept, grain).alias("title")
-    winner = F.broadcast(top).alias("winner")
-    same_user = (F.col("title.user_id") == F.col("winner.user_id")) & F.col(
-        "title.username"
-    ).eqNullSafe(F.col("winner.username"))
-    return titles.join(winner, same_user).select(
-        "winner.user_id", "winner.username", "winner.pages_created", "title.page_title"
+    titles = _user_rows(in_window(rows, bounds).join(ids, "user_id", "left_semi"), grain)
+    named = titles.select(
+        F.col("user_id").alias("title_user"), F.col("username").alias("title_name"), "page_title"
+    )
+    same_user = (F.col("title_user") == F.col("user_id")) & F.col("title_name").eqNullSafe(
+        F.col("username")
+    )
+    return named.join(top, same_user).select(
+        "rank", "user_id", "username", "pages_created", "page_title"
     )

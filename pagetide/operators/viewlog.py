@@ -2,17 +2,20 @@
 
 Layout: `<root>/<view>/[day=D/]run=R/batch_id=N`. A replayed batch replaces its own folders. `run`
 names one checkpoint: batch numbers restart with a new checkpoint, and a new run name keeps them
-from replacing older batches.
+from replacing older batches. Merging is idempotent, so rows may be stored in several folders: a
+compaction first adds its folder and then removes the ones it has read, beside a running stream.
 """
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from pagetide.functions.timing import in_window
-from pagetide.operators.views import SPECS, merge, project, spec_of, with_day
+from pagetide.operators.views import SPECS, STORES, merge, project, spec_of, with_day
 from pagetide.schemas import ddl
+from pagetide.session import delete_folder, folders
 
 COMPACTED = "compacted"
 
@@ -60,7 +63,7 @@ def write_batch(events, root, run, batch_id, views=None):
     The first view is written alone, so that a cached batch is complete before the other views are
     written side by side. Small views would otherwise keep a large cluster waiting one by one.
     """
-    first, *others = views or SPECS
+    first, *others = views or STORES
     _write_view(events, root, run, batch_id, first)
     if not others:
         return
@@ -71,53 +74,70 @@ def write_batch(events, root, run, batch_id, views=None):
         job.result()
 
 
+def _schema(spec):
+    days = "day date, " if spec.keyed_by_time else ""
+    return f"{ddl(_columns(spec))}, {days}run string, batch_id bigint"
+
+
 def scan(spark, root, view, bounds=None):
     """Stored rows of a view, not merged. `bounds` prunes day folders and filters `time`."""
     spec = spec_of(view)
     if bounds is not None and not spec.keyed_by_time:
         raise ValueError(f"{spec.name} has no time in its key: a time filter would be wrong")
-    parts = "day date, run string, batch_id bigint" if spec.keyed_by_time else (
-        "run string, batch_id bigint"
-    )
-    rows = spark.read.schema(f"{ddl(_columns(spec))}, {parts}").parquet(_folder(root, spec))
+    rows = spark.read.schema(_schema(spec)).parquet(_folder(root, spec))
     if bounds is not None:
         rows = rows.filter(F.col("day").between(*map(F.lit, bounds.days)))
-        if "time" in spec.key:
+        if "time" in spec.columns:
             rows = in_window(rows, bounds)
     return rows
 
 
-def read(spark, root, view, bounds=None, unique=False):
-    """Current rows of a view, one per key.
-
-    `unique` says that the folder is a compacted copy to which nothing was added since. Its rows
-    need no merging, so reading it shuffles nothing.
-    """
+def read(spark, root, view, bounds=None):
+    """Current rows of a view, one per key; of the event log, every event."""
     spec = spec_of(view)
-    rows = scan(spark, root, spec, bounds)
-    return (rows if unique else merge(rows, spec)).select(*spec.columns)
+    return merge(scan(spark, root, spec, bounds), spec).select(*spec.columns)
+
+
+def _batches(spark, root, spec):
+    """Folders of single batches, one per day, run and batch."""
+    days = "/day=*" if spec.keyed_by_time else ""
+    return folders(spark, f"{_folder(root, spec)}{days}/run=*/batch_id=*")
+
+
+def _next_number(found):
+    made = [re.search(rf"run={COMPACTED}/batch_id=(\d+)$", path) for path in found]
+    return max((int(match[1]) + 1 for match in made if match), default=0)
 
 
-def compact(spark, root, new_root, views=None):
-    """Copy views to `new_root` with one row per key, sorted by key.
+def compact(spark, root, views=None):
+    """Merge the batches that are there now to one row per key, sorted by key, in the same root.
 
-    Range partitioning by the whole key spreads a hot first column over many files and gives each
-    file a narrow key range, so key lookups skip most files. The copy goes to a new folder because
-    the old one is being read; the caller switches over once it is complete.
+    The merged rows are written first, as one more batch, and then the folders that were read are
+    removed, and no others. Readers see every row at every moment, and batches written meanwhile
+    stay. Range partitioning by the whole key spreads a hot first column over many files and gives
+    each file a narrow key range, so key lookups skip most files. The event log is left alone: a
+    batch that is replayed must find its own folder.
     """
     for view in views or SPECS:
         spec = spec_of(view)
-        rows = merge(scan(spark, root, spec), spec)
+        found = _batches(spark, root, spec)
+        if spec.is_log or not found:
+            continue
+        rows = spark.read.schema(_schema(spec)).option("basePath", _folder(root, spec))
+        rows = merge(rows.parquet(*found), spec)
         if spec.keyed_by_time:
             rows = with_day(rows)
             order = ["day", *[name for name in spec.key if name != "day"]]
         else:
             order = list(spec.key)
+        number = F.lit(_next_number(found)).cast("bigint")
         _save(
             rows.repartitionByRange(*order)
             .sortWithinPartitions(*order)
             .withColumn("run", F.lit(COMPACTED))
-            .withColumn("batch_id", F.lit(0).cast("bigint")),
-            new_root,
+            .withColumn("batch_id", number),
+            root,
             spec,
         )
+        for path in found:
+            delete_folder(spark, path)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import functions as F
 
 from pagetide.functions.seconds import distinct_seconds
+from pagetide.schemas import PAGE_CREATE
 
 ORDER = ("time", "seq")
 
@@ -17,6 +18,7 @@ class ViewSpec:
     name: str
     key: tuple
     columns: tuple
+    is_log: bool = False
 
     @property
     def values(self):
@@ -25,6 +27,8 @@ class ViewSpec:
     @property
     def ordering(self):
         """What decides between rows of one key: time, arrival order, then the values."""
+        if self.is_log:
+            return ORDER
         if not self.values:
             return ()
         return tuple(name for name in ORDER if name not in self.key)
@@ -38,7 +42,7 @@ class ViewSpec:
     @property
     def keyed_by_time(self):
         """Rows of one key share their day, so a time filter cannot revive an older row."""
-        return bool({"time", "day"} & set(self.key))
+        return self.is_log or bool({"time", "day"} & set(self.key))
 
     def with_key(self, *key):
         return replace(self, key=key)
@@ -87,9 +91,13 @@ SPECS = {
 }
 # End of fixed values.
 
+# Every event as it came, for reports that count events; nothing is merged.
+EVENT_LOG = "event_log"
+STORES = {**SPECS, EVENT_LOG: ViewSpec(EVENT_LOG, (), PAGE_CREATE, is_log=True)}
+
 
 def spec_of(view):
-    return view if isinstance(view, ViewSpec) else SPECS[view]
+    return view if isinstance(view, ViewSpec) else STORES[view]
 
 
 def without_values(view, *names):
@@ -138,6 +146,8 @@ def merge(rows, view):
     sends at most one of them.
     """
     spec = spec_of(view)
+    if spec.is_log:
+        return rows.select(*spec.stored)
     if not spec.values:
         if "time" in spec.key:
             others = [name for name in spec.key if name != "time"]

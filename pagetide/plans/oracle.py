@@ -58,16 +58,18 @@ FROM ({rows}) r WHERE created_by_bot AND {where} GROUP BY domain"""
 
 
 TOP = """top AS (
-  SELECT user_id, username, count(*) AS pages_created FROM {rows}
-  GROUP BY user_id, username
-  ORDER BY pages_created DESC, user_id, username LIMIT 20
+  SELECT CAST(row_number() OVER (ORDER BY pages_created DESC, user_id, username) AS INTEGER) AS rank,
+         user_id, username, pages_created
+  FROM (
+    SELECT user_id, username, count(*) AS pages_created FROM {rows}
+    GROUP BY user_id, username
+    ORDER BY pages_created DESC, user_id, username LIMIT 20
+  ) counted
 )"""
 
 TOP_USERS = """
-SELECT t.user_id, t.username, {labels}t.pages_created,
-       string_agg(v.page_title, '|' ORDER BY v.page_title) AS page_titles
-FROM top t JOIN v2 v ON v.user_id = t.user_id AND v.username = t.username
-GROUP BY t.user_id, t.username, t.pages_created"""
+SELECT t.rank, t.user_id, t.username, {labels}t.pages_created, v.page_title
+FROM top t JOIN v2 v ON v.user_id = t.user_id AND v.username = t.username"""
 
 WINDOW_LABELS = "'04:00' AS time_start, '11:00' AS time_end, "
 
@@ -98,15 +100,25 @@ VIEW_SIZES = {
     "page_creations_by_time": "CAST(time AS DATE), user_id",
 }
 
+SAME_HOUR = "same_hour AS (SELECT * REPLACE (date_trunc('hour', time) AS time) FROM pc)"
+
+ON_TIME = "page_id % 10 <> 3"
+CLOSED = (
+    "date_trunc('hour', time) + INTERVAL 1 HOUR <= (SELECT max(time) - INTERVAL 1 HOUR FROM pc{on_time})"
+)
+
 ORACLE = {
     "normalize_page_creates": NORMALIZED,
     "wire_round_trip": NORMALIZED,
     "sse_normalized": NORMALIZED,
+    "sse_crlf_normalized": NORMALIZED,
     "sse_to_views": _sql("SELECT DISTINCT domain FROM pc"),
     "quarantine_counts": """
 SELECT problem, count(*) AS messages FROM (
   SELECT CASE event_type
            WHEN 'error' THEN 'bad_json'
+           WHEN 'click' THEN 'bad_json'
+           WHEN 'view' THEN 'bad_json'
            WHEN 'signup' THEN 'bad_time'
            WHEN 'purchase' THEN 'no_key: user_stat, pages_by_user, page_creations_by_time'
          END AS problem
@@ -141,9 +153,7 @@ SELECT problem, count(*) AS messages FROM (
         TOP.format(rows="v2"),
     ),
     "top_20_users_all": _sql(
-        """
-SELECT t.user_id, t.username, t.pages_created, v.page_title
-FROM top t JOIN v2 v ON v.user_id = t.user_id AND v.username = t.username""",
+        TOP_USERS.format(labels=""),
         _latest("v2", "time, user_id"),
         TOP.format(rows="v2"),
     ),
@@ -171,6 +181,11 @@ FROM v7 GROUP BY user_id""",
     "user_pages_created_range": _sql(
         f"""
 SELECT user_id, min(username) AS username, count(*) AS pages_created
+FROM pc WHERE {IN_DAYS} GROUP BY user_id"""
+    ),
+    "stored_pages_created_range": _sql(
+        f"""
+SELECT user_id, min(username) AS username, count(*) AS pages_created
 FROM pc WHERE {IN_DAYS} GROUP BY user_id"""
     ),
     "hourly_report_document": _sql(
@@ -192,6 +207,7 @@ WHERE created_by_bot AND {IN_WINDOW} GROUP BY domain"""
         _latest("v2", "time, user_id", IN_WINDOW),
         TOP.format(rows="v2"),
     ),
+    "stored_hourly_events": _hourly(IN_WINDOW, rows="SELECT time, domain FROM pc"),
     "compacted_page_details": DETAILS_BY_PAGE,
     "streamed_domain_page_stats": DOMAIN_STATS,
     "streamed_page_details": DETAILS_BY_PAGE,
@@ -202,8 +218,19 @@ WHERE created_by_bot AND {IN_WINDOW} GROUP BY domain"""
             for name, key in VIEW_SIZES.items()
         )
     ),
-    "hourly_stream": _hourly(
-        "date_trunc('hour', time) + INTERVAL 1 HOUR"
-        " <= (SELECT max(time) - INTERVAL 1 HOUR FROM pc)"
+    "streamed_user_stat": _sql(
+        f"SELECT {TIME_TEXT}, user_id, username, page_title FROM v2",
+        SAME_HOUR, _latest("v2", "time, user_id", source="same_hour"),
+    ),
+    "streamed_pages_by_user": _sql(
+        "SELECT user_id, page_id, page_title FROM v4",
+        SAME_HOUR, _latest("v4", "user_id, page_id", source="same_hour"),
+    ),
+    "streamed_page_details_same_second": _sql(
+        f"SELECT {DETAILS} FROM v6", SAME_HOUR, _latest("v6", "page_id", source="same_hour")
+    ),
+    "hourly_stream": _hourly(CLOSED.format(on_time="")),
+    "hourly_stream_late": _hourly(
+        CLOSED.format(on_time=f" WHERE {ON_TIME}"), rows=f"SELECT DISTINCT time, domain, created_by_bot FROM pc WHERE {ON_TIME}"
     ),
 }

@@ -12,7 +12,7 @@ from pagetide.operators import documents, lookups, reports, viewlog, views
 from pagetide.operators.normalize import accepted, from_wire, parse_envelope, to_wire
 from pagetide.operators.quarantine import marked, quarantined
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, TOP_USERS_REPORT
-from pagetide.session import scratch_folder, utc
+from pagetide.session import query_run, scratch_folder, utc
 from pagetide.sources.event_table import (
     as_envelopes,
     as_frames,
@@ -32,8 +32,9 @@ USERS = [0, 7, 41, 149, 999999]
 DOMAINS = ["click.example.org", "view.example.org", "missing.example.org"]
 PAGES = [0, 17, 3999, 999999]
 ONCE = {"availableNow": True}
-# Views do not depend on where batches are cut; this keeps a cached batch to a part of the table.
-BATCH = {"maxBytesPerTrigger": str(256 * 2**30)}
+# How much of the table one batch reads; views do not depend on where batches are cut.
+BATCH = {"maxBytesPerTrigger": str(4 * 2**30)}
+STEPS = 4
 
 QUERIES = {}
 
@@ -41,7 +42,8 @@ QUERIES = {}
 def query(function):
     @wraps(function)
     def run(spark, folder):
-        return function(utc(spark), folder)
+        with query_run(spark, function.__name__):
+            return function(utc(spark), folder)
 
     QUERIES[function.__name__] = run
     return run
@@ -75,7 +77,7 @@ def wire_round_trip(spark, folder):
 
 @query
 def quarantine_counts(spark, folder):
-    """Damaged copies of the events: cut text, fractional times, and events without a user."""
+    """Damaged copies of the events: cut or trailing text, fractional times, and no user."""
     from_domain = F.col("domain").startswith
     in_text = F.col("value").contains
     events = page_creates(spark, folder)
@@ -84,6 +86,8 @@ def quarantine_counts(spark, folder):
     damaged = (
         F.when(in_text('"error.'), F.expr("substr(value, 1, length(value) - 1)"))
         .when(in_text('"signup.'), F.replace(text, F.lit('Z"'), F.lit('.500Z"')))
+        .when(in_text('"click.'), F.concat(text, F.lit(" junk")))
+        .when(in_text('"view.'), F.concat(text, F.lit("}} "), text))
         .otherwise(text)
     )
     messages = as_envelopes(events.withColumn("user_id", nobody)).withColumn("value", damaged)
@@ -94,11 +98,12 @@ def quarantine_counts(spark, folder):
     )
 
 
-def _landed_frames(spark, folder):
+def _landed_frames(spark, folder, line_end="\n"):
     path = scratch_folder(spark, "frames")
     frames = as_frames(_envelopes(spark, folder))
-    frames.write.format("text").option("lineSep", "\n\n").save(path)
-    return accepted(parse_envelope(sse_frames(spark, path)))
+    frames = frames.withColumn("value", F.replace("value", F.lit("\n"), F.lit(line_end)))
+    frames.write.format("text").option("lineSep", line_end * 2).save(path)
+    return accepted(parse_envelope(sse_frames(spark, path, separator=line_end * 2)))
 
 
 @query
@@ -106,6 +111,12 @@ def sse_normalized(spark, folder):
     return _events(_landed_frames(spark, folder))
 
 
+@query
+def sse_crlf_normalized(spark, folder):
+    """The same frames from a feed whose lines end in CRLF."""
+    return _events(_landed_frames(spark, folder, "\r\n"))
+
+
 @query
 def sse_to_views(spark, folder):
     return views.build(_landed_frames(spark, folder), "distinct_domains")
@@ -207,10 +218,7 @@ def bot_domain_events_all(spark, folder):
 
 @query
 def top_20_users(spark, folder):
-    titles = reports.top_user_titles(_window_rows(spark, folder), WINDOW)
-    return documents.top_user_entries(titles, WINDOW).select(
-        "user_id", "username", "pages_created", F.array_join("page_titles", "|").alias("page_titles")
-    )
+    return reports.top_user_titles(_window_rows(spark, folder), WINDOW)
 
 
 @query
@@ -279,11 +287,18 @@ def user_pages_created_range(spark, folder):
 
 
 def _stored(spark, folder, *names):
+    """The table in two batches, cut in the middle of the window."""
     root = scratch_folder(spark, "views")
-    viewlog.write_batch(page_creates(spark, folder), root, "first", 0, names)
+    for number, events in enumerate(_cut(page_creates(spark, folder))):
+        viewlog.write_batch(events, root, "first", number, names)
     return root
 
 
+def _cut(events, at="2024-01-16 07:30:00"):
+    early = F.col("time") < F.lit(as_utc(at))
+    return events.filter(early), events.filter(~early)
+
+
 def _published(spark, folder, view, name):
     out = scratch_folder(spark, "reports")
     rows = viewlog.scan(spark, _stored(spark, folder, view), view, WINDOW)
@@ -293,31 +308,43 @@ def _published(spark, folder, view, name):
 
 @query
 def hourly_report_document(spark, folder):
-    buckets = _published(spark, folder, "domain_page_stats", HOURLY_REPORT)
-    return buckets.select(
-        "time_start", "time_end", F.explode("statistics").alias("entry")
-    ).select("time_start", "time_end", F.explode("entry").alias("domain", "pages_created"))
+    return _published(spark, folder, "domain_page_stats", HOURLY_REPORT)
 
 
 @query
 def bot_report_document(spark, folder):
-    document = _published(spark, folder, "domain_page_stats", BOT_REPORT)
-    return document.select("time_start", "time_end", F.inline("statistics"))
+    return _published(spark, folder, "domain_page_stats", BOT_REPORT)
 
 
 @query
 def top_users_document(spark, folder):
-    entries = _published(spark, folder, "user_stat", TOP_USERS_REPORT)
-    return entries.withColumn("page_titles", F.array_join("page_titles", "|"))
+    return _published(spark, folder, "user_stat", TOP_USERS_REPORT)
+
+
+@query
+def stored_hourly_events(spark, folder):
+    """Every event of the window, counted in the stored log."""
+    rows = viewlog.scan(spark, _stored(spark, folder, views.EVENT_LOG), views.EVENT_LOG, WINDOW)
+    return _as_text(reports.hourly_domain_stats(rows, WINDOW, reports.EVENT), "hour")
+
+
+@query
+def stored_pages_created_range(spark, folder):
+    root = _stored(spark, folder, views.EVENT_LOG)
+    events = viewlog.read(spark, root, views.EVENT_LOG, DAY_RANGE)
+    return lookups.user_pages_created_range(events, FIRST_DAY, LAST_DAY)
 
 
 @query
 def compacted_page_details(spark, folder):
+    """Compacted between two batches, in place."""
     name = "page_details_by_page_id"
-    root = _stored(spark, folder, name)
-    compacted = scratch_folder(spark, "compacted")
-    viewlog.compact(spark, root, compacted, [name])
-    return _as_text(viewlog.read(spark, compacted, name, unique=True), "time")
+    root = scratch_folder(spark, "views")
+    early, late = _cut(page_creates(spark, folder))
+    viewlog.write_batch(early, root, "first", 0, [name])
+    viewlog.compact(spark, root, [name])
+    viewlog.write_batch(late, root, "first", 1, [name])
+    return _as_text(viewlog.read(spark, root, name), "time")
 
 
 # Streaming
@@ -327,10 +354,9 @@ def _run_once(query):
     query.awaitTermination()
 
 
-def _streamed(spark, folder, *names):
-    """Events through both streaming jobs: raw to normalised files, then to the stored views."""
+def _streamed(spark, raw, *names):
+    """Messages through both streaming jobs: raw to normalised files, then to the stored views."""
     work = scratch_folder(spark, "stream")
-    raw = as_envelopes(as_page_creates(stream_events(spark, folder, **BATCH)))
     _run_once(
         jobs.start_normalize_to_files(raw, f"{work}/normalized", f"{work}/check-a", ONCE)
     )
@@ -340,6 +366,7 @@ def _streamed(spark, folder, *names):
             f"{work}/views",
             "first",
             f"{work}/check-b",
+            f"{work}/aside",
             ONCE,
             views=names or None,
         )
@@ -347,16 +374,22 @@ def _streamed(spark, folder, *names):
     return f"{work}/views"
 
 
+def _raw_stream(spark, folder, time="second"):
+    """The table as a stream of raw messages, with times cut to a coarser unit if asked."""
+    events = as_page_creates(stream_events(spark, folder, **BATCH))
+    return as_envelopes(events.withColumn("time", F.date_trunc(time, "time")))
+
+
 @query
 def streamed_domain_page_stats(spark, folder):
     name = "domain_page_stats"
-    return _as_text(viewlog.read(spark, _streamed(spark, folder, name), name), "time")
+    return _as_text(viewlog.read(spark, _streamed(spark, _raw_stream(spark, folder), name), name), "time")
 
 
 @query
 def streamed_view_sizes(spark, folder):
     """All seven views kept by the stream, with the number of rows in each."""
-    root = _streamed(spark, folder)
+    root = _streamed(spark, _raw_stream(spark, folder))
     sizes = [
         viewlog.read(spark, root, name)
         .agg(F.count(F.lit(1)).alias("rows_kept"))
@@ -374,19 +407,71 @@ def streamed_page_details(spark, folder):
     """Raw messages straight into the page view; `seq` decides between rows of one second."""
     name = "page_details_by_page_id"
     work = scratch_folder(spark, "stream")
-    raw = as_envelopes(as_page_creates(stream_events(spark, folder, **BATCH)))
     _run_once(
         jobs.start_views(
-            raw, f"{work}/views", "first", f"{work}/check", ONCE, views=[name],
-            decode=parse_envelope,
+            _raw_stream(spark, folder), f"{work}/views", "first", f"{work}/check",
+            f"{work}/aside", ONCE, views=[name], decode=parse_envelope,
         )
     )
     return _as_text(viewlog.read(spark, f"{work}/views", name), "time")
 
 
+def _same_hour(spark, folder, name):
+    """A view over both hops from times cut to the hour, so that arrival order decides."""
+    root = _streamed(spark, _raw_stream(spark, folder, "hour"), name)
+    return _as_text(viewlog.read(spark, root, name), *{"time"} & set(views.SPECS[name].columns))
+
+
 @query
-def hourly_stream(spark, folder):
+def streamed_user_stat(spark, folder):
+    return _same_hour(spark, folder, "user_stat")
+
+
+@query
+def streamed_pages_by_user(spark, folder):
+    return _same_hour(spark, folder, "pages_by_user")
+
+
+@query
+def streamed_page_details_same_second(spark, folder):
+    return _same_hour(spark, folder, "page_details_by_page_id")
+
+
+def _quarters(spark, folder):
+    """Filters that cut the table into parts of equal size, in order of time."""
+    shares = [step / STEPS for step in range(1, STEPS)]
+    rows = page_creates(spark, folder).select(F.unix_timestamp("time").alias("second"))
+    cuts = rows.agg(F.percentile_approx("second", shares).alias("cuts")).first().cuts or []
+    second = F.unix_timestamp("time")
+    ends = [None, *sorted(set(cuts)), None]
+    for start, end in zip(ends, ends[1:]):
+        after = F.lit(True) if start is None else second >= start
+        yield after if end is None else after & (second < end)
+
+
+def _hourly_in_steps(spark, folder, late=None):
+    """The hourly stream over the table, landed and run part by part, in order of time.
+
+    `late` picks events that land after all others, behind the watermark.
+    """
     work = scratch_folder(spark, "hourly")
-    events = as_page_creates(stream_events(spark, folder))
-    _run_once(jobs.start_hourly(events, f"{work}/hours", f"{work}/check", trigger=ONCE))
+    events = page_creates(spark, folder)
+    parts = list(_quarters(spark, folder))
+    if late is not None:
+        parts = [~late & part for part in parts] + [late]
+    for part in parts:
+        events.filter(part).write.mode("append").parquet(f"{work}/landed")
+        landed = spark.readStream.schema(events.schema).options(**BATCH).parquet(f"{work}/landed")
+        _run_once(jobs.start_hourly(landed, f"{work}/hours", f"{work}/check", trigger=ONCE))
     return _as_text(spark.read.parquet(f"{work}/hours"), "hour")
+
+
+@query
+def hourly_stream(spark, folder):
+    return _hourly_in_steps(spark, folder)
+
+
+@query
+def hourly_stream_late(spark, folder):
+    """Page ids of one residue arrive when their hours are closed, and are not counted."""
+    return _hourly_in_steps(spark, folder, F.col("page_id") % 10 == 3)

@@ -21,15 +21,11 @@ HOUR_LABEL_FORMAT = "HH:mm"
 HOURLY_REPORT = "hourly_domain_page_stats"
 BOT_REPORT = "bot_created_domain_stats"
 TOP_USERS_REPORT = "top_20_users"
-REPORT_SCHEMAS = {
-    HOURLY_REPORT: "time_start string, time_end string, statistics array<map<string,bigint>>",
-    BOT_REPORT: (
-        "time_start string, time_end string, "
-        "statistics array<struct<domain:string,created_by_bots:bigint>>"
-    ),
+REPORT_ROWS = {
+    HOURLY_REPORT: "hour timestamp, domain string, pages_created bigint",
+    BOT_REPORT: "domain string, created_by_bots bigint",
     TOP_USERS_REPORT: (
-        "user_id bigint, username string, time_start string, time_end string, "
-        "page_titles array<string>, pages_created bigint"
+        "rank int, user_id bigint, username string, pages_created bigint, page_title string"
     ),
 }
 # End of fixed values.

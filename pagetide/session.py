@@ -1,10 +1,14 @@
-"""Session settings that results depend on, and the shared scratch folder."""
+"""Session settings that results depend on, and scratch folders that all executors reach."""
 
-import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_scope = ContextVar("pagetide scratch folder of the running query", default=None)
+_previous = {}
+
 
 def utc(spark):
     """Days, hours and labels are UTC; pin the session zone so they do not follow the driver."""
@@ -27,19 +31,80 @@ def local_session(cores="*", app="pagetide", **conf):
     return builder.getOrCreate()
 
 
+def _shared_folder(spark):
+    """The folder that the cluster names for checkpoints; there is no fallback."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = spark._jsc.sc().getCheckpointDir()
+        folder = folder.get() if folder.isDefined() else None
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return folder.rstrip("/")
+
+
+def _path(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_file(spark, name):
+    path, files = _path(spark, name)
+    return files.getFileStatus(path).isFile()
+
+
+def delete_folder(spark, folder):
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
+def folders(spark, pattern):
+    """Existing folders that match a glob, as paths."""
+    path, files = _path(spark, pattern)
+    return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
+
+
+def replace_folder(spark, new, old):
+    """Put a complete folder in the place of another; what was there is moved aside, then removed."""
+    new_path, files = _path(spark, new)
+    old_path, _ = _path(spark, old)
+    aside, _ = _path(spark, f"{old}.replaced-{uuid.uuid4().hex}")
+    if files.exists(old_path):
+        files.rename(old_path, aside)
+    else:
+        files.mkdirs(old_path.getParent())
+    if not files.rename(new_path, old_path):
+        raise OSError(f"could not rename {new} to {old}")
+    files.delete(aside, True)
+
+
+@contextmanager
+def query_run(spark, name):
+    """The scratch folders of one run of a named query.
+
+    They live as long as the result may be read: until the query is run again in the session, or
+    until the session ends.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    for folder in _previous.pop(key, []):
+        delete_folder(spark, folder)
+    made = _previous.setdefault(key, [])
+    token = _scope.set((name, made))
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
 def scratch_folder(spark, label):
     """A new folder below `spark.checkpoint.dir`, which every executor can reach.
 
-    What is written there is a copy of table data, so it is removed when the session's JVM ends.
+    What is written there is a copy of table data. It is removed when the query that made it is
+    run again, and at the latest when the session's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="pagetide-")
-    own = f"{base.rstrip('/')}/pagetide-{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(own)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    name, made = _scope.get() or ("call", [])
+    own = f"{_shared_folder(spark)}/pagetide-{name}-{label}-{uuid.uuid4().hex}"
+    path, files = _path(spark, own)
     files.mkdirs(path)
     files.deleteOnExit(path)
+    made.append(own)
     return f"{own}/data"

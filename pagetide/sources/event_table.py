@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pagetide.schemas import FEED_TIME_FORMAT
+from pagetide.session import is_file
 
 
 def events_path(folder):
@@ -27,8 +28,10 @@ def read_events(spark, folder, bounds=None):
 def stream_events(spark, folder, **options):
     path = events_path(folder)
     schema = spark.read.parquet(path).schema
-    # The glob lets the table be one file or a folder of files.
-    return spark.readStream.schema(schema).options(**options).parquet(f"{path}*")
+    # A stream reads folders: the folder of files itself, or the one that the single file is in.
+    names = {"pathGlobFilter": "events.parquet"} if is_file(spark, path) else {}
+    place = folder if names else path
+    return spark.readStream.schema(schema).options(**names, **options).parquet(place)
 
 
 def as_page_creates(events):

@@ -3,10 +3,19 @@
 from pyspark.sql import functions as F
 
 
+# A blank line ends a frame, whichever way its lines end.
+_BLANK_LINE = r"\r?\n\r?\n"
+
+
 def read_frames(spark, path, streaming=False, separator="\n\n", **options):
-    """One row per frame: a blank line ends a frame, so it serves as the record separator."""
+    """One row per frame.
+
+    Files are cut at `separator`, and what is between at any other form of a blank line, so no frame
+    is lost. For feeds whose lines end in CRLF, `separator="\\r\\n\\r\\n"` lets Spark split files.
+    """
     reader = spark.readStream if streaming else spark.read
-    return reader.format("text").options(lineSep=separator, **options).load(path)
+    records = reader.format("text").options(lineSep=separator, **options).load(path)
+    return records.select(F.explode(F.split("value", _BLANK_LINE, -1)).alias("value"))
 
 
 def _field(name):

@@ -4,11 +4,10 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from pagetide.functions.seconds import seconds_in, seconds_mask
-from pagetide.operators.normalize import from_wire, parse_envelope
+from pagetide.operators.normalize import from_wire, parse_envelope, rejected, wire_text
 from pagetide.operators.quarantine import marked, quarantined, usable
 from pagetide.operators.viewlog import write_batch
-from pagetide.operators.views import SPECS
-from pagetide.schemas import PAGE_CREATE
+from pagetide.operators.views import STORES
 
 # Topic names.
 INPUT_TOPIC = "input"
@@ -16,6 +15,11 @@ PROCESSED_TOPIC = "processed"
 # End of fixed values.
 REJECTED_TOPIC = "rejected"
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+# What to give instead of a folder for bad messages, to do without them on purpose.
+DROP = "drop"
+
 
 def _start(stream, checkpoint, trigger):
     return stream.option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -24,14 +28,16 @@ def _start(stream, checkpoint, trigger):
 def normalized_messages(messages, processed=PROCESSED_TOPIC, rejects=REJECTED_TOPIC):
     """Outgoing messages with their topic: flat JSON for good ones, the raw text for bad ones.
 
-    Each message is parsed once and one query writes both topics.
+    Each message is parsed once and one query writes both topics. The key keeps the messages of a
+    page in one partition and so in order.
     """
     decoded = parse_envelope(messages)
     good = F.col("problem").isNull()
     raw = F.to_json(F.struct("problem", F.col("text").alias("value")))
     return decoded.select(
         F.when(good, processed).otherwise(rejects).alias("topic"),
-        F.when(good, F.to_json(F.struct(*PAGE_CREATE))).otherwise(raw).alias("value"),
+        F.col("page_id").cast("string").alias("key"),
+        F.when(good, wire_text(decoded)).otherwise(raw).alias("value"),
     )
 
 
@@ -43,7 +49,7 @@ def start_normalize_to_kafka(messages, servers, checkpoint, trigger=None, **topi
 
 def start_normalize_to_files(messages, path, checkpoint, trigger=None, **topics):
     """The same messages as text files, one folder per topic."""
-    outgoing = normalized_messages(messages, **topics)
+    outgoing = normalized_messages(messages, **topics).drop("key")
     sink = outgoing.writeStream.format("text").partitionBy("topic").option("path", path)
     return _start(sink, checkpoint, trigger or {"processingTime": "0 seconds"})
 
@@ -55,22 +61,25 @@ def normalized_files(spark, path, topic=PROCESSED_TOPIC, streaming=True, **optio
     return rows.load(path).filter(F.col("topic") == topic).select("value")
 
 
-def view_writer(root, run, quarantine=None, views=None):
+def view_writer(root, run, quarantine, views=None):
     """The per-batch function that upserts a batch of events into every view.
 
+    `quarantine` is the folder for messages with a problem, or `DROP`.
+
     Errors are not caught: a batch that fails is retried by Spark, and rewriting the views it had
     already reached replaces the same folders. The batch is cached when it is read more than once.
     """
-    names = tuple(views or SPECS)
+    names = tuple(views or STORES)
 
     def write(decoded, batch_id):
         batch = marked(decoded, names)
-        reread = len(names) > 1 or quarantine
+        keep_bad = quarantine != DROP
+        reread = len(names) > 1 or keep_bad
         if reread:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(usable(batch), root, run, batch_id, names)
-            if quarantine:
+            if keep_bad:
                 _write_quarantine(quarantined(batch), quarantine, run, batch_id)
         finally:
             if reread:
@@ -91,9 +100,12 @@ def _write_quarantine(rows, path, run, batch_id):
 
 
 def start_views(
-    messages, root, run, checkpoint, trigger=None, quarantine=None, views=None, decode=from_wire
+    messages, root, run, checkpoint, quarantine, trigger=None, views=None, decode=from_wire
 ):
-    """Keep the views below `root` current. `run` must be new whenever `checkpoint` is new."""
+    """Keep the views below `root` current. `run` must be new whenever `checkpoint` is new.
+
+    Bad messages go to the folder `quarantine`, unless it is `DROP`.
+    """
     sink = decode(messages).writeStream.foreachBatch(view_writer(root, run, quarantine, views))
     return _start(sink, checkpoint, trigger or {"processingTime": "1 second"})
 
@@ -117,7 +129,15 @@ def hourly_counts(events, delay="1 hour"):
     )
 
 
+def start_rejects(messages, path, checkpoint, trigger=None, decode=from_wire):
+    """Keep what cannot be read, for jobs whose own output has no place for it."""
+    sink = rejected(decode(messages)).writeStream.format("parquet").option("path", path)
+    return _start(sink, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
 def start_hourly(events, path, checkpoint, delay="1 hour", trigger=None):
+    """Counts of closed hours. The open minutes are kept in RocksDB, on disk, not on the heap."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     sink = (
         hourly_counts(events, delay)
         .writeStream.outputMode("append")

@@ -3,9 +3,11 @@
 import json
 from pathlib import Path
 
+import pytest
 from helpers import envelope
 
 from pagetide.__main__ import main
+from pagetide.operators import documents
 
 
 def lines(folder):
@@ -30,11 +32,14 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
           "--checkpoint", at + "c1", "--once"])
     main(["views", "--input", at + "wire", "--root", at + "views", "--run", "r1",
           "--quarantine", at + "aside", "--checkpoint", at + "c2", "--once"])
-    main(["compact", "--root", at + "views", "--new-root", at + "views2"])
-    for root in ("views", "views2"):
+    (tmp_path / "keys").write_text("3\n99\nnot a number\n")
+    root = "views"
+    for compacted in (False, True):
+        if compacted:
+            main(["compact", "--root", at + "views"])
         main(["reports", "--root", at + root, "--out", at + "out", "--as-of",
               "2024-01-16 12:30:00"])
-        folder = Path(at + "out/hourly_domain_page_stats.json")
+        folder = Path(at + "out/hourly_domain_page_stats/document")
         document = json.loads("".join(p.read_text() for p in sorted(folder.glob("part-*"))))
         assert [bucket["time_start"] for bucket in document] == ["05:00", "06:00", "07:00"]
         assert [bucket["statistics"] for bucket in document] == [[{"a.org": 2}]] * 3
@@ -50,8 +55,20 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
         main(["lookup", "active-days", "2024-01-16", "2024-01-17", "--root", at + root,
               "--out", at + "l5"])
         assert lines(at + "l5") == [{"user_id": 5, "username": "five", "page_count": 1}]
+        main(["lookup", "pages-created", "2024-01-16", "2024-01-16", "--root", at + root,
+              "--out", at + "l6"])
+        assert lines(at + "l6") == [{"user_id": 5, "username": "five", "pages_created": 6}]
+        main(["lookup", "page-details", "--keys-file", at + "keys", "--root", at + root,
+              "--out", at + "l7"])
+        assert sorted(row["page_id"] for row in lines(at + "l7")) == [3, 99]
+        main(["reports", "--root", at + root, "--out", at + "events", "--as-of",
+              "2024-01-16 12:30:00", "--grain", "event"])
+        found = documents.read_report(spark, at + "events", "hourly_domain_page_stats")
+        assert [row.pages_created for row in found.collect()] == [2, 2, 2]
 
-    main(["hourly", "--input", at + "wire", "--out", at + "hours", "--checkpoint", at + "c3",
-          "--once"])
+    with pytest.raises(SystemExit):
+        main(["hourly", "--input", at + "wire", "--out", at + "hours", "--checkpoint", at + "c3"])
+    main(["hourly", "--quarantine", at + "bad",  "--input", at + "wire", "--out", at + "hours", "--checkpoint", at + "c3",
+          "--once", "--max-files", "1"])
     rows = spark.read.parquet(at + "hours").collect()
     assert [(row.domain, row.pages_created) for row in rows] == [("a.org", 2)]

@@ -42,10 +42,12 @@ def test_only_answers_to_lists_are_sorted(spark):
         assert (sort in plan) == sorted_by_default
 
 
-def test_many_literal_keys(spark, monkeypatch):
-    monkeypatch.setattr(lookups, "MAX_LITERAL_KEYS", 1)
+def test_long_lists_of_keys_are_filters_too(spark):
+    many = [*range(1, 3000), 2]
     view = build(frame(spark), "pages_by_user")
-    assert lookups.pages_by_user(view, [1, 2, 2]).count() == 5
+    assert lookups.pages_by_user(view, many).count() == 5
+    plan = lookups.pages_by_user(view, many)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_domain_page_count(spark):

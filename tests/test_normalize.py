@@ -70,7 +70,7 @@ def test_wire_leaves_out_nulls_and_round_trips(spark):
     wire = to_wire(rows)
     assert json.loads(wire.first().value) == {
         "time": "2024-01-01T00:00:01.000Z", "domain": "a.org", "created_by_bot": False,
-        "page_title": "T", "page_id": 1,
+        "page_title": "T", "page_id": 1, "seq": 0,
     }
     assert tuples(accepted(from_wire(wire))) == tuples(rows)
 

@@ -26,7 +26,12 @@ ROWS = {
     "hourly_domain_stats_all": 3_385,
     "hourly_domain_events_all": 3_385,
     "bot_domain_stats": 5,
-    "top_20_users": 20,
+    "top_20_users": 47,
+    "top_users_document": 47,
+    "sse_crlf_normalized": 10_000,
+    "stored_hourly_events": 34,
+    "streamed_user_stat": 9_567,
+    "hourly_stream_late": 3_305,
     "lookup_pages_by_user": 306,
     "lookup_domain_page_count": 3,
     "lookup_page_details": 4,

@@ -7,13 +7,16 @@ import pytest
 from helpers import event, events_frame
 from pyspark.sql import functions as F
 
-from pagetide.operators import lookups, reports, viewlog
+from pagetide.operators import documents, lookups, reports, viewlog
 from pagetide.operators.views import SPECS, build
 from pagetide.plans.queries import QUERIES, WINDOW
+from pagetide.sources.event_table import as_page_creates
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs when called, and their result is a plain read of what the jobs wrote.
-WRITING = re.compile(r"^(sse_|streamed_|hourly_stream|compacted_)|_document$")
+WRITING = re.compile(r"^(sse_|streamed_|stored_|hourly_stream|compacted_)|_document$")
+# Their ranks are numbered on as many rows as are asked for.
+RANKED = re.compile(r"^top_")
 
 
 @contextmanager
@@ -35,9 +38,48 @@ def plan_of(frame):
 @pytest.mark.parametrize("name", [n for n in QUERIES if not WRITING.search(n)])
 def test_no_cross_join_or_python(spark, name):
     plan = plan_of(QUERIES[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "WindowExec"):
+    for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
         assert operator not in plan
-    assert "SinglePartition" not in plan
+    if RANKED.search(name):
+        # What stands below the limit; every branch of the plan holds the same one.
+        counted = _below(plan, "TakeOrderedAndProject")
+        assert counted and "Window " not in counted and "SinglePartition" not in counted
+    else:
+        assert "Window " not in plan and "SinglePartition" not in plan
+
+
+def _below(plan, operator):
+    """The lines of the subtree of the first such operator, itself left out."""
+    lines = plan.split("\n")
+    depth = [len(re.match(r"[\s:+-]*", line)[0]) for line in lines]
+    top = next(at for at, line in enumerate(lines) if operator in line)
+    end = next((at for at in range(top + 1, len(lines)) if depth[at] <= depth[top]), len(lines))
+    return "\n".join(lines[top + 1 : end])
+
+
+def test_users_are_counted_in_hash_aggregates(spark):
+    """But for seconds with two names of a user, which are looked at row by row."""
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet")
+    plan = plan_of(reports.user_counts(as_page_creates(rows)))
+    above = plan[: plan.index("Union")]
+    plain = _below(plan, "BroadcastHashJoin" if "BroadcastHashJoin" in plan else "SortMergeJoin")
+    assert "HashAggregate" in above and "SortAggregate" not in above
+    assert "partial_bit_or" in plain and "SortAggregate" not in plain
+
+
+def test_documents_are_written_without_a_single_task(spark, tmp_path, monkeypatch):
+    seen = {}
+    lines = documents._lines
+    monkeypatch.setattr(
+        documents, "_lines", lambda name, *args: seen.setdefault(name, lines(name, *args))
+    )
+    frame = events_frame(spark, [event("2024-01-16 05:00:00", created_by_bot=True)])
+    documents.publish(spark, frame, frame, WINDOW, str(tmp_path))
+    assert len(seen) == 3
+    for found in seen.values():
+        plan = plan_of(found.orderBy(*documents._ORDER))
+        assert "SinglePartition" not in plan and "collect_list" not in plan
+        assert "rangepartitioning" in plan
 
 
 @pytest.mark.parametrize(

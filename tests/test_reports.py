@@ -55,6 +55,29 @@ def test_grains(spark):
         reports.hourly_domain_stats(frame, BOUNDS, "pages")
 
 
+@pytest.mark.parametrize("view", ["domain_page_stats", "user_stat"])
+def test_event_grain_is_refused_on_rows_of_a_view(spark, view):
+    rows = build(events_frame(spark, [event("2024-01-16 05:00:00")]), view)
+    count = reports.hourly_domain_stats if view == "domain_page_stats" else reports.top_users
+    with pytest.raises(ValueError, match="event log"):
+        count(rows, BOUNDS, grain=reports.EVENT)
+
+
+def test_names_that_change_within_a_second(spark):
+    """The later row of a second gives the name, whatever the masks of the minute say."""
+    rows = [
+        event("2024-01-16 05:00:00", username="old", seq=1),
+        event("2024-01-16 05:00:00", username="new", seq=2),
+        event("2024-01-16 05:00:01", username="old", seq=3),
+        event("2024-01-16 05:01:00", username="old", seq=4),
+        event("2024-01-16 05:01:01", username="new", seq=5),
+    ]
+    frame = events_frame(spark, rows)
+    assert tuples(reports.user_counts(frame), "username", "pages_created") == [("new", 2), ("old", 2)]
+    merged = build(frame, "user_stat").groupBy("username").count()
+    assert tuples(merged) == [("new", 2), ("old", 2)]
+
+
 def test_null_bot_flag_is_not_a_bot(spark):
     frame = events_frame(spark, [event("2024-01-16 05:00:00", created_by_bot=None)])
     assert tuples(reports.bot_domain_stats(frame, BOUNDS)) == []
@@ -104,7 +127,7 @@ def test_renamed_user_is_two_entries(spark):
         ],
     )
     assert tuples(reports.top_user_titles(frame, BOUNDS)) == [
-        (1, "x", 2, "A"), (1, "x", 2, "B"), (1, "y", 1, "C"), (1, None, 1, "D"),
+        (1, 1, "x", 2, "A"), (1, 1, "x", 2, "B"), (2, 1, None, 1, "D"), (3, 1, "y", 1, "C"),
     ]
 
 
@@ -113,13 +136,14 @@ def test_ties_go_to_the_lower_id(spark):
         spark, [event("2024-01-16 05:00:00", user_id=i, username=f"u{i}") for i in range(21, 0, -1)]
     )
     top = reports.top_users(frame, BOUNDS)
-    assert [row.user_id for row in top.collect()] == list(range(1, 21))
+    assert [(row.rank, row.user_id) for row in top.collect()] == [(i, i) for i in range(1, 21)]
     with pytest.raises(ValueError):
         reports.top_users(frame, BOUNDS, n=0)
 
 
 def read_text(out, name):
     folder = Path(documents.report_path(str(out), name))
+    # The parts are one JSON value in the order of their names.
     return json.loads("".join(path.read_text() for path in sorted(folder.glob("part-*"))))
 
 
@@ -150,8 +174,10 @@ def test_published_documents(spark, tmp_path):
          "pages_created": 3},
         {"user_id": 9, "username": "nine", **span, "page_titles": ["T"], "pages_created": 1},
     ]
-    assert documents.read_report(spark, str(tmp_path), HOURLY_REPORT).count() == 2
-    assert documents.read_report(spark, str(tmp_path), TOP_USERS_REPORT).count() == 2
+    assert tuples(documents.read_report(spark, str(tmp_path), HOURLY_REPORT)) == [
+        ("21:00", "22:00", "a.org", 1), ("23:00", "00:00", "a.org", 1), ("23:00", "00:00", "b.org", 1),
+    ]
+    assert documents.read_report(spark, str(tmp_path), TOP_USERS_REPORT).count() == 4
 
 
 def test_empty_window(spark, tmp_path):
@@ -164,26 +190,51 @@ def test_empty_window(spark, tmp_path):
     }
 
 
-def test_large_report_keeps_its_rows(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(documents, "MAX_DOCUMENT_ENTRIES", 1)
-    frame = events_frame(spark, [event("2024-01-16 05:00:00", domain=d) for d in "xyz"])
-    with pytest.raises(documents.DocumentTooLarge, match="3 entries"):
+def test_large_documents_are_spread_over_parts(spark, tmp_path):
+    rows = [
+        event(f"2024-01-16 0{5 + i % 4}:00:{i % 60:02d}", domain=f'd"{i:04d}.org', user_id=i % 9,
+              username=None if i % 9 == 3 else f"u{i % 9}", created_by_bot=i % 2 == 0,
+              page_title=None if i % 50 == 0 else f"T\\{i % 20}", seq=i)
+        for i in range(800)
+    ]
+    frame = events_frame(spark, rows)
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
         documents.publish(spark, frame, frame, BOUNDS, str(tmp_path))
-    rows = spark.read.parquet(documents.rows_path(str(tmp_path), HOURLY_REPORT))
-    assert rows.count() == 3
-    assert read_text(tmp_path, BOT_REPORT)["statistics"] == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    for name in (HOURLY_REPORT, TOP_USERS_REPORT):
+        assert len(list(Path(documents.report_path(str(tmp_path), name)).glob("part-*"))) > 2
+    hours = read_text(tmp_path, HOURLY_REPORT)
+    assert [hour["time_start"] for hour in hours] == ["05:00", "06:00", "07:00", "08:00"]
+    assert [domain for hour in hours for entry in hour["statistics"] for domain in entry] == sorted(
+        (row["domain"] for row in rows), key=lambda d: (int(d[2:6]) % 4, d)
+    )
+    users = read_text(tmp_path, TOP_USERS_REPORT)
+    kept = build(frame, "user_stat").collect()
+    for user in users:
+        own = [r for r in kept if r.user_id == user["user_id"]]
+        assert user.get("username") == own[0].username
+        assert user["pages_created"] == len(own)
+        assert user["page_titles"] == sorted(r.page_title for r in own if r.page_title is not None)
+    order = [(-user["pages_created"], user["user_id"]) for user in users]
+    assert order == sorted(order) and len(users) == 9
+
+
+def test_publishing_again_replaces_the_report(spark, tmp_path):
+    for domain in ("a.org", "b.org"):
+        frame = events_frame(spark, [event("2024-01-16 05:00:00", domain=domain)])
+        documents.publish(spark, frame, frame, BOUNDS, str(tmp_path), names=[HOURLY_REPORT])
+        assert read_text(tmp_path, HOURLY_REPORT)[0]["statistics"] == [{domain: 1}]
+    assert [path.name for path in tmp_path.iterdir()] == [HOURLY_REPORT]
 
 
 def test_missing_and_broken_reports(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         documents.read_report(spark, str(tmp_path), HOURLY_REPORT)
-    Path(documents.report_path(str(tmp_path), HOURLY_REPORT)).write_text('[{"time_start": ')
-    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+    rows = Path(documents.rows_path(str(tmp_path), HOURLY_REPORT))
+    rows.mkdir(parents=True)
+    (rows / "part-0.parquet").write_text("cut")
+    with pytest.raises(Exception, match="parquet|Parquet"):
         documents.read_report(spark, str(tmp_path), HOURLY_REPORT).collect()
-
-
-def test_title_lists_need_a_short_window(spark):
-    frame = events_frame(spark, [event("2024-01-16 05:00:00")])
-    long = report_bounds("2024-01-16 12:30:00", hours=24 * 30)
-    with pytest.raises(ValueError, match="one row per title"):
-        documents.top_user_entries(reports.top_user_titles(frame, long), long)

@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,8 +6,10 @@ from helpers import envelope, tuples
 
 from pagetide.operators.normalize import accepted, parse_envelope, rejected
 from pagetide.session import scratch_folder
+from pagetide.plans.queries import QUERIES
+from pagetide.sources.event_table import stream_events
 from pagetide.sources.frames import sse_frames
-from pagetide.sources.messages import TOLERANT, file_messages, kafka_raw
+from pagetide.sources.messages import PATIENT, file_messages, kafka_raw
 from pagetide.streaming.jobs import start_normalize_to_kafka
 
 FRAMES = (
@@ -94,18 +97,24 @@ class Recorder:
 
 @pytest.mark.parametrize("streaming", [False, True])
 def test_kafka_source_options(spark, streaming):
-    rows = spark.sql("SELECT CAST('x' AS BINARY) AS value, 7L AS offset, 0 AS partition")
+    rows = spark.sql(
+        "SELECT CAST('x' AS BINARY) AS value, id AS offset, 0 AS partition,"
+        " timestamp_millis(1000 + id DIV 2) AS timestamp FROM range(4)"
+    )
     reader = Recorder(rows)
     fake = SimpleNamespace(read=reader, readStream=reader)
-    frame = kafka_raw(fake, "k:9092", "processed", min_partitions=12, options=TOLERANT)
-    assert frame.columns == ["value", "seq"] and frame.first().seq == 7
+    frame = kafka_raw(
+        fake, "k:9092", "processed", min_partitions=12, options=PATIENT, streaming=streaming
+    )
+    assert frame.columns == ["value", "seq"]
+    order = [row.seq for row in frame.collect()]
+    assert order == sorted(set(order))
     assert reader.calls == {
         "format": "kafka",
         "kafka.bootstrap.servers": "k:9092",
         "subscribe": "processed",
-        "startingOffsets": "latest",
+        "startingOffsets": "latest" if streaming else "earliest",
         "minPartitions": "12",
-        "failOnDataLoss": "false",
         "kafka.request.timeout.ms": "6000",
         "kafka.session.timeout.ms": "6000",
     }
@@ -125,6 +134,39 @@ def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_folder(spark, "x").startswith(base + "/")
     conf = SimpleNamespace(get=lambda key, default: None)
-    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
-    with pytest.raises(ValueError):
-        scratch_folder(cluster, "x")
+    none = SimpleNamespace(isDefined=lambda: False)
+    inner = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(SimpleNamespace(conf=conf, _jsc=inner), "x")
+
+
+def test_running_a_query_again_removes_its_earlier_copies(spark):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def copies():
+        return set(base.glob("pagetide-sse_to_views-*"))
+
+    QUERIES["sse_to_views"](spark, "/root/testdata/sf0.001").collect()
+    first = copies()
+    QUERIES["sse_to_views"](spark, "/root/testdata/sf0.001").collect()
+    assert len(copies()) == len(first) == 1 and copies() != first
+
+
+def test_crlf_frames(spark, tmp_path):
+    frame = "event: message\r\nid: {0}\r\ndata: {{\"page_id\": {0}}}\r\n\r\n"
+    (tmp_path / "f.txt").write_bytes("".join(frame.format(i) for i in range(5)).encode())
+    for options in ({}, {"separator": "\r\n\r\n"}):
+        messages = sse_frames(spark, str(tmp_path), **options)
+        assert sorted(row.value for row in messages.collect()) == [
+            f'{{"page_id": {i}}}' for i in range(5)
+        ]
+
+
+def test_stream_reads_the_table_only(spark, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for name in ("events.parquet", "events.parquet.bak"):
+        rows.limit(3).write.parquet(str(tmp_path / name))
+    stream = stream_events(spark, str(tmp_path))
+    query = stream.writeStream.format("memory").queryName("only").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("only").count() == 3

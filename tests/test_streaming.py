@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagetide.operators import reports, viewlog
 from pagetide.operators.normalize import accepted, from_wire, parse_envelope, to_wire
-from pagetide.operators.views import SPECS, build
+from pagetide.operators.views import EVENT_LOG, SPECS, build
 from pagetide.sources.messages import file_messages
 from pagetide.streaming import jobs
 
@@ -44,16 +44,25 @@ def test_stream_equals_batch(spark, tmp_path, files):
     land(tmp_path / "in", lines, files)
     source = str(tmp_path / "in")
     work = str(tmp_path)
-    jobs.start_normalize_to_files(
-        file_messages(spark, source, True, maxFilesPerTrigger=1), f"{work}/out", f"{work}/c1", ONCE
-    ).awaitTermination()
+    # Arrival order: larger numbers for what sorts first, so that the values cannot stand in for it.
+    def numbered(messages):
+        return messages.withColumn("seq", -F.xxhash64("value"))
+
+    first = jobs.start_normalize_to_files(
+        numbered(file_messages(spark, source, True, maxFilesPerTrigger=1)),
+        f"{work}/out", f"{work}/c1", ONCE,
+    )
+    first.awaitTermination()
+    assert sum(progress["numInputRows"] > 0 for progress in first.recentProgress) == files
     jobs.start_views(
         jobs.normalized_files(spark, f"{work}/out", maxFilesPerTrigger=1),
-        f"{work}/views", "r1", f"{work}/c2", ONCE, quarantine=f"{work}/aside",
+        f"{work}/views", "r1", f"{work}/c2", f"{work}/aside", ONCE,
     ).awaitTermination()
 
-    events = accepted(parse_envelope(file_messages(spark, source)))
+    events = accepted(parse_envelope(numbered(file_messages(spark, source))))
     assert events.count() == len(lines) - 1
+    assert events.select("seq").distinct().count() == events.count()
+    assert viewlog.read(spark, f"{work}/views", EVENT_LOG).count() == events.count()
     for name in SPECS:
         assert tuples(viewlog.read(spark, f"{work}/views", name)) == tuples(build(events, name))
     aside = spark.read.parquet(f"{work}/aside")
@@ -62,12 +71,39 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert [json.loads(row.value)["value"] for row in bad.collect()] == ["broken"]
 
 
+def test_rows_of_one_second_keep_their_order_over_both_hops(spark, tmp_path):
+    lines = [
+        envelope("2024-01-01T00:00:00Z", page_id=1, page_title=title) for title in ("zz old", "aa new")
+    ]
+    rows = spark.createDataFrame([(lines[0], 1), (lines[1], 2)], "value string, seq bigint")
+    sent = to_wire(accepted(parse_envelope(rows)))
+    view = build(accepted(from_wire(sent)), "page_details_by_page_id")
+    assert view.first().page_title == "aa new"
+
+
+def test_every_message_is_accepted_or_kept_aside(spark, tmp_path):
+    lines = [*texts(), envelope() + " junk", envelope() + envelope(), envelope() + "}} " + envelope(),
+             envelope() + ',"x":{}', envelope() + "]", "null", "[1]", "5"]
+    land(tmp_path / "in", lines, 2)
+    source, work = file_messages(spark, str(tmp_path / "in"), True), str(tmp_path)
+    jobs.start_views(
+        source, f"{work}/views", "r", f"{work}/c1", f"{work}/aside", ONCE, decode=parse_envelope
+    ).awaitTermination()
+    jobs.start_rejects(source, f"{work}/bad", f"{work}/c2", ONCE, parse_envelope).awaitTermination()
+    good = viewlog.read(spark, f"{work}/views", EVENT_LOG).count()
+    bad = spark.read.parquet(f"{work}/bad")
+    assert good + bad.count() == len(lines)
+    assert sorted({row.value for row in bad.collect()}) == sorted({"broken", *lines[-8:]})
+    aside = spark.read.parquet(f"{work}/aside")
+    assert aside.filter("problem not like 'no_key%'").count() == bad.count()
+
+
 def test_restart_with_new_checkpoint_and_run_changes_nothing(spark, tmp_path):
     land(tmp_path / "in", texts(), 2)
     source, root = str(tmp_path / "in"), str(tmp_path / "views")
     for run in ("r1", "r2"):
         jobs.start_views(
-            file_messages(spark, source, True), root, run, str(tmp_path / run), ONCE,
+            file_messages(spark, source, True), root, run, str(tmp_path / run), jobs.DROP, ONCE,
             views=["page_details_by_page_id"], decode=parse_envelope,
         ).awaitTermination()
     events = accepted(parse_envelope(file_messages(spark, source)))
@@ -80,7 +116,7 @@ def test_write_errors_fail_the_query(spark, tmp_path):
     (tmp_path / "views").write_text("a file where a folder must be")
     query = jobs.start_views(
         file_messages(spark, str(tmp_path / "in"), True), str(tmp_path / "views"), "r",
-        str(tmp_path / "c"), ONCE, decode=parse_envelope,
+        str(tmp_path / "c"), jobs.DROP, ONCE, decode=parse_envelope,
     )
     with pytest.raises(Exception):
         query.awaitTermination()
