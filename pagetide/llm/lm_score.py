@@ -112,7 +112,8 @@ def counts(docs, labels):
         .filter("good and clean")
         .select("doc_id", F.lit(True).alias("is_target"))
     )
-    marked = texts(docs).join(good, "doc_id", "left").select(
+    # There may be as many labels as documents, so they are joined the same way at every size.
+    marked = texts(docs).join(good.hint("merge"), "doc_id", "left").select(
         "doc_id",
         F.col("text").cast("binary").alias("raw"),
         F.coalesce("is_target", F.lit(False)).alias("is_target"),
