@@ -14,7 +14,7 @@ values stay equal in all documents, different ones stay different, and the key u
 | date | yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy | calendar, from 1900 on | the number of the day |
 | ssn | ddd-dd-dddd | ranges that are issued | all three parts |
 | card | 13 to 19 digits, also in groups | Luhn | all digits but the check digit |
-| phone | ten digits of the North American plan, grouped | plan | area, exchange and line |
+| phone | ten digits in groups, as in North America | country code, brackets, or plan | area, exchange, line |
 
 Only built-in functions are used. Defined results: null and empty texts stay as they are; what does
 not pass its rule is left alone; a null `doc_id`, repeated rows and extra columns are kept; an empty
@@ -40,9 +40,13 @@ POINT_DATE = r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}" + _END
 SLASH_DATE = r"[0-9]{2}/[0-9]{2}/[0-9]{4}" + _END
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + _END
-PHONE = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _END
+# A country code or an area in brackets says what it is; bare groups have to follow the plan.
+CLEAR_PHONE = (
+    r"(?:\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])|1?[ .-]?\([0-9]{3}\) ?)[0-9]{3}[ .-][0-9]{4}" + _END
+)
+PHONE = r"(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}" + _END
 # In order of precedence where two forms begin at one place.
-FORMS = (EMAIL, IBAN, IP, ISO_DATE, POINT_DATE, SLASH_DATE, SSN, CARD, PHONE)
+FORMS = (EMAIL, IBAN, IP, ISO_DATE, POINT_DATE, SLASH_DATE, SSN, CARD, CLEAR_PHONE, PHONE)
 ANY = f"{_START}(?:{'|'.join(FORMS)})"
 
 
@@ -279,22 +283,29 @@ def _card(found, settings):
     return F.when(valid, _with(new, lambda filling: _refill(found, "0-9", filling)))
 
 
-def _phone(found, settings):
-    digits = _only(found, "0-9")
-    pattern = "^(1?)(...)(...)(....)$"
-    area, exchange, line = (_group(digits, pattern, n) for n in (2, 3, 4))
+def _phone(lowest, kind):
+    """Ten digits whose area and exchange are at least `lowest`; a leading 1 stays."""
 
-    def written(new):
-        filling = F.concat(
-            F.regexp_extract(digits, pattern, 1),
-            _padded(F.get(new, F.lit(0)) + 200, 3),
-            _padded(F.get(new, F.lit(1)) + 200, 3),
-            _padded(F.get(new, F.lit(2)), 4),
-        )
-        return _with(filling, lambda known: _refill(found, "0-9", known))
+    def replace(found, settings):
+        digits = _only(found, "0-9")
+        pattern = "^(1?)(...)(...)(....)$"
+        area, exchange, line = (_group(digits, pattern, n) for n in (2, 3, 4))
+
+        def written(new):
+            filling = F.concat(
+                F.regexp_extract(digits, pattern, 1),
+                _padded(F.get(new, F.lit(0)) + lowest, 3),
+                _padded(F.get(new, F.lit(1)) + lowest, 3),
+                _padded(F.get(new, F.lit(2)), 4),
+            )
+            return _with(filling, lambda known: _refill(found, "0-9", known))
+
+        values = [area - lowest, exchange - lowest, line]
+        radixes = [1000 - lowest, 1000 - lowest, 10_000]
+        valid = (area >= lowest) & (exchange >= lowest)
+        return F.when(valid, _with(_fixed(kind, values, radixes, settings), written))
 
-    new = _fixed("phone", [area - 200, exchange - 200, line], [800, 800, 10_000], settings)
-    return F.when((area >= 200) & (exchange >= 200), _with(new, written))
+    return replace
 
 
 KINDS = (
@@ -306,7 +317,8 @@ KINDS = (
     ("date", SLASH_DATE, _date("MM/dd/yyyy", "slash date")),
     ("ssn", SSN, _ssn),
     ("card", CARD, _card),
-    ("phone", PHONE, _phone),
+    ("phone", CLEAR_PHONE, _phone(0, "phone")),
+    ("phone", PHONE, _phone(200, "plan phone")),
 )
 
 
@@ -329,8 +341,8 @@ def _replacement(found, settings):
 def pseudonymised(docs, key=KEY, undo=False):
     """The documents with values in `text` replaced, and `kinds`, what was replaced in order."""
     settings = {"key": key, "undo": undo}
-    # Every form has an at sign or two digits.
-    present = F.coalesce(F.col("text").rlike("@|[0-9]{2}") & F.col("text").rlike(ANY), F.lit(False))
+    # Every form has an at sign, or two digits with a point between them at most.
+    present = F.coalesce(F.col("text").rlike(r"@|[0-9]\.?[0-9]") & F.col("text").rlike(ANY), F.lit(False))
     found = F.when(present, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     marked = docs.withColumn("_found", found)
     # A generator keeps the replacements from being worked out once per use.

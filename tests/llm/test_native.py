@@ -1,0 +1,247 @@
+"""Pseudonyms and quality rules: built-in functions only, against plain Python."""
+
+import random
+import re
+from collections import Counter
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagetide.llm import pseudonyms, quality_rules
+from pagetide.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def python_free(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return not re.search("Python|Pandas|InArrow|ArrowEval", plan)
+
+
+def texts_of(frame):
+    return [row.text for row in frame.orderBy("doc_id").collect()]
+
+
+def replaced(docs, texts, **settings):
+    frame = pseudonyms.pseudonymised(docs(texts), **settings)
+    assert python_free(frame)
+    return frame.orderBy("doc_id").collect()
+
+
+def luhn(digits):
+    total = 0
+    for at, digit in enumerate(reversed([int(c) for c in digits if c.isdigit()])):
+        double = digit * 2 - 9 * (digit > 4) if at % 2 else digit
+        total += double
+    return total % 10 == 0
+
+
+def iban(text):
+    plain = re.sub(" ", "", text)
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+VALUES = {
+    "email": ["jo.Doe99@mail.example.com", "a@b.co"],
+    "ip": ["192.168.0.1", "8.8.8.8", "255.255.255.255"],
+    "card": ["4041894974608795", "4041 8949 7460 8795", "4041-8949-7460-8795", "378282246310005"],
+    "phone": ["+1 (139) 555-2485", "(212) 555-0100", "212-555-0100", "1-212-555-0100"],
+    "ssn": ["123-45-6789", "899-99-9999"],
+    "date": ["2020-02-29", "29.02.2020", "12/31/1999", "1900-01-01"],
+    "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"],
+}
+RULES = {
+    "email": lambda t: t.endswith(("@mail.example.com", "@b.co")),
+    "ip": lambda t: all(0 <= int(p) < 256 for p in t.split(".")),
+    "card": luhn,
+    "phone": lambda t: "(" in t or re.fullmatch(r"1?[2-9]\d\d[2-9]\d{6}", re.sub(r"\D", "", t)),
+    "ssn": lambda t: t[:3] not in ("000", "666") and t[:3] < "900" and t[4:6] != "00" and t[7:] != "0000",
+    "date": lambda t: any(valid_date(t, form) for form in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y")),
+    "iban": iban,
+}
+
+
+def valid_date(text, form):
+    from datetime import datetime
+
+    try:
+        return datetime.strptime(text, form)
+    except ValueError:
+        return None
+
+
+def shape(text):
+    return re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "0", text)))
+
+
+@pytest.mark.parametrize("kind", list(VALUES))
+def test_values_keep_their_format_and_rule(docs, kind):
+    rows = replaced(docs, [f"see {value}, and {value}." for value in VALUES[kind]])
+    for value, row in zip(VALUES[kind], rows):
+        assert list(row.kinds) == [kind, kind]
+        new = re.fullmatch("see (.*), and (.*)\\.", row.text)
+        assert new[1] == new[2] != value
+        assert RULES[kind](new[1])
+        if kind == "iban":
+            assert new[1][:2] == value[:2] and shape(new[1]) == shape(value)
+        elif kind != "ip":
+            assert shape(new[1]) == shape(value)
+
+
+def test_what_fails_its_rule_is_left_alone(docs):
+    texts = [
+        "4041894974608796", "0000000000000000", "256.1.1.1", "1.2.3.4.5", "01.2.3.4", "2021-02-29",
+        "31.04.2020", "13/13/2000", "000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567",
+        "112-555-0100", "212-155-0100", "DE89370400440532013001", "12345", "a@b", "x1234-56-7890",
+        "1850-01-01", "version 2.10.3", "4041894974608795x",
+    ]
+    rows = replaced(docs, texts)
+    assert [row.text for row in rows] == texts
+    assert all(row.kinds == [] for row in rows)
+
+
+def test_a_key_undoes_its_pseudonyms(docs):
+    texts = [f"{a} | {b}" for a in sum(VALUES.values(), []) for b in ("x", "8.8.8.8")]
+    frame = pseudonyms.pseudonymised(docs(texts), "k1")
+    other = pseudonyms.pseudonymised(docs(texts), "k2")
+    assert texts_of(frame) != texts_of(other)
+    assert texts_of(pseudonyms.pseudonymised(frame, "k1", undo=True)) == texts
+
+
+def test_pseudonyms_are_a_permutation(docs):
+    days = [str(date(2019, 1, 1) + timedelta(days=n)) for n in range(1500)]
+    new = texts_of(pseudonyms.pseudonymised(docs(days)))
+    assert len(set(new)) == len(days)
+    addresses = [f"10.0.{a}.{b}" for a in range(8) for b in range(64)]
+    assert len(set(texts_of(pseudonyms.pseudonymised(docs(addresses))))) == len(addresses)
+
+
+def test_pseudonyms_of_odd_documents(docs, clashing):
+    texts = [None, "", "nothing", "8.8.8.8", "8.8.8.8", "é 8.8.8.8 " * 3000]
+    frame = clashing(docs(texts, [0, 1, 2, 3, 3, None]))
+    found = pseudonyms.pseudonymised_documents(frame)
+    assert found.columns == frame.columns
+    rows = found.collect()
+    assert sorted((r.text or "")[:7] for r in rows).count("") == 2 and len(rows) == 6
+    copies = [r.text for r in rows if r.doc_id == 3]
+    assert copies[0] == copies[1] != "8.8.8.8"
+    assert all(r.n_chars == len(r.text or "") for r in rows)
+    assert pseudonyms.pseudonymised(docs([])).collect() == []
+
+
+def test_pseudonyms_of_the_table(spark):
+    table = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    known = re.compile(r"[\w.]+@[\w.]+\.com|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d+\.\d+\.\d+\.\d+\b")
+    rows = QUERIES["op8_pseudonyms"](spark, FOLDER).collect()
+    links = {}
+    assert len(rows) == len(table)
+    for row in rows:
+        before, after = known.findall(table[row.doc_id]), known.findall(row.text)
+        assert len(before) == len(after)
+        # Sixteen digits that fail Luhn are nobody's card.
+        cards = [bool(re.fullmatch(r"\d{16}", old)) for old in before]
+        valid = [not card or luhn(old) for card, old in zip(cards, before)]
+        assert row.n_values == sum(valid)
+        assert known.sub("#", table[row.doc_id]) == known.sub("#", row.text)
+        for old, new, changes in zip(before, after, valid):
+            assert (old != new) == changes
+            assert not changes or links.setdefault(old, new) == new
+    assert links and len(set(links.values())) == len(links)
+
+
+# Quality rules.
+
+
+def brute_counts(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen = Counter(windows)
+    covered = {at + k for at, window in enumerate(windows) if seen[window] > 1 for k in range(5)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)), len(covered),
+    )
+
+
+def base_failed(counts):
+    return counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
+
+
+def odd_texts():
+    pick = random.Random(4)
+    made = [None, "", " \n\t", "a b c d", "a b c d e", "a b c d e a b c d e", "x " * 5000, "é\xa0y # *"]
+    for _ in range(60):
+        words = [pick.choice("abc") for _ in range(pick.randrange(40))]
+        made.append("".join(w + pick.choice([" ", "\n", "\t", "  ", "\r\n", "\x1f"]) for w in words))
+    return made
+
+
+def test_counts_of_odd_documents(docs, clashing):
+    texts = odd_texts()
+    frame = clashing(docs(texts))
+    counted = quality_rules.with_statistics(frame.select("doc_id", "text"))
+    assert python_free(counted)
+    found = {row.doc_id: tuple(row[name] for name in quality_rules.BASE) for row in counted.collect()}
+    assert found == {at: brute_counts(text) for at, text in enumerate(texts)}
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+
+
+def test_rules_of_the_table(spark):
+    folder = "/root/testdata/sf0.01"
+    table = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op10_quality_rules"](spark, folder).collect()
+    assert len(rows) == len(table)
+    for row in rows:
+        counts = brute_counts(table[row.doc_id])
+        assert tuple(row[name] for name in quality_rules.BASE) == counts
+        assert row.base_failed == base_failed(counts)
+        assert row.kept == (not row.base_failed and row.rejected_by is None)
+
+
+def test_rules_hold_on_documents_that_they_were_not_learned_from(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)) == 0
+    verdicts = quality_rules.judged(docs, labels.filter(~held_out))
+    found = verdicts.join(labels.filter(held_out), "doc_id").filter("not base_failed")
+    counts = {(r.quality, r.kept): r["count"] for r in found.groupBy("quality", "kept").count().collect()}
+    bad, good = counts.get((0, False), 0), counts.get((1, True), 0)
+    assert bad > 0.9 * (bad + counts.get((0, True), 0))
+    assert good > 0.99 * (good + counts.get((1, False), 0))
+
+
+def test_rules_from_planted_thresholds(spark):
+    """Two rules that need different measures, and noise that is no rule."""
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"),
+    )
+    bad = ((F.col("a") > 0.9) & (F.col("b") > 0.5)) | (F.col("c") <= 0.05)
+    rules = quality_rules.learn(rows.withColumn("bad", bad.cast("int")), ["a", "b", "c"])
+    known = {name: F.col(name) for name in "abc"}
+    verdict = quality_rules.rejecting_rule(rules, known).isNotNull()
+    agree = rows.filter(verdict == bad).count()
+    assert 2 <= len(rules) <= 5 and agree > 0.95 * 6000
+
+
+def test_no_labels_no_rules(spark, docs):
+    frame = docs(["a b c d e f g h i j k l", "x y", None, "#" * 30])
+    for rows in ([], [(0, 1, 0), (None, 0, 0), (1, None, 0)], [(0, 0, 0)]):
+        found = quality_rules.judged(frame, labelled(spark, rows)).orderBy("doc_id").collect()
+        assert [row.kept for row in found] == [True, False, False, False]
+        assert all(row.rejected_by is None for row in found)
+    assert quality_rules.judged(docs([]), labelled(spark, [(0, 0, 0)])).collect() == []
+
+
+def test_kept_documents_keep_their_columns(spark, docs, clashing):
+    frame = clashing(docs(["a b c d e f g h i j k l"] * 2 + ["x y"], [0, 0, 1]))
+    kept = quality_rules.kept_documents(frame, labelled(spark, [(0, 1, 0)]))
+    assert kept.columns == frame.columns and [row.doc_id for row in kept.collect()] == [0, 0]
+    assert python_free(kept)
