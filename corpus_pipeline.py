@@ -6,7 +6,7 @@ of `documents`; the last one returns the packed pieces.
 
 from pagetide.llm import exact_dedup, near_dedup, packing, pseudonyms, quality_rules
 from pagetide.llm.tables import documents, stored
-from pagetide.session import utc
+from pagetide.session import query_run, utc
 
 
 def quality(spark, docs, sf_dir):
@@ -48,7 +48,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = documents(utc(spark), sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with query_run(spark, "pipeline"):
+        docs = documents(utc(spark), sf_dir)
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        return STAGES[-1][1](spark, docs, sf_dir)

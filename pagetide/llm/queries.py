@@ -1,5 +1,7 @@
 """The registered queries of this package, with SQL where SQL can say the same."""
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
 from pagetide.llm import (
@@ -15,47 +17,68 @@ from pagetide.llm import (
     transcripts,
 )
 from pagetide.llm.tables import documents
-from pagetide.session import scratch_folder, utc
+from pagetide.session import query_run, scratch_folder, utc
+
+
+QUERIES = {}
+
+
+def query(function):
+    @wraps(function)
+    def run(spark, folder):
+        with query_run(spark, function.__name__):
+            return function(utc(spark), folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
 def op1_pack_documents(spark, folder):
-    return packing.pack(documents(utc(spark), folder))
+    return packing.pack(documents(spark, folder))
 
 
+@query
 def op2_token_files(spark, folder):
-    out = scratch_folder(utc(spark), "token-files")
+    out = scratch_folder(spark, "token-files")
     token_files.write(documents(spark, folder), out)
     return token_files.read_index(spark, out)
 
 
+@query
 def op3_shard_documents(spark, folder):
-    rows = documents(utc(spark), folder).select("doc_id")
+    rows = documents(spark, folder).select("doc_id")
     return sharding.place(rows, F.col("doc_id")).select("doc_id", "slot", "shard")
 
 
+@query
 def op4_byte_bpe(spark, folder):
-    return bpe.digests(documents(utc(spark), folder))
+    return bpe.digests(documents(spark, folder))
 
 
+@query
 def op5_exact_dedup(spark, folder):
-    return exact_dedup.dedup(*exact_dedup.halves(documents(utc(spark), folder)))
+    return exact_dedup.dedup(*exact_dedup.halves(documents(spark, folder)))
 
 
+@query
 def op6_near_dedup(spark, folder):
-    return near_dedup.near_duplicates(documents(utc(spark), folder))
+    return near_dedup.near_duplicates(documents(spark, folder))
 
 
+@query
 def op7_cross_entropy(spark, folder):
-    rows = documents(utc(spark), folder)
+    rows = documents(spark, folder)
     return lm_score.cross_entropy_difference(rows, _table(spark, folder, "labels"))
 
 
+@query
 def op8_pseudonyms(spark, folder):
-    rows = pseudonyms.pseudonymised(documents(utc(spark), folder))
+    rows = pseudonyms.pseudonymised(documents(spark, folder))
     return rows.select(
         "doc_id",
         F.size("kinds").cast("bigint").alias("n_values"),
@@ -64,31 +87,17 @@ def op8_pseudonyms(spark, folder):
     )
 
 
+@query
 def op9_chat_turns(spark, folder):
-    return transcripts.chat_turns(_table(utc(spark), folder, "conversations"))
+    return transcripts.chat_turns(_table(spark, folder, "conversations"))
 
 
+@query
 def op10_quality_rules(spark, folder):
-    rows = quality_rules.judged(documents(utc(spark), folder), _table(spark, folder, "labels"))
+    rows = quality_rules.judged(documents(spark, folder), _table(spark, folder, "labels"))
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "rejected_by", "kept")
 
 
-QUERIES = {
-    function.__name__: function
-    for function in (
-        op1_pack_documents,
-        op2_token_files,
-        op3_shard_documents,
-        op4_byte_bpe,
-        op5_exact_dedup,
-        op6_near_dedup,
-        op7_cross_entropy,
-        op8_pseudonyms,
-        op9_chat_turns,
-        op10_quality_rules,
-    )
-}
-
 ORACLE = {
     "op3_shard_documents": f"""
         WITH RECURSIVE

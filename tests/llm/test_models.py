@@ -1,0 +1,213 @@
+"""Language model scores and transcripts against plain Python."""
+
+from collections import Counter, defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from pagetide.llm import lm_score, transcripts
+from pagetide.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def symbols_of(text):
+    return [int(lm_score.SYMBOL_OF[byte]) for byte in (text or "").encode()]
+
+
+def brute_counts(texts):
+    found = Counter()
+    for text in texts:
+        padded = [0] * (lm_score.ORDER - 1) + symbols_of(text)
+        for at in range(len(padded) - lm_score.ORDER + 1):
+            found[tuple(padded[at : at + lm_score.ORDER])] += 1
+    return found
+
+
+def brute_loss(counts, scale):
+    """Bits of a symbol after its context, by the interpolation in plain terms."""
+    by_length = []
+    for length in range(lm_score.ORDER):
+        grams, contexts = defaultdict(float), defaultdict(float)
+        for gram, count in counts.items():
+            grams[gram[lm_score.ORDER - 1 - length :]] += count * scale
+            contexts[gram[lm_score.ORDER - 1 - length : -1]] += count * scale
+        by_length.append((grams, contexts))
+
+    def loss(gram):
+        chance = 1 / lm_score.SYMBOLS
+        for length, (grams, contexts) in enumerate(by_length):
+            part = gram[lm_score.ORDER - 1 - length :]
+            mass = lm_score.SMOOTHING
+            chance = (grams[part] + mass * chance) / (contexts[part[:-1]] + mass)
+        return -np.log2(chance)
+
+    return loss
+
+
+def check_scores(rows, table, target_ids):
+    target = brute_counts([text for doc_id, text in table if doc_id in target_ids])
+    background = brute_counts([text for _, text in table])
+    scale = sum(target.values()) / max(1, sum(background.values()))
+    losses = brute_loss(target, 1.0), brute_loss(background, scale)
+    texts = defaultdict(list)
+    for doc_id, text in table:
+        texts[doc_id].append(text)
+    assert len(rows) == len(table)
+    for row in rows:
+        text = texts[row.doc_id][0]
+        padded = [0] * (lm_score.ORDER - 1) + symbols_of(text)
+        grams = [tuple(padded[i : i + lm_score.ORDER]) for i in range(len(padded) - lm_score.ORDER + 1)]
+        assert row.n_symbols == len(grams)
+        want = [sum(map(loss, grams)) / max(1, len(grams)) for loss in losses]
+        np.testing.assert_allclose([row.target_loss, row.background_loss], want, rtol=1e-4, atol=1e-6)
+        assert row.difference == row.target_loss - row.background_loss
+
+
+def test_scores_of_odd_documents(spark, docs, clashing):
+    table = [(0, "good words here"), (1, "BAD #### 123"), (2, None), (3, ""), (None, "é words"),
+             (4, "good words here too"), (4, "good words here too"), (5, "日本" * 500)]
+    frame = clashing(docs([t for _, t in table], [i for i, _ in table]))
+    labels = spark.createDataFrame(
+        [(0, 1, 0), (4, 1, 0), (5, 1, 1), (1, 0, 0), (None, 1, 0), (3, None, 0)],
+        "doc_id bigint, quality int, toxic int",
+    )
+    rows = lm_score.cross_entropy_difference(frame, labels).collect()
+    check_scores(rows, table, {0, 4})
+    by_id = {row.doc_id: row.difference for row in rows}
+    assert by_id[0] < by_id[1] and by_id[2] == by_id[3] == 0
+
+
+def test_without_target_documents_nothing_differs(spark, docs):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    rows = lm_score.cross_entropy_difference(docs(["a b", "c"]), labels).collect()
+    assert [row.difference for row in rows] == [0, 0]
+    assert lm_score.cross_entropy_difference(docs([]), labels).collect() == []
+
+
+def test_scores_of_the_table(spark):
+    rows = QUERIES["op7_cross_entropy"](spark, FOLDER).collect()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
+    good = {r.doc_id for r in labels if r.quality == 1 and r.toxic == 0}
+    check_scores(rows, [(r.doc_id, r.text) for r in docs], good)
+
+
+def test_probabilities_sum_to_one():
+    counts = np.zeros(lm_score.CELLS)
+    counts[::977] = 3
+    chances = 2.0 ** -lm_score.losses(counts).astype(np.float64)
+    np.testing.assert_allclose(chances.reshape(-1, lm_score.SYMBOLS).sum(axis=1), 1, rtol=1e-4)
+
+
+# Transcripts.
+
+
+def conversations(spark, rows):
+    return spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, role string, text string, state string, part int"
+    )
+
+
+def brute_turns(lines, model):
+    """Each conversation decoded on its own, in one go."""
+    by_conversation = defaultdict(list)
+    for row in lines:
+        by_conversation[row.conv_id].append(row)
+    found = {}
+    for conv_id, rows in by_conversation.items():
+        rows.sort(key=lambda r: (r.position, r.tie, r.line_no))
+        path = transcripts.viterbi([r.symbol for r in rows], model)
+        found[conv_id] = (path_score(path, rows, model), len(rows))
+    return found
+
+
+def path_score(path, rows, model):
+    first, steps, shown = model
+    score = first[path[0]] + sum(steps[a, b] for a, b in zip(path, path[1:]))
+    return score + sum(shown[state, row.symbol] for state, row in zip(path, rows))
+
+
+def check_parse(parsed, model):
+    rows = parsed.collect()
+    best = brute_turns(rows, model)
+    own = defaultdict(list)
+    for row in rows:
+        own[row.conv_id].append(row)
+    for conv_id, lines in own.items():
+        lines.sort(key=lambda r: (r.position, r.tie, r.line_no))
+        states = [row.state for row in lines]
+        score, count = best[conv_id]
+        assert len(lines) == count
+        assert abs(path_score(states, lines, model) - score) < 1e-6
+        assert [row.turn for row in lines] == transcripts._turns(np.array(states)).tolist()
+
+
+def test_one_long_conversation_is_spread_and_decoded_right(spark):
+    """Most lines are of one conversation, so that it goes over several tasks."""
+    table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    lines = transcripts.transcript_lines(table).cache()
+    model = transcripts.train(lines)
+    merged = lines.withColumn(
+        "conv_id", F.when(F.col("conv_id") % 5 == 0, F.col("conv_id")).otherwise(-7)
+    ).withColumn("position", F.col("position") + 1000 * F.pmod("tie", F.lit(97)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parsed = transcripts.parse(merged, model).cache()
+        assert parsed.filter("conv_id = -7").select("part").distinct().count() > 1
+        check_parse(parsed, model)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_roles_of_unseen_conversations(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    lines = transcripts.transcript_lines(table).cache()
+    model = transcripts.train(lines.filter("conv_id % 2 = 0"))
+    parsed = transcripts.parse(lines.filter("conv_id % 2 = 1"), model)
+    keys = ["conv_id", "position", "tie", "line_no"]
+    names = F.array(*[F.lit(role) for role, _ in transcripts.STATES])
+    found = parsed.join(lines.select(*keys, "role"), keys).withColumn(
+        "right", F.element_at(names, F.col("state") + 1) == F.col("role")
+    )
+    assert found.agg(F.avg(F.col("right").cast("double"))).first()[0] > 0.9
+
+
+def test_transcripts_of_odd_conversations(spark):
+    rows = [
+        (1, 0, "user", "Hi?", "s", 1), (1, 1, "assistant", "Hello\nthere", "s", 1),
+        (1, 1, "assistant", "Hello\nthere", "s", 1), (1, 1, "tool", "42", "s", 1),
+        (2, None, "user", None, "s", 1), (2, 0, None, "", "s", 1), (None, 0, "system", "Be kind.", "s", 1),
+        (3, 5, "user", "x" * 100_000, "s", 1),
+    ]
+    turns = transcripts.chat_turns(conversations(spark, rows)).collect()
+    assert {row.conv_id for row in turns} == {1, 2, 3, None}
+    for row in turns:
+        assert row.rendered.startswith(f"<|{row.role}|>\n") and row.rendered.endswith("\n<|end|>")
+    assert sum(row.n_lines for row in turns) == 8
+    assert transcripts.chat_turns(conversations(spark, [])).collect() == []
+
+
+def test_markers_are_found_and_stripped(spark):
+    cases = [
+        ("User: hi", 1, "hi"), ("[Human]: hi", 1, "hi"), ("Bot> yes", 2, "yes"),
+        ("### Assistant: ok", 2, "ok"), ("System: be", 0, "be"), ("Note: this", None, "Note: this"),
+        ("plain text", -1, "plain text"), ("", -1, ""),
+    ]
+    frame = spark.createDataFrame([(line,) for line, _, _ in cases], "line string")
+    size = (len(transcripts._LENGTHS) + 1) * 2
+    rows = frame.select(
+        "line", transcripts.symbol(F.col("line")).alias("symbol"), transcripts.content(F.col("line")).alias("rest")
+    ).collect()
+    for row, (line, role, rest) in zip(rows, cases):
+        mark = row.symbol // size
+        assert row.rest == rest
+        assert mark == (transcripts._MARKS - 1 if role is None else role + 1)
+
+
+def test_turns_of_the_table(spark):
+    rows = QUERIES["op9_chat_turns"](spark, FOLDER).collect()
+    table = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+    lines = sum(row.text.count("\n") + 1 for row in table.collect())
+    assert sum(row.n_lines for row in rows) == lines
+    assert {row.conv_id for row in rows} == {row.conv_id for row in table.collect()}
