@@ -35,20 +35,22 @@ from pagetide.llm.tables import stored, texts
 
 PERCENT = 85
 BANDS, ROWS = 30, 6
-BATCH, BATCHES = 32, 4
+# Of each minimum a sketch keeps the last byte, so that minima that differ match by a chance of 1/256.
+BATCH, BATCHES = 32, 16
+HASHES = BATCH * BATCHES
 MISS = 1e-7
 # A bucket of at most so many classes is compared at once.
-SMALL = 64
+SMALL = 1024
 LEVELS = 3
 # Ids of documents to verify are broadcast up to this number, 8 bytes each, and joined beyond it.
 MOST_BROADCAST = 500_000
 
-_CHUNK = 1 << 13
+_CHUNK = 1 << 11
 
 
 def _parameters():
     random = np.random.default_rng(20240229)
-    values = random.integers(0, 1 << 32, (2, BANDS * ROWS, 1), dtype=np.uint64).astype(np.uint32)
+    values = random.integers(0, 1 << 32, (2, HASHES, 1), dtype=np.uint64).astype(np.uint32)
     return values[0] | np.uint32(1), values[1]
 
 
@@ -58,7 +60,7 @@ _FACTORS, _TERMS = _parameters()
 def signature(shingles):
     """The minimum of each hash function over the set, a bounded part of it at a time."""
     halves = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     for start in range(0, len(halves), _CHUNK):
         part = halves[start : start + _CHUNK] * _FACTORS + _TERMS
         np.minimum(least, part.min(axis=1), out=least)
@@ -67,7 +69,8 @@ def signature(shingles):
 
 def band_hashes(signatures):
     """A 64-bit hash per band and row of a matrix of signatures; it depends on the band's place."""
-    by_band = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    banded = signatures[:, : BANDS * ROWS].astype(np.uint64)
+    by_band = banded.reshape(len(signatures), BANDS, ROWS)
     found = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(signatures), BANDS))
     for at in range(ROWS):
         found = mixed(found + by_band[:, :, at])
@@ -77,10 +80,11 @@ def band_hashes(signatures):
 def least_matches(percent=PERCENT, miss=MISS):
     """Per batch: the fewest matches so far with which a pair goes on.
 
-    With a uniform prior, `m` of `n` matches leave a similarity of at least t with the probability
-    that a binomial of n + 1 trials and chance t is at most m.
+    With a uniform prior, `m` of `n` matches leave a chance of a match of at least t with the
+    probability that a binomial of n + 1 trials and chance t is at most m.
     """
-    chance, found = percent / 100, []
+    similarity, found = percent / 100, []
+    chance = similarity + (1 - similarity) / 256
     for batch in range(1, BATCHES + 1):
         trials, total, matches = batch * BATCH + 1, 0.0, -1
         while total < miss:
@@ -100,10 +104,19 @@ def survivors(left, right, bounds):
     return live
 
 
+def _values(column):
+    """The values of a binary column one after the other, without a copy, and where each starts."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    _, offsets, data = column.buffers()
+    starts = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data or b"", np.uint8), starts
+
+
 def _sketches(column):
-    width = BATCH * BATCHES
-    joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, np.uint16).reshape(-1, width)
+    if not len(column):
+        return np.zeros((0, HASHES), np.uint8)
+    data, starts = _values(column)
+    return data[starts[0] : starts[-1]].reshape(-1, HASHES)
 
 
 # Reading the documents.
@@ -125,8 +138,8 @@ def _summarise(batches):
         sets = [shingle_hashes(word_hashes(raw)) for raw in batch.column(1).to_pylist()]
         full = [at for at, one in enumerate(sets) if len(one)]
         signatures = np.array([signature(sets[at]) for at in full], np.uint32)
-        signatures = signatures.reshape(len(full), BANDS * ROWS)
-        sketches = signatures[:, : BATCH * BATCHES].astype(np.uint16)
+        signatures = signatures.reshape(len(full), HASHES)
+        sketches = signatures.astype(np.uint8)
         bands = band_hashes(signatures)
         digests, sketch, band = [None] * count, [None] * count, [None] * count
         for place, at in enumerate(full):
@@ -321,11 +334,15 @@ def similar(left, right, percent=PERCENT):
 def _confirm(percent):
     def run(batches):
         for batch in batches:
-            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            (left, left_at), (right, right_at) = (_values(batch.column(at)) for at in (2, 3))
             kept = [
                 at
-                for at, (left, right) in enumerate(pairs)
-                if similar(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent)
+                for at in range(batch.num_rows)
+                if similar(
+                    left[left_at[at] : left_at[at + 1]].view(np.uint64),
+                    right[right_at[at] : right_at[at + 1]].view(np.uint64),
+                    percent,
+                )
             ]
             yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
