@@ -22,6 +22,8 @@ from pagetide.llm.tables import stored, texts
 
 BUCKET_DIGESTS = 4096
 GROUP = 4
+# Displacements of a group that are tried at once.
+TRIES = 256
 DIGEST = 32
 
 INDEX = "bucket bigint, digests binary, displacements binary, winners binary, copies binary"
@@ -58,7 +60,11 @@ def _slots(words, displacements, size):
     """The slot of each digest, from the displacement of its group."""
     group, first, second = words
     moved = displacements[(group % np.uint64(len(displacements))).astype(np.int64)]
-    mixed = first + moved.astype(np.uint64) * (second | np.uint64(1))
+    return _moved(first, second, moved.astype(np.uint64), size)
+
+
+def _moved(first, second, displacement, size):
+    mixed = first + displacement * (second | np.uint64(1))
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     return ((mixed >> np.uint64(24)) % np.uint64(size)).astype(np.int64)
@@ -70,20 +76,17 @@ def build_bucket(digests):
     size = len(words[0])
     groups = max(1, -(-size // GROUP))
     number = (words[0] % np.uint64(groups)).astype(np.int64)
-    members = np.split(np.argsort(number, kind="stable"), np.cumsum(np.bincount(number, minlength=groups))[:-1])
+    ends = np.cumsum(np.bincount(number, minlength=groups))[:-1]
+    members = np.split(np.argsort(number, kind="stable"), ends)
     displacements, taken = np.zeros(groups, np.int32), np.zeros(size, bool)
-    tries = 256
     for group in sorted(range(groups), key=lambda at: -len(members[at])):
         at = members[group]
         if not len(at):
             continue
         base = 0
         while True:
-            moved = np.arange(base, base + tries, dtype=np.uint64)[:, None]
-            mixed = words[1][at] + moved * (words[2][at] | np.uint64(1))
-            mixed ^= mixed >> np.uint64(29)
-            mixed *= np.uint64(0xBF58476D1CE4E5B9)
-            slots = ((mixed >> np.uint64(24)) % np.uint64(size)).astype(np.int64)
+            moved = np.arange(base, base + TRIES, dtype=np.uint64)[:, None]
+            slots = _moved(words[1][at], words[2][at], moved, size)
             free = ~taken[slots].any(axis=1)
             if len(at) > 1:
                 ordered = np.sort(slots, axis=1)
@@ -93,12 +96,12 @@ def build_bucket(digests):
                 displacements[group] = base + found[0]
                 taken[slots[found[0]]] = True
                 break
-            base += tries
+            base += TRIES
     return displacements
 
 
 def _ids(column):
-    return column.fillna(NO_WINNER).to_numpy(np.int64) if column.isna().any() else column.to_numpy(np.int64)
+    return column.fillna(NO_WINNER).to_numpy(np.int64)
 
 
 def _joined(column):

@@ -27,11 +27,6 @@ TIERS = (1024, 512, 256, 128)
 BLOCK_TOKENS = 1 << 20
 STEP_TOKENS = 1 << 14
 
-SCHEMA = (
-    "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "sequence_id bigint, offset bigint, window_size int, step_group bigint"
-)
-
 
 class Pool:
     """Pieces by length. A bit per length finds the best fit at once."""
@@ -108,7 +103,7 @@ class Packer:
         self.groups = 0
 
     def add(self, doc_id, ids):
-        """`ids` are serialised, four bytes each. Returns finished pieces, often none."""
+        """`ids` are serialised, four bytes each. Returns finished windows, often none."""
         tokens, longest = len(ids) // 4, self.tiers[0]
         whole = tokens - tokens % longest
         doc = (doc_id, tokens, ids)
@@ -120,24 +115,19 @@ class Packer:
         return self._pack() if self.waiting >= self.block_tokens else []
 
     def _emit(self, windows, size):
+        """The windows as (sequence, size, step group, pieces)."""
         per_group = max(1, self.step_tokens // size)
         costs = [sum(piece[1] ** 2 for piece in window) for window in windows]
-        rows = []
-        for window, group in zip(windows, step_groups(costs, per_group)):
-            offset = 0
-            for start, length, (doc_id, tokens, ids) in window:
-                crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                rows.append(
-                    (doc_id, start, length, crc, tokens, self.sequences, offset, size,
-                     self.groups + group)
-                )
-                offset += length
-            self.sequences += 1
+        made = [
+            (self.sequences + at, size, self.groups + group, window)
+            for at, (window, group) in enumerate(zip(windows, step_groups(costs, per_group)))
+        ]
+        self.sequences += len(windows)
         self.groups += -(-len(windows) // per_group)
-        return rows
+        return made
 
     def _pack(self):
-        rows = []
+        made = []
         for tier, size in enumerate(self.tiers):
             shorter = self.tiers[tier + 1] if tier + 1 < len(self.tiers) else 0
             windows, self.full = self.full, []
@@ -147,47 +137,112 @@ class Packer:
                 if window is None:
                     break
                 windows.append(window)
-            rows += self._emit(windows, size)
+            made += self._emit(windows, size)
         self.waiting = self.pool.tokens
-        return rows
+        return made
 
     def finish(self):
         """The rest, in windows that are powers of two and so need no padding."""
-        rows = self._pack()
+        made = self._pack()
         while self.pool.tokens:
             size = 1 << (min(self.pool.tokens, self.tiers[0]).bit_length() - 1)
-            rows += self._emit([fill(self.pool, size)], size)
-        return rows
-
+            made += self._emit([fill(self.pool, size)], size)
+        return made
+
+
+def _span(piece):
+    """The serialised ids of a piece, without a copy."""
+    start, length, (_, _, ids) = piece
+    return memoryview(ids)[4 * start : 4 * (start + length)]
+
+
+def _pieces(windows, base):
+    for sequence, size, group, window in windows:
+        offset = 0
+        for piece in window:
+            start, length, (doc_id, tokens, _) = piece
+            crc = zlib.crc32(_span(piece))
+            yield doc_id, start, length, crc, tokens, base + sequence, offset, size, base + group
+            offset += length
+
+
+def _sequences(windows, base):
+    for sequence, size, group, window in windows:
+        spans = [
+            {"doc_id": doc_id, "start": start, "length": length}
+            for start, length, (doc_id, _, _) in window
+        ]
+        yield base + sequence, size, base + group, spans, b"".join(map(_span, window))
+
+
+PIECES = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("start", pa.int64()),
+        ("length", pa.int64()),
+        ("ids_crc32", pa.int64()),
+        ("doc_tokens", pa.int64()),
+        ("sequence_id", pa.int64()),
+        ("offset", pa.int64()),
+        ("window_size", pa.int32()),
+        ("step_group", pa.int64()),
+    ]
+)
+SEQUENCES = pa.schema(
+    [
+        ("sequence_id", pa.int64()),
+        ("window_size", pa.int32()),
+        ("step_group", pa.int64()),
+        (
+            "spans",
+            pa.list_(
+                pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
+            ),
+        ),
+        ("ids", pa.binary()),
+    ]
+)
 
-def _pack_batches(path, settings, with_ids):
-    names = [part.split()[0] for part in SCHEMA.split(", ")]
-    kinds = [pa.int32() if name == "window_size" else pa.int64() for name in names]
 
-    def pack(batches):
+def _batches(path, settings, rows_of, schema):
+    def run(batches):
+        # Numbers are unique over tasks, and the same when a task is run again.
         base = TaskContext.get().partitionId() << 33
         encode, packer = encoder(path), Packer(**settings)
 
-        def batch(rows):
-            columns = [list(column) for column in zip(*rows)] if rows else [[] for _ in names]
-            for name in ("sequence_id", "step_group"):
-                at = names.index(name)
-                columns[at] = [base + number for number in columns[at]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(columns, kinds)], names=names
-            )
+        def batch(windows):
+            rows = list(rows_of(windows, base))
+            columns = zip(*rows) if rows else [[] for _ in schema]
+            arrays = [pa.array(list(column), field.type) for column, field in zip(columns, schema)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for incoming in batches:
             for doc_id, text in zip(*(column.to_pylist() for column in incoming.columns)):
-                if rows := packer.add(doc_id, encode.document(text)):
-                    yield batch(rows)
+                if windows := packer.add(doc_id, encode.document(text)):
+                    yield batch(windows)
         yield batch(packer.finish())
 
-    return pack
+    return run
 
 
-def pack(docs, path=None, tiers=TIERS, block_tokens=BLOCK_TOKENS, step_tokens=STEP_TOKENS):
-    """One row per piece. Tiers are powers of two; the first is the longest sequence."""
+def _packed(docs, rows_of, schema, ddl, path, settings):
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    settings = {"tiers": tiers, "block_tokens": block_tokens, "step_tokens": step_tokens}
-    return texts(docs).mapInArrow(_pack_batches(path, settings, False), SCHEMA)
+    return texts(docs).mapInArrow(_batches(path, settings, rows_of, schema), ddl)
+
+
+def pack(docs, path=None, **settings):
+    """One row per piece. `settings` are `tiers`, powers of two, `block_tokens` and `step_tokens`."""
+    ddl = (
+        "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "sequence_id bigint, offset bigint, window_size int, step_group bigint"
+    )
+    return _packed(docs, _pieces, PIECES, ddl, path, settings)
+
+
+def pack_sequences(docs, path=None, **settings):
+    """One row per sequence: its ids, four bytes each, and the spans of documents in it."""
+    ddl = (
+        "sequence_id bigint, window_size int, step_group bigint, "
+        "spans array<struct<doc_id:bigint,start:bigint,length:bigint>>, ids binary"
+    )
+    return _packed(docs, _sequences, SEQUENCES, ddl, path, settings)

@@ -313,7 +313,8 @@ def _opening():
 
 def rendered(parsed):
     """A row per turn: its role, its number of lines, and its canonical text."""
-    lines = F.array_sort(F.collect_list(F.struct("position", "tie", "line_no", content(F.col("line")).alias("line"))))
+    line = F.struct("position", "tie", "line_no", content(F.col("line")).alias("line"))
+    lines = F.array_sort(F.collect_list(line))
     role = F.element_at(F.array(*[F.lit(role) for role, _ in STATES]), F.min("state") + 1)
     turns = parsed.groupBy("conv_id", "turn").agg(role.alias("role"), lines.alias("lines"))
     text = F.trim(F.array_join(F.transform("lines", lambda one: one["line"]), "\n"))
@@ -322,7 +323,7 @@ def rendered(parsed):
         "turn",
         "role",
         F.size("lines").cast("bigint").alias("n_lines"),
-        F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"),
+        F.concat(F.lit("<|"), "role", F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"),
     )
 
 

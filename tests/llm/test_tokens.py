@@ -109,9 +109,22 @@ def test_gaps_are_filled_by_whole_pieces_of_shorter_tiers():
     packer.add("long", bytes(4 * 900))
     packer.add("short", bytes(4 * 124))
     packer.add("tiny", bytes(4 * 3))
-    rows = packer.finish()
-    first = [row for row in rows if row[5] == 0]
-    assert [(row[0], row[2]) for row in first] == [("long", 900), ("short", 124)]
+    first = packer.finish()[0]
+    assert [(piece[2][0], piece[1]) for piece in first[3]] == [("long", 900), ("short", 124)]
+
+
+def test_sequences_hold_the_ids_of_their_spans(docs, reference):
+    rows = packing.pack_sequences(docs(ODD), tiers=(64, 16), block_tokens=100).collect()
+    texts = dict(enumerate(ODD))
+    tokens = 0
+    for row in rows:
+        want = b""
+        for span in row.spans:
+            ids = [*reference(texts[span.doc_id]), 0]
+            want += serial(ids[span.start : span.start + span.length])
+        assert bytes(row.ids) == want and len(want) <= 4 * row.window_size <= 256
+        tokens += len(want) // 4
+    assert tokens == sum(len(reference(text)) + 1 for text in ODD)
 
 
 def test_step_groups_are_even():
