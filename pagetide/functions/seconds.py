@@ -26,13 +26,11 @@ def distinct_seconds(rows, time, others):
     minutes = rows.groupBy(F.date_trunc("minute", time).alias("minute"), *others).agg(
         seconds_mask(F.col(time)).alias("seconds")
     )
-    second = F.col("second")
-    seen = F.call_function("shiftright", F.col("seconds"), second).bitwiseAND(F.lit(1)) == 1
+    set_bits = F.filter(
+        F.sequence(F.lit(0), F.lit(59)),
+        lambda second: F.call_function("getbit", F.col("seconds"), second) == 1,
+    )
     start = F.unix_timestamp("minute").alias("start")
-    return (
-        minutes.select(
-            start, *others, "seconds", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("second")
-        )
-        .filter(seen)
-        .select(F.timestamp_seconds(F.col("start") + second).alias(time), *others)
+    return minutes.select(start, *others, F.explode(set_bits).alias("second")).select(
+        F.timestamp_seconds(F.col("start") + F.col("second")).alias(time), *others
     )
