@@ -186,16 +186,26 @@ def classes(rows):
 
 
 def _shared(keyed):
-    """`key`, `node` and the bucket's centre, for keys with several nodes."""
-    centres = keyed.groupBy("key").agg(
-        F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")
-    )
-    return keyed.join(centres.filter("size > 1"), "key")
+    """`key`, `node` and the bucket's size, for keys with several nodes."""
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # Stored, so that Spark can split the rows of a hot key in the join.
+    return keyed.join(stored(sizes, "near-sizes"), "key")
 
 
 def _star_pairs(members):
-    """Each node with the one centre that it shares most buckets with."""
-    shared = members.filter("node <> centre").groupBy("node", "centre").count()
+    """Each node with one centre, the one of those of its buckets that it shares most buckets with.
+
+    The centre of a bucket is the node with the most neighbours in all its buckets. Among edited
+    copies that is one with few edits, and so one that most others are closest to.
+    """
+    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = members.join(degrees, "node").groupBy("key").agg(
+        F.max(F.struct("degree", (-F.col("node")).alias("lowest"))).alias("best")
+    )
+    centres = stored(ranked.select("key", (-F.col("best.lowest")).alias("centre")), "near-centres")
+    shared = (
+        members.join(centres, "key").filter("node <> centre").groupBy("node", "centre").count()
+    )
     best = F.max(F.struct("count", (-F.col("centre")).alias("lowest"))).alias("best")
     return shared.groupBy("node").agg(best).select(
         (-F.col("best.lowest")).alias("a"), F.col("node").alias("b")
@@ -223,10 +233,19 @@ def pruned(pairs, known, bounds):
     )
 
 
-def _compare_runs(bounds):
-    """Survivors among rows of equal keys, which follow each other, in different components."""
+def _bands(column):
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy().reshape(-1, BANDS)
+
+
+def _compare_runs(bounds, once):
+    """Survivors among rows of equal keys, which follow each other, in different components.
+
+    With `once`, keys are bands, and a pair is left to the first band that it shares.
+    """
 
     def compare(table):
+        bands = _bands(table.column(4)) if once else None
         keys, nodes, parts = (
             table.column(at).to_numpy() for at in (0, 1, 2)
         )
@@ -242,6 +261,9 @@ def _compare_runs(bounds):
             for start in range(0, len(differ), 1 << 14):
                 some = differ[start : start + (1 << 14)]
                 kept = some[survivors(sketches[some], sketches[some + step], bounds)]
+                if once and len(kept):
+                    first = (bands[kept] == bands[kept + step]).argmax(axis=1)
+                    kept = kept[bands[kept, first] == keys[kept]]
                 found_a.append(nodes[kept])
                 found_b.append(nodes[kept + step])
             step += 1
@@ -271,15 +293,20 @@ def _compare_runs(bounds):
     return run
 
 
-def _within(rows, known, bounds):
-    """Survivors inside buckets of `key`, `node` and `component`; each bucket is of bounded size."""
+def _within(rows, known, bounds, once=False):
+    """Survivors inside buckets of `key`, `node` and `component`; each bucket is of bounded size.
+
+    `once` is for keys that are bands: of the buckets that a pair shares, the first one reports it.
+    That bucket holds both of its classes and is open as long as they are in different components.
+    """
+    values = ["sketch", "bands"] if once else ["sketch"]
     return (
         rows.select("key", "node", "component")
-        .join(known.select("node", "sketch"), "node")
-        .select("key", "node", "component", "sketch")
+        .join(known.select("node", *values), "node")
+        .select("key", "node", "component", *values)
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(_compare_runs(bounds), "a bigint, b bigint")
+        .mapInArrow(_compare_runs(bounds, once), "a bigint, b bigint")
         .distinct()
     )
 
@@ -464,7 +491,8 @@ class _Search:
                 break
             self.link(pruned(_star_pairs(members), self.known, self.bounds))
             left = self.open_buckets(members)
-            self.link(_within(left.filter(F.col("size") <= SMALL), self.known, self.bounds))
+            small = left.filter(F.col("size") <= SMALL)
+            self.link(_within(small, self.known, self.bounds, once=level == 1))
             large = left.filter(F.col("size") > SMALL)
             if large.isEmpty():
                 break
