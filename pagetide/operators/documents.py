@@ -55,9 +55,13 @@ def _ends(spark, opening, closing):
     )
 
 
+def _labels(bounds):
+    """Labels of the window, worked out on the driver."""
+    return [moment.strftime("%H:%M") for moment in bounds]
+
+
 def _span(bounds):
-    """Labels of the window, on the driver, as the two JSON fields of a report."""
-    start, end = (moment.strftime("%H:%M") for moment in bounds)
+    start, end = _labels(bounds)
     return f'"time_start":"{start}","time_end":"{end}"'
 
 
@@ -142,13 +146,19 @@ def top_user_lines(rows, bounds):
     )
     tails = users.select(
         *_line(
-            F.concat(F.lit("],"), _field("pages_created", F.col("pages_created").cast("string")), F.lit("}")),
+            F.concat(
+                F.lit("],"),
+                _field("pages_created", F.col("pages_created").cast("string")),
+                F.lit("}"),
+            ),
             1,
             place,
             2,
         )
     )
-    firsts = users.select("rank", F.col("first_entry").alias("entry"), F.lit(True).alias("is_first"))
+    firsts = users.select(
+        "rank", F.col("first_entry").alias("entry"), F.lit(True).alias("is_first")
+    )
     titles = rows.filter("page_title is not null").join(firsts, ["rank", "entry"], "left")
     entries = titles.select(
         *_line(
@@ -171,13 +181,18 @@ def rows_path(out, name):
     return f"{out.rstrip('/')}/{name}/rows"
 
 
+def _labelled(rows, bounds):
+    start, end = _labels(bounds)
+    return rows.withColumns({"time_start": F.lit(start), "time_end": F.lit(end)})
+
+
 def _rows(name, domain_rows, user_rows, bounds, n, grain):
     if name == HOURLY_REPORT:
         return hourly_domain_stats(domain_rows, bounds, grain)
     if name == BOT_REPORT:
-        return bot_domain_stats(domain_rows, bounds, grain)
+        return _labelled(bot_domain_stats(domain_rows, bounds, grain), bounds)
     # A number per row tells equal titles of a user apart once the rows are written.
-    titles = top_user_titles(user_rows, bounds, n, grain)
+    titles = _labelled(top_user_titles(user_rows, bounds, n, grain), bounds)
     return titles.withColumn("entry", F.monotonically_increasing_id())
 
 
@@ -201,10 +216,6 @@ def publish(
         written = spark.read.schema(rows.schema).parquet(f"{new}/rows")
         # A global sort: the text of the part files, in order, is the document.
         _lines(name, written, bounds).orderBy(*_ORDER).select("value").write.text(f"{new}/document")
-        span = [(moment.strftime("%H:%M"),) for moment in bounds]
-        spark.createDataFrame(
-            [(span[0][0], span[1][0])], "time_start string, time_end string"
-        ).write.json(f"{new}/window")
         replace_folder(spark, new, f"{out.rstrip('/')}/{name}")
 
 
@@ -218,9 +229,4 @@ def read_report(spark, out, name):
             "domain",
             "pages_created",
         )
-    window = spark.read.schema("time_start string, time_end string").json(
-        f"{out.rstrip('/')}/{name}/window", mode="FAILFAST"
-    ).first()
-    return rows.withColumns(
-        {"time_start": F.lit(window.time_start), "time_end": F.lit(window.time_end)}
-    )
+    return rows.drop("entry")

@@ -40,7 +40,9 @@ def _decode(messages, schema, flatten, clean_time):
             _seq(whole["message"], schema, seq).alias("seq"),
             text.isNull().alias("absent"),
             (
-                whole["message"].isNull() | whole[_CORRUPT].isNotNull() | ~F.coalesce(alone, F.lit(False))
+                whole["message"].isNull()
+                | whole[_CORRUPT].isNotNull()
+                | ~F.coalesce(alone, F.lit(False))
             ).alias("unreadable"),
         ),
     )

@@ -231,6 +231,7 @@ WHERE created_by_bot AND {IN_WINDOW} GROUP BY domain"""
     ),
     "hourly_stream": _hourly(CLOSED.format(on_time="")),
     "hourly_stream_late": _hourly(
-        CLOSED.format(on_time=f" WHERE {ON_TIME}"), rows=f"SELECT DISTINCT time, domain, created_by_bot FROM pc WHERE {ON_TIME}"
+        CLOSED.format(on_time=f" WHERE {ON_TIME}"),
+        rows=f"SELECT DISTINCT time, domain, created_by_bot FROM pc WHERE {ON_TIME}",
     ),
 }

@@ -286,15 +286,17 @@ def user_pages_created_range(spark, folder):
 # Stored views and published reports
 
 
-def _stored(spark, folder, *names):
-    """The table in two batches, cut in the middle of the window."""
+def _stored(spark, folder, name, batches=1):
     root = scratch_folder(spark, "views")
-    for number, events in enumerate(_cut(page_creates(spark, folder))):
-        viewlog.write_batch(events, root, "first", number, names)
+    events = page_creates(spark, folder)
+    parts = _cut(events) if batches == 2 else [events]
+    for number, part in enumerate(parts):
+        viewlog.write_batch(part, root, "first", number, [name])
     return root
 
 
 def _cut(events, at="2024-01-16 07:30:00"):
+    """The events in two batches, cut in the middle of the window."""
     early = F.col("time") < F.lit(as_utc(at))
     return events.filter(early), events.filter(~early)
 
@@ -324,13 +326,14 @@ def top_users_document(spark, folder):
 @query
 def stored_hourly_events(spark, folder):
     """Every event of the window, counted in the stored log."""
-    rows = viewlog.scan(spark, _stored(spark, folder, views.EVENT_LOG), views.EVENT_LOG, WINDOW)
+    root = _stored(spark, folder, views.EVENT_LOG, batches=2)
+    rows = viewlog.scan(spark, root, views.EVENT_LOG, WINDOW)
     return _as_text(reports.hourly_domain_stats(rows, WINDOW, reports.EVENT), "hour")
 
 
 @query
 def stored_pages_created_range(spark, folder):
-    root = _stored(spark, folder, views.EVENT_LOG)
+    root = _stored(spark, folder, views.EVENT_LOG, batches=2)
     events = viewlog.read(spark, root, views.EVENT_LOG, DAY_RANGE)
     return lookups.user_pages_created_range(events, FIRST_DAY, LAST_DAY)
 
@@ -383,7 +386,8 @@ def _raw_stream(spark, folder, time="second"):
 @query
 def streamed_domain_page_stats(spark, folder):
     name = "domain_page_stats"
-    return _as_text(viewlog.read(spark, _streamed(spark, _raw_stream(spark, folder), name), name), "time")
+    root = _streamed(spark, _raw_stream(spark, folder), name)
+    return _as_text(viewlog.read(spark, root, name), "time")
 
 
 @query

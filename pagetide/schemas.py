@@ -23,9 +23,10 @@ BOT_REPORT = "bot_created_domain_stats"
 TOP_USERS_REPORT = "top_20_users"
 REPORT_ROWS = {
     HOURLY_REPORT: "hour timestamp, domain string, pages_created bigint",
-    BOT_REPORT: "domain string, created_by_bots bigint",
+    BOT_REPORT: "domain string, created_by_bots bigint, time_start string, time_end string",
     TOP_USERS_REPORT: (
-        "rank int, user_id bigint, username string, pages_created bigint, page_title string"
+        "rank int, user_id bigint, username string, pages_created bigint, page_title string, "
+        "time_start string, time_end string"
     ),
 }
 # End of fixed values.
