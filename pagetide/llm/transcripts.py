@@ -312,7 +312,10 @@ def _opening():
 
 
 def rendered(parsed):
-    """A row per turn: its role, its number of lines, and its canonical text."""
+    """A row per turn: its role, its number of lines, and its canonical text.
+
+    A turn is one text and so one row. Where turns may be longer than that, use the parsed lines.
+    """
     line = F.struct("position", "tie", "line_no", content(F.col("line")).alias("line"))
     lines = F.array_sort(F.collect_list(line))
     role = F.element_at(F.array(*[F.lit(role) for role, _ in STATES]), F.min("state") + 1)
@@ -329,5 +332,5 @@ def rendered(parsed):
 
 def chat_turns(conversations):
     """Transcripts of the conversations, parsed by a model that is learned from all of them."""
-    lines = transcript_lines(conversations)
+    lines = stored(transcript_lines(conversations), "transcripts")
     return rendered(parse(lines, train(lines)))
