@@ -142,22 +142,27 @@ def normalize(spark, args):
         if args.out
         else (jobs.start_normalize_to_kafka, args.servers)
     )
-    return start(messages, target, args.checkpoint, _trigger(args), rejects=args.rejects)
+    return [start(messages, target, args.checkpoint, _trigger(args), rejects=args.rejects)]
 
 
 def views(spark, args):
     quarantine = jobs.DROP if args.drop_bad else args.quarantine
-    return jobs.start_views(
-        _normalized(spark, args), args.root, args.run, args.checkpoint, quarantine, _trigger(args)
-    )
+    return [
+        jobs.start_views(
+            _normalized(spark, args), args.root, args.run, args.checkpoint, quarantine,
+            _trigger(args),
+        )
+    ]
 
 
 def hourly(spark, args):
-    messages, trigger = _normalized(spark, args), _trigger(args)
+    messages, trigger, started = _normalized(spark, args), _trigger(args), []
     if not args.drop_bad:
-        jobs.start_rejects(messages, args.quarantine, f"{args.checkpoint}-rejects", trigger)
+        rejects = f"{args.checkpoint}-rejects"
+        started.append(jobs.start_rejects(messages, args.quarantine, rejects, trigger))
     events = accepted(from_wire(messages))
-    return jobs.start_hourly(events, args.out, args.checkpoint, args.delay, trigger)
+    started.append(jobs.start_hourly(events, args.out, args.checkpoint, args.delay, trigger))
+    return started
 
 
 def reports(spark, args):
@@ -204,12 +209,14 @@ COMMANDS = {
 def main(argv=None):
     args = _arguments().parse_args(argv)
     spark = utc(SparkSession.builder.appName(f"pagetide-{args.command}").getOrCreate())
-    query = COMMANDS[args.command](spark, args)
-    if query is not None:
+    spark.streams.resetTerminated()
+    started = COMMANDS[args.command](spark, args) or []
+    while any(query.isActive for query in started):
+        # If one of two streams fails, so does the job.
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+    for query in started:
         query.awaitTermination()
-        # With --once a second stream, of rejects, may still have work.
-        for other in spark.streams.active:
-            other.awaitTermination()
 
 
 if __name__ == "__main__":

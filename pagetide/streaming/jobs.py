@@ -15,7 +15,12 @@ PROCESSED_TOPIC = "processed"
 # End of fixed values.
 REJECTED_TOPIC = "rejected"
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 # What to give instead of a folder for bad messages, to do without them on purpose.
 DROP = "drop"
@@ -136,8 +141,12 @@ def start_rejects(messages, path, checkpoint, trigger=None, decode=from_wire):
 
 
 def start_hourly(events, path, checkpoint, delay="1 hour", trigger=None):
-    """Counts of closed hours. The open minutes are kept in RocksDB, on disk, not on the heap."""
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Counts of closed hours. The open minutes are kept in RocksDB, on disk, not on the heap.
+
+    A commit writes what changed since the last one, not the whole state.
+    """
+    for key, value in STATE_STORE.items():
+        events.sparkSession.conf.set(key, value)
     sink = (
         hourly_counts(events, delay)
         .writeStream.outputMode("append")

@@ -10,7 +10,7 @@ from pagetide.plans.queries import QUERIES
 from pagetide.sources.event_table import stream_events
 from pagetide.sources.frames import sse_frames
 from pagetide.sources.messages import PATIENT, file_messages, kafka_raw
-from pagetide.streaming.jobs import start_normalize_to_kafka
+from pagetide.streaming.jobs import normalized_messages, start_normalize_to_kafka
 
 FRAMES = (
     ":ok\n\n"
@@ -130,6 +130,12 @@ def test_kafka_sink_options(spark, monkeypatch):
     assert writer.calls["checkpointLocation"] == "/check"
 
 
+def test_outgoing_messages_are_keyed_by_page(spark):
+    rows = spark.createDataFrame([(envelope(page_id=42), 1), ("nope", 2)], "value string, seq bigint")
+    sent = normalized_messages(rows).orderBy("topic").collect()
+    assert [(row.topic, row.key) for row in sent] == [("processed", "42"), ("rejected", None)]
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_folder(spark, "x").startswith(base + "/")
