@@ -68,9 +68,10 @@ def _user_rows(rows, grain):
 def user_counts(rows):
     """Rows of the user view per (user_id, username), counted in hash aggregates.
 
-    Seconds are folded to a mask per user, name and minute. Where no second of a minute has two
-    names, the masks are the counts. The other minutes, of users renamed on the spot, are merged
-    row by row to find the name that wins each second.
+    Seconds are folded to a mask per user, name and minute, and the masks are the counts where no
+    second of a user has two names. A look at the distinct names, few beside the rows, tells whether
+    any user has several. If so, minutes in which a second has two names are merged row by row to
+    find the name that wins.
     """
     rows = rows.dropna(subset=["time", "user_id"]).withColumn(
         "minute", F.date_trunc("minute", "time")
@@ -78,18 +79,20 @@ def user_counts(rows):
     minutes = rows.groupBy("user_id", "username", "minute").agg(
         seconds_mask(F.col("time")).alias("seconds")
     )
+    pages = seconds_in(F.col("seconds"))
+    names = rows.select("user_id", "username").distinct()
+    if names.groupBy("user_id").count().filter("count > 1").isEmpty():
+        return minutes.groupBy("user_id", "username").agg(F.sum(pages).alias("pages_created"))
+
+    both = ["user_id", "minute"]
     several = (
-        minutes.groupBy("user_id", "minute")
-        .agg(
-            F.sum(seconds_in(F.col("seconds"))).alias("named"),
-            seconds_in(F.bit_or("seconds")).alias("seen"),
-        )
+        minutes.groupBy(*both)
+        .agg(F.sum(pages).alias("named"), seconds_in(F.bit_or("seconds")).alias("seen"))
         .filter("named > seen")
-        .select("user_id", "minute")
+        .select(*both)
     )
-    both = ["user_id", "minute"]
     plain = minutes.join(several, both, "left_anti").select(
-        "user_id", "username", seconds_in(F.col("seconds")).alias("pages")
+        "user_id", "username", pages.alias("pages")
     )
     spec = without_values("user_stat", "page_title")
     contested = build(rows.join(several, both, "left_semi"), spec).select(

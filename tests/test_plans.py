@@ -59,8 +59,12 @@ def _below(plan, operator):
 
 def test_users_are_counted_in_hash_aggregates(spark):
     """But for seconds with two names of a user, which are looked at row by row."""
-    rows = spark.read.parquet(f"{FOLDER}/events.parquet")
-    plan = plan_of(reports.user_counts(as_page_creates(rows)))
+    rows = as_page_creates(spark.read.parquet(f"{FOLDER}/events.parquet"))
+    plan = plan_of(reports.user_counts(rows))
+    assert "partial_bit_or" in plan and "SortAggregate" not in plan and "Join" not in plan
+
+    named = F.when(F.col("page_id") % 7 == 0, F.lit("other")).otherwise(F.col("username"))
+    plan = plan_of(reports.user_counts(rows.withColumn("username", named)))
     above = plan[: plan.index("Union")]
     plain = _below(plan, "BroadcastHashJoin" if "BroadcastHashJoin" in plan else "SortMergeJoin")
     assert "HashAggregate" in above and "SortAggregate" not in above
