@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from pagetide.llm.shingles import SHINGLE, mixed, shingle_hashes, word_hashes
+from pagetide.llm.shingles import mixed, shingle_hashes, word_hashes
 from pagetide.llm.tables import stored, texts
 
 PERCENT = 85
 BANDS, ROWS = 30, 6
-# Of each minimum a sketch keeps the last byte, so that minima that differ match by a chance of 1/256.
+# Of each minimum a sketch keeps the last byte; minima that differ match there once in 256 times.
 BATCH, BATCHES = 32, 16
 HASHES = BATCH * BATCHES
 MISS = 1e-7

@@ -42,7 +42,9 @@ SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + _END
 # A country code or an area in brackets says what it is; bare groups have to follow the plan.
 CLEAR_PHONE = (
-    r"(?:\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])|1?[ .-]?\([0-9]{3}\) ?)[0-9]{3}[ .-][0-9]{4}" + _END
+    r"(?:\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])|1?[ .-]?\([0-9]{3}\) ?)"
+    + r"[0-9]{3}[ .-][0-9]{4}"
+    + _END
 )
 PHONE = r"(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}" + _END
 # In order of precedence where two forms begin at one place.
@@ -342,13 +344,13 @@ def pseudonymised(docs, key=KEY, undo=False):
     """The documents with values in `text` replaced, and `kinds`, what was replaced in order."""
     settings = {"key": key, "undo": undo}
     # Every form has an at sign, or two digits with a point between them at most.
-    present = F.coalesce(F.col("text").rlike(r"@|[0-9]\.?[0-9]") & F.col("text").rlike(ANY), F.lit(False))
+    may_hold = F.col("text").rlike(r"@|[0-9]\.?[0-9]")
+    present = F.coalesce(may_hold & F.col("text").rlike(ANY), F.lit(False))
     found = F.when(present, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     marked = docs.withColumn("_found", found)
     # A generator keeps the replacements from being worked out once per use.
-    marked = marked.withColumn(
-        "_values", F.explode(F.array(F.transform("_found", lambda one: _replacement(one, settings))))
-    )
+    replaced = F.transform("_found", lambda one: _replacement(one, settings))
+    marked = marked.withColumn("_values", F.explode(F.array(replaced)))
     between = F.split("text", ANY, -1)
     values = F.concat(
         F.transform("_values", lambda one: F.coalesce(one["new"], one["found"])),

@@ -19,7 +19,6 @@ from pagetide.llm import (
 from pagetide.llm.tables import documents
 from pagetide.session import query_run, scratch_folder, utc
 
-
 QUERIES = {}
 
 

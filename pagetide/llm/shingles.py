@@ -66,7 +66,7 @@ def _one(word):
 
 
 def shingle_hashes(words, size=SHINGLE):
-    """The distinct hashes, sorted, of the runs of `size` words; of all words where there are fewer."""
+    """The distinct hashes, sorted, of runs of `size` words; of all words where there are fewer."""
     if not len(words):
         return words
     size = min(size, len(words))

@@ -156,7 +156,7 @@ def train(lines):
 
 
 def viterbi(symbols, model, entry=None, last=None):
-    """The best states of a run of lines, after state `entry` and with the state `last` at its end."""
+    """The best states of a run of lines, after state `entry` and with state `last` at its end."""
     first, steps, shown = model
     score = (first if entry is None else steps[entry]) + shown[:, symbols[0]]
     back = np.zeros((len(symbols), len(first)), np.int64)

@@ -1,4 +1,4 @@
-"""Splitting texts by the public split pattern of byte-level tokenizers, fast where texts allow it."""
+"""Splitting texts by the public pattern of byte-level tokenizers, fast where texts allow it."""
 
 import re
 
