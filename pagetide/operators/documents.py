@@ -16,7 +16,7 @@ from pagetide.operators.reports import (
     hourly_domain_stats,
     top_user_titles,
 )
-from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, REPORT_ROWS, TOP_USERS_REPORT
+from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, REPORT_ROWS
 from pagetide.session import replace_folder
 
 # The order of lines: parts of the document, then groups, then what a group holds.

@@ -64,7 +64,7 @@ def folders(spark, pattern):
 
 
 def replace_folder(spark, new, old):
-    """Put a complete folder in the place of another; what was there is moved aside, then removed."""
+    """Put a complete folder in the place of another, which is moved aside and then removed."""
     new_path, files = _path(spark, new)
     old_path, _ = _path(spark, old)
     aside, _ = _path(spark, f"{old}.replaced-{uuid.uuid4().hex}")
