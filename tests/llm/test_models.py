@@ -211,3 +211,15 @@ def test_turns_of_the_table(spark):
     lines = sum(row.text.count("\n") + 1 for row in table.collect())
     assert sum(row.n_lines for row in rows) == lines
     assert {row.conv_id for row in rows} == {row.conv_id for row in table.collect()}
+
+
+def test_scores_tell_good_documents_from_junk_that_they_have_not_seen(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    scores = lm_score.cross_entropy_difference(docs, labels.filter(~held_out))
+    found = scores.join(labels.filter(held_out), "doc_id").select("quality", "difference").collect()
+    good = np.array([row.difference for row in found if row.quality == 1])
+    junk = np.array([row.difference for row in found if row.quality == 0])
+    assert (good[:, None] < junk).mean() > 0.8
