@@ -215,12 +215,18 @@ def unique_documents(docs):
 
     Of rows that repeat both id and text, the first in the order of the other columns stays.
     """
-    staying = dedup(*halves(docs)).filter("kept").select(
+    staying = dedup(*halves(docs)).filter("kept").groupBy("doc_id", "text_sha256").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    staying = stored(staying, "kept-digests")
+    known = staying.select(
         F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
     )
     digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (digest == F.col("kept_digest"))
-    return one_per_id(docs.join(staying, same, "left_semi"))
+    found = docs.join(known, same, "left_semi")
+    # Texts are dealt again by id only where a row is there more than once.
+    return found if staying.filter("rows > 1").isEmpty() else one_per_id(found)
 
 
 def one_per_id(docs):
