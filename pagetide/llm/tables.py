@@ -11,9 +11,18 @@ from pagetide.session import scratch_folder
 
 _shipped = set()
 
+# Rows that a Python worker gets at once. Texts may be long, and Spark's own 10,000 are many.
+MOST_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark):
-    """Hand this package to the Python workers, once per application, as `--py-files` would."""
+    """Hand this package to the Python workers, once per application, as `--py-files` would.
+
+    Batches for the workers are kept small as well, so that their memory does not grow with texts.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= MOST_ROWS:
+        spark.conf.set(_BATCH, str(MOST_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
