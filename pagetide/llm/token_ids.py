@@ -7,7 +7,7 @@ from functools import lru_cache
 from pagetide.llm.words import split
 
 END_ID = 0
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 
 
 def _byte_characters():
@@ -18,6 +18,7 @@ def _byte_characters():
 
 
 _WRITTEN = _byte_characters()
+_SPACE = chr(_WRITTEN[0x20])
 
 
 class _Encoded(dict):
@@ -30,8 +31,11 @@ class _Encoded(dict):
     def __missing__(self, word):
         if len(self) >= KEPT_WORDS:
             self.clear()
-        plain = word if word.isascii() else word.encode().decode("latin-1")
-        tokens = self.merge(plain.translate(_WRITTEN))
+        if word.isascii() and word.isprintable():
+            written = word.replace(" ", _SPACE)
+        else:
+            written = word.encode().decode("latin-1").translate(_WRITTEN)
+        tokens = self.merge(written)
         ids = array("I", [token.id for token in tokens]).tobytes()
         self[word] = ids
         return ids
