@@ -213,24 +213,36 @@ def halves(docs):
 def unique_documents(docs):
     """The rows of `docs` that stay, one per text, with all their columns.
 
-    Of rows that repeat both id and text, the first in the order of the other columns stays.
+    Of rows that repeat both id and text, the first in the order of the other columns stays; rows
+    that share an id, or have none, and differ in their texts are told apart by the digest.
     """
     staying = dedup(*halves(docs)).filter("kept").groupBy("doc_id", "text_sha256").agg(
         F.count(F.lit(1)).alias("rows")
     )
     staying = stored(staying, "kept-digests")
-    known = staying.select(
+    if staying.filter("rows > 1").isEmpty():
+        return _rows_of(docs, staying)
+    # Only rows that are there more than once are dealt again.
+    again = first_copies(_rows_of(docs, staying.filter("rows > 1")))
+    return _rows_of(docs, staying.filter("rows = 1")).unionByName(again)
+
+
+def _text_digest():
+    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+
+
+def _rows_of(docs, keys):
+    """The rows of `docs` whose id and text are among the keys."""
+    known = keys.select(
         F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
     )
-    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (digest == F.col("kept_digest"))
-    found = docs.join(known, same, "left_semi")
-    # Texts are dealt again by id only where a row is there more than once.
-    return found if staying.filter("rows > 1").isEmpty() else one_per_id(found)
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (_text_digest() == F.col("kept_digest"))
+    return docs.join(known, same, "left_semi")
 
 
-def one_per_id(docs):
-    """One row per `doc_id`, for documents whose repeated ids have one text."""
+def first_copies(docs):
+    """One row per id and text; copies are merged before the shuffle, however many there are."""
     others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    order = Window.partitionBy("doc_id").orderBy(*(others or ["doc_id"]))
-    return docs.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
+    first = F.min(F.struct(*others, "text", "doc_id")).alias("_first")
+    merged = docs.groupBy("doc_id", _text_digest().alias("_digest")).agg(first)
+    return merged.select(*(F.col("_first")[name].alias(name) for name in docs.columns))

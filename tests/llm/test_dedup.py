@@ -89,6 +89,16 @@ def test_unique_documents_keep_their_columns(docs):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([2, 5, 6, 7, 9, -3, None], key=str)
 
 
+def test_texts_under_one_id_or_none_stay_beside_an_exact_repeat(docs):
+    rows = [(1, "one"), (1, "two"), (None, "three"), (None, "four"), (2, "five"), (2, "five"),
+            (None, "six"), (None, "six"), (None, "five"), (3, None), (3, "")]
+    ids, texts = zip(*rows)
+    kept = exact_dedup.unique_documents(docs(texts, ids)).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in kept), key=str) == sorted(
+        [(1, "one"), (1, "two"), (None, "three"), (None, "four"), (2, "five"), (None, "six"), (3, "")], key=str
+    )
+
+
 # Near duplicates.
 
 
