@@ -10,6 +10,10 @@ the target.
 Counts cover whole texts of all documents. A model has a cell for each n-gram that can be, a number
 fixed by vocabulary and order, so it can be broadcast whatever the size of the corpus.
 
+A second pair of models counts pairs of words (runs of bytes other than ASCII white space, A-Z
+lowered) over the whole vocabulary, as 64-bit hashes. They grow with the corpus, so they are a
+stored table that is joined with the distinct pairs of each document, never gathered or broadcast.
+
 Defined results: null and empty texts have no symbols and the difference 0; without target documents
 both models are uniform and all differences are 0; labels with nulls are ignored; a null `doc_id` is
 never a target; repeated rows count and are scored each; other columns are ignored.
@@ -19,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pagetide.llm.tables import texts
+from pagetide.llm.shingles import mixed, word_hashes
+from pagetide.llm.tables import stored, texts
 
 ORDER = 4
 # How many symbols' worth of counts the shorter context adds to a longer one.
@@ -102,8 +107,8 @@ def _count(batches):
         )
 
 
-def counts(docs, labels):
-    """`cell`, `target` and `background` counts of all n-grams that occur."""
+def _marked(docs, labels):
+    """`doc_id`, the text in UTF-8, and whether the target model counts it."""
     good = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality", "toxic")
         .dropna()
@@ -113,12 +118,16 @@ def counts(docs, labels):
         .select("doc_id", F.lit(True).alias("is_target"))
     )
     # There may be as many labels as documents, so they are joined the same way at every size.
-    marked = texts(docs).join(good.hint("merge"), "doc_id", "left").select(
+    return texts(docs).join(good.hint("merge"), "doc_id", "left").select(
         "doc_id",
         F.col("text").cast("binary").alias("raw"),
         F.coalesce("is_target", F.lit(False)).alias("is_target"),
     )
-    partial = marked.mapInArrow(_count, "cell bigint, target bigint, background bigint")
+
+
+def counts(docs, labels):
+    """`cell`, `target` and `background` counts of all n-grams that occur."""
+    partial = _marked(docs, labels).mapInArrow(_count, "cell bigint, target bigint, background bigint")
     return partial.groupBy("cell").agg(
         F.sum("target").alias("target"), F.sum("background").alias("background")
     )
@@ -181,5 +190,133 @@ def scored(docs, fitted):
     return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
 
 
+# Pairs of words. The word before the first one is START.
+
+START = 1
+PAIR = ["before", "word"]
+_PAIRS = "before bigint, word bigint, target bigint, background bigint"
+
+
+def pairs(raw):
+    """Each word of a text in UTF-8 and the one before it, in order."""
+    words = word_hashes(raw)
+    return np.append(np.array([START], np.uint64), words)[: len(words)], words
+
+
+def _distinct(before, words):
+    """Where each distinct pair is first, and which one each pair is."""
+    _, first, number = np.unique(
+        mixed(mixed(before) + words), return_index=True, return_inverse=True
+    )
+    return first, number
+
+
+def _count_pairs(batches):
+    for batch in batches:
+        for rows in _groups(batch, 3):
+            found = [pairs(raw) for _, raw, _ in rows]
+            before, words = (np.concatenate(part) for part in zip(*found))
+            chosen = np.repeat([row[2] for row in rows], [len(part[1]) for part in found])
+            first, number = _distinct(before, words)
+            target = np.bincount(number[chosen], minlength=len(first))
+            background = np.bincount(number, minlength=len(first))
+            for start in range(0, len(first), 1 << 16):
+                at = slice(start, start + (1 << 16))
+                columns = before[first[at]].view("i8"), words[first[at]].view("i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column) for column in (*columns, target[at], background[at])],
+                    names=[*PAIR, "target", "background"],
+                )
+
+
+def pair_counts(docs, labels):
+    """`target` and `background` counts of all pairs of words, added up in each task first."""
+    return _marked(docs, labels).mapInArrow(_count_pairs, _PAIRS).groupBy(*PAIR).agg(
+        F.sum("target").alias("target"), F.sum("background").alias("background")
+    )
+
+
+def _pair_key():
+    return F.xxhash64(*PAIR).alias("pair")
+
+
+def word_models(counted):
+    """`pair` and the losses of its word in both models, a row per pair that occurs.
+
+    A pair's counts are mixed with the estimate of the word alone, and that with the uniform
+    distribution over all words that occur.
+    """
+    counted = stored(counted, "pair-counts")
+    both = [F.sum(name).alias(name) for name in ("target", "background")]
+    words = stored(counted.groupBy("word").agg(*both), "word-counts")
+    all_words = words.agg(F.count(F.lit(1)).alias("words"), *both).first()
+    size, total = max(all_words.words, 1), all_words.target or 0
+    scale = total / (all_words.background or 1)
+
+    def estimate(count, shorter, context):
+        return (count + F.lit(SMOOTHING) * shorter) / (context + F.lit(SMOOTHING))
+
+    def alone(name, times):
+        return estimate(F.col(name) * times, F.lit(1.0 / size), F.lit(float(total)))
+
+    words = words.select(
+        "word", alone("target", 1.0).alias("target_word"), alone("background", scale).alias("background_word")
+    )
+    contexts = counted.groupBy("before").agg(
+        F.sum("target").alias("target_before"), F.sum("background").alias("background_before")
+    )
+    known = counted.join(words.hint("merge"), "word").join(contexts.hint("merge"), "before")
+
+    def loss(name, times):
+        chance = estimate(F.col(name) * times, F.col(f"{name}_word"), F.col(f"{name}_before") * times)
+        return (-F.log2(chance)).alias(f"{name}_bits")
+
+    return stored(known.select(_pair_key(), loss("target", 1.0), loss("background", scale)), "word-models")
+
+
+def _score_pairs(batches):
+    """A row per distinct pair of each document, and for each document one without a pair."""
+    for batch in batches:
+        for rows in _groups(batch, 2):
+            for row, raw in rows:
+                before, words = pairs(raw)
+                first, number = _distinct(before, words)
+                # The row without a pair has a key of its own, so that these rows are spread.
+                own = mixed(np.array([row], np.uint64))
+                times = np.append(np.bincount(number, minlength=len(first)), 0)
+                columns = np.append(before[first], own).view("i8"), np.append(words[first], own).view("i8")
+                for start in range(0, len(times), 1 << 16):
+                    at = slice(start, start + (1 << 16))
+                    count = len(times[at])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(count, row, np.int64)), *(pa.array(c[at]) for c in (*columns, times[at]))],
+                        names=["row", *PAIR, "times"],
+                    )
+
+
+def word_scored(rows, fitted):
+    """Per `row`: its number of words and their mean losses in the models of `word_models`."""
+    found = rows.mapInArrow(_score_pairs, "row bigint, before bigint, word bigint, times bigint")
+    found = found.select("row", "times", _pair_key()).join(fitted.hint("merge"), "pair", "left")
+    words = F.sum("times")
+
+    def mean(name):
+        bits = F.coalesce(F.sum(F.col("times") * F.col(f"{name}_bits")), F.lit(0.0))
+        return (bits / F.greatest(words, F.lit(1))).alias(f"{name}_word_loss")
+
+    return found.groupBy("row").agg(words.alias("n_words"), mean("target"), mean("background"))
+
+
 def cross_entropy_difference(docs, labels):
-    return scored(docs, models(counts(docs, labels)))
+    """Both scores of each document: of its symbols, and of its words."""
+    fitted = word_models(pair_counts(docs, labels))
+    # Rows are numbered once and kept, since ids may repeat or be missing.
+    rows = stored(texts(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    raw = rows.select("row", F.col("text").cast("binary").alias("raw"))
+    ids = rows.select("doc_id", "row")
+    by_symbol = scored(rows.select(F.col("row").alias("doc_id"), "text"), models(counts(docs, labels)))
+    by_word = word_scored(raw, fitted)
+    found = ids.join(by_symbol.withColumnRenamed("doc_id", "row"), "row").join(by_word, "row")
+    return found.drop("row").withColumn(
+        "word_difference", F.col("target_word_loss") - F.col("background_word_loss")
+    )

@@ -1,5 +1,6 @@
 """Language model scores and transcripts against plain Python."""
 
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,6 +101,53 @@ def test_probabilities_sum_to_one():
     np.testing.assert_allclose(chances.reshape(-1, lm_score.SYMBOLS).sum(axis=1), 1, rtol=1e-4)
 
 
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+
+def brute_pairs(texts):
+    found = Counter()
+    for text in texts:
+        words = words_of(text)
+        found.update(zip([None, *words], words))
+    return found
+
+
+def test_word_scores_tell_all_words_apart(spark, docs):
+    """Digits and other scripts, which are one symbol each, and ids that repeat or are missing."""
+    table = [(0, "code 111 日本 one two"), (1, "code 222 中国 one two"), (2, None), (None, "111 a b"),
+             (4, "code 111"), (4, "code 333 x"), (5, "222 " * 300)]
+    labels = spark.createDataFrame([(0, 1, 0), (4, 1, 0)], "doc_id bigint, quality int, toxic int")
+    rows = lm_score.cross_entropy_difference(docs([t for _, t in table], [i for i, _ in table]), labels).collect()
+    counted = [brute_pairs(t for i, t in table if i in (0, 4)), brute_pairs(t for _, t in table)]
+    size = len({word for _, word in counted[1]})
+    scale = sum(counted[0].values()) / sum(counted[1].values())
+
+    def loss(pair, found, times):
+        mass, total = lm_score.SMOOTHING, sum(counted[0].values())
+        alone = sum(n for (_, word), n in found.items() if word == pair[1]) * times
+        before = sum(n for (first, _), n in found.items() if first == pair[0]) * times
+        chance = (alone + mass / size) / (total + mass)
+        return -np.log2((found[pair] * times + mass * chance) / (before + mass))
+
+    want = []
+    for doc_id, text in table:
+        words = words_of(text)
+        means = [
+            sum(loss(pair, found, times) for pair in zip([None, *words], words)) / max(1, len(words))
+            for found, times in zip(counted, (1.0, scale))
+        ]
+        want.append((-1 if doc_id is None else doc_id, len(words), *means))
+    got = [
+        (-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_word_loss, r.background_word_loss)
+        for r in rows
+    ]
+    np.testing.assert_allclose(sorted(got), sorted(want), rtol=1e-6)
+    by_words = {r.n_words: r.word_difference for r in rows if r.doc_id in (0, 4)}
+    other = next(r for r in rows if r.doc_id == 1)
+    assert by_words[5] < other.word_difference
+
+
 # Transcripts.
 
 
