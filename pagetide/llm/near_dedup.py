@@ -10,8 +10,8 @@ No bucket is expanded into all its pairs. First each class is compared with one
 buckets, and linked classes are merged into components. Buckets of one component are then done, as
 links inside it change nothing. In small other buckets the classes of different components are
 compared, which is bounded by the size of a small bucket. Large ones are dealt into finer buckets
-by one more band, where the same is done again; what is still large after the last level is compared
-block by block. No case is dropped, and nothing of the corpus passes through the driver.
+by one more band, where the same is done again, and kept whole beside them; what is still large after
+the last level is compared block by block. No case is dropped, and nothing of the corpus passes through the driver.
 
 Chances of a miss: a pair at the threshold shares no band with a probability of 7e-7, and is pruned
 wrongly with less than `MISS` per batch.
@@ -312,12 +312,15 @@ def _within(rows, known, bounds, once=False):
 
 
 def _finer(rows, known):
-    """Large buckets dealt again by each further band that their nodes have."""
+    """Large buckets dealt again by each band that their nodes have.
+
+    The band of the bucket itself is among them, so the bucket goes on whole as well and reaches
+    the blocks if it stays large: a pair may share no other band.
+    """
     bands = known.select("node", F.explode("bands").alias("band"))
     return (
         rows.select("key", "node")
         .join(bands, "node")
-        .filter("band <> key")
         .select(F.xxhash64("key", "band").alias("key"), "node")
         .distinct()
     )

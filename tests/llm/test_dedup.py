@@ -196,6 +196,16 @@ def test_large_buckets_are_searched_whole(docs, monkeypatch):
     assert sorted(map(tuple, found.collect()), key=str) == brute_near(rows)
 
 
+def test_a_large_bucket_goes_on_whole(spark):
+    """Classes that share no band but the one of the bucket still meet."""
+    known = spark.createDataFrame([(n, [7, 100 + n]) for n in range(5)], "node bigint, bands array<bigint>")
+    rows = known.select(F.lit(7).cast("bigint").alias("key"), "node")
+    for _ in range(near_dedup.LEVELS - 1):
+        rows = near_dedup._finer(rows, known)
+        sizes = [row["count"] for row in rows.groupBy("key").count().collect()]
+        assert max(sizes) == 5
+
+
 def test_near_duplicates_of_nothing(docs):
     assert near_dedup.near_duplicates(docs([])).collect() == []
     only = near_dedup.near_duplicates(docs([None, "", "x"])).collect()
