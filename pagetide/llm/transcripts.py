@@ -316,7 +316,9 @@ def rendered(parsed):
 
     A turn is one text and so one row. Where turns may be longer than that, use the parsed lines.
     """
-    line = F.struct("position", "tie", "line_no", content(F.col("line")).alias("line"))
+    # A speaker word is a marker only where a turn opens; lines that go on are kept whole.
+    own = F.when(F.col("state").isin(*_opening()), content(F.col("line"))).otherwise(F.col("line"))
+    line = F.struct("position", "tie", "line_no", own.alias("line"))
     lines = F.array_sort(F.collect_list(line))
     role = F.element_at(F.array(*[F.lit(role) for role, _ in STATES]), F.min("state") + 1)
     turns = parsed.groupBy("conv_id", "turn").agg(role.alias("role"), lines.alias("lines"))

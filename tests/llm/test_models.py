@@ -253,6 +253,18 @@ def test_markers_are_found_and_stripped(spark):
         assert mark == (transcripts._MARKS - 1 if role is None else role + 1)
 
 
+def test_lines_that_go_on_keep_their_first_word(spark):
+    rows = [(1, 1, 0, 0, 0, "User: Pick one.", 2), (1, 1, 0, 0, 1, "Question: which?", 3),
+            (1, 1, 0, 0, 2, "A: this", 3), (1, 2, 1, 0, 0, "Bot: A", 4)]
+    parsed = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, position bigint, tie bigint, line_no int, line string, state int"
+    )
+    found = {row.turn: row.rendered for row in transcripts.rendered(parsed).collect()}
+    assert found == {
+        1: "<|user|>\nPick one.\nQuestion: which?\nA: this\n<|end|>", 2: "<|assistant|>\nA\n<|end|>"
+    }
+
+
 def test_turns_of_the_table(spark):
     rows = QUERIES["op9_chat_turns"](spark, FOLDER).collect()
     table = spark.read.parquet(f"{FOLDER}/conversations.parquet")
