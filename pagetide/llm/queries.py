@@ -12,6 +12,7 @@ from pagetide.llm import (
     packing,
     pseudonyms,
     quality_rules,
+    secret_scan,
     sharding,
     token_files,
     transcripts,
@@ -97,6 +98,11 @@ def op10_quality_rules(spark, folder):
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "rejected_by", "kept")
 
 
+@query
+def op12_secret_scan(spark, folder):
+    return secret_scan.digests(documents(spark, folder))
+
+
 ORACLE = {
     "op3_shard_documents": f"""
         WITH RECURSIVE
