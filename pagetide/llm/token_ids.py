@@ -1,6 +1,7 @@
 """Token ids of whole texts by the tokenizers library, for use inside Spark tasks."""
 
 import json
+import re
 from array import array
 from functools import lru_cache
 
@@ -46,37 +47,71 @@ class TextEncoder:
 
     A byte-level vocabulary never merges across the matches of its split pattern, so each distinct
     match goes through the tokenizer's model once and is remembered. Other tokenizers encode each
-    text as a whole.
+    text as a whole. Special tokens that a text spells out get their own ids, as in the library;
+    `plain` takes them as ordinary text.
     """
 
-    def __init__(self, path):
+    def __init__(self, path, plain=False):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as file:
-            before = json.load(file)["pre_tokenizer"] or {}
+            settings = json.load(file)
+        before = settings["pre_tokenizer"] or {}
+        added = settings.get("added_tokens") or []
+        loose = ("single_word", "lstrip", "rstrip", "normalized")
         by_word = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex")
             and not before.get("add_prefix_space")
             and tokenizer.normalizer is None
+            and all(token["special"] and not any(token[k] for k in loose) for token in added)
         )
         self.vocabulary = tokenizer.get_vocab_size()
         self._whole = None if by_word else tokenizer.encode
         self._words = _Encoded(tokenizer.model)
+        self._special = {} if plain else {
+            token["content"]: token["id"].to_bytes(4, "little") for token in added
+        }
+        listed = sorted(self._special, key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(map(re.escape, listed))})").split if listed else None
+
+    def _plain(self, text):
+        return b"".join(map(self._words.__getitem__, split(text)))
 
     def __call__(self, text):
         if self._whole:
             return array("I", self._whole(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self._words.__getitem__, split(text)))
+        if not self._cut:
+            return self._plain(text)
+        parts = self._cut(text)
+        if len(parts) == 1:
+            return self._plain(text)
+        # Texts and special tokens take turns.
+        return b"".join(
+            self._special[part] if number % 2 else self._plain(part)
+            for number, part in enumerate(parts)
+        )
 
     def document(self, text):
         """Ids of the text, then the id that ends a document."""
         return self(text) + END_ID.to_bytes(4, "little")
 
 
-@lru_cache(maxsize=1)
-def encoder(path):
+@lru_cache(maxsize=2)
+def encoder(path, plain=False):
     """One encoder per Python worker; workers serve many tasks."""
-    return TextEncoder(path)
+    return TextEncoder(path, plain)
+
+
+def token_bytes(path):
+    """The bytes that each id of a byte-level vocabulary stands for, by id."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    byte_of = {chr(_WRITTEN.get(byte, byte)): byte for byte in range(256)}
+    return [
+        bytes(byte_of[character] for character in tokenizer.id_to_token(number))
+        for number in range(tokenizer.get_vocab_size())
+    ]

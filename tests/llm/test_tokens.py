@@ -21,6 +21,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD = [
     "", None, " ", "\n\n  x\n", "a", "it's we'll 'tis", "aaaa" * 40, " " * 300 + "x", "é" * 200,
     "日本語テキスト" * 9, "\x00\x1c\x1f\x85\xa0", "½²٣ ﬁ", "<|endoftext|> end", "ab" * 20_000,
+    "a <|endoftext|> b", "end<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|", "<|endoftext|>",
     "same", "same", "😀 é",
 ]
 
@@ -28,7 +29,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -47,6 +47,11 @@ def test_whole_and_by_word_encoding_agree(reference):
     encode = TextEncoder(JSON)
     for text in ODD:
         assert encode.document(text or "") == serial([*reference(text), 0])
+    plain = Tokenizer.from_file(JSON)
+    plain.encode_special_tokens = True
+    as_text = TextEncoder(JSON, plain=True)
+    for text in ODD:
+        assert as_text(text or "") == serial(plain.encode(text or "", add_special_tokens=False).ids)
     other = TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     assert other("Some Words") == serial(whole.encode("Some Words", add_special_tokens=False).ids)
