@@ -14,6 +14,7 @@ from pagetide.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    token_alignment,
     token_files,
     transcripts,
 )
@@ -103,6 +104,11 @@ def op12_secret_scan(spark, folder):
     return secret_scan.digests(documents(spark, folder))
 
 
+@query
+def op13_token_alignment(spark, folder):
+    return token_alignment.aligned(documents(spark, folder))
+
+
 ORACLE = {
     "op3_shard_documents": f"""
         WITH RECURSIVE

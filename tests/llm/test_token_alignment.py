@@ -1,0 +1,140 @@
+"""Token alignment against both libraries and plain loops over bytes."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+from test_tokens import ODD
+from tokenizers import Tokenizer
+
+from pagetide.llm import token_alignment
+from pagetide.llm.queries import QUERIES
+from pagetide.llm.tables import documents
+
+FOLDER = "/root/testdata/sf0.001"
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+TEXTS = [
+    *ODD, "one two three", "one two three", " lead", "trail ", "a  b   c", "tab\tand\nline",
+    "<|endoftext|>", "x<|endoftext|> <s> </s> <unk> <0x41>", "a▁b", "▁", "don't stop 123456",
+    "привет мир", "naïve café", "👩‍👩‍👧 ok", "\u0000 nul", "ﬁ ﬁne", "é e", "﻿bom",
+]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in visible]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(others)}
+
+    def first(text):
+        ids = tokenizer.encode(" " + text, add_special_tokens=False).ids
+        return [(i, bytes(byte_of[c] for c in tokenizer.id_to_token(i))) for i in ids]
+
+    def written(i):
+        piece = pieces.id_to_piece(i)
+        is_byte = len(piece) == 6 and piece[:3] == "<0x"
+        return bytes.fromhex(piece[3:5]) if is_byte else piece.replace("▁", " ").encode()
+
+    return first, lambda text: [(i, written(i)) for i in pieces.encode(text)]
+
+
+def brute_text(text, libraries):
+    """Sizes, links with repeats, and groups as text, byte by byte; nothing without tokens."""
+    a, b = (encode(text) for encode in libraries) if text else ([], [])
+    spaced = (" " + (text or "")).encode()
+    if not text or any(b"".join(own for _, own in side) != spaced for side in (a, b)):
+        return 0, 0, 0, [], ""
+    owners, ends = [], []
+    for side in (a, b):
+        owners.append([at for at, (_, own) in enumerate(side) for _ in own])
+        ends.append({sum(len(own) for _, own in side[: at + 1]) for at in range(len(side))}
+                    if len(side) < 300 else set(np.cumsum([len(own) for _, own in side]).tolist()))
+    links = [(a[i][0], b[j][0]) for i, j in sorted(set(zip(*owners)))]
+    cuts = sorted(ends[0] & ends[1])
+    groups = []
+    for start, end in zip([0, *cuts], cuts):
+        sides = [sorted(set(owner[start:end])) for owner in owners]
+        names = [",".join(str(side[at][0]) for at in own) for side, own in zip((a, b), sides)]
+        groups.append("|".join(names))
+    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+    return len(a), len(b), len(groups), links, digest
+
+
+def brute(rows, libraries):
+    found = [(doc_id, *brute_text(text, libraries)) for doc_id, text in rows]
+    counts = Counter(link for row in found for link in row[4])
+    most = defaultdict(int)
+    for (_, b), count in counts.items():
+        most[b] = max(most[b], count)
+    return [
+        (
+            doc_id, n_a, n_b, n_groups, len(links),
+            sum(counts[link] == most[link[1]] for link in links),
+            sum(counts[link] for link in links), digest,
+        )
+        for doc_id, n_a, n_b, n_groups, links, digest in found
+    ]
+
+
+def test_blocks_do_not_change_the_result(spark, docs, clashing, libraries):
+    ids = [*range(len(TEXTS) - 2), None, 0]
+    want = sorted(brute(list(zip(ids, TEXTS)), libraries), key=str)
+    frame = clashing(docs(TEXTS, ids)).repartition(3)
+    for size in (1, 200, token_alignment.BLOCK_SIZE):
+        rows = token_alignment.aligned(frame, block_size=size).collect()
+        assert sorted(map(tuple, rows), key=str) == want
+
+
+def test_empty(spark, docs):
+    assert token_alignment.aligned(docs([])).collect() == []
+    rows = token_alignment.aligned(docs([None, "", "a▁b"])).collect()
+    assert sorted(map(tuple, rows)) == [(n, 0, 0, 0, 0, 0, 0, "") for n in range(3)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=12) | st.sampled_from(TEXTS[1:]), min_size=1, max_size=5))
+def test_any_texts(libraries, texts):
+    tools = token_alignment.tokenizers(JSON, MODEL)
+    texts = [text.encode("utf-8", "ignore").decode() for text in texts if text is not None]
+    rows = next(token_alignment._block(0, list(range(len(texts))), texts, tools)).to_pylist()
+    for row, text in zip(rows, texts):
+        n_a, n_b, n_groups, links, digest = brute_text(text, libraries)
+        found = (row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["groups_sha256"])
+        assert found == (n_a, n_b, n_groups, len(links), digest)
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash that is the same for every window of a length, ids decide."""
+    tools = token_alignment.tokenizers(JSON, MODEL)
+    texts = ["one two three two one", "two four", "one  one"]
+    def blocks():
+        documents, windows, pairs = token_alignment._block(0, [0, 1, 2], texts, tools)
+        places = token_alignment._numbers(windows["links"][0].as_py())
+        sizes = token_alignment._numbers(windows["sizes"][0].as_py()).astype(int)
+        keys = [pairs["pair"][int(at)].as_py() for at in places]
+        cuts = np.cumsum(sizes).tolist()
+        own = [tuple(keys[a:b]) for a, b in zip([0, *cuts], cuts)]
+        read = [
+            [own[w] for w in token_alignment._numbers(row.as_py())]
+            for row in documents["windows"]
+        ]
+        return documents.drop_columns(["windows"]).to_pylist(), read, sorted(pairs.to_pylist(), key=str)
+
+    want = blocks()
+    monkeypatch.setattr(token_alignment, "_mixed", lambda values: values * np.uint64(0))
+    assert blocks() == want
+
+
+def test_table(spark, libraries):
+    rows = QUERIES["op13_token_alignment"](spark, FOLDER).collect()
+    texts = documents(spark, FOLDER).select("doc_id", "text").collect()
+    assert sorted(map(tuple, rows)) == sorted(brute(list(map(tuple, texts)), libraries))
+    assert sum(row.n_links for row in rows)
