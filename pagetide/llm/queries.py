@@ -10,6 +10,7 @@ from pagetide.llm import (
     lm_score,
     near_dedup,
     packing,
+    prefix_trie,
     pseudonyms,
     quality_rules,
     secret_scan,
@@ -99,6 +100,11 @@ def op10_quality_rules(spark, folder):
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "rejected_by", "kept")
 
 
+@query
+def op11_prefix_trie(spark, folder):
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 @query
 def op12_secret_scan(spark, folder):
     return secret_scan.digests(documents(spark, folder))
