@@ -5,6 +5,7 @@ of `documents`; the last one returns the packed pieces.
 """
 
 from pagetide.llm import exact_dedup, near_dedup, packing, pseudonyms, quality_rules
+from pagetide.llm.queries import TEST_KEY
 from pagetide.llm.tables import documents, stored
 from pagetide.session import query_run, utc
 
@@ -26,8 +27,12 @@ def near(spark, docs, sf_dir):
 
 
 def privacy(spark, docs, sf_dir):
-    """Personal numbers, dates and addresses become pseudonyms."""
-    return pseudonyms.pseudonymised_documents(docs)
+    """Personal numbers, dates and addresses become pseudonyms.
+
+    A session brings its secret in `spark.pagetide.pseudonyms.key`; without one, this is a test.
+    """
+    key = spark.conf.get("spark.pagetide.pseudonyms.key", TEST_KEY)
+    return pseudonyms.pseudonymised_documents(docs, key)
 
 
 def pack(spark, docs, sf_dir):

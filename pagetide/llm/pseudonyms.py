@@ -16,23 +16,26 @@ values stay equal in all documents, different ones stay different, and the key u
 | card | 13 to 19 digits, also in groups | Luhn | all digits but the check digit |
 | phone | ten digits in groups, as in North America | country code, brackets, or plan | area, exchange, line |
 
+Numbers of the plan are permuted among themselves and other clear numbers among their own kind, so a
+number gets one pseudonym however it is written. Host names have at most 127 labels of 63 characters,
+as in the name system; this also bounds what the pattern engine keeps on its stack.
+
 Only built-in functions are used. Defined results: null and empty texts stay as they are; what does
-not pass its rule is left alone; a null `doc_id`, repeated rows and extra columns are kept; an empty
-table gives an empty result.
+not pass its rule is left alone; a null `doc_id`, repeated rows and extra columns of any name are
+kept; an empty table gives an empty result.
 """
 
 from pyspark.sql import functions as F
 
 from pagetide.llm.expressions import bound as _with
 
-KEY = "pagetide"
 ROUNDS = 10
 # Days are numbered from the first; 271 * 271 of them reach into January 2101.
 FIRST_DAY, DAY_RADIX = "1900-01-01", 271
 
 _START = r"(?<![\w.@-])"
 _END = r"(?![\w@]|[.-]\w)"
-EMAIL = r"(?=[A-Za-z0-9])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
+EMAIL = r"(?=[A-Za-z0-9])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,24}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END
 IP = r"(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}" + _END
 ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + _END
@@ -285,8 +288,35 @@ def _card(found, settings):
     return F.when(valid, _with(new, lambda filling: _refill(found, "0-9", filling)))
 
 
-def _phone(lowest, kind):
-    """Ten digits whose area and exchange are at least `lowest`; a leading 1 stays."""
+# Areas and exchanges are below this in numbers outside the plan, one of them at least.
+_PLAN = 200
+
+
+def _permuted_phone(area, exchange, line, settings):
+    """The new parts of a number, among the numbers of its kind: kinds do not meet."""
+    low, high = (0, _PLAN), (_PLAN, 1000 - _PLAN)
+
+    def among(kind, areas, exchanges):
+        values = [area - areas[0], exchange - exchanges[0], line]
+        new = _fixed(kind, values, [areas[1], exchanges[1], 10_000], settings)
+        return _with(
+            new,
+            lambda found: F.array(
+                F.get(found, F.lit(0)) + areas[0],
+                F.get(found, F.lit(1)) + exchanges[0],
+                F.get(found, F.lit(2)),
+            ),
+        )
+
+    return (
+        F.when(area < _PLAN, among("phone of low area", low, (0, 1000)))
+        .when(exchange < _PLAN, among("phone of low exchange", high, low))
+        .otherwise(among("plan phone", high, high))
+    )
+
+
+def _phone(plan_only):
+    """Ten digits; a leading 1 stays."""
 
     def replace(found, settings):
         digits = _only(found, "0-9")
@@ -296,16 +326,16 @@ def _phone(lowest, kind):
         def written(new):
             filling = F.concat(
                 F.regexp_extract(digits, pattern, 1),
-                _padded(F.get(new, F.lit(0)) + lowest, 3),
-                _padded(F.get(new, F.lit(1)) + lowest, 3),
+                _padded(F.get(new, F.lit(0)), 3),
+                _padded(F.get(new, F.lit(1)), 3),
                 _padded(F.get(new, F.lit(2)), 4),
             )
             return _with(filling, lambda known: _refill(found, "0-9", known))
 
-        values = [area - lowest, exchange - lowest, line]
-        radixes = [1000 - lowest, 1000 - lowest, 10_000]
-        valid = (area >= lowest) & (exchange >= lowest)
-        return F.when(valid, _with(_fixed(kind, values, radixes, settings), written))
+        valid = (area >= _PLAN) & (exchange >= _PLAN) if plan_only else area.isNotNull()
+        return F.when(
+            valid, _with(_permuted_phone(area, exchange, line, settings), written)
+        )
 
     return replace
 
@@ -319,8 +349,8 @@ KINDS = (
     ("date", SLASH_DATE, _date("MM/dd/yyyy", "slash date")),
     ("ssn", SSN, _ssn),
     ("card", CARD, _card),
-    ("phone", CLEAR_PHONE, _phone(0, "phone")),
-    ("phone", PHONE, _phone(200, "plan phone")),
+    ("phone", CLEAR_PHONE, _phone(plan_only=False)),
+    ("phone", PHONE, _phone(plan_only=True)),
 )
 
 
@@ -340,36 +370,50 @@ def _replacement(found, settings):
     )
 
 
-def pseudonymised(docs, key=KEY, undo=False):
-    """The documents with values in `text` replaced, and `kinds`, what was replaced in order."""
+def _replaced(docs, key, undo=False):
+    """Rows of `docs` whole, as `row`, with the new `text` and `kinds`, what was replaced in order."""
     settings = {"key": key, "undo": undo}
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
     # Every form has an at sign, or two digits with a point between them at most.
     may_hold = F.col("text").rlike(r"@|[0-9]\.?[0-9]")
     present = F.coalesce(may_hold & F.col("text").rlike(ANY), F.lit(False))
     found = F.when(present, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
-    marked = docs.withColumn("_found", found)
+    marked = rows.withColumn("found", found)
     # A generator keeps the replacements from being worked out once per use.
-    replaced = F.transform("_found", lambda one: _replacement(one, settings))
-    marked = marked.withColumn("_values", F.explode(F.array(replaced)))
+    replaced = F.transform("found", lambda one: _replacement(one, settings))
+    marked = marked.withColumn("values", F.explode(F.array(replaced)))
     between = F.split("text", ANY, -1)
     values = F.concat(
-        F.transform("_values", lambda one: F.coalesce(one["new"], one["found"])),
+        F.transform("values", lambda one: F.coalesce(one["new"], one["found"])),
         F.array(F.lit("")),
     )
     whole = F.array_join(F.zip_with(between, values, lambda text, value: F.concat(text, value)), "")
-    kinds = F.array_compact(F.transform("_values", lambda one: one["kind"]))
-    return marked.withColumns(
-        {
-            "text": F.when(F.col("_found").isNotNull(), whole).otherwise(F.col("text")),
-            "kinds": F.coalesce(kinds, F.array().cast("array<string>")),
-        }
-    ).drop("_found", "_values")
+    kinds = F.array_compact(F.transform("values", lambda one: one["kind"]))
+    return marked.select(
+        "row",
+        F.when(F.col("found").isNotNull(), whole).otherwise(F.col("text")).alias("text"),
+        F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"),
+    )
+
 
+def pseudonymised(docs, key, undo=False):
+    """The documents with values in `text` replaced, and `kinds`, what was replaced in order.
 
-def pseudonymised_documents(docs, key=KEY):
+    A column `kinds` of the documents gives way. The key is a secret: whoever has it can undo this.
+    """
+    others = [name for name in docs.columns if name not in ("text", "kinds")]
+    own = [F.col("row")[name].alias(name) for name in others]
+    return _replaced(docs, key, undo).select(*own, "text", "kinds")
+
+
+def pseudonymised_documents(docs, key):
     """The documents with their own columns; `n_chars`, where it is one, follows a changed text."""
-    found = pseudonymised(docs, key)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.size("kinds") > 0, F.char_length("text").cast("bigint"))
-        found = found.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return found.select(*docs.columns)
+    changed = F.when(F.size("kinds") > 0, F.char_length("text").cast("bigint"))
+
+    def column(name):
+        if name == "text":
+            return F.col("text")
+        own = F.col("row")[name]
+        return (F.coalesce(changed, own) if name == "n_chars" else own).alias(name)
+
+    return _replaced(docs, key).select(*map(column, docs.columns))

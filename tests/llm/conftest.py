@@ -21,7 +21,9 @@ def clashing(spark):
     """The documents with extra columns whose names the operators use themselves."""
     names = (
         "digest", "bucket", "kept", "n_words", "slot", "shard", "size", "kinds", "found", "key",
-        "node", "component", "row", "raw", "is_target", "ids", "start", "length", "bad",
+        "node", "component", "row", "raw", "is_target", "ids", "start", "length", "bad", "rows",
+        "kept_id", "kept_digest", "known_id", "known_digest", "values", "_found", "_values",
+        "_first", "_digest", "_row", "a", "b", "first_doc", "component_id", "part", "place", "spans",
     )
 
     def add(frame):
@@ -29,4 +31,5 @@ def clashing(spark):
             frame = frame.withColumn(name, frame["n_chars"].cast(T.StringType()))
         return frame
 
+    add.names = names
     return add

@@ -9,6 +9,7 @@ from test_tokens import check_packing
 from tokenizers import Tokenizer
 
 from pagetide.llm import pseudonyms, quality_rules
+from pagetide.llm.queries import TEST_KEY
 from pagetide.llm.tables import documents, stored
 
 FOLDER = "/root/testdata/sf0.01"
@@ -65,7 +66,7 @@ def test_privacy(spark, kept):
     assert set(before) == set(after)
     changed = {doc_id for doc_id in before if before[doc_id] != after[doc_id]}
     frame = spark.createDataFrame(kept["near dedup"], documents(spark, FOLDER).schema)
-    found = pseudonyms.pseudonymised(frame).filter("size(kinds) > 0").collect()
+    found = pseudonyms.pseudonymised(frame, TEST_KEY).filter("size(kinds) > 0").collect()
     assert changed == {row.doc_id for row in found} and changed
     assert all(row.n_chars == len(row.text) for row in kept["pseudonyms"] if row.doc_id in changed)
 
