@@ -203,7 +203,7 @@ def dedup(history, docs):
 
 def halves(docs):
     """The table as a history and what came later, cut at the middle of its ids; nothing is lost."""
-    middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).alias("middle")).first().middle
+    middle = docs.agg((F.min("doc_id") / 2 + F.max("doc_id") / 2).alias("middle")).first().middle
     if middle is None:
         return docs, docs.limit(0)
     later = F.coalesce(F.col("doc_id") > middle, F.lit(False))
@@ -211,38 +211,49 @@ def halves(docs):
 
 
 def unique_documents(docs):
-    """The rows of `docs` that stay, one per text, with all their columns.
+    """The rows of `docs` that stay, one per text, with all their columns, whatever their names.
 
     Of rows that repeat both id and text, the first in the order of the other columns stays; rows
     that share an id, or have none, and differ in their texts are told apart by the digest.
     """
-    staying = dedup(*halves(docs)).filter("kept").groupBy("doc_id", "text_sha256").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    staying = stored(staying, "kept-digests")
-    if staying.filter("rows > 1").isEmpty():
-        return _rows_of(docs, staying)
+    keys = dedup(*halves(docs)).groupBy("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
+    keys = stored(keys.agg(F.count(F.lit(1)).alias("rows")), "digest-keys")
+    # The rows that go are the fewer, so their keys are brought to the texts.
+    rows = _keyed(docs)
+    staying = _without(rows, keys.filter("not kept or rows > 1")).select("row.*")
+    again = keys.filter("kept and rows > 1")
+    if again.isEmpty():
+        return staying
     # Only rows that are there more than once are dealt again.
-    again = first_copies(_rows_of(docs, staying.filter("rows > 1")))
-    return _rows_of(docs, staying.filter("rows = 1")).unionByName(again)
+    return staying.unionByName(first_copies(_within(rows, again)))
 
 
-def _text_digest():
-    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+def _keyed(docs):
+    """Rows whole, as `row`, beside their id and digest, so that no column's name matters."""
+    return docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").alias("doc_id"),
+        F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)).alias("digest"),
+    )
 
 
-def _rows_of(docs, keys):
-    """The rows of `docs` whose id and text are among the keys."""
-    known = keys.select(
-        F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")
+def _matched(rows, keys, how):
+    known = keys.select(F.col("doc_id").alias("known_id"), F.col("digest").alias("known_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("known_id")) & (
+        F.col("digest") == F.col("known_digest")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (_text_digest() == F.col("kept_digest"))
-    return docs.join(known, same, "left_semi")
+    return rows.join(known, same, how)
+
+
+def _within(rows, keys):
+    return _matched(rows, keys, "left_semi")
+
+
+def _without(rows, keys):
+    return _matched(rows, keys, "left_anti")
 
 
-def first_copies(docs):
+def first_copies(rows):
     """One row per id and text; copies are merged before the shuffle, however many there are."""
-    others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    first = F.min(F.struct(*others, "text", "doc_id")).alias("_first")
-    merged = docs.groupBy("doc_id", _text_digest().alias("_digest")).agg(first)
-    return merged.select(*(F.col("_first")[name].alias(name) for name in docs.columns))
+    kept = rows.groupBy("doc_id", "digest").agg(F.min("row").alias("row"))
+    return kept.select("row.*")

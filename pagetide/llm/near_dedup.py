@@ -386,12 +386,17 @@ def _among(docs, wanted):
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi")
 
 
-def confirmed(docs, known, pairs, percent):
-    """The pairs whose full sets reach the threshold; the sets are made again from the texts."""
+def confirmed(docs, known, pairs, percent, ids_repeat=True):
+    """The pairs whose full sets reach the threshold; the sets are made again from the texts.
+
+    A set is made once per class, unless ids repeat: then each row of an id makes its own.
+    """
     names = known.select("node", "digest", "first_doc")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stored(names.join(ends, "node"), "near-wanted")
     sets = _among(_raw(docs), wanted).mapInArrow(_sets, "digest binary, shingles binary")
+    if ids_repeat:
+        sets = sets.dropDuplicates(["digest"])
 
     def end(name):
         return wanted.select(F.col("node").alias(name), F.col("digest").alias(f"digest_{name}"))
@@ -414,15 +419,18 @@ def confirmed(docs, known, pairs, percent):
 # Components.
 
 
-def _edges_state(edges):
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-    return tuple(row)
+def _are_stars(edges):
+    """Whether every node has one edge to a root, and no root has an edge itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("ups"), F.lit(0).alias("downs"))
+    roots = edges.select("v", F.lit(0), F.lit(1))
+    seen = ends.union(roots).groupBy("node").agg(F.sum("ups").alias("ups"), F.max("downs").alias("downs"))
+    return seen.filter("ups > 1 or ups > 0 and downs > 0").isEmpty()
 
 
 def components(links):
     """`node` and `component`, the smallest node it can be reached from, for linked nodes.
 
-    Large-star and small-star steps in turn hang nodes below smaller ones until nothing changes.
+    Large-star and small-star steps in turn hang nodes below smaller ones until only stars are left.
     """
     edges = stored(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -430,8 +438,7 @@ def components(links):
         .distinct(),
         "near-edges",
     )
-    state = _edges_state(edges)
-    while state[0]:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(
             both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")), "near-least"
@@ -444,9 +451,6 @@ def components(links):
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("root").alias("v"))
         own = lowest.select("u", F.col("root").alias("v"))
         edges = stored(small.filter("u <> v").union(own).distinct(), "near-edges")
-        before, state = state, _edges_state(edges)
-        if state == before:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
@@ -454,8 +458,9 @@ def components(links):
 
 
 class _Search:
-    def __init__(self, docs, known, percent):
+    def __init__(self, docs, known, percent, ids_repeat):
         self.docs, self.known, self.percent = docs, known, percent
+        self.ids_repeat = ids_repeat
         self.bounds = least_matches(percent)
         self.components = None
 
@@ -464,7 +469,7 @@ class _Search:
         pairs = stored(pairs, "near-survivors")
         if pairs.isEmpty():
             return
-        links = confirmed(self.docs, self.known, pairs, self.percent)
+        links = confirmed(self.docs, self.known, pairs, self.percent, self.ids_repeat)
         if self.components is not None:
             old = self.components.select(F.col("node").alias("a"), F.col("component").alias("b"))
             links = links.unionByName(old)
@@ -510,7 +515,8 @@ def near_duplicates(docs, percent=PERCENT):
     """Per row of documents: `n_shingles`, the component's smallest id, and who stays."""
     rows = stored(summaries(docs), "near-rows")
     known = stored(classes(rows), "near-classes")
-    linked = _Search(docs, known, percent).run()
+    repeated = rows.groupBy("doc_id").count().filter("count > 1")
+    linked = _Search(docs, known, percent, not repeated.isEmpty()).run()
     placed = known.select("digest", "node", "first_doc")
     if linked is None:
         placed = placed.withColumn("component_id", F.col("first_doc"))
@@ -536,7 +542,17 @@ def near_duplicates(docs, percent=PERCENT):
 
 
 def unique_documents(docs, percent=PERCENT):
-    """The rows of `docs` that stay; rows that repeat an id stay or go together."""
-    staying = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("kept_id"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    return docs.join(staying.distinct(), same, "left_semi")
+    """The rows of `docs` that stay: one per component, with all their columns, whatever their names.
+
+    The row with the smallest id stays. Where ids are missing or repeat, rows are numbered in the
+    order of id and text first, those without an id last, so exactly one row of a component stays.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if not ids.filter("n > 1 or doc_id is null").isEmpty():
+        # Numbers rise with the order of a sorted table, and are written before they are used.
+        ordered = rows.orderBy(F.col("doc_id").asc_nulls_last(), F.sha2("text", 256))
+        number = F.monotonically_increasing_id()
+        rows = stored(ordered.select("row", number.alias("doc_id"), "text"), "near-numbered")
+    going = near_duplicates(rows.select("doc_id", "text"), percent).filter("not kept")
+    return rows.join(going.select("doc_id"), "doc_id", "left_anti").select("row.*")

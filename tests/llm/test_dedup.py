@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -99,6 +100,38 @@ def test_texts_under_one_id_or_none_stay_beside_an_exact_repeat(docs):
     )
 
 
+def test_ids_near_the_largest(docs):
+    largest = 2**63 - 1
+    rows = [(largest, "one"), (largest - 1, "two"), (largest - 2, "one"), (-largest, "two")]
+    ids, texts = zip(*rows)
+    frame = docs(texts, ids)
+    found = exact_dedup.dedup(*exact_dedup.halves(frame)).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in found) == [
+        (-largest, largest - 1, 2), (largest - 2, largest, 2), (largest - 1, largest - 1, 2),
+        (largest, largest, 2),
+    ]
+    assert {r.doc_id for r in exact_dedup.unique_documents(frame).collect()} == {largest, largest - 1}
+
+
+def check_values(kept, frame, names):
+    """Whole rows of the frame come back, with the values of extra columns."""
+    assert kept.columns == frame.columns
+    rows = kept.collect()
+    assert not Counter(map(tuple, rows)) - Counter(map(tuple, frame.collect()))
+    assert all(row[name] == str(row.n_chars) for row in rows for name in names)
+    return rows
+
+
+def test_extra_columns_of_any_name(docs, clashing):
+    ids, texts = zip(*ROWS)
+    frame = clashing(docs(texts, ids))
+    rows = check_values(exact_dedup.unique_documents(frame), frame, clashing.names)
+    assert sorted((r.doc_id for r in rows), key=str) == sorted([2, 5, 6, 7, 9, -3, None], key=str)
+    ids, texts = zip(*family_rows(3))
+    frame = clashing(docs(texts, ids))
+    check_values(near_dedup.unique_documents(frame), frame, clashing.names)
+
+
 # Near duplicates.
 
 
@@ -248,6 +281,31 @@ def test_near_unique_documents(docs):
     assert sorted({r.doc_id for r in kept.select("doc_id").collect()}, key=str) == want
 
 
+def test_one_row_of_a_group_without_ids_or_under_one_id(docs, clashing):
+    word = [f"w{n}" for n in range(200)]
+    copies = [" ".join(word[:at] + ["x"] + word[at:]) for at in (0, 50, 199)]
+    other = " ".join(reversed(word))
+    texts = [*copies, *copies, other, other, "", "", None]
+    for ids in ([None] * 11, [7] * 11, [7, None, 7, 3, 3, None, 7, 7, 3, None, None]):
+        frame = clashing(docs(texts, ids))
+        rows = check_values(near_dedup.unique_documents(frame), frame, clashing.names)
+        kept = [row.text for row in rows]
+        # Texts without shingles are linked with nothing, so each of them stays.
+        assert sum(text in copies for text in kept) == 1 and kept.count(other) == 1
+        assert sum(not text for text in kept) == 3
+        assert len(rows) == 5
+        least = min((i for i in ids[:6] if i is not None), default=None)
+        assert [row.doc_id for row in rows if row.text in copies] == [least]
+
+
+def test_many_rows_of_one_id_and_text(docs):
+    """Sets are made once per class, so k and m rows of two linked classes make no k x m pairs."""
+    word = [f"w{n}" for n in range(100)]
+    first, second = " ".join(word), " ".join(["x", *word])
+    rows = near_dedup.near_duplicates(docs([first, second] * 1500, [1, None] * 1500)).collect()
+    assert len(rows) == 3000 and {row.component_id for row in rows} == {1}
+
+
 def test_no_lineage_is_kept_on_executors(spark):
     """Intermediate tables are read from the shared folder."""
     frame = QUERIES["op6_near_dedup"](spark, FOLDER)
