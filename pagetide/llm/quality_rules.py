@@ -3,14 +3,15 @@
 A rule is a conjunction of thresholds on statistics. Rules are learned one after the other on the
 labelled documents that no earlier rule covers: a rule grows on two thirds of them by the condition
 of the highest information gain, is pruned on the other third to the prefix that separates best,
-and enters the list when it is precise enough there. Each step needs one grouped count per statistic
-and threshold, so labels of any number are used, and none leave the executors but those counts.
+and enters the list when it is precise enough there; learning ends with the first that is not. Each
+step needs one grouped count per statistic and threshold, and only those leave the executors.
 
 The list becomes one Spark conditional expression. Only built-in functions are used.
 
 Defined results: a null or empty text has no words and fails the base rule; without labels, or with
 labels of one class, the list is empty; labels with a null id or quality are ignored, and of several
-labels of a document the lowest counts; rows that repeat a document are judged each; other columns
+labels of a document the lowest counts; beyond `MOST_LABELLED` labelled documents a sample by hash
+is learned from; rows that repeat a document are judged each; other columns
 do not matter.
 """
 
@@ -27,8 +28,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_chars_all", "n_lines", "n_distinct_words", "n_upper", "n_digits", "n_marks")
 # Thresholds tried per statistic: so many quantiles of the labelled documents.
 THRESHOLDS = 32
-MOST_RULES = 8
-MOST_CONDITIONS = 4
+# Rules are fitted on at most so many labelled documents, the first by a hash of their ids.
+MOST_LABELLED = 500_000
 # What a rule has to reach on the documents it was not grown on.
 PRECISION = 0.98
 SUPPORT = 3
@@ -257,7 +258,7 @@ def _columns(names):
 
 def _grow(rows, thresholds):
     known, conditions = _columns(thresholds), []
-    while len(conditions) < MOST_CONDITIONS:
+    while True:
         covered = rows.filter(Rule(tuple(conditions)).expression(known))
         totals = covered.agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("all")).first()
         if not totals.bad or totals.bad == totals["all"]:
@@ -296,7 +297,7 @@ def learn(labelled, names=None):
         "labelled",
     )
     known, rules = _columns(names), []
-    while len(rules) < MOST_RULES:
+    while True:
         left = rows
         for rule in rules:
             left = left.filter(~rule.expression(known))
@@ -312,17 +313,23 @@ def learn(labelled, names=None):
     return rules
 
 
-def labelled_rows(with_counts, labels):
-    """Measures of the labelled documents that pass the base rule; the others need no more rules."""
+def chosen_labels(labels, most=MOST_LABELLED):
+    """`doc_id` and `bad` of at most `most` labelled documents; a document is bad by any label."""
     quality = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
         .dropna()
         .groupBy("doc_id")
         .agg((F.min("quality") == 0).cast("int").alias("bad"))
     )
+    return stored(quality.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "chosen-labels")
+
+
+def labelled_rows(with_counts, chosen):
+    """Measures of the labelled documents that pass the base rule; the others need no more rules."""
     values = [value.alias(name) for name, value in measures().items()]
     passed = with_counts.filter(~base_failed())
-    return passed.select("doc_id", *values).join(quality, "doc_id")
+    # A bounded number of ids, so they are brought to the documents.
+    return passed.select("doc_id", *values).join(F.broadcast(chosen), "doc_id")
 
 
 def counted(docs):
@@ -334,7 +341,7 @@ def counted(docs):
 def judged(docs, labels):
     """Per document: its counts, the base rule, the learned rule that rejects it, and `kept`."""
     rows = counted(docs)
-    rules = learn(labelled_rows(rows, labels))
+    rules = learn(labelled_rows(rows, chosen_labels(labels)))
     rule = rejecting_rule(rules)
     return rows.withColumns(
         {"base_failed": base_failed(), "rejected_by": rule}
@@ -342,8 +349,15 @@ def judged(docs, labels):
 
 
 def kept_documents(docs, labels):
-    """The documents that pass, with their own columns; texts are read twice and never shuffled."""
-    rules = learn(labelled_rows(counted(docs), labels))
+    """The documents that pass, with their own columns.
+
+    Labelled documents are counted first, to learn from; then all are, to judge them. Texts are
+    read twice and never shuffled.
+    """
+    chosen = chosen_labels(labels)
+    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    known = known.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    rules = learn(labelled_rows(counted(known), chosen))
     rows = docs.select(F.struct("*").alias("_row"), "text")
     passes = ~base_failed() & rejecting_rule(rules).isNull()
     return with_statistics(rows).filter(passes).select("_row.*")
