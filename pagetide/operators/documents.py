@@ -50,8 +50,8 @@ def _line(text, section, group=None, piece=0, key=None, number=None):
 
 
 def _ends(spark, opening, closing):
-    return spark.range(1).select(*_line(F.lit(opening), 0)).union(
-        spark.range(1).select(*_line(F.lit(closing), 2))
+    return spark.range(1).select(*_line(opening, 0)).union(
+        spark.range(1).select(*_line(closing, 2))
     )
 
 
@@ -60,9 +60,49 @@ def _labels(bounds):
     return [moment.strftime("%H:%M") for moment in bounds]
 
 
-def _span(bounds):
-    start, end = _labels(bounds)
-    return f'"time_start":"{start}","time_end":"{end}"'
+# Texts of the lines, each from its values, without the comma before it.
+
+
+def _span(start, end):
+    return F.concat(_field("time_start", _json(start)), F.lit(","), _field("time_end", _json(end)))
+
+
+def hour_head(start, end):
+    return F.concat(F.lit("{"), _span(start, end), F.lit(',"statistics":['))
+
+
+bot_head = hour_head
+
+
+def hour_entry(domain, count):
+    return F.to_json(F.create_map(domain, count))
+
+
+def bot_entry(domain, count):
+    return F.to_json(F.struct(domain.alias("domain"), count.alias("created_by_bots")))
+
+
+def user_head(user_id, username, start, end):
+    named = F.concat(_field("username", _json(username)), F.lit(","))
+    return F.concat(
+        F.lit("{"),
+        _field("user_id", user_id.cast("string")),
+        F.lit(","),
+        F.when(username.isNull(), "").otherwise(named),
+        _span(start, end),
+        F.lit(',"page_titles":['),
+    )
+
+
+def title_entry(title):
+    return _json(title)
+
+
+def user_tail(count):
+    return F.concat(F.lit("],"), _field("pages_created", count.cast("string")), F.lit("}"))
+
+
+# The lines of each report.
 
 
 def hourly_lines(rows):
@@ -74,11 +114,7 @@ def hourly_lines(rows):
         *_line(
             F.concat(
                 _comma(F.col("hour") == F.lit(earliest)),
-                F.lit("{"),
-                _field("time_start", _json(hour_label(F.col("hour")))),
-                F.lit(","),
-                _field("time_end", _json(hour_label(hour_end(F.col("hour"))))),
-                F.lit(',"statistics":['),
+                hour_head(hour_label(F.col("hour")), hour_label(hour_end(F.col("hour")))),
             ),
             1,
             hour,
@@ -90,7 +126,7 @@ def hourly_lines(rows):
         *_line(
             F.concat(
                 _comma(F.col("is_first").isNotNull()),
-                F.to_json(F.create_map("domain", "pages_created")),
+                hour_entry(F.col("domain"), F.col("pages_created")),
             ),
             1,
             hour,
@@ -98,7 +134,7 @@ def hourly_lines(rows):
             F.col("domain"),
         )
     )
-    return _ends(spark, "[", "]").union(heads).union(entries).union(tails)
+    return _ends(spark, F.lit("["), F.lit("]")).union(heads).union(entries).union(tails)
 
 
 def bot_lines(rows, bounds):
@@ -108,15 +144,14 @@ def bot_lines(rows, bounds):
         *_line(
             F.concat(
                 _comma(F.col("domain") == F.lit(first)),
-                F.to_json(F.struct("domain", "created_by_bots")),
+                bot_entry(F.col("domain"), F.col("created_by_bots")),
             ),
             1,
             key=F.col("domain"),
         )
     )
-    return _ends(
-        rows.sparkSession, "{" + _span(bounds) + ',"statistics":[', "]}"
-    ).union(entries)
+    opening = bot_head(*map(F.lit, _labels(bounds)))
+    return _ends(rows.sparkSession, opening, F.lit("]}")).union(entries)
 
 
 def top_user_lines(rows, bounds):
@@ -127,42 +162,17 @@ def top_user_lines(rows, bounds):
             F.when(F.col("page_title").isNotNull(), F.struct("page_title", "entry"))
         )["entry"].alias("first_entry")
     )
-    name = F.when(F.col("username").isNull(), "").otherwise(
-        F.concat(_field("username", _json(F.col("username"))), F.lit(","))
-    )
-    heads = users.select(
-        *_line(
-            F.concat(
-                _comma(F.col("rank") == 1),
-                F.lit("{"),
-                _field("user_id", F.col("user_id").cast("string")),
-                F.lit(","),
-                name,
-                F.lit(_span(bounds) + ',"page_titles":['),
-            ),
-            1,
-            place,
-        )
-    )
-    tails = users.select(
-        *_line(
-            F.concat(
-                F.lit("],"),
-                _field("pages_created", F.col("pages_created").cast("string")),
-                F.lit("}"),
-            ),
-            1,
-            place,
-            2,
-        )
-    )
+    labels = map(F.lit, _labels(bounds))
+    head = user_head(F.col("user_id"), F.col("username"), *labels)
+    heads = users.select(*_line(F.concat(_comma(F.col("rank") == 1), head), 1, place))
+    tails = users.select(*_line(user_tail(F.col("pages_created")), 1, place, 2))
     firsts = users.select(
         "rank", F.col("first_entry").alias("entry"), F.lit(True).alias("is_first")
     )
     titles = rows.filter("page_title is not null").join(firsts, ["rank", "entry"], "left")
     entries = titles.select(
         *_line(
-            F.concat(_comma(F.col("is_first").isNotNull()), _json(F.col("page_title"))),
+            F.concat(_comma(F.col("is_first").isNotNull()), title_entry(F.col("page_title"))),
             1,
             place,
             1,
@@ -170,7 +180,7 @@ def top_user_lines(rows, bounds):
             F.col("entry"),
         )
     )
-    return _ends(rows.sparkSession, "[", "]").union(heads).union(entries).union(tails)
+    return _ends(rows.sparkSession, F.lit("["), F.lit("]")).union(heads).union(entries).union(tails)
 
 
 def report_path(out, name):

@@ -11,6 +11,7 @@ from pagetide.functions.timing import Bounds, as_utc, report_bounds
 from pagetide.operators import documents, lookups, reports, viewlog, views
 from pagetide.operators.normalize import accepted, from_wire, parse_envelope, to_wire
 from pagetide.operators.quarantine import marked, quarantined
+from pagetide.operators.report_reader import read_document
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, TOP_USERS_REPORT
 from pagetide.session import query_run, scratch_folder, utc
 from pagetide.sources.event_table import (
@@ -305,7 +306,7 @@ def _published(spark, folder, view, name):
     out = scratch_folder(spark, "reports")
     rows = viewlog.scan(spark, _stored(spark, folder, view), view, WINDOW)
     documents.publish(spark, rows, rows, WINDOW, out, names=[name])
-    return documents.read_report(spark, out, name)
+    return read_document(spark, out, name)
 
 
 @query
