@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from pagetide import snapshots
 from pagetide.functions.timing import hour_end, hour_label
 from pagetide.operators.reports import (
     KEYED,
@@ -17,7 +18,7 @@ from pagetide.operators.reports import (
     top_user_titles,
 )
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, REPORT_ROWS
-from pagetide.session import replace_folder
+from pagetide.session import delete_folder, folders
 
 # The order of lines: parts of the document, then groups, then what a group holds.
 _ORDER = ("section", "group_key", "piece", "entry_key", "entry_number")
@@ -183,12 +184,19 @@ def top_user_lines(rows, bounds):
     return _ends(rows.sparkSession, F.lit("["), F.lit("]")).union(heads).union(entries).union(tails)
 
 
-def report_path(out, name):
-    return f"{out.rstrip('/')}/{name}/document"
+def _version(spark, out, name):
+    """Folder of the published version of a report; a place without one does not exist."""
+    folder = f"{out.rstrip('/')}/{name}"
+    _, content = snapshots.current(spark, folder)
+    return f"{folder}/{content['folder'] if content else 'none'}"
 
 
-def rows_path(out, name):
-    return f"{out.rstrip('/')}/{name}/rows"
+def report_path(spark, out, name):
+    return f"{_version(spark, out, name)}/document"
+
+
+def rows_path(spark, out, name):
+    return f"{_version(spark, out, name)}/rows"
 
 
 def _labelled(rows, bounds):
@@ -217,21 +225,29 @@ def publish(
 ):
     """Write the three reports, or some: each as Parquet rows and as a JSON document.
 
-    A report is written beside the one before it and takes its place when it is complete.
+    A report is written beside the one before it, and is there for readers when its snapshot is
+    published. The one before goes when the next is published, for those who are reading it.
     """
     for name in names:
-        new = f"{out.rstrip('/')}/.{name}-{uuid.uuid4().hex}"
+        folder = f"{out.rstrip('/')}/{name}"
+        version = f"version-{uuid.uuid4().hex}"
         rows = _rows(name, domain_rows, user_rows, bounds, n, grain)
-        rows.write.parquet(f"{new}/rows")
-        written = spark.read.schema(rows.schema).parquet(f"{new}/rows")
+        rows.write.parquet(f"{folder}/{version}/rows")
+        written = spark.read.schema(rows.schema).parquet(f"{folder}/{version}/rows")
         # A global sort: the text of the part files, in order, is the document.
-        _lines(name, written, bounds).orderBy(*_ORDER).select("value").write.text(f"{new}/document")
-        replace_folder(spark, new, f"{out.rstrip('/')}/{name}")
+        lines = _lines(name, written, bounds).orderBy(*_ORDER).select("value")
+        lines.write.text(f"{folder}/{version}/document")
+        number, before = snapshots.current(spark, folder)
+        snapshots.publish(spark, folder, number + 1, {"folder": version})
+        kept = {version, before["folder"] if before else version}
+        for path in folders(spark, f"{folder}/version-*"):
+            if path.rsplit("/", 1)[-1] not in kept:
+                delete_folder(spark, path)
 
 
 def read_report(spark, out, name):
     """Rows of a published report, with its labels. A missing or broken report is an error."""
-    rows = spark.read.schema(REPORT_ROWS[name]).parquet(rows_path(out, name))
+    rows = spark.read.schema(REPORT_ROWS[name]).parquet(rows_path(spark, out, name))
     if name == HOURLY_REPORT:
         return rows.select(
             hour_label(F.col("hour")).alias("time_start"),

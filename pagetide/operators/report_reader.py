@@ -223,7 +223,7 @@ def read_document(spark, out, name):
 
     A user without titles has one row. A missing, cut or edited document is an error.
     """
-    layout, path = _LAYOUTS[name], report_path(out, name)
+    layout, path = _LAYOUTS[name], report_path(spark, out, name)
     placed = _in_order(_parsed(_lines(spark, path), layout))
     _check(placed, layout, path)
     heads = placed.filter(F.col("kind") == HEAD).select("group", "head.*")

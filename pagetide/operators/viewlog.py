@@ -1,60 +1,79 @@
 """Views kept as Parquet folders that grow by batch and are merged when read.
 
-Layout: `<root>/<view>/[day=D/]run=R/batch_id=N`. A replayed batch replaces its own folders. `run`
-names one checkpoint: batch numbers restart with a new checkpoint, and a new run name keeps them
-from replacing older batches. Merging is idempotent, so rows may be stored in several folders: a
-compaction first adds its folder and then removes the ones it has read, beside a running stream.
+    <view>/live/run=R/batch_id=N/[day=D/]    a batch, put in place whole by one rename
+    <view>/base/version=V/[day=D/]           batches that a compaction has merged
+    <view>/snapshots/<number>                names the folders of the base, and the folded batches
+
+`run` names one checkpoint: batch numbers restart with a new checkpoint, and a new run name keeps
+them apart. A batch that is there already, or has been folded into the base, is not written again, so
+a replay changes nothing, also in the event log, whose rows are not merged. Numbers rise within a
+run, so the ledger of folded batches is one number per run.
+
+A compaction rewrites only the days that its batches have rows of, and then publishes a snapshot.
+Folders that are no longer named go one compaction later. A reader takes the folders of one snapshot
+and the batches beside it, so it neither misses nor repeats a row while streams write and
+compactions run.
 """
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
+from pagetide import snapshots
 from pagetide.functions.timing import in_window
-from pagetide.operators.views import SPECS, STORES, merge, project, spec_of, with_day
+from pagetide.operators.views import STORES, merge, project, spec_of, with_day
 from pagetide.schemas import ddl
-from pagetide.session import delete_folder, folders
+from pagetide.session import delete_folder, folders, move_folder
 
-COMPACTED = "compacted"
+# Columns that lookups ask for by value; compacted files get Bloom filters on them.
+LOOKUP_KEYS = ("user_id", "page_id", "domain")
 
 
 def _folder(root, spec):
     return f"{root.rstrip('/')}/{spec.name}"
 
 
-def _partitions(spec):
-    return (["day"] if spec.keyed_by_time else []) + ["run", "batch_id"]
-
-
 def _columns(spec):
     """Stored columns, with `day` left to the folder names."""
     return [name for name in spec.stored if name != "day"]
 
 
-def _save(rows, root, spec):
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_partitions(spec))
-        .parquet(_folder(root, spec))
-    )
+def _save(rows, path, spec, bloom=()):
+    writer = rows.write.partitionBy("day") if spec.keyed_by_time else rows.write
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    # Filters of the size that the number of values asks for.
+    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
+
+
+def _batch(run, batch_id):
+    return f"run={run}/batch_id={batch_id}"
+
+
+def _is_folded(content, run, batch_id):
+    return bool(content) and batch_id <= content["folded"].get(run, -1)
 
 
 def _write_view(events, root, run, batch_id, view):
     spec = spec_of(view)
+    if not re.fullmatch(r"[\w.-]+", run):
+        raise ValueError(f"a run is named by letters, digits, points and hyphens, not {run!r}")
+    spark, folder = events.sparkSession, _folder(root, spec)
+    place = f"{folder}/live/{_batch(run, batch_id)}"
+    _, content = snapshots.current(spark, folder)
+    if _is_folded(content, run, batch_id) or folders(spark, place):
+        return
     rows = merge(project(events, spec), spec)
     if spec.keyed_by_time:
         # Few files per day, and a day with most of the rows is spread over several tasks.
         rows = with_day(rows).hint("rebalance", "day")
-    _save(
-        rows.withColumn("run", F.lit(run)).withColumn(
-            "batch_id", F.lit(batch_id).cast("bigint")
-        ),
-        root,
-        spec,
-    )
+    new = f"{folder}/.new-{uuid.uuid4().hex}"
+    _save(rows, new, spec)
+    if not move_folder(spark, new, place):
+        delete_folder(spark, new)
 
 
 def write_batch(events, root, run, batch_id, views=None):
@@ -74,22 +93,61 @@ def write_batch(events, root, run, batch_id, views=None):
         job.result()
 
 
-def _schema(spec):
-    days = "day date, " if spec.keyed_by_time else ""
-    return f"{ddl(_columns(spec))}, {days}run string, batch_id bigint"
+def _live(spark, folder, content):
+    """Folders of the batches that are not in the base, by run and number."""
+    found = {}
+    for path in folders(spark, f"{folder}/live/run=*/batch_id=*"):
+        run, number = re.search(r"run=([^/]*)/batch_id=(\d+)$", path).groups()
+        if not _is_folded(content, run, int(number)):
+            found[run, int(number)] = path
+    return found
+
+
+def _rows(spark, spec, folder, live, base):
+    """Stored rows of the named folders, not merged. Folders of no view are an error, as in Spark."""
+    days = ", day date" if spec.keyed_by_time else ""
+    reader = spark.read.schema(ddl(_columns(spec)) + days)
+    parts = [
+        reader.option("basePath", f"{folder}/{place}").parquet(*paths)
+        for place, paths in (("live", live), ("base", base))
+        if paths
+    ] or [reader.parquet(folder)]
+    # The names of runs and versions are no columns of the view.
+    parts = [part.select(*_columns(spec), *(["day"] if days else [])) for part in parts]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _day_of(path):
+    return path.rsplit("day=", 1)[-1]
+
+
+def _base(folder, content, days=None):
+    """Folders of the base, those of some days only if asked for. Days are text that sorts."""
+    names = content["base"] if content else []
+    if days is not None:
+        names = [name for name in names if days(_day_of(name))]
+    return [f"{folder}/base/{name}" for name in names]
 
 
 def scan(spark, root, view, bounds=None):
     """Stored rows of a view, not merged. `bounds` prunes day folders and filters `time`."""
     spec = spec_of(view)
+    folder = _folder(root, spec)
     if bounds is not None and not spec.keyed_by_time:
         raise ValueError(f"{spec.name} has no time in its key: a time filter would be wrong")
-    rows = spark.read.schema(_schema(spec)).parquet(_folder(root, spec))
-    if bounds is not None:
-        rows = rows.filter(F.col("day").between(*map(F.lit, bounds.days)))
-        if "time" in spec.columns:
-            rows = in_window(rows, bounds)
-    return rows
+    # The snapshot first: what it names stays while a compaction publishes the next one.
+    _, content = snapshots.current(spark, folder)
+    live = list(_live(spark, folder, content).values())
+    if bounds is None:
+        return _rows(spark, spec, folder, live, _base(folder, content))
+    first, last = map(str, bounds.days)
+    base = _base(folder, content, lambda day: first <= day <= last)
+    if content and not live and not base:
+        # Nothing of these days; a folder of others gives the columns.
+        base = _base(folder, content)[:1]
+    rows = _rows(spark, spec, folder, live, base)
+    rows = rows.filter(F.col("day").between(*map(F.lit, bounds.days)))
+    return in_window(rows, bounds) if "time" in spec.columns else rows
 
 
 def read(spark, root, view, bounds=None):
@@ -98,46 +156,69 @@ def read(spark, root, view, bounds=None):
     return merge(scan(spark, root, spec, bounds), spec).select(*spec.columns)
 
 
-def _batches(spark, root, spec):
-    """Folders of single batches, one per day, run and batch."""
-    days = "/day=*" if spec.keyed_by_time else ""
-    return folders(spark, f"{_folder(root, spec)}{days}/run=*/batch_id=*")
+def compact(spark, root, views=None):
+    """Fold the batches that are there now into the base, one row per key, sorted by key.
 
+    Run it regularly, one at a time: every batch adds a folder. Readers and streams go on meanwhile;
+    a query that is still running when the second compaction after its start ends has to be started
+    again. Range partitioning by the whole key spreads a hot first column over many files and gives
+    each file a narrow key range, so key lookups skip most files, and Bloom filters skip others.
+    """
+    for view in views or STORES:
+        _compact(spark, root, spec_of(view))
 
-def _next_number(found):
-    made = [re.search(rf"run={COMPACTED}/batch_id=(\d+)$", path) for path in found]
-    return max((int(match[1]) + 1 for match in made if match), default=0)
 
+def _compact(spark, root, spec):
+    folder = _folder(root, spec)
+    number, content = snapshots.current(spark, folder)
+    live = _live(spark, folder, content)
+    named = content["base"] if content else []
+    if live:
+        named = named + _fold(spark, folder, spec, number, content, live)
+    _clean(spark, folder, content, named)
 
-def compact(spark, root, views=None):
-    """Merge the batches that are there now to one row per key, sorted by key, in the same root.
 
-    The merged rows are written first, as one more batch, and then the folders that were read are
-    removed, and no others. Readers see every row at every moment, and batches written meanwhile
-    stay. Range partitioning by the whole key spreads a hot first column over many files and gives
-    each file a narrow key range, so key lookups skip most files. The event log is left alone: a
-    batch that is replayed must find its own folder.
-    """
-    for view in views or SPECS:
-        spec = spec_of(view)
-        found = _batches(spark, root, spec)
-        if spec.is_log or not found:
-            continue
-        rows = spark.read.schema(_schema(spec)).option("basePath", _folder(root, spec))
-        rows = merge(rows.parquet(*found), spec)
-        if spec.keyed_by_time:
-            rows = with_day(rows)
-            order = ["day", *[name for name in spec.key if name != "day"]]
-        else:
-            order = list(spec.key)
-        number = F.lit(_next_number(found)).cast("bigint")
-        _save(
-            rows.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .withColumn("run", F.lit(COMPACTED))
-            .withColumn("batch_id", number),
-            root,
-            spec,
-        )
-        for path in found:
+def _fold(spark, folder, spec, number, content, live):
+    """Write a new base for what the batches touch, and publish it. Names its folders."""
+    base, kept = _base(folder, content), []
+    if spec.keyed_by_time:
+        days = {
+            _day_of(path)
+            for path in folders(spark, f"{folder}/live/run=*/batch_id=*/day=*")
+            if path.rsplit("/", 1)[0] in live.values()
+        }
+        kept = [name for name in content["base"] if _day_of(name) not in days] if content else []
+        base = _base(folder, content, days.__contains__)
+    rows = merge(_rows(spark, spec, folder, list(live.values()), base), spec)
+    if spec.is_log:
+        rows, order = with_day(rows), ["day", "time", "seq"]
+    elif spec.keyed_by_time:
+        rows, order = with_day(rows), ["day", *[name for name in spec.key if name != "day"]]
+    else:
+        order = list(spec.key)
+    version = f"version={number + 1}-{uuid.uuid4().hex[:8]}"
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    _save(rows, f"{folder}/base/{version}", spec, [c for c in LOOKUP_KEYS if c in spec.columns])
+    made = [version]
+    if spec.keyed_by_time:
+        written = folders(spark, f"{folder}/base/{version}/day=*")
+        made = [f"{version}/day={_day_of(path)}" for path in written]
+    folded = dict(content["folded"]) if content else {}
+    for run, batch_id in live:
+        folded[run] = max(folded.get(run, -1), batch_id)
+    snapshots.publish(spark, folder, number + 1, {"base": kept + made, "folded": folded})
+    return kept + made
+
+
+def _clean(spark, folder, content, named):
+    """Remove what neither the snapshot before nor the one now names."""
+    if not content:
+        return
+    live = set(_live(spark, folder, content).values())
+    for path in folders(spark, f"{folder}/live/run=*/batch_id=*"):
+        if path not in live:
+            delete_folder(spark, path)
+    days = "/day=*" if named and "/day=" in named[0] else ""
+    for path in folders(spark, f"{folder}/base/version=*{days}"):
+        if path.split("/base/")[-1] not in named:
             delete_folder(spark, path)

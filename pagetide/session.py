@@ -42,39 +42,34 @@ def _shared_folder(spark):
     return folder.rstrip("/")
 
 
-def _path(spark, folder):
+def file_system(spark, folder):
+    """A path and the file system that it is in."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def is_file(spark, name):
-    path, files = _path(spark, name)
+    path, files = file_system(spark, name)
     return files.getFileStatus(path).isFile()
 
 
 def delete_folder(spark, folder):
-    path, files = _path(spark, folder)
+    path, files = file_system(spark, folder)
     files.delete(path, True)
 
 
 def folders(spark, pattern):
     """Existing folders that match a glob, as paths."""
-    path, files = _path(spark, pattern)
+    path, files = file_system(spark, pattern)
     return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
 
 
-def replace_folder(spark, new, old):
-    """Put a complete folder in the place of another, which is moved aside and then removed."""
-    new_path, files = _path(spark, new)
-    old_path, _ = _path(spark, old)
-    aside, _ = _path(spark, f"{old}.replaced-{uuid.uuid4().hex}")
-    if files.exists(old_path):
-        files.rename(old_path, aside)
-    else:
-        files.mkdirs(old_path.getParent())
-    if not files.rename(new_path, old_path):
-        raise OSError(f"could not rename {new} to {old}")
-    files.delete(aside, True)
+def move_folder(spark, new, place):
+    """Put a complete folder in a place that is free; False where it is taken."""
+    new_path, files = file_system(spark, new)
+    path, _ = file_system(spark, place)
+    files.mkdirs(path.getParent())
+    return not files.exists(path) and files.rename(new_path, path)
 
 
 @contextmanager
@@ -103,7 +98,7 @@ def scratch_folder(spark, label):
     """
     name, made = _scope.get() or ("call", [])
     own = f"{_shared_folder(spark)}/pagetide-{name}-{label}-{uuid.uuid4().hex}"
-    path, files = _path(spark, own)
+    path, files = file_system(spark, own)
     files.mkdirs(path)
     files.deleteOnExit(path)
     made.append(own)

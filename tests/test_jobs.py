@@ -39,7 +39,7 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
             main(["compact", "--root", at + "views"])
         main(["reports", "--root", at + root, "--out", at + "out", "--as-of",
               "2024-01-16 12:30:00"])
-        folder = Path(at + "out/hourly_domain_page_stats/document")
+        folder = Path(documents.report_path(spark, at + "out", "hourly_domain_page_stats"))
         document = json.loads("".join(p.read_text() for p in sorted(folder.glob("part-*"))))
         assert [bucket["time_start"] for bucket in document] == ["05:00", "06:00", "07:00"]
         assert [bucket["statistics"] for bucket in document] == [[{"a.org": 2}]] * 3

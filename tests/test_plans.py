@@ -187,7 +187,7 @@ def test_a_busy_day_is_written_by_several_tasks(spark, tmp_path):
     )
     with configured(spark, settings):
         viewlog.write_batch(busy, str(tmp_path), "r", 0, ["user_stat"])
-    assert len(list(tmp_path.glob("user_stat/day=2024-01-01/run=r/batch_id=0/part-*"))) > 1
+    assert len(list(tmp_path.glob("user_stat/live/run=r/batch_id=0/day=2024-01-01/part-*"))) > 1
     assert viewlog.read(spark, str(tmp_path), "user_stat").count() == 80_000
 
 

@@ -1,7 +1,6 @@
 """Published documents read back: the same rows, and errors for whatever was changed in them."""
 
 import shutil
-from pathlib import Path
 
 import pytest
 from helpers import event, events_frame, tuples
@@ -61,7 +60,7 @@ def blocks(spark):
 
 
 def parts(out, name):
-    return sorted(Path(documents.report_path(str(out), name)).glob("part-*"))
+    return sorted(out.glob(f"{name}/version-*/document/part-*"))
 
 
 @pytest.mark.parametrize("block", ["128m", "300b"])

@@ -141,8 +141,8 @@ def test_ties_go_to_the_lower_id(spark):
         reports.top_users(frame, BOUNDS, n=0)
 
 
-def read_text(out, name):
-    folder = Path(documents.report_path(str(out), name))
+def read_text(spark, out, name):
+    folder = Path(documents.report_path(spark, str(out), name))
     # The parts are one JSON value in the order of their names.
     return json.loads("".join(path.read_text() for path in sorted(folder.glob("part-*"))))
 
@@ -159,17 +159,17 @@ def test_published_documents(spark, tmp_path):
         ],
     )
     documents.publish(spark, frame, frame, bounds, str(tmp_path))
-    assert read_text(tmp_path, HOURLY_REPORT) == [
+    assert read_text(spark, tmp_path, HOURLY_REPORT) == [
         {"time_start": "21:00", "time_end": "22:00", "statistics": [{"a.org": 1}]},
         {"time_start": "23:00", "time_end": "00:00", "statistics": [{"a.org": 1}, {"b.org": 1}]},
     ]
-    assert read_text(tmp_path, BOT_REPORT) == {
+    assert read_text(spark, tmp_path, BOT_REPORT) == {
         "time_start": "18:00",
         "time_end": "01:00",
         "statistics": [{"domain": "b.org", "created_by_bots": 1}],
     }
     span = {"time_start": "18:00", "time_end": "01:00"}
-    assert read_text(tmp_path, TOP_USERS_REPORT) == [
+    assert read_text(spark, tmp_path, TOP_USERS_REPORT) == [
         {"user_id": 1, "username": "one", **span, "page_titles": ["First", "Second", "T"],
          "pages_created": 3},
         {"user_id": 9, "username": "nine", **span, "page_titles": ["T"], "pages_created": 1},
@@ -183,9 +183,9 @@ def test_published_documents(spark, tmp_path):
 def test_empty_window(spark, tmp_path):
     frame = events_frame(spark, [event("2020-01-01 00:00:00")])
     documents.publish(spark, frame, frame, BOUNDS, str(tmp_path))
-    assert read_text(tmp_path, HOURLY_REPORT) == []
-    assert read_text(tmp_path, TOP_USERS_REPORT) == []
-    assert read_text(tmp_path, BOT_REPORT) == {
+    assert read_text(spark, tmp_path, HOURLY_REPORT) == []
+    assert read_text(spark, tmp_path, TOP_USERS_REPORT) == []
+    assert read_text(spark, tmp_path, BOT_REPORT) == {
         "time_start": "04:00", "time_end": "11:00", "statistics": [],
     }
 
@@ -205,13 +205,13 @@ def test_large_documents_are_spread_over_parts(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
     for name in (HOURLY_REPORT, TOP_USERS_REPORT):
-        assert len(list(Path(documents.report_path(str(tmp_path), name)).glob("part-*"))) > 2
-    hours = read_text(tmp_path, HOURLY_REPORT)
+        assert len(list(Path(documents.report_path(spark, str(tmp_path), name)).glob("part-*"))) > 2
+    hours = read_text(spark, tmp_path, HOURLY_REPORT)
     assert [hour["time_start"] for hour in hours] == ["05:00", "06:00", "07:00", "08:00"]
     assert [domain for hour in hours for entry in hour["statistics"] for domain in entry] == sorted(
         (row["domain"] for row in rows), key=lambda d: (int(d[2:6]) % 4, d)
     )
-    users = read_text(tmp_path, TOP_USERS_REPORT)
+    users = read_text(spark, tmp_path, TOP_USERS_REPORT)
     kept = build(frame, "user_stat").collect()
     for user in users:
         own = [r for r in kept if r.user_id == user["user_id"]]
@@ -226,15 +226,16 @@ def test_publishing_again_replaces_the_report(spark, tmp_path):
     for domain in ("a.org", "b.org"):
         frame = events_frame(spark, [event("2024-01-16 05:00:00", domain=domain)])
         documents.publish(spark, frame, frame, BOUNDS, str(tmp_path), names=[HOURLY_REPORT])
-        assert read_text(tmp_path, HOURLY_REPORT)[0]["statistics"] == [{domain: 1}]
+        assert read_text(spark, tmp_path, HOURLY_REPORT)[0]["statistics"] == [{domain: 1}]
     assert [path.name for path in tmp_path.iterdir()] == [HOURLY_REPORT]
 
 
 def test_missing_and_broken_reports(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         documents.read_report(spark, str(tmp_path), HOURLY_REPORT)
-    rows = Path(documents.rows_path(str(tmp_path), HOURLY_REPORT))
-    rows.mkdir(parents=True)
-    (rows / "part-0.parquet").write_text("cut")
+    frame = events_frame(spark, [event("2024-01-16 05:00:00")])
+    documents.publish(spark, frame, frame, BOUNDS, str(tmp_path), names=[HOURLY_REPORT])
+    for path in Path(documents.rows_path(spark, str(tmp_path), HOURLY_REPORT)).glob("*part-*"):
+        path.unlink() if path.name.startswith(".") else path.write_text("cut")
     with pytest.raises(Exception, match="parquet|Parquet"):
         documents.read_report(spark, str(tmp_path), HOURLY_REPORT).collect()
