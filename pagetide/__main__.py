@@ -3,8 +3,10 @@
 Commands
   normalize  raw messages to normalised ones, as a stream
   views      normalised messages to the seven keyed views, as a stream
-  hourly     normalised messages to counts of closed hours, as a stream
+  hourly     normalised messages to counts of closed hours, as a stream; with --root and --run, to
+             counts that late events correct
   reports    the three report documents for the window that belongs to --as-of
+  read       a published document, as rows in JSON lines
   compact    merge the batches of the views to one row per key, beside a running stream
   lookup     one of the lookups, written as JSON lines
 
@@ -21,7 +23,9 @@ from pagetide.functions.timing import Bounds, as_utc, report_bounds
 from pagetide.operators import documents, lookups, viewlog
 from pagetide.operators.normalize import accepted, from_wire
 from pagetide.operators.reports import EVENT, KEYED
-from pagetide.operators.views import EVENT_LOG
+from pagetide.operators.report_reader import read_document
+from pagetide.operators.views import DOMAIN_MINUTES, EVENT_LOG, PARTIALS, STORES, USER_MINUTES
+from pagetide.schemas import REPORT_ROWS
 from pagetide.session import utc
 from pagetide.sources.frames import sse_frames
 from pagetide.sources.messages import PATIENT, file_messages, kafka_raw
@@ -74,15 +78,23 @@ def _arguments():
 
     normalize = stream("normalize")
     normalize.add_argument("--frames", action="store_true", help="input holds event frames")
+    normalize.add_argument(
+        "--redelivered", help="how long frames may come again, such as '1 hour'; with --frames"
+    )
     normalize.add_argument("--out", help="folder for message files, instead of a topic")
     normalize.add_argument("--rejects", default=jobs.REJECTED_TOPIC, help="topic of bad messages")
     views = stream("views")
     views.add_argument("--root", required=True)
     views.add_argument("--run", required=True, help="a new name for every new checkpoint")
+    views.add_argument(
+        "--partials", action="store_true", help="keep partial aggregates for reports as well"
+    )
     bad_messages(views)
     hourly = stream("hourly")
     hourly.add_argument("--out", required=True)
     hourly.add_argument("--delay", default="1 hour")
+    hourly.add_argument("--root", help="folder of minutes; late events correct published hours")
+    hourly.add_argument("--run", help="with --root, a new name for every new checkpoint")
     bad_messages(hourly)
 
     reports = commands.add_parser("reports")
@@ -91,6 +103,11 @@ def _arguments():
     reports.add_argument("--as-of", help="UTC time; now if left out")
     reports.add_argument("--hours", type=int, default=7)
     reports.add_argument("--grain", choices=[KEYED, EVENT], default=KEYED)
+    reports.add_argument("--partials", action="store_true", help="from partial aggregates")
+    read = commands.add_parser("read")
+    read.add_argument("name", choices=list(REPORT_ROWS))
+    read.add_argument("--reports", required=True, help="what the reports were written to")
+    read.add_argument("--out", required=True)
     compact = commands.add_parser("compact")
     compact.add_argument("--root", required=True)
     lookup = commands.add_parser("lookup")
@@ -134,7 +151,9 @@ def _normalized(spark, args):
 
 def normalize(spark, args):
     if args.frames:
-        messages = sse_frames(spark, args.input, streaming=True, **_file_limits(args))
+        messages = sse_frames(
+            spark, args.input, streaming=True, redelivered=args.redelivered, **_file_limits(args)
+        )
     else:
         messages = _messages(spark, args, jobs.INPUT_TOPIC)
     start, target = (
@@ -150,7 +169,7 @@ def views(spark, args):
     return [
         jobs.start_views(
             _normalized(spark, args), args.root, args.run, args.checkpoint, quarantine,
-            _trigger(args),
+            _trigger(args), views=[*STORES, *PARTIALS] if args.partials else None,
         )
     ]
 
@@ -161,6 +180,13 @@ def hourly(spark, args):
         rejects = f"{args.checkpoint}-rejects"
         started.append(jobs.start_rejects(messages, args.quarantine, rejects, trigger))
     events = accepted(from_wire(messages))
+    if args.root:
+        started.append(
+            jobs.start_corrected_hours(
+                events, args.root, args.run, args.out, args.checkpoint, trigger
+            )
+        )
+        return started
     started.append(jobs.start_hourly(events, args.out, args.checkpoint, args.delay, trigger))
     return started
 
@@ -170,7 +196,16 @@ def reports(spark, args):
     # Events are counted in the log; the keyed counts do not need it.
     stores = [EVENT_LOG] * 2 if args.grain == EVENT else ["domain_page_stats", "user_stat"]
     rows = [viewlog.scan(spark, args.root, store, bounds) for store in stores]
-    documents.publish(spark, *rows, bounds, args.out, grain=args.grain)
+    minutes = None
+    if args.partials:
+        minutes = [
+            viewlog.read(spark, args.root, store, bounds) for store in (DOMAIN_MINUTES, USER_MINUTES)
+        ]
+    documents.publish(spark, *rows, bounds, args.out, grain=args.grain, minutes=minutes)
+
+
+def read(spark, args):
+    read_document(spark, args.reports, args.name).write.mode("overwrite").json(args.out)
 
 
 def compact(spark, args):
@@ -201,6 +236,7 @@ COMMANDS = {
     "views": views,
     "hourly": hourly,
     "reports": reports,
+    "read": read,
     "compact": compact,
     "lookup": lookup,
 }

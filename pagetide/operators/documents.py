@@ -14,7 +14,9 @@ from pagetide.functions.timing import hour_end, hour_label
 from pagetide.operators.reports import (
     KEYED,
     bot_domain_stats,
+    bots_of_minutes,
     hourly_domain_stats,
+    hourly_of_minutes,
     top_user_titles,
 )
 from pagetide.schemas import BOT_REPORT, HOURLY_REPORT, REPORT_ROWS
@@ -204,13 +206,18 @@ def _labelled(rows, bounds):
     return rows.withColumns({"time_start": F.lit(start), "time_end": F.lit(end)})
 
 
-def _rows(name, domain_rows, user_rows, bounds, n, grain):
+def _rows(name, domain_rows, user_rows, bounds, n, grain, minutes):
+    domain_minutes, user_minutes = minutes or (None, None)
     if name == HOURLY_REPORT:
+        if minutes:
+            return hourly_of_minutes(domain_minutes)
         return hourly_domain_stats(domain_rows, bounds, grain)
     if name == BOT_REPORT:
+        if minutes:
+            return _labelled(bots_of_minutes(domain_minutes), bounds)
         return _labelled(bot_domain_stats(domain_rows, bounds, grain), bounds)
     # A number per row tells equal titles of a user apart once the rows are written.
-    titles = _labelled(top_user_titles(user_rows, bounds, n, grain), bounds)
+    titles = _labelled(top_user_titles(user_rows, bounds, n, grain, user_minutes), bounds)
     return titles.withColumn("entry", F.monotonically_increasing_id())
 
 
@@ -221,17 +228,21 @@ def _lines(name, rows, bounds):
 
 
 def publish(
-    spark, domain_rows, user_rows, bounds, out, n=20, names=tuple(REPORT_ROWS), grain=KEYED
+    spark, domain_rows, user_rows, bounds, out, n=20, names=tuple(REPORT_ROWS), grain=KEYED,
+    minutes=None,
 ):
     """Write the three reports, or some: each as Parquet rows and as a JSON document.
 
+    `minutes` are the stored partial aggregates of the window, of domains and of users; reports are
+    then made of them, and `user_rows` give the titles.
+
     A report is written beside the one before it, and is there for readers when its snapshot is
     published. The one before goes when the next is published, for those who are reading it.
     """
     for name in names:
         folder = f"{out.rstrip('/')}/{name}"
         version = f"version-{uuid.uuid4().hex}"
-        rows = _rows(name, domain_rows, user_rows, bounds, n, grain)
+        rows = _rows(name, domain_rows, user_rows, bounds, n, grain, minutes)
         rows.write.parquet(f"{folder}/{version}/rows")
         written = spark.read.schema(rows.schema).parquet(f"{folder}/{version}/rows")
         # A global sort: the text of the part files, in order, is the document.

@@ -1,4 +1,4 @@
-"""Windowed reports over the time-keyed views.
+"""Windowed reports over the time-keyed views, or over partial aggregates of them.
 
 Grain decides what "pages created" counts. `KEYED` counts view rows: pages made in one domain in
 the same second by the same kind of user are one row, and so are one user's pages in one second.
@@ -8,9 +8,17 @@ and on merged ones.
 
 from pyspark.sql import Window, functions as F
 
-from pagetide.functions.seconds import seconds_in, seconds_mask
+from pagetide.functions.seconds import seconds_in
 from pagetide.functions.timing import hour_of, in_window
-from pagetide.operators.views import SPECS, build, without_values
+from pagetide.operators.views import (
+    DOMAIN_MINUTES,
+    SPECS,
+    USER_MINUTES,
+    build,
+    merge,
+    project,
+    without_values,
+)
 from pagetide.schemas import PAGE_CREATE
 
 KEYED = "keyed"
@@ -36,9 +44,11 @@ def hourly_domain_stats(rows, bounds=None, grain=KEYED):
         return rows.groupBy(hour_of(F.col("time")).alias("hour"), "domain").agg(
             F.count(F.lit(1)).alias("pages_created")
         )
-    minutes = rows.groupBy(
-        F.date_trunc("minute", "time").alias("minute"), "domain", "created_by_bot"
-    ).agg(seconds_mask(F.col("time")).alias("seconds"))
+    return hourly_of_minutes(merge(project(rows, DOMAIN_MINUTES), DOMAIN_MINUTES))
+
+
+def hourly_of_minutes(minutes):
+    """The hourly report of merged minutes; masks say how many seconds have pages."""
     return minutes.groupBy(hour_of(F.col("minute")).alias("hour"), "domain").agg(
         F.sum(seconds_in(F.col("seconds"))).alias("pages_created")
     )
@@ -50,10 +60,12 @@ def bot_domain_stats(rows, bounds=None, grain=KEYED):
     rows = _domain_rows(rows, bounds).filter("created_by_bot")
     if grain == EVENT:
         return rows.groupBy("domain").agg(F.count(F.lit(1)).alias("created_by_bots"))
-    minutes = rows.groupBy(F.date_trunc("minute", "time").alias("minute"), "domain").agg(
-        seconds_mask(F.col("time")).alias("seconds")
-    )
-    return minutes.groupBy("domain").agg(
+    return bots_of_minutes(merge(project(rows, DOMAIN_MINUTES), DOMAIN_MINUTES))
+
+
+def bots_of_minutes(minutes):
+    """The report on bots of merged minutes."""
+    return minutes.filter("created_by_bot").groupBy("domain").agg(
         F.sum(seconds_in(F.col("seconds"))).alias("created_by_bots")
     )
 
@@ -65,9 +77,11 @@ def _user_rows(rows, grain):
     return rows.dropna(subset=list(spec.key)).select(*spec.columns)
 
 
-def user_counts(rows):
+def user_counts(rows, minutes=None):
     """Rows of the user view per (user_id, username), counted in hash aggregates.
 
+    `minutes` are the merged partial aggregates of the same rows, where they are stored.
+
     Seconds are folded to a mask per user, name and minute, and the masks are the counts where no
     second of a user has two names. A look at the distinct names, few beside the rows, tells whether
     any user has several. If so, minutes in which a second has two names are merged row by row to
@@ -76,11 +90,11 @@ def user_counts(rows):
     rows = rows.dropna(subset=["time", "user_id"]).withColumn(
         "minute", F.date_trunc("minute", "time")
     )
-    minutes = rows.groupBy("user_id", "username", "minute").agg(
-        seconds_mask(F.col("time")).alias("seconds")
-    )
+    named = rows if minutes is None else minutes
+    if minutes is None:
+        minutes = merge(project(rows, USER_MINUTES), USER_MINUTES)
     pages = seconds_in(F.col("seconds"))
-    names = rows.select("user_id", "username").distinct()
+    names = named.select("user_id", "username").distinct()
     if names.groupBy("user_id").count().filter("count > 1").isEmpty():
         return minutes.groupBy("user_id", "username").agg(F.sum(pages).alias("pages_created"))
 
@@ -105,17 +119,18 @@ def user_counts(rows):
     )
 
 
-def top_users(rows, bounds=None, n=20, grain=KEYED):
+def top_users(rows, bounds=None, n=20, grain=KEYED, minutes=None):
     """The `n` most active (user_id, username) pairs and their rank.
 
-    Ties go to the lower id, then name.
+    Ties go to the lower id, then name. With `minutes`, stored partial aggregates of the window, rows
+    are read only where a user has two names in one second.
     """
     _check_grain(grain, rows)
     if n <= 0:
         raise ValueError("n must be positive")
     rows = in_window(rows, bounds)
     if grain == KEYED:
-        counts = user_counts(rows)
+        counts = user_counts(rows, minutes)
     else:
         counts = rows.dropna(subset=["time", "user_id"]).groupBy("user_id", "username").agg(
             F.count(F.lit(1)).alias("pages_created")
@@ -130,13 +145,13 @@ def top_users(rows, bounds=None, n=20, grain=KEYED):
     )
 
 
-def top_user_titles(rows, bounds=None, n=20, grain=KEYED):
+def top_user_titles(rows, bounds=None, n=20, grain=KEYED, minutes=None):
     """The report in long form: one row per top user and page title, of any length.
 
     Users are counted without titles first. Only rows of the winners are then merged with their
     titles; Spark sizes the joins.
     """
-    top = top_users(rows, bounds, n, grain)
+    top = top_users(rows, bounds, n, grain, minutes)
     ids = top.select("user_id").distinct()
     titles = _user_rows(in_window(rows, bounds).join(ids, "user_id", "left_semi"), grain)
     named = titles.select(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pagetide import snapshots
 from pagetide.functions.timing import in_window
-from pagetide.operators.views import STORES, merge, project, spec_of, with_day
+from pagetide.operators.views import PARTIALS, STORES, merge, project, spec_of, with_day
 from pagetide.schemas import ddl
 from pagetide.session import delete_folder, folders, move_folder
 
@@ -129,31 +129,41 @@ def _base(folder, content, days=None):
     return [f"{folder}/base/{name}" for name in names]
 
 
-def scan(spark, root, view, bounds=None):
-    """Stored rows of a view, not merged. `bounds` prunes day folders and filters `time`."""
+def scan(spark, root, view, bounds=None, days=None):
+    """Stored rows of a view, not merged.
+
+    `bounds` prunes day folders and filters `time`; `days`, a list of dates, prunes alone.
+    """
     spec = spec_of(view)
     folder = _folder(root, spec)
-    if bounds is not None and not spec.keyed_by_time:
+    if (bounds or days is not None) and not spec.keyed_by_time:
         raise ValueError(f"{spec.name} has no time in its key: a time filter would be wrong")
     # The snapshot first: what it names stays while a compaction publishes the next one.
     _, content = snapshots.current(spark, folder)
     live = list(_live(spark, folder, content).values())
-    if bounds is None:
+    if bounds is None and days is None:
         return _rows(spark, spec, folder, live, _base(folder, content))
-    first, last = map(str, bounds.days)
-    base = _base(folder, content, lambda day: first <= day <= last)
+    if days is not None:
+        base = _base(folder, content, set(map(str, days)).__contains__)
+        wanted = F.col("day").isin([F.lit(day) for day in days])
+    else:
+        first, last = map(str, bounds.days)
+        base = _base(folder, content, lambda day: first <= day <= last)
+        wanted = F.col("day").between(*map(F.lit, bounds.days))
     if content and not live and not base:
         # Nothing of these days; a folder of others gives the columns.
         base = _base(folder, content)[:1]
-    rows = _rows(spark, spec, folder, live, base)
-    rows = rows.filter(F.col("day").between(*map(F.lit, bounds.days)))
-    return in_window(rows, bounds) if "time" in spec.columns else rows
+    rows = _rows(spark, spec, folder, live, base).filter(wanted)
+    if bounds is None:
+        return rows
+    column = next((name for name in ("time", "minute") if name in spec.columns), None)
+    return in_window(rows, bounds, column) if column else rows
 
 
-def read(spark, root, view, bounds=None):
+def read(spark, root, view, bounds=None, days=None):
     """Current rows of a view, one per key; of the event log, every event."""
     spec = spec_of(view)
-    return merge(scan(spark, root, spec, bounds), spec).select(*spec.columns)
+    return merge(scan(spark, root, spec, bounds, days), spec).select(*spec.columns)
 
 
 def compact(spark, root, views=None):
@@ -164,10 +174,16 @@ def compact(spark, root, views=None):
     again. Range partitioning by the whole key spreads a hot first column over many files and gives
     each file a narrow key range, so key lookups skip most files, and Bloom filters skip others.
     """
-    for view in views or STORES:
+    for view in views or _present(spark, root):
         _compact(spark, root, spec_of(view))
 
 
+def _present(spark, root):
+    """The stores, and the partial aggregates that are kept beside them."""
+    there = {path.rsplit("/", 1)[-1] for path in folders(spark, f"{root.rstrip('/')}/*")}
+    return [name for name in (*STORES, *PARTIALS) if name in there]
+
+
 def _compact(spark, root, spec):
     folder = _folder(root, spec)
     number, content = snapshots.current(spark, folder)

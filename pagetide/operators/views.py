@@ -7,7 +7,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import functions as F
 
-from pagetide.functions.seconds import distinct_seconds
+from pagetide.functions.days import day_bit, span_of
+from pagetide.functions.seconds import distinct_seconds, second_bit
 from pagetide.schemas import PAGE_CREATE
 
 ORDER = ("time", "seq")
@@ -19,6 +20,8 @@ class ViewSpec:
     key: tuple
     columns: tuple
     is_log: bool = False
+    # The column that holds a mask of bits; rows of one key are joined by `bit_or`.
+    mask: str | None = None
 
     @property
     def values(self):
@@ -29,7 +32,7 @@ class ViewSpec:
         """What decides between rows of one key: time, arrival order, then the values."""
         if self.is_log:
             return ORDER
-        if not self.values:
+        if self.mask or not self.values:
             return ()
         return tuple(name for name in ORDER if name not in self.key)
 
@@ -42,7 +45,7 @@ class ViewSpec:
     @property
     def keyed_by_time(self):
         """Rows of one key share their day, so a time filter cannot revive an older row."""
-        return self.is_log or bool({"time", "day"} & set(self.key))
+        return self.is_log or bool({"time", "day", "minute"} & set(self.key))
 
     def with_key(self, *key):
         return replace(self, key=key)
@@ -95,9 +98,37 @@ SPECS = {
 EVENT_LOG = "event_log"
 STORES = {**SPECS, EVENT_LOG: ViewSpec(EVENT_LOG, (), PAGE_CREATE, is_log=True)}
 
+# Partial aggregates that reports and lookups are made of without reading rows again: the seconds of
+# a minute, or the days of a span, as a mask per key. Masks of all batches are joined by `bit_or`.
+DOMAIN_MINUTES, USER_MINUTES, USER_DAYS = "domain_minutes", "user_minutes", "user_days"
+PARTIALS = {
+    spec.name: spec
+    for spec in (
+        ViewSpec(
+            DOMAIN_MINUTES,
+            key=("minute", "domain", "created_by_bot"),
+            columns=("minute", "domain", "created_by_bot", "seconds"),
+            mask="seconds",
+        ),
+        ViewSpec(
+            USER_MINUTES,
+            key=("minute", "user_id", "username"),
+            columns=("minute", "user_id", "username", "seconds"),
+            mask="seconds",
+        ),
+        ViewSpec(
+            USER_DAYS,
+            key=("span", "user_id", "username"),
+            columns=("span", "user_id", "username", "days"),
+            mask="days",
+        ),
+    )
+}
+_KNOWN = {**STORES, **PARTIALS}
+
 
 def spec_of(view):
-    return view if isinstance(view, ViewSpec) else STORES[view]
+    return view if isinstance(view, ViewSpec) else _KNOWN[view]
 
 
 def without_values(view, *names):
@@ -110,13 +141,18 @@ def without_values(view, *names):
 
 
 def with_day(rows):
-    return rows if "day" in rows.columns else rows.withColumn("day", F.to_date("time"))
+    if "day" in rows.columns:
+        return rows
+    return rows.withColumn("day", F.to_date("minute" if "minute" in rows.columns else "time"))
 
 
 def _has_key(spec):
     present = F.lit(True)
     for name in spec.key:
-        present = present & F.col("time" if name == "day" else name).isNotNull()
+        # Partial aggregates count the rows of users without a name as well.
+        if not (spec.mask and name == "username"):
+            from_time = name in ("day", "minute", "span")
+            present = present & F.col("time" if from_time else name).isNotNull()
     return present
 
 
@@ -132,6 +168,13 @@ def project(events, view):
     """Rows of one view before merging. Rows that lack part of the key cannot be kept."""
     spec = spec_of(view)
     rows = events.filter(_has_key(spec))
+    if spec.mask == "seconds":
+        rows = rows.withColumns(
+            {"minute": F.date_trunc("minute", "time"), "seconds": second_bit(F.col("time"))}
+        )
+    elif spec.mask == "days":
+        day = F.to_date("time")
+        rows = rows.withColumns({"span": span_of(day), "days": day_bit(day)})
     if "day" in spec.key:
         rows = with_day(rows)
     if "seq" in spec.ordering and "seq" not in rows.columns:
@@ -148,6 +191,8 @@ def merge(rows, view):
     spec = spec_of(view)
     if spec.is_log:
         return rows.select(*spec.stored)
+    if spec.mask:
+        return rows.groupBy(*spec.key).agg(F.bit_or(spec.mask).alias(spec.mask))
     if not spec.values:
         if "time" in spec.key:
             others = [name for name in spec.key if name != "time"]

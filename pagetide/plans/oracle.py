@@ -209,6 +209,34 @@ WHERE created_by_bot AND {IN_WINDOW} GROUP BY domain"""
     ),
     "stored_hourly_events": _hourly(IN_WINDOW, rows="SELECT time, domain FROM pc"),
     "compacted_page_details": DETAILS_BY_PAGE,
+    "compacted_event_log": NORMALIZED,
+    "sse_redelivered": NORMALIZED,
+    "partial_hourly_stats": _hourly(),
+    "hourly_stream_corrected": _hourly(),
+    "partial_bot_stats": _bots(IN_WINDOW),
+    "partial_top_20_users": _sql(
+        TOP_USERS.format(labels=""),
+        _latest("v2", "time, user_id", IN_WINDOW),
+        TOP.format(rows="v2"),
+    ),
+    "stored_active_days": _sql(
+        """
+SELECT user_id, arg_min(username, time) AS username, count(*) AS page_count
+FROM v7 GROUP BY user_id""",
+        _latest("v7", "CAST(time AS DATE), user_id", IN_DAYS),
+    ),
+    "lookup_days_of_requests": _sql(
+        """
+SELECT r.request, r.user_id, count(d.day) AS active_days
+FROM (
+  SELECT c_custkey AS request, c_custkey % 200 AS user_id,
+         DATE '2023-12-28' + CAST(c_custkey % 40 AS INTEGER) AS start_day,
+         CAST(c_custkey % 11 AS INTEGER) - 1 AS days
+  FROM customer
+) r LEFT JOIN (SELECT DISTINCT user_id, CAST(time AS DATE) AS day FROM pc) d
+  ON d.user_id = r.user_id AND d.day BETWEEN r.start_day AND r.start_day + r.days
+GROUP BY r.request, r.user_id"""
+    ),
     "streamed_domain_page_stats": DOMAIN_STATS,
     "streamed_page_details": DETAILS_BY_PAGE,
     "streamed_view_sizes": _sql(

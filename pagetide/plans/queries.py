@@ -123,6 +123,24 @@ def sse_to_views(spark, folder):
     return views.build(_landed_frames(spark, folder), "distinct_domains")
 
 
+@query
+def sse_redelivered(spark, folder):
+    """A feed that reconnects: every third frame lands a second time, in a later file."""
+    work = scratch_folder(spark, "redelivered")
+    frames = as_frames(_envelopes(spark, folder))
+    again = frames.filter(F.regexp_extract("value", r"id: (\d+)", 1).cast("bigint") % 3 == 0)
+    for part in (frames, again):
+        part.write.mode("append").format("text").option("lineSep", "\n\n").save(f"{work}/feed")
+    messages = sse_frames(
+        spark, f"{work}/feed", streaming=True, redelivered="1 hour", maxFilesPerTrigger="1"
+    )
+    _run_once(
+        jobs.start_normalize_to_files(messages, f"{work}/normalized", f"{work}/check", ONCE)
+    )
+    normalized = jobs.normalized_files(spark, f"{work}/normalized", streaming=False)
+    return _events(accepted(from_wire(normalized)))
+
+
 # Views
 
 
@@ -339,6 +357,76 @@ def stored_pages_created_range(spark, folder):
     return lookups.user_pages_created_range(events, FIRST_DAY, LAST_DAY)
 
 
+def _in_batches(spark, folder, *names):
+    """The events in four batches, the first two of which are compacted, and then replayed."""
+    root = scratch_folder(spark, "views")
+    batches = [
+        page_creates(spark, folder).filter(part) for part in _quarters(spark, folder)
+    ]
+    for number, batch in enumerate(batches):
+        if number == 2:
+            viewlog.compact(spark, root, names)
+        for again in {number, max(number - 1, 0)}:
+            viewlog.write_batch(batches[again], root, "first", again, names)
+    viewlog.compact(spark, root, names)
+    return root
+
+
+@query
+def compacted_event_log(spark, folder):
+    """Every event once, after two compactions with replayed batches between them."""
+    root = _in_batches(spark, folder, views.EVENT_LOG)
+    return _events(viewlog.read(spark, root, views.EVENT_LOG))
+
+
+@query
+def partial_hourly_stats(spark, folder):
+    """The hourly report of all hours from the masks that four batches stored."""
+    root = _in_batches(spark, folder, views.DOMAIN_MINUTES)
+    minutes = viewlog.read(spark, root, views.DOMAIN_MINUTES)
+    return _as_text(reports.hourly_of_minutes(minutes), "hour")
+
+
+@query
+def partial_bot_stats(spark, folder):
+    root = _in_batches(spark, folder, views.DOMAIN_MINUTES)
+    minutes = viewlog.read(spark, root, views.DOMAIN_MINUTES, WINDOW)
+    return reports.bots_of_minutes(minutes)
+
+
+@query
+def partial_top_20_users(spark, folder):
+    """Users counted from masks; rows are read for the titles of the winners."""
+    root = _in_batches(spark, folder, views.USER_MINUTES, "user_stat")
+    minutes = viewlog.read(spark, root, views.USER_MINUTES, WINDOW)
+    rows = viewlog.scan(spark, root, "user_stat", WINDOW)
+    return reports.top_user_titles(rows, WINDOW, minutes=minutes)
+
+
+@query
+def stored_active_days(spark, folder):
+    """Active days in a range from masks of days that four batches stored."""
+    root = _in_batches(spark, folder, views.USER_DAYS, "page_creations_by_time")
+    masks = viewlog.read(spark, root, views.USER_DAYS)
+    view = viewlog.read(spark, root, "page_creations_by_time", DAY_RANGE)
+    return lookups.user_active_days_of_masks(masks, view, FIRST_DAY, LAST_DAY)
+
+
+@query
+def lookup_days_of_requests(spark, folder):
+    """Active days of a user in a range of days, for a request per customer."""
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    start = F.date_add(F.lit("2023-12-28").cast("date"), (F.col("c_custkey") % 40).cast("int"))
+    asked = customers.select(
+        F.col("c_custkey").alias("request"),
+        (F.col("c_custkey") % 200).alias("user_id"),
+        start.alias("start"),
+        F.date_add(start, (F.col("c_custkey") % 11).cast("int") - 1).alias("end"),
+    )
+    view = _view(spark, folder, "page_creations_by_time")
+    return lookups.active_days_of_requests(view, asked)
+
+
 @query
 def compacted_page_details(spark, folder):
     """Compacted between two batches, in place."""
@@ -480,3 +568,20 @@ def hourly_stream(spark, folder):
 def hourly_stream_late(spark, folder):
     """Page ids of one residue arrive when their hours are closed, and are not counted."""
     return _hourly_in_steps(spark, folder, F.col("page_id") % 10 == 3)
+
+
+@query
+def hourly_stream_corrected(spark, folder):
+    """The same late events, which correct hours that were published long before."""
+    work = scratch_folder(spark, "corrected")
+    events = page_creates(spark, folder)
+    late = F.col("page_id") % 10 == 3
+    for part in [*(~late & part for part in _quarters(spark, folder)), late]:
+        events.filter(part).write.mode("append").parquet(f"{work}/landed")
+        landed = spark.readStream.schema(events.schema).options(**BATCH).parquet(f"{work}/landed")
+        _run_once(
+            jobs.start_corrected_hours(
+                landed, f"{work}/minutes", "first", f"{work}/hours", f"{work}/check", ONCE
+            )
+        )
+    return _as_text(jobs.corrected_hours(spark, f"{work}/hours"), "hour")

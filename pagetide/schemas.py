@@ -34,8 +34,17 @@ REPORT_ROWS = {
 PAGE_CREATE = tuple(COLUMN_TYPES)
 PAGE_CREATE_DDL = ", ".join(f"{name} {kind}" for name, kind in COLUMN_TYPES.items())
 
-# `seq` orders rows that carry the same time; `day` is derived from `time`.
-STORED_TYPES = {**COLUMN_TYPES, "seq": "bigint", "day": "date"}
+# `seq` orders rows that carry the same time. The others are derived from `time`: a day, a minute
+# with a mask of its seconds, and a span of days with a mask of them.
+STORED_TYPES = {
+    **COLUMN_TYPES,
+    "seq": "bigint",
+    "day": "date",
+    "minute": "timestamp",
+    "seconds": "bigint",
+    "span": "bigint",
+    "days": "bigint",
+}
 
 
 def ddl(columns):

@@ -1,13 +1,18 @@
 """The streaming jobs: normalise messages, keep the views current, count closed hours."""
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from pagetide import snapshots
 from pagetide.functions.seconds import seconds_in, seconds_mask
 from pagetide.operators.normalize import from_wire, parse_envelope, rejected, wire_text
 from pagetide.operators.quarantine import marked, quarantined, usable
-from pagetide.operators.viewlog import write_batch
-from pagetide.operators.views import STORES
+from pagetide.operators.reports import hourly_of_minutes
+from pagetide.operators.viewlog import read, write_batch
+from pagetide.operators.views import DOMAIN_MINUTES, STORES
+from pagetide.session import delete_folder, folders
 
 # Topic names.
 INPUT_TOPIC = "input"
@@ -26,6 +31,12 @@ STATE_STORE = {
 DROP = "drop"
 
 
+def _keep_state_on_disk(spark):
+    """State goes to RocksDB, on disk; a commit writes what changed since the last one."""
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+
+
 def _start(stream, checkpoint, trigger):
     return stream.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -47,6 +58,7 @@ def normalized_messages(messages, processed=PROCESSED_TOPIC, rejects=REJECTED_TO
 
 
 def start_normalize_to_kafka(messages, servers, checkpoint, trigger=None, **topics):
+    _keep_state_on_disk(messages.sparkSession)
     outgoing = normalized_messages(messages, **topics)
     sink = outgoing.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
     return _start(sink, checkpoint, trigger or {"processingTime": "0 seconds"})
@@ -54,6 +66,7 @@ def start_normalize_to_kafka(messages, servers, checkpoint, trigger=None, **topi
 
 def start_normalize_to_files(messages, path, checkpoint, trigger=None, **topics):
     """The same messages as text files, one folder per topic."""
+    _keep_state_on_disk(messages.sparkSession)
     outgoing = normalized_messages(messages, **topics).drop("key")
     sink = outgoing.writeStream.format("text").partitionBy("topic").option("path", path)
     return _start(sink, checkpoint, trigger or {"processingTime": "0 seconds"})
@@ -141,12 +154,8 @@ def start_rejects(messages, path, checkpoint, trigger=None, decode=from_wire):
 
 
 def start_hourly(events, path, checkpoint, delay="1 hour", trigger=None):
-    """Counts of closed hours. The open minutes are kept in RocksDB, on disk, not on the heap.
-
-    A commit writes what changed since the last one, not the whole state.
-    """
-    for key, value in STATE_STORE.items():
-        events.sparkSession.conf.set(key, value)
+    """Counts of closed hours. The open minutes are state, on disk and not on the heap."""
+    _keep_state_on_disk(events.sparkSession)
     sink = (
         hourly_counts(events, delay)
         .writeStream.outputMode("append")
@@ -154,3 +163,52 @@ def start_hourly(events, path, checkpoint, delay="1 hour", trigger=None):
         .option("path", path)
     )
     return _start(sink, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
+def corrected_hours_writer(root, run, out):
+    """The per-batch function that keeps published hours right, however late an event is.
+
+    A batch is kept as masks of the seconds of a minute; the hours of the days that it has events of
+    are counted again from the masks of all batches, and replace those days in `out`. Nothing is
+    dropped and nothing is state: the masks are stored once, in the partial view below `root`.
+    """
+
+    def write(events, batch_id):
+        spark = events.sparkSession
+        write_batch(events, root, run, batch_id, [DOMAIN_MINUTES])
+        found = events.select(F.to_date("time").alias("day")).distinct().dropna().collect()
+        if not found:
+            return
+        days = sorted(row.day for row in found)
+        minutes = read(spark, root, DOMAIN_MINUTES, days=days)
+        hours = hourly_of_minutes(minutes).withColumn("day", F.to_date("hour"))
+        version = f"version-{uuid.uuid4().hex}"
+        hours.write.partitionBy("day").parquet(f"{out}/{version}")
+        number, before = snapshots.current(spark, out)
+        named = {**(before or {}), **{
+            path.rsplit("day=", 1)[1]: f"{version}/{path.rsplit('/', 1)[1]}"
+            for path in folders(spark, f"{out}/{version}/day=*")
+        }}
+        snapshots.publish(spark, out, number + 1, named)
+        kept = {*named.values(), *(before or {}).values()}
+        for path in folders(spark, f"{out}/version-*/day=*"):
+            if "/".join(path.split("/")[-2:]) not in kept:
+                delete_folder(spark, path)
+
+    return write
+
+
+def start_corrected_hours(events, root, run, out, checkpoint, trigger=None):
+    """Hours that late events correct. `run` must be new whenever `checkpoint` is new."""
+    sink = events.writeStream.foreachBatch(corrected_hours_writer(root, run, out))
+    return _start(sink, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
+def corrected_hours(spark, out):
+    """The hours that are published now."""
+    _, named = snapshots.current(spark, out)
+    reader = spark.read.schema("hour timestamp, domain string, pages_created bigint")
+    if not named:
+        return spark.createDataFrame([], "hour timestamp, domain string, pages_created bigint")
+    # Folders of many versions; their days are in the hours.
+    return reader.parquet(*[f"{out}/{path}" for path in named.values()])

@@ -8,6 +8,8 @@ from helpers import envelope
 
 from pagetide.__main__ import main
 from pagetide.operators import documents
+from pagetide.schemas import REPORT_ROWS
+from pagetide.streaming import jobs
 
 
 def lines(folder):
@@ -29,9 +31,9 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
     (tmp_path / "feed" / "1.sse").write_text("\n\n".join(frames) + "\n\n")
 
     main(["normalize", "--input", at + "feed", "--frames", "--out", at + "wire",
-          "--checkpoint", at + "c1", "--once"])
+          "--checkpoint", at + "c1", "--once", "--redelivered", "1 hour"])
     main(["views", "--input", at + "wire", "--root", at + "views", "--run", "r1",
-          "--quarantine", at + "aside", "--checkpoint", at + "c2", "--once"])
+          "--quarantine", at + "aside", "--checkpoint", at + "c2", "--once", "--partials"])
     (tmp_path / "keys").write_text("3\n99\nnot a number\n")
     root = "views"
     for compacted in (False, True):
@@ -61,6 +63,13 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
         main(["lookup", "page-details", "--keys-file", at + "keys", "--root", at + root,
               "--out", at + "l7"])
         assert sorted(row["page_id"] for row in lines(at + "l7")) == [3, 99]
+        for name in REPORT_ROWS:
+            main(["read", name, "--reports", at + "out", "--out", at + "read"])
+            before = sorted(map(json.dumps, lines(at + "read")))
+            main(["reports", "--root", at + root, "--out", at + "partial", "--as-of",
+                  "2024-01-16 12:30:00", "--partials"])
+            main(["read", name, "--reports", at + "partial", "--out", at + "read"])
+            assert before and sorted(map(json.dumps, lines(at + "read"))) == before
         main(["reports", "--root", at + root, "--out", at + "events", "--as-of",
               "2024-01-16 12:30:00", "--grain", "event"])
         found = documents.read_report(spark, at + "events", "hourly_domain_page_stats")
@@ -72,3 +81,6 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
           "--once", "--max-files", "1"])
     rows = spark.read.parquet(at + "hours").collect()
     assert [(row.domain, row.pages_created) for row in rows] == [("a.org", 2)]
+    main(["hourly", "--quarantine", at + "bad2", "--input", at + "wire", "--out", at + "right",
+          "--checkpoint", at + "c4", "--once", "--root", at + "minutes", "--run", "r1"])
+    assert [row.pages_created for row in jobs.corrected_hours(spark, at + "right").collect()] == [2] * 3
