@@ -3,7 +3,7 @@
 Layout below a folder, all of it Parquet, so any file system that Spark knows holds it:
 
 - `dictionary`: one row with the zstandard dictionary and its SHA-256. It is trained on the
-  serialised ids of a bounded sample of short documents.
+  serialised ids of a bounded sample of documents.
 - `blocks`: a row per block of documents in ascending `doc_id`. It holds the documents' frames one
   after the other, the offset index into them, and the hash of the dictionary they need. A single
   document is read by its block's id range and its offsets, and decompressed alone.
@@ -14,6 +14,7 @@ that repeat a `doc_id` are kept, in order of their text; an empty table gives em
 """
 
 import hashlib
+import warnings
 import zlib
 
 import numpy as np
@@ -26,9 +27,9 @@ from pyspark.sql import Window, functions as F
 from pagetide.llm.tables import texts
 from pagetide.llm.token_ids import encoder
 
-# The sample for the dictionary: so many documents of at most so many bytes. Everything is encoded.
+# The sample for the dictionary: so many documents, at most so much of each. Everything is encoded.
 SAMPLE_DOCUMENTS = 1_000
-SAMPLE_BYTES = 16_384
+SAMPLE_CHARACTERS = 16_384
 DICTIONARY_BYTES = 65_536
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
@@ -70,21 +71,25 @@ def _id_bytes(path):
 
 
 def train_dictionary(docs, path, sample=SAMPLE_DOCUMENTS, size=DICTIONARY_BYTES):
-    """Dictionary bytes, empty where the sample is too small to train on.
+    """Dictionary bytes; empty, with a warning, where the sample is too small to train on.
 
-    The sample is the short documents whose hashed ids are smallest. At most `sample` texts of
-    `SAMPLE_BYTES` reach the driver.
+    The sample is the documents whose hashed ids are smallest, and of a long one a piece from a place
+    that its id decides. At most `sample` pieces of `SAMPLE_CHARACTERS` reach the driver. Ids are
+    picked without reading a text.
     """
-    short = docs.filter(F.octet_length("text") <= SAMPLE_BYTES)
-    ids = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    wanted = [row.doc_id for row in ids.collect() if row.doc_id is not None]
+    ids = docs.select("doc_id").dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    wanted = {row.doc_id for row in ids.collect()}
     # Texts are fetched by id: sorting them would send each task's first ones to the driver.
-    rows = short.filter(F.col("doc_id").isin(wanted)).limit(sample)
+    spare = F.greatest(F.char_length("text") - SAMPLE_CHARACTERS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("doc_id"), spare).cast("int") + 1
+    piece = F.substr("text", start, F.lit(SAMPLE_CHARACTERS)).alias("piece")
+    rows = docs.filter(F.col("doc_id").isin(wanted)).select(piece).limit(sample)
     narrow = _id_bytes(path)
-    ids = [_serialised(encoder(path).document(row.text), narrow) for row in rows.collect()]
+    ids = [_serialised(encoder(path).document(row.piece), narrow) for row in rows.collect()]
     try:
         return zstandard.train_dictionary(size, ids).as_bytes()
-    except zstandard.ZstdError:
+    except zstandard.ZstdError as error:
+        warnings.warn(f"no dictionary from {len(ids)} documents: {error}", stacklevel=2)
         return b""
 
 
