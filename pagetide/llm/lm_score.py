@@ -1,322 +1,243 @@
 """Cross-entropy difference between a target and a background language model.
 
-Both models are n-grams of one order over one vocabulary of symbols: lower-cased letters, classes of
-other ASCII characters, and classes of the bytes of other scripts. The target model counts documents
-labelled good and not toxic, the background model counts all documents, and its counts are scaled to
-the target's number of symbols, so that smoothing weighs alike in both. A document's score is the
-mean over its symbols of the difference of the two losses, in bits; the lower, the more it is like
+Both models are pairs of token ids over one vocabulary, that of a public byte-level tokenizer. The
+target model counts documents labelled good and not toxic, the background model counts all documents,
+and its counts are scaled to the target's number of tokens, so that smoothing weighs alike in both. A
+pair's count is mixed with the estimate of its second token alone, and that with the uniform
+distribution, so pairs and tokens that were never counted have a loss as well. A document's score is
+the mean over its tokens of the difference of the two losses, in bits; the lower, the more it is like
 the target.
 
-Counts cover whole texts of all documents. A model has a cell for each n-gram that can be, a number
-fixed by vocabulary and order, so it can be broadcast whatever the size of the corpus.
+Texts are read and encoded once. Documents are taken in blocks of bounded size: a block keeps the
+ids of its documents, compressed, and lists its distinct pairs with both counts. Only pairs are
+counted over the corpus, so the models grow with it and are stored tables; the losses come back to
+each block that has the pair, and the block scores its documents. However often a pair occurs, it is
+one row a block. The tables of single tokens have a row per id of the vocabulary and are broadcast.
 
-A second pair of models counts pairs of words (runs of bytes other than ASCII white space, A-Z
-lowered) over the whole vocabulary, as 64-bit hashes. They grow with the corpus, so they are a
-stored table that is joined with the distinct pairs of each document, never gathered or broadcast.
-
-Defined results: null and empty texts have no symbols and the difference 0; without target documents
+Defined results: null and empty texts have no tokens and the difference 0; without target documents
 both models are uniform and all differences are 0; labels with nulls are ignored; a null `doc_id` is
-never a target; repeated rows count and are scored each; other columns are ignored.
+never a target; repeated rows count and are scored each; an empty table gives no rows; other columns
+are ignored.
 """
 
+from functools import lru_cache
+
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from pagetide.llm.shingles import mixed, word_hashes
 from pagetide.llm.tables import stored, texts
+from pagetide.llm.token_ids import encoder
 
-ORDER = 4
-# How many symbols' worth of counts the shorter context adds to a longer one.
+# How many tokens' worth of counts a shorter estimate adds to a longer one.
 SMOOTHING = 20.0
-_BATCH = 1 << 22
-
-
-def _symbols():
-    """The symbol of each byte, and how many symbols there are. The newline is symbol 0."""
-    of = np.zeros(256, np.int64)
-    classes = [b"\n", b" \t\x0b\x0c\r", b"0123456789", b".,;:!?", b"'\"()[]{}-_/"]
-    for number, members in enumerate(classes):
-        of[list(members)] = number
-    other, count = len(classes), len(classes) + 1
-    for byte in range(256):
-        if chr(byte).lower() in "abcdefghijklmnopqrstuvwxyz":
-            of[byte] = count + ord(chr(byte).lower()) - ord("a")
-        elif byte >= 0x80:
-            # Continuation bytes by their low bits, all leading bytes together.
-            of[byte] = count + 26 + (byte % 8 if byte < 0xC0 else 8)
-        elif not any(byte in members for members in classes):
-            of[byte] = other
-    return of, count + 26 + 9
-
-
-SYMBOL_OF, SYMBOLS = _symbols()
-CELLS = SYMBOLS**ORDER
-
-
-def cells(raws):
-    """Cells of all n-grams of some texts in UTF-8, and where those of each text start.
-
-    Each text begins after `ORDER - 1` newlines, so that every byte has a full context.
-    """
-    lead = b"\n" * (ORDER - 1)
-    joined = np.frombuffer(b"".join(lead + raw for raw in raws), np.uint8)
-    lengths = np.array([len(raw) for raw in raws], np.int64)
-    symbols = SYMBOL_OF[joined]
-    count = max(0, len(symbols) - ORDER + 1)
-    found = np.zeros(count, np.int64)
-    for at in range(ORDER):
-        found *= SYMBOLS
-        found += symbols[at : at + count]
-    # N-grams that begin in one text and end in the next one's lead are left out.
-    inside = np.ones(count, bool)
-    starts = np.cumsum(lengths + ORDER - 1) - (lengths + ORDER - 1)
-    for start in starts[1:]:
-        inside[start - ORDER + 1 : start] = False
-    return found[inside], np.cumsum(lengths) - lengths, lengths
-
-
-def _groups(batch, columns):
-    """Rows of a batch in groups of a bounded number of bytes; one long text may be a group."""
-    rows, size = [], 0
-    for row in zip(*(batch.column(at).to_pylist() for at in range(columns))):
-        rows.append(row)
-        size += len(row[1])
-        if size >= _BATCH:
-            yield rows
-            rows, size = [], 0
-    if rows:
-        yield rows
-
-
-def _count(batches):
-    target, background = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
-    for batch in batches:
-        for rows in _groups(batch, 3):
-            for chosen, counts in ((True, target), (False, background)):
-                raws = [raw for _, raw, is_target in rows if is_target == chosen]
-                if raws:
-                    np.add(counts, np.bincount(cells(raws)[0], minlength=CELLS), out=counts)
-    background += target
-    used = np.flatnonzero(background)
-    for start in range(0, len(used), 1 << 16):
-        some = used[start : start + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(target[some]), pa.array(background[some])],
-            names=["cell", "target", "background"],
-        )
-
-
-def _marked(docs, labels):
-    """`doc_id`, the text in UTF-8, and whether the target model counts it."""
-    good = (
-        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality", "toxic")
-        .dropna()
-        .groupBy("doc_id")
-        .agg((F.min("quality") == 1).alias("good"), (F.max("toxic") == 0).alias("clean"))
-        .filter("good and clean")
-        .select("doc_id", F.lit(True).alias("is_target"))
-    )
-    # There may be as many labels as documents, so they are joined the same way at every size.
-    return texts(docs).join(good.hint("merge"), "doc_id", "left").select(
-        "doc_id",
-        F.col("text").cast("binary").alias("raw"),
-        F.coalesce("is_target", F.lit(False)).alias("is_target"),
-    )
-
-
-def counts(docs, labels):
-    """`cell`, `target` and `background` counts of all n-grams that occur."""
-    partial = _marked(docs, labels).mapInArrow(_count, "cell bigint, target bigint, background bigint")
-    return partial.groupBy("cell").agg(
-        F.sum("target").alias("target"), F.sum("background").alias("background")
+# Characters of text in a block; a longer text is a block of its own.
+BLOCK_SIZE = 1 << 23
+# Ids of target documents are broadcast up to this number, 8 bytes each, and joined beyond it.
+MOST_TARGETS = 2_000_000
+
+_FIELDS = {
+    "block": pa.int64(),
+    # A document: its number of tokens, and its compressed ids.
+    "doc_id": pa.int64(),
+    "n_tokens": pa.int64(),
+    "ids": pa.binary(),
+    # A pair of ids of a block, in one number, and its counts there.
+    "pair": pa.int64(),
+    "target": pa.int64(),
+    "background": pa.int64(),
+}
+_PARTS = pa.schema(list(_FIELDS.items()))
+_DDL = ", ".join(f"{name} {'binary' if name == 'ids' else 'bigint'}" for name in _FIELDS)
+
+
+def _table(**columns):
+    """A batch of one kind of rows; the columns of the other kind are null."""
+    rows = len(columns["block"])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(columns[name], kind) if name in columns else pa.nulls(rows, kind)
+            for name, kind in _FIELDS.items()
+        ],
+        schema=_PARTS,
     )
 
 
-def losses(found):
-    """Bits per symbol for each n-gram, from counts of all n-grams, by interpolation.
+def pairs_of(ids, sizes, start):
+    """Each token and the one before it as one number; the first of each run comes after `start`."""
+    before = np.empty(len(ids), np.int64)
+    before[1:] = ids[:-1]
+    firsts = np.cumsum(sizes) - sizes
+    before[firsts[sizes > 0]] = start
+    return before << 32 | ids
 
-    A context's counts are mixed with the estimate of the context that is one symbol shorter, down
-    to the uniform distribution.
-    """
-    estimate = np.full((1, SYMBOLS), 1.0 / SYMBOLS)
-    for length in range(ORDER):
-        by_context = found.reshape(-1, SYMBOLS**length, SYMBOLS).sum(axis=0)
-        shorter = np.tile(estimate, (SYMBOLS if length else 1, 1))
-        total = by_context.sum(axis=1, keepdims=True)
-        estimate = (by_context + SMOOTHING * shorter) / (total + SMOOTHING)
-    return -np.log2(estimate).reshape(-1).astype(np.float32)
 
+@lru_cache(maxsize=1)
+def _packer():
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
-def models(counted):
-    """Losses of the target and the background model by cell, from at most `CELLS` counts."""
-    table = counted.toArrow()
-    target, background = np.zeros(CELLS), np.zeros(CELLS)
-    at = table.column("cell").to_numpy()
-    target[at] = table.column("target").to_numpy()
-    background[at] = table.column("background").to_numpy()
-    if background.sum():
-        background *= target.sum() / background.sum()
-    return losses(target), losses(background)
 
+def _block(number, rows, encode):
+    """Rows of a block: its documents, then its distinct pairs."""
+    found = [np.frombuffer(encode(text), np.uint32) for _, text, _ in rows]
+    sizes = np.array(list(map(len, found)), np.int64)
+    pack = _packer()[0].compress
+    yield _table(
+        block=[number] * len(rows),
+        doc_id=[doc_id for doc_id, _, _ in rows],
+        n_tokens=sizes,
+        ids=[pack(ids.tobytes()) for ids in found],
+    )
+    ids = np.concatenate(found).astype(np.int64)
+    if not len(ids):
+        return
+    pairs, numbers = np.unique(pairs_of(ids, sizes, encode.vocabulary), return_inverse=True)
+    chosen = np.repeat([is_target for _, _, is_target in rows], sizes)
+    yield _table(
+        block=np.full(len(pairs), number),
+        pair=pairs,
+        target=np.bincount(numbers[chosen], minlength=len(pairs)),
+        background=np.bincount(numbers, minlength=len(pairs)),
+    )
 
-def _score(broadcast):
-    names = ["doc_id", "n_symbols", "target_loss", "background_loss"]
 
-    def score(batches):
-        tables = broadcast.value
+def _blocks(path, block_size):
+    def run(batches):
+        encode, number = encoder(path), TaskContext.get().partitionId() << 33
+        waiting, size = [], 0
         for batch in batches:
-            for rows in _groups(batch, 2):
-                found, starts, lengths = cells([raw for _, raw in rows])
-                columns = [pa.array([row[0] for row in rows], pa.int64()), pa.array(lengths)]
-                for table in tables:
-                    # A running sum, so that texts without symbols need no care.
-                    running = np.append(0.0, np.cumsum(table[found], dtype=np.float64))
-                    total = running[starts + lengths] - running[starts]
-                    columns.append(pa.array(total / np.maximum(lengths, 1)))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return score
-
-
-def scored(docs, fitted):
-    """Per document: its number of symbols, both mean losses and their difference."""
-    broadcast = docs.sparkSession.sparkContext.broadcast(fitted)
-    rows = texts(docs).withColumn("text", F.col("text").cast("binary"))
-    found = rows.mapInArrow(
-        _score(broadcast),
-        "doc_id bigint, n_symbols bigint, target_loss double, background_loss double",
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                waiting.append(row)
+                size += len(row[1])
+                if size >= block_size:
+                    yield from _block(number, waiting, encode)
+                    waiting, size = [], 0
+                    number += 1
+        if waiting:
+            yield from _block(number, waiting, encode)
+
+    return run
+
+
+def target_ids(labels):
+    """Ids of the documents that all their labels call good and not toxic."""
+    return (
+        labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality", "toxic")
+        .dropna()
+        .groupBy("doc_id")
+        .agg((F.min("quality") == 1).alias("good"), (F.max("toxic") == 0).alias("clean"))
+        .filter("good and clean")
+        .select("doc_id")
     )
-    return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
 
 
-# Pairs of words. The word before the first one is START.
+def encoded(docs, labels=None, path=None, block_size=BLOCK_SIZE):
+    """The stored blocks of a table; without labels, no document is a target."""
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    rows = texts(docs)
+    if labels is None:
+        marked = rows.withColumn("is_target", F.lit(False))
+    else:
+        ids = stored(target_ids(labels).withColumn("is_target", F.lit(True)), "targets")
+        ids = F.broadcast(ids) if ids.count() <= MOST_TARGETS else ids
+        marked = rows.join(ids, "doc_id", "left").withColumn(
+            "is_target", F.coalesce("is_target", F.lit(False))
+        )
+    marked = marked.select("doc_id", "text", "is_target")
+    return stored(marked.mapInArrow(_blocks(path, block_size), _DDL), "token-blocks")
+
+
+class Models:
+    """Counts of pairs, of second tokens and of first tokens, as tables, and their totals."""
+
+    def __init__(self, parts, path=None):
+        both = [F.sum(name).alias(name) for name in ("target", "background")]
+        self.path = path or public_tokenizers.path("byte_bpe_50k.json")
+        self.vocabulary = encoder(self.path).vocabulary
+        counted = parts.filter("pair is not null").groupBy("pair").agg(*both)
+        self.pairs = stored(counted, "pair-counts")
+
+        def single(token, name):
+            sums = self.pairs.groupBy(token.alias(name)).agg(*both)
+            renamed = [F.col(kind).alias(f"{kind}_{name}") for kind in ("target", "background")]
+            # At most a row per id of the vocabulary.
+            return F.broadcast(stored(sums.select(name, *renamed), f"{name}-counts"))
+
+        self.seconds = single(F.col("pair").bitwiseAND((1 << 32) - 1), "second")
+        self.firsts = single(F.shiftright("pair", 32), "first")
+        total = self.seconds.agg(F.sum("target_second"), F.sum("background_second")).first()
+        self.total, background = (value or 0 for value in total)
+        self.scale = self.total / background if background else 0.0
+
+    def losses(self, pairs):
+        """The pairs with the bits of their second token in both models, counted or not."""
+        known = (
+            pairs.withColumn("first", F.shiftright("pair", 32))
+            .withColumn("second", F.col("pair").bitwiseAND((1 << 32) - 1))
+            .join(self.pairs, "pair", "left")
+            .join(self.firsts, "first", "left")
+            .join(self.seconds, "second", "left")
+        )
 
-START = 1
-PAIR = ["before", "word"]
-_PAIRS = "before bigint, word bigint, target bigint, background bigint"
+        def mixed(count, shorter, context):
+            return (count + F.lit(SMOOTHING) * shorter) / (context + F.lit(SMOOTHING))
 
+        def bits(kind, times):
+            found, first, second = (
+                F.coalesce(F.col(name), F.lit(0)) * F.lit(times)
+                for name in (kind, f"{kind}_first", f"{kind}_second")
+            )
+            alone = mixed(second, F.lit(1.0 / self.vocabulary), F.lit(float(self.total)))
+            return (-F.log2(mixed(found, alone, first))).alias(f"{kind}_bits")
 
-def pairs(raw):
-    """Each word of a text in UTF-8 and the one before it, in order."""
-    words = word_hashes(raw)
-    return np.append(np.array([START], np.uint64), words)[: len(words)], words
+        return known.select(
+            *pairs.columns, bits("target", 1.0), bits("background", self.scale)
+        )
 
 
-def _distinct(before, words):
-    """Where each distinct pair is first, and which one each pair is."""
-    _, first, number = np.unique(
-        mixed(mixed(before) + words), return_index=True, return_inverse=True
+_SCORED = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double"
+
+
+def _score(vocabulary):
+    def run(docs, pairs):
+        sizes = docs.column("n_tokens").to_numpy()
+        unpack = _packer()[1].decompress
+        raw = b"".join(unpack(ids.as_py()) for ids in docs.column("ids"))
+        own = pairs_of(np.frombuffer(raw, np.uint32).astype(np.int64), sizes, vocabulary)
+        order = np.argsort(pairs.column("pair").to_numpy())
+        at = np.searchsorted(pairs.column("pair").to_numpy()[order], own)
+        ends = np.cumsum(sizes)
+        columns = [docs.column("doc_id"), docs.column("n_tokens")]
+        for name in ("target_bits", "background_bits"):
+            bits = pairs.column(name).to_numpy()[order][at]
+            # A running sum, so that texts without tokens need no care.
+            running = np.append(0.0, np.cumsum(bits, dtype=np.float64))
+            columns.append(pa.array((running[ends] - running[ends - sizes]) / np.maximum(sizes, 1)))
+        return pa.table(columns, names=[part.split()[0] for part in _SCORED.split(", ")])
+
+    return run
+
+
+def scored(parts, models):
+    """Documents of stored blocks, scored: their number of tokens, both losses, the difference."""
+    pairs = parts.filter("pair is not null").select(F.col("block").alias("in_block"), "pair")
+    bits = models.losses(pairs).select(
+        "in_block",
+        "pair",
+        F.col("target_bits").cast("float").alias("target_bits"),
+        F.col("background_bits").cast("float").alias("background_bits"),
     )
-    return first, number
-
-
-def _count_pairs(batches):
-    for batch in batches:
-        for rows in _groups(batch, 3):
-            found = [pairs(raw) for _, raw, _ in rows]
-            before, words = (np.concatenate(part) for part in zip(*found))
-            chosen = np.repeat([row[2] for row in rows], [len(part[1]) for part in found])
-            first, number = _distinct(before, words)
-            target = np.bincount(number[chosen], minlength=len(first))
-            background = np.bincount(number, minlength=len(first))
-            for start in range(0, len(first), 1 << 16):
-                at = slice(start, start + (1 << 16))
-                columns = before[first[at]].view("i8"), words[first[at]].view("i8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column) for column in (*columns, target[at], background[at])],
-                    names=[*PAIR, "target", "background"],
-                )
-
-
-def pair_counts(docs, labels):
-    """`target` and `background` counts of all pairs of words, added up in each task first."""
-    return _marked(docs, labels).mapInArrow(_count_pairs, _PAIRS).groupBy(*PAIR).agg(
-        F.sum("target").alias("target"), F.sum("background").alias("background")
+    rows = parts.filter("pair is null").select("block", "doc_id", "n_tokens", "ids")
+    found = rows.groupBy("block").cogroup(bits.groupBy("in_block")).applyInArrow(
+        _score(models.vocabulary), _SCORED
     )
+    return found.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
 
 
-def _pair_key():
-    return F.xxhash64(*PAIR).alias("pair")
-
-
-def word_models(counted):
-    """`pair` and the losses of its word in both models, a row per pair that occurs.
-
-    A pair's counts are mixed with the estimate of the word alone, and that with the uniform
-    distribution over all words that occur.
-    """
-    counted = stored(counted, "pair-counts")
-    both = [F.sum(name).alias(name) for name in ("target", "background")]
-    words = stored(counted.groupBy("word").agg(*both), "word-counts")
-    all_words = words.agg(F.count(F.lit(1)).alias("words"), *both).first()
-    size, total = max(all_words.words, 1), all_words.target or 0
-    scale = total / (all_words.background or 1)
-
-    def estimate(count, shorter, context):
-        return (count + F.lit(SMOOTHING) * shorter) / (context + F.lit(SMOOTHING))
-
-    def alone(name, times):
-        return estimate(F.col(name) * times, F.lit(1.0 / size), F.lit(float(total)))
-
-    words = words.select(
-        "word", alone("target", 1.0).alias("target_word"), alone("background", scale).alias("background_word")
-    )
-    contexts = counted.groupBy("before").agg(
-        F.sum("target").alias("target_before"), F.sum("background").alias("background_before")
-    )
-    known = counted.join(words.hint("merge"), "word").join(contexts.hint("merge"), "before")
-
-    def loss(name, times):
-        chance = estimate(F.col(name) * times, F.col(f"{name}_word"), F.col(f"{name}_before") * times)
-        return (-F.log2(chance)).alias(f"{name}_bits")
-
-    return stored(known.select(_pair_key(), loss("target", 1.0), loss("background", scale)), "word-models")
-
-
-def _score_pairs(batches):
-    """A row per distinct pair of each document, and for each document one without a pair."""
-    for batch in batches:
-        for rows in _groups(batch, 2):
-            for row, raw in rows:
-                before, words = pairs(raw)
-                first, number = _distinct(before, words)
-                # The row without a pair has a key of its own, so that these rows are spread.
-                own = mixed(np.array([row], np.uint64))
-                times = np.append(np.bincount(number, minlength=len(first)), 0)
-                columns = np.append(before[first], own).view("i8"), np.append(words[first], own).view("i8")
-                for start in range(0, len(times), 1 << 16):
-                    at = slice(start, start + (1 << 16))
-                    count = len(times[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(count, row, np.int64)), *(pa.array(c[at]) for c in (*columns, times[at]))],
-                        names=["row", *PAIR, "times"],
-                    )
-
-
-def word_scored(rows, fitted):
-    """Per `row`: its number of words and their mean losses in the models of `word_models`."""
-    found = rows.mapInArrow(_score_pairs, "row bigint, before bigint, word bigint, times bigint")
-    found = found.select("row", "times", _pair_key()).join(fitted.hint("merge"), "pair", "left")
-    words = F.sum("times")
-
-    def mean(name):
-        bits = F.coalesce(F.sum(F.col("times") * F.col(f"{name}_bits")), F.lit(0.0))
-        return (bits / F.greatest(words, F.lit(1))).alias(f"{name}_word_loss")
-
-    return found.groupBy("row").agg(words.alias("n_words"), mean("target"), mean("background"))
-
-
-def cross_entropy_difference(docs, labels):
-    """Both scores of each document: of its symbols, and of its words."""
-    fitted = word_models(pair_counts(docs, labels))
-    # Rows are numbered once and kept, since ids may repeat or be missing.
-    rows = stored(texts(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    raw = rows.select("row", F.col("text").cast("binary").alias("raw"))
-    ids = rows.select("doc_id", "row")
-    by_symbol = scored(rows.select(F.col("row").alias("doc_id"), "text"), models(counts(docs, labels)))
-    by_word = word_scored(raw, fitted)
-    found = ids.join(by_symbol.withColumnRenamed("doc_id", "row"), "row").join(by_word, "row")
-    return found.drop("row").withColumn(
-        "word_difference", F.col("target_word_loss") - F.col("background_word_loss")
-    )
+def cross_entropy_difference(docs, labels, path=None, block_size=BLOCK_SIZE):
+    """The score of each document under models of all of them."""
+    parts = encoded(docs, labels, path, block_size)
+    return scored(parts, Models(parts, path))

@@ -1,10 +1,13 @@
 """Language model scores and transcripts against plain Python."""
 
-import re
 from collections import Counter, defaultdict
+from math import log2
 
 import numpy as np
+import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from pagetide.llm import lm_score, transcripts
 from pagetide.llm.queries import QUERIES
@@ -12,140 +15,109 @@ from pagetide.llm.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 
-def symbols_of(text):
-    return [int(lm_score.SYMBOL_OF[byte]) for byte in (text or "").encode()]
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def brute_counts(texts):
-    found = Counter()
-    for text in texts:
-        padded = [0] * (lm_score.ORDER - 1) + symbols_of(text)
-        for at in range(len(padded) - lm_score.ORDER + 1):
-            found[tuple(padded[at : at + lm_score.ORDER])] += 1
-    return found
+@pytest.fixture(scope="module")
+def ids_of():
+    tokenizer = Tokenizer.from_file(JSON)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-def brute_loss(counts, scale):
-    """Bits of a symbol after its context, by the interpolation in plain terms."""
-    by_length = []
-    for length in range(lm_score.ORDER):
-        grams, contexts = defaultdict(float), defaultdict(float)
-        for gram, count in counts.items():
-            grams[gram[lm_score.ORDER - 1 - length :]] += count * scale
-            contexts[gram[lm_score.ORDER - 1 - length : -1]] += count * scale
-        by_length.append((grams, contexts))
-
-    def loss(gram):
-        chance = 1 / lm_score.SYMBOLS
-        for length, (grams, contexts) in enumerate(by_length):
-            part = gram[lm_score.ORDER - 1 - length :]
-            mass = lm_score.SMOOTHING
-            chance = (grams[part] + mass * chance) / (contexts[part[:-1]] + mass)
-        return -np.log2(chance)
+def brute_model(runs, scale, total):
+    """Bits of a token after another one, by the definition, from runs of ids."""
+    pairs = Counter(pair for ids in runs for pair in zip([None, *ids], ids))
+    first, second = Counter(), Counter()
+    for (before, token), count in pairs.items():
+        first[before] += count
+        second[token] += count
+    mass, size = lm_score.SMOOTHING, 50_257
+
+    def loss(pair):
+        alone = (second[pair[1]] * scale + mass / size) / (total + mass)
+        return -log2((pairs[pair] * scale + mass * alone) / (first[pair[0]] * scale + mass))
 
     return loss
 
 
-def check_scores(rows, table, target_ids):
-    target = brute_counts([text for doc_id, text in table if doc_id in target_ids])
-    background = brute_counts([text for _, text in table])
-    scale = sum(target.values()) / max(1, sum(background.values()))
-    losses = brute_loss(target, 1.0), brute_loss(background, scale)
-    texts = defaultdict(list)
-    for doc_id, text in table:
-        texts[doc_id].append(text)
-    assert len(rows) == len(table)
-    for row in rows:
-        text = texts[row.doc_id][0]
-        padded = [0] * (lm_score.ORDER - 1) + symbols_of(text)
-        grams = [tuple(padded[i : i + lm_score.ORDER]) for i in range(len(padded) - lm_score.ORDER + 1)]
-        assert row.n_symbols == len(grams)
-        want = [sum(map(loss, grams)) / max(1, len(grams)) for loss in losses]
-        np.testing.assert_allclose([row.target_loss, row.background_loss], want, rtol=1e-4, atol=1e-6)
-        assert row.difference == row.target_loss - row.background_loss
-
-
-def test_scores_of_odd_documents(spark, docs, clashing):
-    table = [(0, "good words here"), (1, "BAD #### 123"), (2, None), (3, ""), (None, "é words"),
-             (4, "good words here too"), (4, "good words here too"), (5, "日本" * 500)]
-    frame = clashing(docs([t for _, t in table], [i for i, _ in table]))
-    labels = spark.createDataFrame(
-        [(0, 1, 0), (4, 1, 0), (5, 1, 1), (1, 0, 0), (None, 1, 0), (3, None, 0)],
-        "doc_id bigint, quality int, toxic int",
+def brute_scores(fitted, target_ids, texts, ids_of):
+    """Number of tokens and both mean losses of texts, under models of a table."""
+    runs = [ids_of(text) for _, text in fitted]
+    target = [ids for ids, (doc_id, _) in zip(runs, fitted) if doc_id in target_ids]
+    total, all_tokens = sum(map(len, target)), sum(map(len, runs))
+    losses = brute_model(target, 1.0, total), brute_model(runs, total / max(1, all_tokens), total)
+    found = []
+    for text in texts:
+        ids = ids_of(text)
+        pairs = list(zip([None, *ids], ids))
+        found.append((len(ids), *(sum(map(loss, pairs)) / max(1, len(ids)) for loss in losses)))
+    return found
+
+
+def check_scores(rows, table, target_ids, ids_of):
+    want = brute_scores(table, target_ids, [text for _, text in table], ids_of)
+    want = sorted(((str(doc_id), *one) for (doc_id, _), one in zip(table, want)))
+    found = sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in rows)
+    assert [one[:2] for one in found] == [one[:2] for one in want]
+    np.testing.assert_allclose(
+        [one[2:] for one in found], [one[2:] for one in want], rtol=1e-4, atol=1e-6
     )
-    rows = lm_score.cross_entropy_difference(frame, labels).collect()
-    check_scores(rows, table, {0, 4})
+    assert all(row.difference == row.target_loss - row.background_loss for row in rows)
+
+
+TABLE = [
+    (0, "good words here"), (1, "BAD #### 123"), (2, None), (3, ""), (None, "é words"),
+    (4, "good words here too"), (4, "good words here too"), (5, "日本" * 500), (6, "one"),
+    (7, "a <|endoftext|> b"),
+]
+LABELS = [(0, 1, 0), (4, 1, 0), (5, 1, 1), (1, 0, 0), (None, 1, 0), (3, None, 0), (6, 1, 0), (6, 0, 0)]
+LABEL = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.mark.parametrize("block_size", [1, 30, lm_score.BLOCK_SIZE])
+def test_scores_of_odd_documents(spark, docs, clashing, ids_of, block_size):
+    frame = clashing(docs([t for _, t in TABLE], [i for i, _ in TABLE])).repartition(2)
+    labels = clashing(spark.createDataFrame(LABELS, LABEL).withColumn("n_chars", F.lit(1)))
+    rows = lm_score.cross_entropy_difference(frame, labels, block_size=block_size).collect()
+    check_scores(rows, TABLE, {0, 4}, ids_of)
     by_id = {row.doc_id: row.difference for row in rows}
     assert by_id[0] < by_id[1] and by_id[2] == by_id[3] == 0
 
 
+def test_many_targets_are_joined(spark, docs, ids_of, monkeypatch):
+    monkeypatch.setattr(lm_score, "MOST_TARGETS", 0)
+    frame = docs([t for _, t in TABLE], [i for i, _ in TABLE])
+    labels = spark.createDataFrame(LABELS, LABEL)
+    check_scores(lm_score.cross_entropy_difference(frame, labels).collect(), TABLE, {0, 4}, ids_of)
+
+
+def test_texts_outside_the_fit_have_a_loss(spark, docs, ids_of):
+    """Unseen pairs fall back to their token, unseen tokens to the uniform distribution."""
+    frame = docs([t for _, t in TABLE], [i for i, _ in TABLE])
+    fitted = lm_score.Models(lm_score.encoded(frame, spark.createDataFrame(LABELS, LABEL)))
+    others = ["here words good", "zebra quartz", "words words", "", "Здравствуйте", "good words here"]
+    rows = lm_score.scored(lm_score.encoded(docs(others)), fitted).orderBy("doc_id").collect()
+    want = brute_scores(TABLE, {0, 4}, others, ids_of)
+    found = [(row.n_tokens, row.target_loss, row.background_loss) for row in rows]
+    np.testing.assert_allclose(found, want, rtol=1e-4, atol=1e-6)
+    assert rows[1].target_loss > 10 and rows[0].target_loss > rows[5].target_loss > 0
+
+
 def test_without_target_documents_nothing_differs(spark, docs):
-    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    labels = spark.createDataFrame([], LABEL)
     rows = lm_score.cross_entropy_difference(docs(["a b", "c"]), labels).collect()
     assert [row.difference for row in rows] == [0, 0]
+    assert all(abs(row.target_loss - log2(50_257)) < 1e-4 for row in rows)
     assert lm_score.cross_entropy_difference(docs([]), labels).collect() == []
+    assert lm_score.cross_entropy_difference(docs([None, ""]), labels).count() == 2
 
 
-def test_scores_of_the_table(spark):
+def test_scores_of_the_table(spark, ids_of):
     rows = QUERIES["op7_cross_entropy"](spark, FOLDER).collect()
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
     good = {r.doc_id for r in labels if r.quality == 1 and r.toxic == 0}
-    check_scores(rows, [(r.doc_id, r.text) for r in docs], good)
-
-
-def test_probabilities_sum_to_one():
-    counts = np.zeros(lm_score.CELLS)
-    counts[::977] = 3
-    chances = 2.0 ** -lm_score.losses(counts).astype(np.float64)
-    np.testing.assert_allclose(chances.reshape(-1, lm_score.SYMBOLS).sum(axis=1), 1, rtol=1e-4)
-
-
-def words_of(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-
-
-def brute_pairs(texts):
-    found = Counter()
-    for text in texts:
-        words = words_of(text)
-        found.update(zip([None, *words], words))
-    return found
-
-
-def test_word_scores_tell_all_words_apart(spark, docs):
-    """Digits and other scripts, which are one symbol each, and ids that repeat or are missing."""
-    table = [(0, "code 111 日本 one two"), (1, "code 222 中国 one two"), (2, None), (None, "111 a b"),
-             (4, "code 111"), (4, "code 333 x"), (5, "222 " * 300)]
-    labels = spark.createDataFrame([(0, 1, 0), (4, 1, 0)], "doc_id bigint, quality int, toxic int")
-    rows = lm_score.cross_entropy_difference(docs([t for _, t in table], [i for i, _ in table]), labels).collect()
-    counted = [brute_pairs(t for i, t in table if i in (0, 4)), brute_pairs(t for _, t in table)]
-    size = len({word for _, word in counted[1]})
-    scale = sum(counted[0].values()) / sum(counted[1].values())
-
-    def loss(pair, found, times):
-        mass, total = lm_score.SMOOTHING, sum(counted[0].values())
-        alone = sum(n for (_, word), n in found.items() if word == pair[1]) * times
-        before = sum(n for (first, _), n in found.items() if first == pair[0]) * times
-        chance = (alone + mass / size) / (total + mass)
-        return -np.log2((found[pair] * times + mass * chance) / (before + mass))
-
-    want = []
-    for doc_id, text in table:
-        words = words_of(text)
-        means = [
-            sum(loss(pair, found, times) for pair in zip([None, *words], words)) / max(1, len(words))
-            for found, times in zip(counted, (1.0, scale))
-        ]
-        want.append((-1 if doc_id is None else doc_id, len(words), *means))
-    got = [
-        (-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_word_loss, r.background_word_loss)
-        for r in rows
-    ]
-    np.testing.assert_allclose(sorted(got), sorted(want), rtol=1e-6)
-    by_words = {r.n_words: r.word_difference for r in rows if r.doc_id in (0, 4)}
-    other = next(r for r in rows if r.doc_id == 1)
-    assert by_words[5] < other.word_difference
+    check_scores(rows, [(r.doc_id, r.text) for r in docs], good, ids_of)
 
 
 # Transcripts.
