@@ -26,11 +26,8 @@ def distinct_seconds(rows, time, others):
     minutes = rows.groupBy(F.date_trunc("minute", time).alias("minute"), *others).agg(
         seconds_mask(F.col(time)).alias("seconds")
     )
-    set_bits = F.filter(
-        F.sequence(F.lit(0), F.lit(59)),
-        lambda second: F.call_function("getbit", F.col("seconds"), second) == 1,
-    )
-    start = F.unix_timestamp("minute").alias("start")
-    return minutes.select(start, *others, F.explode(set_bits).alias("second")).select(
-        F.timestamp_seconds(F.col("start") + F.col("second")).alias(time), *others
-    )
+    # All seconds of the minute, and then those that are set: both in generated code.
+    every = minutes.withColumn("second", F.explode(F.sequence(F.lit(0), F.lit(59))))
+    seen = every.filter(F.call_function("getbit", F.col("seconds"), F.col("second")) == 1)
+    start = F.unix_timestamp("minute")
+    return seen.select(F.timestamp_seconds(start + F.col("second")).alias(time), *others)
