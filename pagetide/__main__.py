@@ -86,6 +86,9 @@ def _arguments():
     views = stream("views")
     views.add_argument("--root", required=True)
     views.add_argument("--run", required=True, help="a new name for every new checkpoint")
+    views.add_argument(
+        "--buckets", type=int, help="keep views without time in so many buckets, for many lookups"
+    )
     views.add_argument(
         "--partials", action="store_true", help="keep partial aggregates for reports as well"
     )
@@ -170,6 +173,7 @@ def views(spark, args):
         jobs.start_views(
             _normalized(spark, args), args.root, args.run, args.checkpoint, quarantine,
             _trigger(args), views=[*STORES, *PARTIALS] if args.partials else None,
+            buckets=args.buckets,
         )
     ]
 

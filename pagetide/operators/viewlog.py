@@ -9,6 +9,12 @@ them apart. A batch that is there already, or has been folded into the base, is
 a replay changes nothing, also in the event log, whose rows are not merged. Numbers rise within a
 run, so the ledger of folded batches is one number per run.
 
+A view whose key has no time may be kept in hash buckets instead: a batch then rewrites the buckets
+that it has keys of, merged with what they held, and publishes them. Reading merges nothing. This is
+for views that are looked up more than they are written, with batches of few keys beside the buckets.
+
+    <view>/base/version=V/bucket=B/          one row per key
+
 A compaction rewrites only the days that its batches have rows of, and then publishes a snapshot.
 Folders that are no longer named go one compaction later. A reader takes the folders of one snapshot
 and the batches beside it, so it neither misses nor repeats a row while streams write and
@@ -41,12 +47,16 @@ def _columns(spec):
     return [name for name in spec.stored if name != "day"]
 
 
+def _filters(writer, names):
+    """Bloom filters on some columns, of the size that the number of values asks for."""
+    for name in names:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    return writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def _save(rows, path, spec, bloom=()):
     writer = rows.write.partitionBy("day") if spec.keyed_by_time else rows.write
-    for name in bloom:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    # Filters of the size that the number of values asks for.
-    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
+    _filters(writer, bloom).parquet(path)
 
 
 def _batch(run, batch_id):
@@ -64,6 +74,8 @@ def _write_view(events, root, run, batch_id, view):
     spark, folder = events.sparkSession, _folder(root, spec)
     place = f"{folder}/live/{_batch(run, batch_id)}"
     _, content = snapshots.current(spark, folder)
+    if _bucketed(content):
+        raise ValueError(f"{spec.name} is kept in buckets")
     if _is_folded(content, run, batch_id) or folders(spark, place):
         return
     rows = merge(project(events, spec), spec)
@@ -76,19 +88,74 @@ def _write_view(events, root, run, batch_id, view):
         delete_folder(spark, new)
 
 
-def write_batch(events, root, run, batch_id, views=None):
+def _bucket(spec, count):
+    """The whole key decides, so that a hot first column is spread."""
+    return F.pmod(F.xxhash64(*spec.key), F.lit(count)).cast("int")
+
+
+def _upsert(events, root, run, batch_id, spec, count):
+    """Put the rows of a batch in the place of those with their keys, bucket by bucket."""
+    spark, folder = events.sparkSession, _folder(root, spec)
+    number, content = snapshots.current(spark, folder)
+    if _is_folded(content, run, batch_id):
+        return
+    named = dict(content["buckets"]) if content else {}
+    count = content["count"] if content else count
+    rows = merge(project(events, spec), spec).withColumn("bucket", _bucket(spec, count))
+    # At most as many numbers as there are buckets.
+    touched = {str(row.bucket) for row in rows.select("bucket").distinct().collect()}
+    held = [f"{folder}/base/{named[bucket]}" for bucket in sorted(touched & set(named))]
+    rows = rows.drop("bucket")
+    if held:
+        rows = rows.unionByName(_rows(spark, spec, folder, [], held))
+    rows = merge(rows, spec).withColumn("bucket", _bucket(spec, count))
+    version = f"version={number + 1}-{uuid.uuid4().hex[:8]}"
+    # Few files per bucket, also where one is far larger than a task should write.
+    rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *spec.key)
+    writer = rows.write.partitionBy("bucket")
+    _filters(writer, [c for c in LOOKUP_KEYS if c in spec.columns]).parquet(f"{folder}/base/{version}")
+    gone = []
+    for path in folders(spark, f"{folder}/base/{version}/bucket=*"):
+        bucket = path.rsplit("bucket=", 1)[1]
+        if bucket in named:
+            gone.append(f"base/{named[bucket]}")
+        named[bucket] = "/".join(path.split("/")[-2:])
+    folded = dict(content["folded"]) if content else {}
+    folded[run] = batch_id
+    left = snapshots.retired(spark, folder, content, gone)
+    new = {"buckets": named, "count": count, "folded": folded, "retired": left}
+    snapshots.publish(spark, folder, number + 1, new)
+
+
+def in_buckets(view):
+    """Whether a view can be kept in buckets: one row per key, and no time in it."""
+    spec = spec_of(view)
+    return not spec.keyed_by_time and not spec.mask
+
+
+def write_batch(events, root, run, batch_id, views=None, buckets=None):
     """Merge one batch into each view. Writing the same batch again changes nothing.
 
+    With `buckets`, a number, views whose key has no time are kept in so many buckets. A view keeps
+    the form that its first batch gave it.
+
     The first view is written alone, so that a cached batch is complete before the other views are
     written side by side. Small views would otherwise keep a large cluster waiting one by one.
     """
     first, *others = views or STORES
-    _write_view(events, root, run, batch_id, first)
+
+    def write_one(view):
+        if buckets and in_buckets(view):
+            _upsert(events, root, run, batch_id, spec_of(view), buckets)
+        else:
+            _write_view(events, root, run, batch_id, view)
+
+    write_one(first)
     if not others:
         return
     with ThreadPoolExecutor(len(others)) as pool:
-        write = inheritable_thread_target(events.sparkSession)(_write_view)
-        started = [pool.submit(write, events, root, run, batch_id, view) for view in others]
+        write = inheritable_thread_target(events.sparkSession)(write_one)
+        started = [pool.submit(write, view) for view in others]
     for job in started:
         job.result()
 
@@ -117,12 +184,18 @@ def _rows(spark, spec, folder, live, base):
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _bucketed(content):
+    return bool(content) and "buckets" in content
+
+
 def _day_of(path):
     return path.rsplit("day=", 1)[-1]
 
 
 def _base(folder, content, days=None):
     """Folders of the base, those of some days only if asked for. Days are text that sorts."""
+    if _bucketed(content):
+        return [f"{folder}/base/{name}" for name in content["buckets"].values()]
     names = content["base"] if content else []
     if days is not None:
         names = [name for name in names if days(_day_of(name))]
@@ -140,6 +213,8 @@ def scan(spark, root, view, bounds=None, days=None):
         raise ValueError(f"{spec.name} has no time in its key: a time filter would be wrong")
     # The snapshot first: what it names stays while a compaction publishes the next one.
     _, content = snapshots.current(spark, folder)
+    if _bucketed(content):
+        return _rows(spark, spec, folder, [], _base(folder, content))
     live = list(_live(spark, folder, content).values())
     if bounds is None and days is None:
         return _rows(spark, spec, folder, live, _base(folder, content))
@@ -163,7 +238,11 @@ def scan(spark, root, view, bounds=None, days=None):
 def read(spark, root, view, bounds=None, days=None):
     """Current rows of a view, one per key; of the event log, every event."""
     spec = spec_of(view)
-    return merge(scan(spark, root, spec, bounds, days), spec).select(*spec.columns)
+    rows = scan(spark, root, spec, bounds, days)
+    _, content = snapshots.current(spark, _folder(root, spec))
+    # Buckets hold one row per key.
+    rows = rows if _bucketed(content) else merge(rows, spec)
+    return rows.select(*spec.columns)
 
 
 def compact(spark, root, views=None):
@@ -187,6 +266,8 @@ def _present(spark, root):
 def _compact(spark, root, spec):
     folder = _folder(root, spec)
     number, content = snapshots.current(spark, folder)
+    if _bucketed(content):
+        return
     live = _live(spark, folder, content)
     named = content["base"] if content else []
     if live:

@@ -210,6 +210,7 @@ WHERE created_by_bot AND {IN_WINDOW} GROUP BY domain"""
     "stored_hourly_events": _hourly(IN_WINDOW, rows="SELECT time, domain FROM pc"),
     "compacted_page_details": DETAILS_BY_PAGE,
     "compacted_event_log": NORMALIZED,
+    "upserted_pages_by_user": _pages_by_user("TRUE"),
     "sse_redelivered": NORMALIZED,
     "partial_hourly_stats": _hourly(),
     "hourly_stream_corrected": _hourly(),

@@ -36,6 +36,7 @@ ONCE = {"availableNow": True}
 # How much of the table one batch reads; views do not depend on where batches are cut.
 BATCH = {"maxBytesPerTrigger": str(4 * 2**30)}
 STEPS = 4
+BUCKETS = 16
 
 QUERIES = {}
 
@@ -427,6 +428,18 @@ def lookup_days_of_requests(spark, folder):
     return lookups.active_days_of_requests(view, asked)
 
 
+@query
+def upserted_pages_by_user(spark, folder):
+    """Four batches put into buckets, each with the keys of the one before again."""
+    root, name = scratch_folder(spark, "views"), "pages_by_user"
+    before = F.lit(False)
+    for number, part in enumerate(_quarters(spark, folder)):
+        batch = page_creates(spark, folder).filter(part | before)
+        viewlog.write_batch(batch, root, "first", number, [name], buckets=BUCKETS)
+        before = part
+    return viewlog.read(spark, root, name)
+
+
 @query
 def compacted_page_details(spark, folder):
     """Compacted between two batches, in place."""
@@ -497,13 +510,13 @@ def streamed_view_sizes(spark, folder):
 
 @query
 def streamed_page_details(spark, folder):
-    """Raw messages straight into the page view; `seq` decides between rows of one second."""
+    """Raw messages straight into the buckets of the page view, which a read does not merge."""
     name = "page_details_by_page_id"
     work = scratch_folder(spark, "stream")
     _run_once(
         jobs.start_views(
             _raw_stream(spark, folder), f"{work}/views", "first", f"{work}/check",
-            f"{work}/aside", ONCE, views=[name], decode=parse_envelope,
+            f"{work}/aside", ONCE, views=[name], decode=parse_envelope, buckets=BUCKETS,
         )
     )
     return _as_text(viewlog.read(spark, f"{work}/views", name), "time")

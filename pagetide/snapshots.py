@@ -7,10 +7,13 @@ published, so a reader that has just looked is not overtaken.
 """
 
 import json
+import time
 
-from pagetide.session import file_system
+from pagetide.session import delete_folder, file_system
 
 _FOLDER = "snapshots"
+# How long a reader may take where versions follow each other quickly.
+KEEP_SECONDS = 600
 
 
 def _path(spark, folder, name=""):
@@ -42,13 +45,31 @@ def _content(spark, folder, number):
 
 def current(spark, folder):
     """Number and content of the newest complete version; 0 and None where there is none."""
-    for number in numbers(spark, folder):
-        content = _content(spark, folder, number)
-        if content is not None:
-            return number, content
+    while found := numbers(spark, folder):
+        for number in found:
+            content = _content(spark, folder, number)
+            if content is not None:
+                return number, content
+        if found == numbers(spark, folder):
+            # The first one of all is being written.
+            break
     return 0, None
 
 
+def retired(spark, folder, content, gone, keep=KEEP_SECONDS):
+    """The folders that versions have stopped naming, with the time, `gone` among them now.
+
+    Those that went longer than `keep` seconds ago are removed and forgotten: no reader that began
+    with them should still be at work.
+    """
+    now = time.time()
+    left = {**(content or {}).get("retired", {}), **{path: now for path in gone}}
+    for path in [path for path, since in left.items() if since < now - keep]:
+        delete_folder(spark, f"{folder}/{path}")
+        del left[path]
+    return left
+
+
 def publish(spark, folder, number, content):
     """Make `content` the version `number`. Versions before the last one are forgotten.
 

@@ -12,7 +12,7 @@ from pagetide.operators.quarantine import marked, quarantined, usable
 from pagetide.operators.reports import hourly_of_minutes
 from pagetide.operators.viewlog import read, write_batch
 from pagetide.operators.views import DOMAIN_MINUTES, STORES
-from pagetide.session import delete_folder, folders
+from pagetide.session import folders
 
 # Topic names.
 INPUT_TOPIC = "input"
@@ -79,10 +79,11 @@ def normalized_files(spark, path, topic=PROCESSED_TOPIC, streaming=True, **optio
     return rows.load(path).filter(F.col("topic") == topic).select("value")
 
 
-def view_writer(root, run, quarantine, views=None):
+def view_writer(root, run, quarantine, views=None, buckets=None):
     """The per-batch function that upserts a batch of events into every view.
 
-    `quarantine` is the folder for messages with a problem, or `DROP`.
+    `quarantine` is the folder for messages with a problem, or `DROP`. With `buckets`, views whose
+    key has no time are kept in so many buckets, and reading them merges nothing.
 
     Errors are not caught: a batch that fails is retried by Spark, and rewriting the views it had
     already reached replaces the same folders. The batch is cached when it is read more than once.
@@ -92,11 +93,11 @@ def view_writer(root, run, quarantine, views=None):
     def write(decoded, batch_id):
         batch = marked(decoded, names)
         keep_bad = quarantine != DROP
-        reread = len(names) > 1 or keep_bad
+        reread = len(names) > 1 or keep_bad or buckets
         if reread:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(usable(batch), root, run, batch_id, names)
+            write_batch(usable(batch), root, run, batch_id, names, buckets)
             if keep_bad:
                 _write_quarantine(quarantined(batch), quarantine, run, batch_id)
         finally:
@@ -118,13 +119,16 @@ def _write_quarantine(rows, path, run, batch_id):
 
 
 def start_views(
-    messages, root, run, checkpoint, quarantine, trigger=None, views=None, decode=from_wire
+    messages, root, run, checkpoint, quarantine, trigger=None, views=None, decode=from_wire,
+    buckets=None,
 ):
     """Keep the views below `root` current. `run` must be new whenever `checkpoint` is new.
 
     Bad messages go to the folder `quarantine`, unless it is `DROP`.
     """
-    sink = decode(messages).writeStream.foreachBatch(view_writer(root, run, quarantine, views))
+    sink = decode(messages).writeStream.foreachBatch(
+        view_writer(root, run, quarantine, views, buckets)
+    )
     return _start(sink, checkpoint, trigger or {"processingTime": "1 second"})
 
 
@@ -185,15 +189,14 @@ def corrected_hours_writer(root, run, out):
         version = f"version-{uuid.uuid4().hex}"
         hours.write.partitionBy("day").parquet(f"{out}/{version}")
         number, before = snapshots.current(spark, out)
-        named = {**(before or {}), **{
-            path.rsplit("day=", 1)[1]: f"{version}/{path.rsplit('/', 1)[1]}"
-            for path in folders(spark, f"{out}/{version}/day=*")
-        }}
-        snapshots.publish(spark, out, number + 1, named)
-        kept = {*named.values(), *(before or {}).values()}
-        for path in folders(spark, f"{out}/version-*/day=*"):
-            if "/".join(path.split("/")[-2:]) not in kept:
-                delete_folder(spark, path)
+        named, gone = dict(before["days"]) if before else {}, []
+        for path in folders(spark, f"{out}/{version}/day=*"):
+            day = path.rsplit("day=", 1)[1]
+            if day in named:
+                gone.append(named[day])
+            named[day] = f"{version}/day={day}"
+        left = snapshots.retired(spark, out, before, gone)
+        snapshots.publish(spark, out, number + 1, {"days": named, "retired": left})
 
     return write
 
@@ -206,7 +209,8 @@ def start_corrected_hours(events, root, run, out, checkpoint, trigger=None):
 
 def corrected_hours(spark, out):
     """The hours that are published now."""
-    _, named = snapshots.current(spark, out)
+    _, content = snapshots.current(spark, out)
+    named = content["days"] if content else {}
     reader = spark.read.schema("hour timestamp, domain string, pages_created bigint")
     if not named:
         return spark.createDataFrame([], "hour timestamp, domain string, pages_created bigint")

@@ -14,7 +14,7 @@ from pagetide.sources.event_table import as_page_creates
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs when called, and their result is a plain read of what the jobs wrote.
-WRITING = re.compile(r"^(sse_|streamed_|stored_|hourly_stream|compacted_|partial_)|_document$")
+WRITING = re.compile(r"^(sse_|streamed_|stored_|hourly_stream|compacted_|partial_|upserted_)|_document$")
 # Their ranks are numbered on as many rows as are asked for.
 RANKED = re.compile(r"^top_")
 # Its windows hold the days of one user.
@@ -209,3 +209,16 @@ def test_stored_window_prunes_days(spark, tmp_path):
     plan = plan_of(reports.bot_domain_stats(rows, WINDOW))
     assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2024-01-16", plan)
     assert "EqualTo(created_by_bot,true)" in plan or "created_by_bot" in plan
+
+
+def test_buckets_are_looked_up_without_a_merge(spark, tmp_path):
+    root, name = str(tmp_path), "page_details_by_page_id"
+    for number in range(3):
+        rows = [event("2024-01-16 05:00:00", page_id=i, seq=number) for i in range(0, 300, number + 1)]
+        viewlog.write_batch(events_frame(spark, rows), root, "r", number, [name], buckets=8)
+    view = viewlog.read(spark, root, name)
+    plan = plan_of(view.filter(F.col("page_id") == 7))
+    for operator in ("Aggregate", "Exchange", "Sort", "Union"):
+        assert operator not in plan
+    assert "EqualTo(page_id,7)" in plan
+    assert view.count() == 300

@@ -229,6 +229,43 @@ def test_a_batch_written_during_a_compaction_stays(spark, tmp_path, monkeypatch,
     assert tuples(current) == tuples(build(events_frame(spark, rows), name))
 
 
+BUCKETED = [name for name in SPECS if viewlog.in_buckets(name)]
+
+
+def test_buckets_hold_what_merged_batches_give(spark, tmp_path, monkeypatch):
+    """Batches in any order and twice, and only the buckets of a batch are written again."""
+    assert BUCKETED == ["distinct_domains", "pages_by_user", "domain_page_counts", "page_details_by_page_id"]
+    root, rows = str(tmp_path), sample()
+    mixed = random.Random(2).sample(rows, len(rows))
+    for number in range(4):
+        batch = events_frame(spark, mixed[number::4])
+        for _ in range(2):
+            viewlog.write_batch(batch, root, "r", number, list(SPECS), buckets=4)
+    viewlog.compact(spark, root)
+    assert_views(spark, root, rows)
+    for name in BUCKETED:
+        assert tuples(viewlog.scan(spark, root, name), *SPECS[name].columns) == tuples(
+            build(events_frame(spark, rows), name)
+        )
+    name, folder = BUCKETED[-1], f"{root}/{BUCKETED[-1]}"
+    before = snapshots.current(spark, folder)[1]["buckets"]
+    reader = viewlog.read(spark, root, name)
+    viewlog.write_batch(events_frame(spark, [event(LATER, page_id=1000)]), root, "s", 0, [name], 4)
+    after = snapshots.current(spark, folder)[1]["buckets"]
+    assert sum(after[bucket] != before.get(bucket) for bucket in after) == 1
+    assert viewlog.read(spark, root, name).count() == reader.count() + 1
+    viewlog.write_batch(events_frame(spark, []), root, "s", 1, [name], 4)
+    assert viewlog.read(spark, root, name).count() == reader.count() + 1
+    with pytest.raises(ValueError, match="buckets"):
+        viewlog.write_batch(events_frame(spark, rows), root, "s", 2, [name])
+    # Folders that nobody names go when readers have had their time.
+    monkeypatch.setattr(snapshots.retired, "__defaults__", (-1,))
+    viewlog.write_batch(events_frame(spark, [event(LATER, page_id=1001)]), root, "s", 2, [name], 4)
+    left = {path.relative_to(f"{folder}/base").as_posix() for path in tmp_path.glob(f"{name}/base/version=*/bucket=*")}
+    assert left == set(snapshots.current(spark, folder)[1]["buckets"].values())
+    assert viewlog.read(spark, root, name).count() == len({row["page_id"] for row in rows}) + 2
+
+
 def test_a_reader_that_started_before_a_compaction_ends_well(spark, tmp_path):
     root, rows, name = str(tmp_path), sample(), "pages_by_user"
     for number in range(3):
