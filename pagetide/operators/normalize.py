@@ -3,6 +3,8 @@
 Every parse here is tolerant: a bad message becomes a row with a `problem`, it never fails a job.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pagetide.functions.timing import feed_time
@@ -13,39 +15,50 @@ BAD_JSON = "bad_json"
 BAD_TIME = "bad_time"
 
 _CORRUPT = "_corrupt"
+_GUARD = "_guard"
 
 
 def _decode(messages, schema, flatten, clean_time):
     """Columns of the messages, plus the flat fields, `seq` and `problem`.
 
-    A message is parsed as the only field of an object around it. A parser stops after the first
-    value of a text; so wrapped, text after that value is an error and not lost. The length of an
-    array around the message finds what closes the object early and goes on with another field.
+    A message is parsed between two guards, in an array that has to hold these three and nothing
+    else. A parser stops after the first value of a text; so wrapped, text after the message is an
+    error and not lost. What closes the array or the object early, and goes on, loses a guard, which
+    it cannot write itself as it does not know them.
 
-    The JSON is parsed inside a generator. As plain projections the parse would be copied into the
-    filter on `problem` and so run twice per message.
+    The JSON is parsed once, inside a generator. As plain projections the parse would be copied into
+    the filter on `problem` and so run twice per message.
     """
     text = F.col("value").cast("string")
+    opens, closes = (uuid.uuid4().hex for _ in range(2))
     parsed = F.from_json(
-        F.concat(F.lit('{"message":'), text, F.lit("}")),
-        f"message struct<{schema}>, {_CORRUPT} string",
+        F.concat(
+            F.lit(f'{{"guarded":[{{"{_GUARD}":"{opens}"}},'),
+            text,
+            F.lit(f',{{"{_GUARD}":"{closes}"}}]}}'),
+        ),
+        f"guarded array<struct<{schema}, {_GUARD} string>>, {_CORRUPT} string",
         {"columnNameOfCorruptRecord": _CORRUPT},
     )
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     seq = F.col("seq") if "seq" in messages.columns else F.lit(0).cast("bigint")
-    fields = F.transform(
-        F.array(parsed),
-        lambda whole: F.struct(
-            *flatten(whole["message"]),
-            _seq(whole["message"], schema, seq).alias("seq"),
+
+    def event_of(whole):
+        first, message, last = (F.get(whole["guarded"], F.lit(at)) for at in range(3))
+        alone = (
+            (F.size(whole["guarded"]) == 3) & (first[_GUARD] == opens) & (last[_GUARD] == closes)
+        )
+        return F.struct(
+            *flatten(message),
+            _seq(message, schema, seq).alias("seq"),
             text.isNull().alias("absent"),
             (
-                whole["message"].isNull()
+                message.isNull()
                 | whole[_CORRUPT].isNotNull()
                 | ~F.coalesce(alone, F.lit(False))
             ).alias("unreadable"),
-        ),
-    )
+        )
+
+    fields = F.transform(F.array(parsed), event_of)
     event = F.col("event")
     problem = (
         F.when(event["absent"], NO_MESSAGE)

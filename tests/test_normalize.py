@@ -44,6 +44,20 @@ def test_binary_values(spark):
         ('{"page_id": 1.5}', BAD_JSON),
         ('{"page_id": "x"}', BAD_JSON),
         (envelope()[:-1], BAD_JSON),
+        # Text behind the message, which closes what stands around it in all ways it can.
+        (envelope() + " junk", BAD_JSON),
+        (envelope() + envelope(), BAD_JSON),
+        (envelope() + "," + envelope(), BAD_JSON),
+        (envelope() + ",", BAD_JSON),
+        ("," + envelope(), BAD_JSON),
+        (envelope() + "],\"other\":[1", BAD_JSON),
+        (envelope() + "],\"guarded\":[" + envelope(), BAD_JSON),
+        (envelope() + "],\"guarded\":[{}," + envelope(), BAD_JSON),
+        (envelope() + "]},{\"guarded\":[" + envelope(), BAD_JSON),
+        (envelope() + "]}", BAD_JSON),
+        (envelope() + "}", BAD_JSON),
+        ("null", BAD_JSON),
+        ("{\"_guard\":\"x\"}", BAD_TIME),
         ("{}", BAD_TIME),
         (envelope("2024-01-01T00:00:00.123Z"), BAD_TIME),
         (envelope("2024-01-01T02:00:00+02:00"), BAD_TIME),
@@ -87,7 +101,7 @@ def test_empty_and_fractional_wire_messages(spark):
 def test_json_is_parsed_once(spark):
     plan = accepted(parse_envelope(messages_frame(spark, [envelope()])))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("from_json(") == 1
+    assert text.count("from_json(") == 1 and "json_" not in text.replace("from_json(", "")
 
 
 def test_marked_batch(spark):
