@@ -112,12 +112,18 @@ def train(lines):
         {"symbol": symbol(F.col("line")), "opens": F.col("line_no") == 0}
     )
     emitted = known.groupBy("role", "opens", "symbol").count().collect()
-    turns = known.filter("line_no = 0").select("conv_id", "position", "role", "n_lines")
-    before = turns.select(
-        "conv_id",
-        (F.col("position") + 1).alias("position"),
-        F.col("role").alias("role_before"),
-        (F.col("n_lines") == 1).alias("opens_before"),
+    turns = known.filter("line_no = 0").select("conv_id", "position", "tie", "role", "n_lines")
+    # Where a turn number comes several times, its last row comes before the next turn.
+    ended = F.struct("role", (F.col("n_lines") == 1).alias("opens"))
+    before = (
+        turns.groupBy("conv_id", (F.col("position") + 1).alias("position"))
+        .agg(F.max_by(ended, "tie").alias("ended"))
+        .select(
+            "conv_id",
+            "position",
+            F.col("ended.role").alias("role_before"),
+            F.col("ended.opens").alias("opens_before"),
+        )
     )
     moved = turns.join(before, ["conv_id", "position"], "left").groupBy(
         "role_before", "opens_before", "role"

@@ -1,6 +1,8 @@
 """Language model scores and transcripts against plain Python."""
 
+import re
 from collections import Counter, defaultdict
+from itertools import product
 from math import log2
 
 import numpy as np
@@ -163,6 +165,95 @@ def check_parse(parsed, model):
         assert [row.turn for row in lines] == transcripts._turns(np.array(states)).tolist()
 
 
+def random_model(random_, symbols=4):
+    """Log probabilities with some steps that cannot be."""
+    states = len(transcripts.STATES)
+    steps = np.log(random_.random((states, states)))
+    steps[random_.random((states, states)) < 0.3] = -np.inf
+    steps[0] = np.log(random_.random(states))
+    return np.log(random_.random(states)), steps, np.log(random_.random((states, symbols)))
+
+
+def every_path(symbols, model):
+    """The best score over all paths of states, each tried."""
+    first, steps, shown = model
+    best = -np.inf
+    for path in product(range(len(first)), repeat=len(symbols)):
+        score = first[path[0]] + shown[path[0], symbols[0]]
+        for at in range(1, len(path)):
+            score += steps[path[at - 1], path[at]] + shown[path[at], symbols[at]]
+        best = max(best, score)
+    return best
+
+
+def score_of(path, symbols, model):
+    first, steps, shown = model
+    score = first[path[0]] + shown[path[0], symbols[0]]
+    return score + sum(
+        steps[path[at - 1], path[at]] + shown[path[at], symbols[at]] for at in range(1, len(path))
+    )
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    """Also when a run is cut into pieces that are reduced, chained and decoded one by one."""
+    random_ = np.random.default_rng(4)
+    for _ in range(12):
+        model, symbols = random_model(random_), random_.integers(0, 4, random_.integers(1, 6))
+        best = every_path(symbols, model)
+        path = transcripts.viterbi(symbols, model)
+        assert abs(score_of(path, symbols, model) - best) < 1e-9
+        for cuts in ([1], [2, 3], [1, 2, 3, 4]):
+            pieces = [piece for piece in np.split(symbols, [c for c in cuts if c < len(symbols)])]
+            entries, ends = transcripts.chain([transcripts.transfer(one, model) for one in pieces])
+            joined = np.concatenate([
+                transcripts.viterbi(one, model, entry, end)
+                for one, entry, end in zip(pieces, entries, ends)
+            ])
+            assert abs(score_of(joined, symbols, model) - best) < 1e-9
+
+
+def plain_model(lines):
+    """The model from lines in order, by counting in plain Python."""
+    place = {state: at for at, state in enumerate(transcripts.STATES)}
+    count = len(place)
+    first, steps = np.zeros(count), np.zeros((count, count))
+    shown = np.ones((count, transcripts.SYMBOLS))
+    for (role, opens), at in place.items():
+        first[at] = opens
+        for (other, starts), after in place.items():
+            steps[at, after] = starts or other == role
+    by_conversation = defaultdict(list)
+    for row in sorted(lines, key=lambda r: (r.conv_id, r.position, r.tie, r.line_no)):
+        by_conversation[row.conv_id].append((place[row.role, row.line_no == 0], row.symbol))
+    for own in by_conversation.values():
+        first[own[0][0]] += 1
+        for state, symbol in own:
+            shown[state, symbol] += 1
+        for (state, _), (after, _) in zip(own, own[1:]):
+            steps[state, after] += 1
+    return [np.log(part / part.sum(axis=-1, keepdims=True)) for part in (first, steps, shown)]
+
+
+def test_a_model_is_what_plain_counting_gives(spark):
+    """The table's turns are whole: each number once, without gaps."""
+    lines = transcripts.transcript_lines(spark.read.parquet(f"{FOLDER}/conversations.parquet"))
+    lines = lines.withColumn("symbol", transcripts.symbol(F.col("line"))).cache()
+    with np.errstate(divide="ignore"):
+        want = plain_model(lines.collect())
+    for found, expected in zip(transcripts.train(lines), want):
+        np.testing.assert_allclose(found, expected)
+
+
+def test_turn_numbers_that_repeat_do_not_multiply(spark):
+    rows = [(1, turn, "user", f"t{n}") for turn in (0, 1) for n in range(300)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    first, steps, _ = transcripts.train(transcripts.transcript_lines(frame))
+    user = transcripts.STATES.index(("user", True))
+    # 300 turns have a turn before them, 300 have none.
+    assert np.isclose(np.exp(first[user]), 301 / 303)
+    assert np.isclose(np.exp(steps[user, user]), 301 / 304)
+
+
 def test_one_long_conversation_is_spread_and_decoded_right(spark):
     """Most lines are of one conversation, so that it goes over several tasks."""
     table = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
@@ -237,12 +328,36 @@ def test_lines_that_go_on_keep_their_first_word(spark):
     }
 
 
+def plain_content(line):
+    """A line without the marker of a known speaker."""
+    found = re.match(r"[#*\[(<|]*\s*([A-Za-z]{1,20})\s*[\])*|>]*\s*[:>]\s?", line)
+    known = {word for words in transcripts.SPEAKERS for word in words}
+    return line[found.end() :] if found and found[1].lower() in known else line
+
+
 def test_turns_of_the_table(spark):
+    """Whole rendered turns, from the best path of each conversation in plain Python."""
     rows = QUERIES["op9_chat_turns"](spark, FOLDER).collect()
     table = spark.read.parquet(f"{FOLDER}/conversations.parquet")
-    lines = sum(row.text.count("\n") + 1 for row in table.collect())
-    assert sum(row.n_lines for row in rows) == lines
-    assert {row.conv_id for row in rows} == {row.conv_id for row in table.collect()}
+    lines = transcripts.transcript_lines(table)
+    model, own = transcripts.train(lines), defaultdict(list)
+    for row in lines.withColumn("symbol", transcripts.symbol(F.col("line"))).collect():
+        own[row.conv_id].append(row)
+    want = []
+    for conv_id, found in own.items():
+        found.sort(key=lambda r: (r.position, r.tie, r.line_no))
+        turns = []
+        for row, state in zip(found, transcripts.viterbi([r.symbol for r in found], model)):
+            role, opens = transcripts.STATES[state]
+            if opens:
+                turns.append((role, [plain_content(row.line)]))
+            else:
+                turns[-1][1].append(row.line)
+        want += [
+            (conv_id, at, role, len(text), f"<|{role}|>\n{'\n'.join(text).strip(' ')}\n<|end|>")
+            for at, (role, text) in enumerate(turns)
+        ]
+    assert sorted(map(tuple, rows)) == sorted(want)
 
 
 def test_scores_tell_good_documents_from_junk_that_they_have_not_seen(spark):

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 from datetime import date, timedelta
+from math import ceil, log2
 
 import pytest
 from pyspark.sql import functions as F
@@ -334,6 +335,77 @@ def test_rules_from_planted_thresholds(spark):
     assert 2 <= len(rules) <= 5 and agree > 0.95 * 6000
 
 
+def plain_best(covered, thresholds, used):
+    """The condition with the highest gain, each tried on each row."""
+    all_bad, count = sum(row["bad"] for row in covered), len(covered)
+    best = (0.0, None)
+    for name, limits in thresholds.items():
+        for limit in limits:
+            for above in (False, True):
+                held = [row["bad"] for row in covered if (row[name] > limit) == above]
+                bad, condition = sum(held), (name, above, limit)
+                if not bad or condition in used:
+                    continue
+                gain = bad * (log2(bad / len(held)) - log2(all_bad / count))
+                if gain > best[0]:
+                    best = (gain, condition)
+    return best[1]
+
+
+def holds(row, conditions):
+    return all((row[name] > limit) == above for name, above, limit in conditions)
+
+
+def plain_rules(rows, names):
+    """Sequential covering in plain Python."""
+    rules, left = [], rows
+    while True:
+        growing = [row for row in left if not row["prunes"]]
+        pruning = [row for row in left if row["prunes"]]
+        thresholds = {}
+        for name in names:
+            values = sorted(row[name] for row in growing)
+            shares = [at / quality_rules.THRESHOLDS for at in range(quality_rules.THRESHOLDS)]
+            thresholds[name] = sorted({values[max(ceil(p * len(values)) - 1, 0)] for p in shares})
+        conditions, covered = [], growing
+        while 0 < sum(row["bad"] for row in covered) < len(covered):
+            condition = plain_best(covered, thresholds, conditions)
+            if condition is None:
+                break
+            conditions.append(condition)
+            covered = [row for row in covered if holds(row, [condition])]
+        scored = []
+        for length in range(1, len(conditions) + 1):
+            held = [row["bad"] for row in pruning if holds(row, conditions[:length])]
+            score = (2 * sum(held) - len(held)) / len(held) if held else -1.0
+            scored.append((score, -length, conditions[:length], sum(held), len(held)))
+        if not scored:
+            return rules
+        _, _, rule, bad, total = max(scored, key=lambda one: one[:2])
+        if bad < quality_rules.SUPPORT or bad < quality_rules.PRECISION * total:
+            return rules
+        rules.append(rule)
+        left = [row for row in left if not holds(row, rule)]
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.01])
+def test_rules_are_those_of_plain_covering(spark, noise):
+    rows = spark.range(1500).select(
+        F.col("id").alias("doc_id"),
+        *[F.round(F.rand(seed), 3).alias(name) for seed, name in enumerate("abc", 4)],
+    )
+    bad = ((F.col("a") > 0.8) & (F.col("b") > 0.5)) | (F.col("c") <= 0.1) | (F.rand(9) < noise)
+    rows = rows.withColumn("bad", bad.cast("int")).cache()
+    prunes = (F.pmod(F.xxhash64("doc_id"), F.lit(quality_rules.FOLDS)) == 0).alias("prunes")
+    plain = plain_rules([row.asDict() for row in rows.select("*", prunes).collect()], "abc")
+    found = [
+        [(one.measure, one.above, one.threshold) for one in rule.conditions]
+        for rule in quality_rules.learn(rows, ["a", "b", "c"])
+    ]
+    assert found == plain and found
+    rows.unpersist()
+
+
 def test_no_labels_no_rules(spark, docs):
     frame = docs(["a b c d e f g h i j k l", "x y", None, "#" * 30])
     for rows in ([], [(0, 1, 0), (None, 0, 0), (1, None, 0)], [(0, 0, 0)]):
