@@ -31,6 +31,17 @@ def local_session(cores="*", app="pagetide", **conf):
     return builder.getOrCreate()
 
 
+def keep_state_on_disk(spark):
+    """State of streams goes to RocksDB, on disk and not on the heap.
+
+    A commit writes what changed since the last one, not the whole state.
+    """
+    place = "spark.sql.streaming.stateStore"
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set(f"{place}.providerClass", provider)
+    spark.conf.set(f"{place}.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def _shared_folder(spark):
     """The folder that the cluster names for checkpoints; there is no fallback."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

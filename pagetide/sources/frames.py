@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pagetide.session import keep_state_on_disk
 
 # A blank line ends a frame, whichever way its lines end.
 _BLANK_LINE = r"\r?\n\r?\n"
@@ -50,6 +51,7 @@ def delivered_once(messages, delay=None):
     # Rows without an id must not be equal to each other.
     keyed = messages.withColumn("once", F.coalesce("id", F.concat(F.lit("none "), F.uuid())))
     if messages.isStreaming:
+        keep_state_on_disk(messages.sparkSession)
         kept = keyed.withWatermark("landed", delay).dropDuplicatesWithinWatermark(["once"])
     else:
         kept = keyed.dropDuplicates(["once"])

@@ -12,7 +12,7 @@ from pagetide.operators.quarantine import marked, quarantined, usable
 from pagetide.operators.reports import hourly_of_minutes
 from pagetide.operators.viewlog import read, write_batch
 from pagetide.operators.views import DOMAIN_MINUTES, STORES
-from pagetide.session import folders
+from pagetide.session import folders, keep_state_on_disk
 
 # Topic names.
 INPUT_TOPIC = "input"
@@ -20,23 +20,10 @@ PROCESSED_TOPIC = "processed"
 # End of fixed values.
 REJECTED_TOPIC = "rejected"
 
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
 # What to give instead of a folder for bad messages, to do without them on purpose.
 DROP = "drop"
 
 
-def _keep_state_on_disk(spark):
-    """State goes to RocksDB, on disk; a commit writes what changed since the last one."""
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
-
-
 def _start(stream, checkpoint, trigger):
     return stream.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -58,7 +45,6 @@ def normalized_messages(messages, processed=PROCESSED_TOPIC, rejects=REJECTED_TO
 
 
 def start_normalize_to_kafka(messages, servers, checkpoint, trigger=None, **topics):
-    _keep_state_on_disk(messages.sparkSession)
     outgoing = normalized_messages(messages, **topics)
     sink = outgoing.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
     return _start(sink, checkpoint, trigger or {"processingTime": "0 seconds"})
@@ -66,7 +52,6 @@ def start_normalize_to_kafka(messages, servers, checkpoint, trigger=None, **topi
 
 def start_normalize_to_files(messages, path, checkpoint, trigger=None, **topics):
     """The same messages as text files, one folder per topic."""
-    _keep_state_on_disk(messages.sparkSession)
     outgoing = normalized_messages(messages, **topics).drop("key")
     sink = outgoing.writeStream.format("text").partitionBy("topic").option("path", path)
     return _start(sink, checkpoint, trigger or {"processingTime": "0 seconds"})
@@ -159,7 +144,7 @@ def start_rejects(messages, path, checkpoint, trigger=None, decode=from_wire):
 
 def start_hourly(events, path, checkpoint, delay="1 hour", trigger=None):
     """Counts of closed hours. The open minutes are state, on disk and not on the heap."""
-    _keep_state_on_disk(events.sparkSession)
+    keep_state_on_disk(events.sparkSession)
     sink = (
         hourly_counts(events, delay)
         .writeStream.outputMode("append")

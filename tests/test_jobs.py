@@ -31,7 +31,10 @@ def test_frames_to_reports_and_lookups(spark, tmp_path):
     (tmp_path / "feed" / "1.sse").write_text("\n\n".join(frames) + "\n\n")
 
     main(["normalize", "--input", at + "feed", "--frames", "--out", at + "wire",
-          "--checkpoint", at + "c1", "--once", "--redelivered", "1 hour"])
+          "--checkpoint", at + "c1", "--once"])
+    main(["normalize", "--input", at + "feed", "--frames", "--out", at + "once",
+          "--checkpoint", at + "c0", "--once", "--redelivered", "1 hour"])
+    assert jobs.normalized_files(spark, at + "once", streaming=False).count() == 6
     main(["views", "--input", at + "wire", "--root", at + "views", "--run", "r1",
           "--quarantine", at + "aside", "--checkpoint", at + "c2", "--once", "--partials"])
     (tmp_path / "keys").write_text("3\n99\nnot a number\n")
