@@ -126,18 +126,20 @@ def sse_to_views(spark, folder):
 
 @query
 def sse_redelivered(spark, folder):
-    """A feed that reconnects: every third frame lands a second time, in a later file."""
+    """A feed that reconnects: every third frame lands a second time, in a later file.
+
+    The stream stops before they land again and goes on from its checkpoint.
+    """
     work = scratch_folder(spark, "redelivered")
     frames = as_frames(_envelopes(spark, folder))
     again = frames.filter(F.regexp_extract("value", r"id: (\d+)", 1).cast("bigint") % 3 == 0)
     for part in (frames, again):
         part.write.mode("append").format("text").option("lineSep", "\n\n").save(f"{work}/feed")
-    messages = sse_frames(
-        spark, f"{work}/feed", streaming=True, redelivered="1 hour", maxFilesPerTrigger="1"
-    )
-    _run_once(
-        jobs.start_normalize_to_files(messages, f"{work}/normalized", f"{work}/check", ONCE)
-    )
+        # Batches by size: by number of files, each would be read by the few tasks of its files.
+        messages = sse_frames(spark, f"{work}/feed", True, redelivered="1 hour", **BATCH)
+        _run_once(
+            jobs.start_normalize_to_files(messages, f"{work}/normalized", f"{work}/check", ONCE)
+        )
     normalized = jobs.normalized_files(spark, f"{work}/normalized", streaming=False)
     return _events(accepted(from_wire(normalized)))
 

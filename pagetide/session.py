@@ -34,12 +34,14 @@ def local_session(cores="*", app="pagetide", **conf):
 def keep_state_on_disk(spark):
     """State of streams goes to RocksDB, on disk and not on the heap.
 
-    A commit writes what changed since the last one, not the whole state.
+    A commit writes what changed since the last one, not the whole state. Rows are not counted, as
+    that reads each key a second time.
     """
     place = "spark.sql.streaming.stateStore"
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     spark.conf.set(f"{place}.providerClass", provider)
     spark.conf.set(f"{place}.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set(f"{place}.rocksdb.trackTotalNumberOfRows", "false")
 
 
 def _shared_folder(spark):

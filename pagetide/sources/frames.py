@@ -22,7 +22,9 @@ def read_frames(spark, path, streaming=False, separator="\n\n", **options):
 
 def _field(name):
     # (?md): ^ and $ match at \n only, so other line breaks inside JSON text stay untouched.
-    pattern = rf"(?md)^{name}(?:: ?([^\n]*?))?\r?$"
+    # A line is taken at once; its last \r is not part of it.
+    line = r"[^\n]*(?<!\r)|[^\n]*(?=\r$)"
+    pattern = rf"(?md)^{name}(?:: ?({line}))?\r?$"
     return F.regexp_extract_all(F.col("value"), F.lit(pattern), F.lit(1))
 
 
@@ -32,12 +34,15 @@ def frame_messages(frames):
     Frames without data, comments and other event types are not messages. Whether the data is
     valid JSON is decided by the normaliser, which keeps bad text aside instead of dropping it.
     """
-    fields = frames.select(
-        *[F.col(name) for name in frames.columns if name == "landed"],
+    fields = F.struct(
         F.try_element_at(_field("event"), F.lit(-1)).alias("event"),
         F.try_element_at(_field("id"), F.lit(-1)).alias("id"),
         F.array_join(_field("data"), "\n").alias("value"),
     )
+    # Generated, so that the filter reads the fields and does not take them from the text again.
+    fields = frames.select(
+        *[F.col(name) for name in frames.columns if name == "landed"], F.inline(F.array(fields))
+    )
     kind = F.coalesce(F.nullif(F.col("event"), F.lit("")), F.lit("message"))
     return fields.filter((kind == "message") & (F.col("value") != "")).drop("event")
 

@@ -2,6 +2,7 @@
 
 import re
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from helpers import event, events_frame
@@ -222,3 +223,24 @@ def test_buckets_are_looked_up_without_a_merge(spark, tmp_path):
         assert operator not in plan
     assert "EqualTo(page_id,7)" in plan
     assert view.count() == 300
+
+
+def test_redelivered_frames_are_read_in_batches_by_size(spark, tmp_path):
+    """More files are not more batches: there are two of data, and one that closes each run."""
+    events = spark.range(120).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.col("id") + 1705000000).alias("ts"),
+        (F.col("id") % 7).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.lit('{"k": 1}').alias("props"),
+    )
+    root = spark.conf.get("spark.checkpoint.dir")
+    for files in (1, 6):
+        folder = tmp_path / f"of-{files}"
+        events.repartitionByRange(files, "event_id").write.parquet(f"{folder}/events.parquet")
+        with configured(spark, {"spark.sql.files.openCostInBytes": str(2**27)}):
+            assert QUERIES["sse_redelivered"](spark, str(folder)).count() == 120
+        (work,) = Path(root).glob("pagetide-sse_redelivered-redelivered-*/data")
+        assert len(list(work.glob("feed/part-*"))) == 2 * files
+        assert len(list(work.glob("check/commits/[0-9]*"))) <= 4

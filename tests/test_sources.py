@@ -8,7 +8,7 @@ from pagetide.operators.normalize import accepted, parse_envelope, rejected
 from pagetide.session import scratch_folder
 from pagetide.plans.queries import QUERIES
 from pagetide.sources.event_table import stream_events
-from pagetide.sources.frames import sse_frames
+from pagetide.sources.frames import frame_messages, sse_frames
 from pagetide.sources.messages import PATIENT, file_messages, kafka_raw
 from pagetide.streaming.jobs import normalized_messages, start_normalize_to_kafka
 
@@ -176,3 +176,13 @@ def test_stream_reads_the_table_only(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("only").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("only").count() == 3
+
+
+def test_fields_of_a_frame_end_with_their_lines(spark):
+    """One carriage return at the end of a line is not part of it; others are."""
+    text = "event\r\nid:\r\nid: 1 \r2\r\r\ndata\ndata:  a\r\ndata: \r\ndata:b"
+    frames = spark.createDataFrame([(text,), ("datax: 1\nid: 4",)], "value string")
+    assert [tuple(row) for row in frame_messages(frames).collect()] == [("1 \r2\r", "\n a\n\nb")]
+    plan = frame_messages(frames)._jdf.queryExecution().optimizedPlan().toString()
+    # Each field is taken once.
+    assert plan.count("regexp_extract_all(") == 3
