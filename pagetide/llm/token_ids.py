@@ -3,7 +3,8 @@
 import json
 import re
 from array import array
-from functools import lru_cache
+from codecs import charmap_decode
+from functools import cache, lru_cache
 
 from pagetide.llm.words import split
 
@@ -19,7 +20,12 @@ def _byte_characters():
 
 
 _WRITTEN = _byte_characters()
-_SPACE = chr(_WRITTEN[0x20])
+_TABLE = "".join(chr(_WRITTEN.get(byte, byte)) for byte in range(256))
+
+
+@cache
+def _serialised(number):
+    return number.to_bytes(4, "little")
 
 
 class _Encoded(dict):
@@ -32,12 +38,8 @@ class _Encoded(dict):
     def __missing__(self, word):
         if len(self) >= KEPT_WORDS:
             self.clear()
-        if word.isascii() and word.isprintable():
-            written = word.replace(" ", _SPACE)
-        else:
-            written = word.encode().decode("latin-1").translate(_WRITTEN)
-        tokens = self.merge(written)
-        ids = array("I", [token.id for token in tokens]).tobytes()
+        written, _ = charmap_decode(word.encode(), "strict", _TABLE)
+        ids = b"".join([_serialised(token.id) for token in self.merge(written)])
         self[word] = ids
         return ids
 

@@ -240,3 +240,17 @@ def test_a_very_long_match_is_not_quadratic(tiktoken_reference):
     raw = b"ab" * 100_000
     ids = bpe.merge_long(raw, bpe.encoder(RANKS).ranks)
     assert ids == tiktoken_reference.encode_ordinary(raw.decode())
+
+
+def test_the_quick_split_tests_sets_of_characters():
+    """No classes, which are slow; and the same matches as by the public pattern, for any of them."""
+    found = [words._find_ascii.__self__.pattern, words._find_quick.__self__.pattern]
+    for pattern in found:
+        assert not {r"\s", r"\S", r"\w", r"\W", r"\d"} & {
+            pattern[at : at + 2] for at in range(len(pattern))
+        }
+    characters = [chr(code) for code in range(0x250)]
+    for before in ("", " ", "a", "1", "'", "\n ", "é"):
+        for after in ("", "s", " ", " b", "\t"):
+            texts = [before + character + after for character in characters]
+            assert [words.split(text) for text in texts] == [words._find(text) for text in texts]
